@@ -39,7 +39,7 @@ def blank_to_null(c: str | Column) -> Column:
 def parse_date(c: str | Column, formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
     """First format that parses wins; NULL when none does (never raises)."""
     text = F.trim(col(c))
-    return F.coalesce(*[F.try_to_date(text, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(text, f) for f in formats])
 
 
 def parse_timestamp(c: str | Column) -> Column:
@@ -102,6 +102,12 @@ def first_element(array_col: str | Column) -> Column:
     return F.try_element_at(col(array_col), F.lit(1))
 
 
+def ascending(start: Column, stop: Column) -> Column:
+    """``sequence(start, stop)``, but empty when start > stop (Spark would count down)."""
+    return F.when(start <= stop, F.sequence(start, stop)).otherwise(
+        F.array().cast("array<int>"))
+
+
 def month_index(d: str | Column) -> Column:
     """Months since year 0: a dense integer per calendar month."""
     return F.year(col(d)) * 12 + F.month(col(d)) - 1

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions import month_end_of_index, month_index
+from strata.functions import ascending, month_end_of_index, month_index
 
 
 def _keys(k: str | Sequence[str]) -> list[str]:
@@ -68,7 +68,7 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
     vcols = [c for c in versions.columns if c not in keys]
     spans = (versions.join(horizon, keys)
              .filter(F.col(valid_from) <= F.col("_hz"))
-             .withColumn("_yr", F.explode(F.sequence(
+             .withColumn("_yr", F.explode(ascending(
                  F.year(valid_from), F.year(F.least(F.col(valid_to), F.col("_hz"))))))
              .select(*keys, "_yr", *[F.col(c).alias(f"_v_{c}") for c in vcols]))
     left = facts.withColumn("_yr", F.year(date))
@@ -96,7 +96,7 @@ def snapshot(versions: DataFrame, lo: _dt.date, hi: _dt.date,
     first_m = month_index(vf)                       # month end of valid_from's month
     last_m = F.when(F.last_day(vt) == vt, month_index(vt)).otherwise(month_index(vt) - 1)
     lo_m = month_index(F.lit(lo))
-    months = F.sequence(F.greatest(first_m, lo_m), last_m)
+    months = ascending(F.greatest(first_m, lo_m), last_m)
     exploded = (versions.filter(vf <= F.lit(hi))
                 .select(*by, F.explode(months).alias("_m"))
                 .withColumn("month_end", month_end_of_index("_m"))

@@ -94,3 +94,305 @@ SELECT o_custkey, valid_from, valid_to, is_current, o_orderkey, o_orderstatus, o
 FROM h
 WHERE o_custkey = (SELECT min(o_custkey) FROM
                    (SELECT o_custkey FROM h GROUP BY o_custkey HAVING count(*) >= 3) t)"""
+
+# ---------------------------------------------------------------- marts
+
+_FACTS = """
+f AS (SELECT l.l_orderkey, l.l_linenumber, CAST(l.l_shipdate AS DATE) AS ship_date, o.o_custkey
+      FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+_CDIM = """
+cd AS (SELECT c.c_custkey, c.c_name, c.c_mktsegment, n.n_name, r.r_name
+       FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+       LEFT JOIN region r ON n.n_regionkey = r.r_regionkey)"""
+
+_DV = f""",
+{_CDIM},
+dv AS (SELECT md5(concat_ws('||', CAST(h.o_custkey AS VARCHAR), CAST(valid_from AS VARCHAR)))
+              AS version_sk,
+              h.o_custkey, valid_from, valid_to, is_current, o_orderstatus, o_orderpriority,
+              price, {_ROWHASH} AS row_hash, cd.c_name, cd.c_mktsegment, cd.n_name, cd.r_name
+       FROM h LEFT JOIN cd ON h.o_custkey = cd.c_custkey)"""
+
+SQL["fact_events_asof"] = _HIST + f""",
+{_FACTS}
+SELECT f.l_orderkey, f.l_linenumber, f.o_custkey, f.ship_date, h.valid_from, h.valid_to,
+       h.o_orderstatus, h.o_orderpriority
+FROM f JOIN h ON f.o_custkey = h.o_custkey AND f.ship_date BETWEEN h.valid_from AND h.valid_to"""
+
+SQL["headcount_snapshot"] = _HIST + """,
+m AS (SELECT CAST(last_day(CAST(g AS DATE)) AS DATE) AS month_end
+      FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH) t(g))
+SELECT m.month_end, h.o_orderstatus, count(*) AS headcount
+FROM m JOIN h ON h.valid_from <= m.month_end AND m.month_end <= h.valid_to
+GROUP BY m.month_end, h.o_orderstatus"""
+
+SQL["dim_versioned"] = _HIST + _DV + "\nSELECT * FROM dv"
+
+SQL["obt"] = _HIST + _DV + f""",
+{_FACTS}
+SELECT f.l_orderkey, f.l_linenumber, f.ship_date, f.o_custkey, dv.version_sk, dv.o_orderstatus,
+       dv.price, dv.c_name, dv.c_mktsegment, dv.n_name, dv.r_name
+FROM f JOIN dv ON f.o_custkey = dv.o_custkey AND f.ship_date BETWEEN dv.valid_from AND dv.valid_to"""
+
+SQL["incremental_changes"] = _HIST + f""",
+k AS (SELECT *, {_ROWHASH} AS row_hash FROM h),
+cur AS (SELECT o_custkey, row_hash FROM k WHERE DATE '2000-12-31' BETWEEN valid_from AND valid_to),
+inc AS (SELECT o_custkey, row_hash FROM k WHERE DATE '2001-06-30' BETWEEN valid_from AND valid_to)
+SELECT coalesce(cur.o_custkey, inc.o_custkey) AS o_custkey,
+       CASE WHEN cur.o_custkey IS NULL THEN 'new' WHEN inc.o_custkey IS NULL THEN 'gone'
+            WHEN cur.row_hash = inc.row_hash THEN 'unchanged' ELSE 'changed' END AS change,
+       cur.row_hash AS current_hash, inc.row_hash AS incoming_hash
+FROM cur FULL OUTER JOIN inc ON cur.o_custkey = inc.o_custkey"""
+
+_CAL = """
+SELECT CAST(o_orderdate AS DATE) AS holiday_date,
+       'order ' || CAST(o_orderkey AS VARCHAR) AS holiday_name,
+       o_orderpriority AS local_name, o_orderstatus AS country_code,
+       o_totalprice >= 100000 AS fixed, o_orderpriority IN ('1-URGENT', '2-HIGH') AS "global",
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE split_part(o_orderpriority, '-', 1) END
+           AS holiday_type
+FROM orders"""
+
+SQL["shape_calendar"] = _CAL + """
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-06-30'"""
+
+SQL["dim_date"] = f"""
+WITH cal AS ({_CAL}
+  WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'),
+pd AS (SELECT holiday_date, min(holiday_name) AS holiday_name, count(*) AS n
+       FROM cal WHERE country_code = 'O' GROUP BY holiday_date),
+days AS (SELECT CAST(g AS DATE) AS date
+         FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY) t(g))
+SELECT days.date, CAST(year(days.date) AS INTEGER) AS year,
+       CAST(month(days.date) AS INTEGER) AS month, CAST(day(days.date) AS INTEGER) AS day,
+       dayofweek(days.date) IN (0, 6) AS is_weekend, pd.n IS NOT NULL AS is_public_holiday,
+       pd.holiday_name, coalesce(pd.n, 0) AS n_holidays
+FROM days LEFT JOIN pd ON days.date = pd.holiday_date"""
+
+SQL["date_window"] = """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date FROM orders
+WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-06-30'"""
+
+# ---------------------------------------------------------------- cleaning
+
+def _parse(c: str) -> str:
+    return (f"CAST(coalesce(try_strptime(trim({c}), '%Y-%m-%d'), "
+            f"try_strptime(trim({c}), '%d-%m-%Y')) AS DATE)")
+
+
+def _int(c: str) -> str:
+    return f"TRY_CAST(TRY_CAST(trim({c}) AS DECIMAL(38,6)) AS INTEGER)"
+
+
+_OT = """
+ot AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority,
+              CAST(o_totalprice AS DECIMAL(18,2)) AS price,
+              CASE WHEN o_orderkey % 97 = 0 THEN '2026-13-01'
+                   WHEN o_orderkey % 97 = 1 THEN strftime(o_orderdate, '%d-%m-%Y')
+                   ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date_text
+       FROM orders)"""
+
+_CT = """
+ct AS (SELECT c_custkey,
+              CASE WHEN c_custkey % 4 = 0 THEN '  ' || c_name || ' '
+                   WHEN c_custkey % 5 = 0 THEN chr(9) || c_name ELSE c_name END AS name_text,
+              CASE WHEN c_custkey % 9 = 0 THEN '   ' WHEN c_custkey % 9 = 1 THEN ''
+                   ELSE ' ' || c_mktsegment END AS segment_text,
+              CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) || '.0' AS balance_text,
+              CASE WHEN c_acctbal > 0 THEN 'TRUE' ELSE 'false' END AS active_text
+       FROM customer)"""
+
+_ET = """
+et AS (SELECT event_id, user_id,
+              CASE WHEN event_id % 3 = 0 THEN upper(event_type)
+                   WHEN event_id % 3 = 1 THEN ' ' || event_type || ' '
+                   ELSE event_type END AS type_text,
+              CASE WHEN event_id % 7 = 0 THEN strftime(ts, '%d-%m-%Y')
+                   ELSE strftime(ts, '%Y-%m-%d') END AS date_text,
+              CASE WHEN event_id % 4 = 0
+                   THEN CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) || '.0'
+                   ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS amount_text,
+              CASE WHEN event_id % 5 = 0 THEN '  ' ELSE props END AS note_text
+       FROM events)"""
+
+SQL["parse_dates"] = f"""
+WITH {_OT}
+SELECT o_orderkey, date_text, {_parse('date_text')} AS order_date FROM ot"""
+
+SQL["quarantine_split"] = f"""
+WITH {_OT},
+v AS (SELECT o_orderkey,
+             NULLIF(concat_ws(',',
+                CASE WHEN date_text IS NOT NULL AND {_parse('date_text')} IS NULL
+                     THEN 'bad_date' END,
+                CASE WHEN date_text IS NULL THEN 'null_date' END,
+                CASE WHEN price <= 0 THEN 'nonpositive_price' END), '') AS violations
+      FROM ot)
+SELECT o_orderkey, violations IS NOT NULL AS quarantined, violations FROM v"""
+
+SQL["safe_int_cast"] = f"""
+SELECT p_partkey, size_text, {_int('size_text')} AS size_int
+FROM (SELECT p_partkey,
+             CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size AS VARCHAR) || '.0'
+                  WHEN p_partkey % 11 = 0 THEN 'x' || CAST(p_size AS VARCHAR)
+                  ELSE CAST(p_size AS VARCHAR) END AS size_text
+      FROM part) t"""
+
+SQL["text_to_bool"] = """
+SELECT o_orderkey, flag_text, coalesce(upper(trim(flag_text)) = 'TRUE', false) AS flag
+FROM (SELECT o_orderkey,
+             CASE WHEN o_orderpriority = '5-LOW' THEN NULL WHEN o_orderstatus = 'F' THEN 'TRUE'
+                  WHEN o_orderstatus = 'O' THEN ' true ' ELSE 'no' END AS flag_text
+      FROM orders) t"""
+
+SQL["blank_to_null"] = f"""
+WITH {_CT}
+SELECT c_custkey, segment_text, NULLIF(trim(segment_text), '') AS c_mktsegment FROM ct"""
+
+SQL["trim_strings"] = f"""
+WITH {_CT}
+SELECT c_custkey, trim(name_text) AS name_text, trim(segment_text) AS segment_text FROM ct"""
+
+SQL["upper_normalise"] = f"""
+WITH {_ET}
+SELECT event_id, type_text, upper(trim(type_text)) AS event_type FROM et"""
+
+SQL["untrimmed_profile"] = f"""
+WITH {_CT}
+SELECT count_if(name_text <> trim(name_text)) AS untrimmed_name_text,
+       count_if(segment_text <> trim(segment_text)) AS untrimmed_segment_text
+FROM ct"""
+
+SQL["clean_events"] = f"""
+WITH {_ET}
+SELECT event_id, user_id, upper(trim(type_text)) AS event_type,
+       {_parse('date_text')} AS event_date, {_int('amount_text')} AS amount,
+       NULLIF(trim(note_text), '') AS note
+FROM et"""
+
+SQL["clean_roster"] = f"""
+WITH {_CT}
+SELECT c_custkey, trim(name_text) AS c_name, NULLIF(trim(segment_text), '') AS c_mktsegment,
+       {_int('balance_text')} AS balance,
+       coalesce(upper(trim(active_text)) = 'TRUE', false) AS is_active
+FROM ct"""
+
+SQL["clean_reference"] = """
+SELECT n_nationkey, trim(' ' || n_name || '  ') AS n_name, trim('  ' || r_name) AS r_name
+FROM nation LEFT JOIN region ON n_regionkey = r_regionkey"""
+
+# ---------------------------------------------------------------- gates
+
+SQL["state_events"] = """
+SELECT event_id, user_id, event_type FROM events
+WHERE NOT coalesce(event_type IN ('error'), false)"""
+
+SQL["exit_events"] = """
+SELECT event_id, user_id, event_type FROM events
+WHERE coalesce(event_type IN ('error'), false)"""
+
+SQL["unknown_domain"] = """
+SELECT event_type, count(*) AS n FROM events
+WHERE NOT coalesce(event_type IN ('view', 'click', 'purchase'), false)
+GROUP BY event_type"""
+
+SQL["duplicate_keys"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+SQL["exactly_one_start"] = """
+WITH r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+           FROM events),
+p AS (SELECT event_id, user_id, ts,
+             CASE WHEN rn = 1 AND user_id % 10 <> 1 THEN 'signup'
+                  WHEN rn > 1 AND event_type = 'signup' AND user_id % 10 <> 0 THEN 'view'
+                  ELSE event_type END AS event_type
+      FROM r)
+SELECT user_id, count_if(event_type = 'signup') AS n_start,
+       first(event_type ORDER BY ts, event_id) AS first_type
+FROM p GROUP BY user_id
+HAVING count_if(event_type = 'signup') <> 1
+    OR NOT coalesce(first(event_type ORDER BY ts, event_id) = 'signup', false)"""
+
+SQL["gate_summary"] = f"""
+WITH {_OT},
+pk AS (SELECT o_orderkey, o_orderkey IS NULL AS nk, count(*) AS n,
+              count_if(date_text IS NOT NULL AND {_parse('date_text')} IS NULL) AS bad_date,
+              count_if(date_text IS NULL) AS null_date
+       FROM ot GROUP BY o_orderkey)
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows,
+       CAST(coalesce(sum(CASE WHEN nk THEN n END), 0) AS BIGINT) AS null_keys,
+       count_if(NOT nk AND n > 1) AS duplicate_keys,
+       CAST(coalesce(sum(bad_date), 0) AS BIGINT) AS bad_date,
+       CAST(coalesce(sum(null_date), 0) AS BIGINT) AS null_date
+FROM pk"""
+
+SQL["category_distribution"] = """
+SELECT event_type, count(*) AS n FROM events GROUP BY event_type ORDER BY event_type"""
+
+SQL["preview_top_n"] = """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS order_date,
+       CAST(o_totalprice AS DECIMAL(18,2)) AS price
+FROM orders ORDER BY o_orderkey LIMIT 10"""
+
+# ---------------------------------------------------------------- nested
+
+_NESTED_FROM = """
+FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+SQL["flatten_struct"] = """
+SELECT c.c_custkey, c.c_name AS name, c.c_mktsegment AS segment,
+       CASE WHEN c.c_custkey % 10 <> 0 THEN n.n_name END AS nation_name,
+       CASE WHEN c.c_custkey % 10 <> 0 THEN r.r_name END AS region_name""" + _NESTED_FROM
+
+SQL["nested_profile"] = """
+SELECT count(*) AS n_rows, count_if(c.c_custkey % 10 = 0) AS null_address,
+       count_if(c.c_custkey % 10 = 0 OR r.r_name IS NULL) AS null_address_region_name,
+       count_if(c.c_name IS NULL) AS null_profile_name""" + _NESTED_FROM
+
+SQL["flag_and_null"] = """
+SELECT doc_id, CASE WHEN flag THEN NULL ELSE text END AS text, flag AS text_invalid
+FROM (SELECT doc_id, text,
+             coalesce(text IS NOT NULL AND NOT regexp_matches(text, '\\d'), false) AS flag
+      FROM documents) t"""
+
+_PP = """
+pp AS (SELECT page_id,
+              CASE WHEN q = '' THEN CAST([] AS STRUCT(key VARCHAR, value VARCHAR)[])
+                   ELSE list_transform(string_split(q, '&'),
+                        lambda x: {'key': split_part(x, '=', 1), 'value': split_part(x, '=', 2)})
+              END AS params
+       FROM (SELECT page_id, regexp_extract(url, '\\?([^#]*)', 1) AS q FROM pages) t)"""
+
+
+def _pick(k: str) -> str:
+    return f"list_filter(params, lambda s: s.key = '{k}')[1].value"
+
+
+SQL["pivot_keyed_array"] = f"""
+WITH {_PP}
+SELECT page_id, {_pick('page')} AS param_page, {_pick('ref')} AS param_ref,
+       {_pick('utm_source')} AS param_utm_source
+FROM pp"""
+
+SQL["explode_pairs"] = f"""
+WITH {_PP}
+SELECT page_id, p.key AS key, p.value AS value
+FROM (SELECT page_id, unnest(params) AS p FROM pp) u
+UNION ALL
+SELECT page_id, NULL AS key, NULL AS value FROM pp WHERE len(params) = 0"""
+
+SQL["first_array_element"] = """
+SELECT p_partkey, string_split(p_name, ' ')[1] AS first_word FROM part"""
+
+SQL["row_count_preserved"] = """
+SELECT count(*) AS n_in, count(*) AS n_out, true AS preserved FROM pages"""
+
+SQL["sql_nested_probe"] = f"""
+WITH {_PP}
+SELECT count(*) AS n_pages, count_if(len(params) = 0) AS n_empty,
+       count_if(params[1].key IN ('page', 'utm_source')) AS n_first_known,
+       count_if(len(params) >= 2) AS n_multi
+FROM pp"""

@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 
 from strata.operators.history import as_of, current, next_event, scd2
 from strata.operators.keys import with_keys
-from strata.plans.catalog import (STATE_COLUMNS, customer_exits, order_history,
-                                  order_log, table)
+import datetime as dt
+
+from strata.functions import no_digit, not_in_domain, parse_date
+from strata.operators import calendar, clean as cleaning, gates, marts, nested
+from strata.plans.catalog import (STATE_COLUMNS, customer_dim, customer_nested,
+                                  customer_text, events_text, holiday_feed, order_facts,
+                                  order_history, order_log, orders_text, page_params, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -90,3 +95,321 @@ def first_multi_version_key(spark, sf_dir):
     from strata.operators.marts import first_key_with_versions
     return first_key_with_versions(order_history(spark, sf_dir), "o_custkey", 3).select(
         "o_custkey", "valid_from", "valid_to", "is_current", "o_orderkey", *STATE_COLUMNS)
+
+
+# --------------------------------------------------------------------------- marts
+# The snapshot window, the as-of dates of the change comparison, the
+# calendar window and the date dimension's span.
+SNAPSHOT_LO, SNAPSHOT_HI = dt.date(1995, 1, 1), dt.date(2001, 8, 31)
+CHANGE_CURRENT, CHANGE_INCOMING = dt.date(2000, 12, 31), dt.date(2001, 6, 30)
+WINDOW_LO, WINDOW_HI = dt.date(1996, 1, 1), dt.date(1996, 6, 30)
+DIM_LO, DIM_HI = dt.date(1995, 1, 1), dt.date(2001, 12, 31)
+DIM_COUNTRY = "O"
+
+
+@query
+def fact_events_asof(spark, sf_dir):
+    out = marts.asof(order_facts(spark, sf_dir), order_history(spark, sf_dir),
+                     "o_custkey", "ship_date")
+    return out.select("l_orderkey", "l_linenumber", "o_custkey", "ship_date",
+                      "valid_from", "valid_to", "o_orderstatus", "o_orderpriority")
+
+
+@query
+def headcount_snapshot(spark, sf_dir):
+    return marts.snapshot(order_history(spark, sf_dir), SNAPSHOT_LO, SNAPSHOT_HI,
+                          by=["o_orderstatus"])
+
+
+def _dim_versions(spark, sf_dir):
+    v = with_keys(order_history(spark, sf_dir), "o_custkey", STATE_COLUMNS)
+    return marts.enrich(v, customer_dim(spark, sf_dir), "o_custkey")
+
+
+@query
+def dim_versioned(spark, sf_dir):
+    return _dim_versions(spark, sf_dir).select(
+        "version_sk", "o_custkey", "valid_from", "valid_to", "is_current", *STATE_COLUMNS,
+        "row_hash", "c_name", "c_mktsegment", "n_name", "r_name")
+
+
+@query
+def obt(spark, sf_dir):
+    dims = _dim_versions(spark, sf_dir).select(
+        "o_custkey", "valid_from", "valid_to", "version_sk", "o_orderstatus", "price",
+        "c_name", "c_mktsegment", "n_name", "r_name")
+    return marts.asof(order_facts(spark, sf_dir), dims, "o_custkey", "ship_date").select(
+        "l_orderkey", "l_linenumber", "ship_date", "o_custkey", "version_sk",
+        "o_orderstatus", "price", "c_name", "c_mktsegment", "n_name", "r_name")
+
+
+@query
+def incremental_changes(spark, sf_dir):
+    v = with_keys(order_history(spark, sf_dir), "o_custkey", STATE_COLUMNS)
+    return marts.changes(as_of(v, F.lit(CHANGE_CURRENT)), as_of(v, F.lit(CHANGE_INCOMING)),
+                         "o_custkey")
+
+
+def _calendar(spark, sf_dir, lo, hi):
+    return calendar.shape_calendar(holiday_feed(spark, sf_dir), lo, hi)
+
+
+@query
+def shape_calendar(spark, sf_dir):
+    return _calendar(spark, sf_dir, WINDOW_LO, WINDOW_HI)
+
+
+@query
+def dim_date(spark, sf_dir):
+    return calendar.dim_date(spark, DIM_LO, DIM_HI, _calendar(spark, sf_dir, DIM_LO, DIM_HI),
+                             DIM_COUNTRY)
+
+
+@query
+def date_window(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
+    return o.filter(F.col("order_date").between(F.lit(WINDOW_LO), F.lit(WINDOW_HI)))
+
+
+# --------------------------------------------------------------------------- cleaning
+
+def _date_rules(df):
+    parsed = parse_date("date_text")
+    return {"bad_date": F.col("date_text").isNotNull() & parsed.isNull(),
+            "null_date": F.col("date_text").isNull()}
+
+
+@query
+def parse_dates(spark, sf_dir):
+    o = orders_text(spark, sf_dir)
+    return o.select("o_orderkey", "date_text", parse_date("date_text").alias("order_date"))
+
+
+@query
+def quarantine_split(spark, sf_dir):
+    o = orders_text(spark, sf_dir)
+    rules = {**_date_rules(o), "nonpositive_price": F.col("price") <= 0}
+    good, bad = gates.split_quarantine(o, rules)
+    return (good.select("o_orderkey", F.lit(False).alias("quarantined"),
+                        F.lit(None).cast("string").alias("violations"))
+            .unionByName(bad.select("o_orderkey", F.lit(True).alias("quarantined"),
+                                    F.array_join("_violations", ",").alias("violations"))))
+
+
+@query
+def safe_int_cast(spark, sf_dir):
+    from strata.functions import safe_int
+    p = table(spark, sf_dir, "part")
+    k, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    text = (F.when(k % 3 == 0, F.concat(size, F.lit(".0")))
+            .when(k % 11 == 0, F.concat(F.lit("x"), size)).otherwise(size))
+    return p.select("p_partkey", text.alias("size_text")).withColumn(
+        "size_int", safe_int("size_text"))
+
+
+@query
+def text_to_bool(spark, sf_dir):
+    from strata.functions import text_to_bool as to_bool
+    o = table(spark, sf_dir, "orders")
+    st = F.col("o_orderstatus")
+    text = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit(None).cast("string"))
+            .when(st == "F", F.lit("TRUE")).when(st == "O", F.lit(" true "))
+            .otherwise(F.lit("no")))
+    return o.select("o_orderkey", text.alias("flag_text")).withColumn(
+        "flag", to_bool("flag_text"))
+
+
+@query
+def blank_to_null(spark, sf_dir):
+    from strata.functions import blank_to_null as b2n
+    c = customer_text(spark, sf_dir)
+    return c.select("c_custkey", "segment_text", b2n("segment_text").alias("c_mktsegment"))
+
+
+@query
+def trim_strings(spark, sf_dir):
+    c = customer_text(spark, sf_dir).select("c_custkey", "name_text", "segment_text")
+    return cleaning.trim_strings(c)
+
+
+@query
+def upper_normalise(spark, sf_dir):
+    from strata.functions import upper_text
+    e = events_text(spark, sf_dir)
+    return e.select("event_id", "type_text", upper_text("type_text").alias("event_type"))
+
+
+@query
+def untrimmed_profile(spark, sf_dir):
+    c = customer_text(spark, sf_dir).select("c_custkey", "name_text", "segment_text")
+    return gates.untrimmed_counts(c)
+
+
+@query
+def clean_events(spark, sf_dir):
+    e = events_text(spark, sf_dir)
+    return cleaning.clean(e, dates={"date_text": "event_date"}, ints=["amount_text"],
+                          upper=["type_text"], blanks=["note_text"],
+                          rename={"type_text": "event_type", "amount_text": "amount",
+                                  "note_text": "note"})
+
+
+@query
+def clean_roster(spark, sf_dir):
+    c = customer_text(spark, sf_dir)
+    out = cleaning.clean(c, ints=["balance_text"], bools=["active_text"],
+                         blanks=["segment_text"],
+                         rename={"name_text": "c_name", "segment_text": "c_mktsegment",
+                                 "balance_text": "balance", "active_text": "is_active"})
+    return out
+
+
+@query
+def clean_reference(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    padded = n.join(r, n["n_regionkey"] == r["r_regionkey"], "left").select(
+        "n_nationkey", F.concat(F.lit(" "), "n_name", F.lit("  ")).alias("n_name"),
+        F.concat(F.lit("  "), "r_name").alias("r_name"))
+    return cleaning.trim_strings(padded)
+
+
+# --------------------------------------------------------------------------- gates
+# The event vocabulary used by the gates below.
+EXIT_TYPES = ("error",)
+ALLOWED_TYPES = ("view", "click", "purchase")
+START_TYPE = "signup"
+
+
+def _events(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+
+
+@query
+def state_events(spark, sf_dir):
+    return _events(spark, sf_dir).filter(not_in_domain("event_type", EXIT_TYPES)).select(
+        "event_id", "user_id", "event_type")
+
+
+@query
+def exit_events(spark, sf_dir):
+    from strata.functions import in_domain
+    return _events(spark, sf_dir).filter(in_domain("event_type", EXIT_TYPES)).select(
+        "event_id", "user_id", "event_type")
+
+
+@query
+def unknown_domain(spark, sf_dir):
+    return gates.unknown_values(_events(spark, sf_dir), "event_type", ALLOWED_TYPES)
+
+
+@query
+def duplicate_keys(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    return gates.duplicate_keys(li, ["l_orderkey", "l_linenumber"])
+
+
+def _start_planted(spark, sf_dir):
+    """Events relabelled so a start rule applies: each user's first event becomes
+    'signup' (except user_id % 10 = 1), later 'signup's become 'view' (except
+    user_id % 10 = 0). The first event is found by an aggregate, not a window."""
+    e = _events(spark, sf_dir)
+    firsts = (e.groupBy("user_id")
+              .agg(F.min_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
+              .select("event_id", F.lit(True).alias("_first")))
+    u = F.col("user_id")
+    first = F.coalesce(F.col("_first"), F.lit(False))
+    typ = (F.when(first & (u % 10 != 1), F.lit(START_TYPE))
+           .when(~first & (F.col("event_type") == START_TYPE) & (u % 10 != 0), F.lit("view"))
+           .otherwise(F.col("event_type")))
+    return e.join(firsts, "event_id", "left").select("event_id", "user_id", "ts",
+                                                     typ.alias("event_type"))
+
+
+@query
+def exactly_one_start(spark, sf_dir):
+    return gates.start_violations(_start_planted(spark, sf_dir), "user_id", "event_type",
+                                  ["ts", "event_id"], START_TYPE)
+
+
+@query
+def gate_summary(spark, sf_dir):
+    o = orders_text(spark, sf_dir)
+    return gates.profile(o, _date_rules(o), key="o_orderkey")
+
+
+@query
+def category_distribution(spark, sf_dir):
+    return (_events(spark, sf_dir).groupBy("event_type").agg(F.count("*").alias("n"))
+            .orderBy("event_type"))
+
+
+@query
+def preview_top_n(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", "o_custkey", "o_orderstatus",
+                    F.col("o_orderdate").cast("date").alias("order_date"),
+                    F.col("o_totalprice").cast("decimal(18,2)").alias("price")
+                    ).orderBy("o_orderkey").limit(10)
+
+
+# --------------------------------------------------------------------------- nested
+# Wanted URL parameters -> output columns, nested paths -> columns.
+PARAM_COLUMNS = {"page": "param_page", "ref": "param_ref", "utm_source": "param_utm_source"}
+CUSTOMER_PATHS = {"profile.name": "name", "profile.segment": "segment",
+                  "address.nation": "nation_name", "address.region.name": "region_name"}
+
+
+@query
+def flatten_struct(spark, sf_dir):
+    return nested.flatten(customer_nested(spark, sf_dir), CUSTOMER_PATHS, keep=["c_custkey"])
+
+
+@query
+def flag_and_null(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return nested.flag_null(d, "text", no_digit("text"), "text_invalid")
+
+
+@query
+def pivot_keyed_array(spark, sf_dir):
+    return nested.lookup(page_params(spark, sf_dir), "params", PARAM_COLUMNS).select(
+        "page_id", *PARAM_COLUMNS.values())
+
+
+@query
+def explode_pairs(spark, sf_dir):
+    return nested.explode_pairs(page_params(spark, sf_dir), "params", ["page_id"])
+
+
+@query
+def first_array_element(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", F.split("p_name", " ").alias("words"))
+    return nested.first_element(p, "words", "first_word").select("p_partkey", "first_word")
+
+
+@query
+def row_count_preserved(spark, sf_dir):
+    pages = page_params(spark, sf_dir)
+    flat = nested.lookup(pages, "params", PARAM_COLUMNS)
+    return gates.row_count_check(pages, flat)
+
+
+@query
+def nested_profile(spark, sf_dir):
+    return nested.nested_profile(customer_nested(spark, sf_dir),
+                                 null_paths=["address", "address.region.name", "profile.name"])
+
+
+@query
+def sql_nested_probe(spark, sf_dir):
+    """The SQL surface over a temp view: struct field access, IN, size()."""
+    view = "strata_pages_params"
+    page_params(spark, sf_dir).createOrReplaceTempView(view)
+    return spark.sql(f"""
+        SELECT count(*) AS n_pages,
+               count_if(size(params) = 0) AS n_empty,
+               count_if(get(params, 0).key IN ('page', 'utm_source')) AS n_first_known,
+               count_if(size(params) >= 2) AS n_multi
+        FROM {view}""")
