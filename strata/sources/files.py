@@ -74,13 +74,13 @@ def require_landing(spark: SparkSession, path: str, required: Iterable[str]) ->
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
-                partition_by: Iterable[str] = ()) -> str:
+                partition_by: Iterable[str] = (), **options: str) -> str:
     """Whole-table overwrite; re-running it leaves exactly one copy.
 
     Never call it with a plan that reads the same ``path`` (Parquet overwrite is
     not transactional): write to a new location and switch readers instead.
     """
-    w = df.write.mode("overwrite").format(fmt)
+    w = df.write.mode("overwrite").format(fmt).options(**options)
     parts = list(partition_by)
     if parts:
         w = w.partitionBy(*parts)
@@ -92,6 +92,14 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def missing_sources(df: DataFrame, expected: Iterable[str],
+                    source_col: str = "_source") -> DataFrame:
+    """Expected sources that delivered no rows (reported, not silently dropped)."""
+    spark = df.sparkSession
+    exp = spark.createDataFrame([(e,) for e in expected], f"{source_col} string")
+    return exp.join(df.select(source_col).distinct(), source_col, "left_anti")
+
+
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: name, row count, status ``OK`` (non-empty) or ``EMPTY``.
 

@@ -202,7 +202,12 @@ def write_workbooks(df: DataFrame, path: str, sheet: str) -> int:
                 for r in pdf.itertuples(index=False, name=None)]
         pid = TaskContext.get().partitionId()
         target = f"{path.rstrip('/')}/part-{pid:05d}-{token}.xlsx"
-        fsys, p = pafs.FileSystem.from_uri(target if "://" in target else f"file://{target}")
+        if target.startswith("file:"):
+            fsys, p = pafs.LocalFileSystem(), "/" + target[5:].lstrip("/")
+        elif "://" in target:
+            fsys, p = pafs.FileSystem.from_uri(target)
+        else:
+            fsys, p = pafs.LocalFileSystem(), target
         fsys.create_dir(p.rsplit("/", 1)[0], recursive=True)
         with fsys.open_output_stream(p) as out:
             out.write(workbook_bytes(sheet, cols, rows))
