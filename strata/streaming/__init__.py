@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch only: every Silver table is a whole-table
+overwrite and no stream, watermark or stateful operator appears in it. Nothing is
+added here; every builder in :mod:`strata.operators` is a pure DataFrame function,
+so it can be applied per micro-batch from ``foreachBatch`` if a stream is wanted.
+"""
