@@ -14,7 +14,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from strata.functions import in_domain, no_digit
 from strata.operators import calendar, clean as cleaning, gates, nested
@@ -40,7 +39,7 @@ EXIT_TYPES = ("RESIGNATION", "TERMINATION")
 START_TYPE = "HIRE"
 TRACKED = ("department_id", "job_role_id", "manager_employee_id", "salary")
 CALENDAR_LO, CALENDAR_HI = dt.date(2026, 1, 1), dt.date(2026, 6, 30)
-CONTACT_SCHEMA = StructType.fromDDL(
+CONTACT_SCHEMA = (
     "employee_id string, "
     "contact struct<phone: struct<mobile: string, work: string, home: string>, "
     "email: struct<personal: string, work: string>>, "
@@ -50,7 +49,7 @@ CONTACT_SCHEMA = StructType.fromDDL(
     "contact: struct<phone: string, email: string>>, "
     "preferences array<struct<key: string, value: string>>, "
     "metadata struct<source_system: string, last_updated: string, schema_version: string>")
-HOLIDAY_SCHEMA = StructType.fromDDL(
+HOLIDAY_SCHEMA = (
     "date string, localName string, name string, countryCode string, fixed boolean, "
     "global boolean, counties array<string>, launchYear bigint, types array<string>")
 CONTACT_PATHS = {

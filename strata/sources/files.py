@@ -33,9 +33,9 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType,
     return reader.csv(path)
 
 
-def scan_json(spark: SparkSession, path: str, schema: StructType,
+def scan_json(spark: SparkSession, path: str, schema: StructType | str,
               multiline: bool = False) -> DataFrame:
-    """JSON with an explicit (possibly nested) schema.
+    """JSON with an explicit (possibly nested) schema (StructType or DDL text).
 
     ``multiline=True`` reads pretty-printed arrays, as landed by an API export; such
     a file is one task, so parallelism is the number of files. Line-delimited JSON
@@ -54,7 +54,11 @@ def with_audit(df: DataFrame) -> DataFrame:
 
 
 def landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """File names present in a landing directory (file content is never read)."""
+    """File names present in a landing directory (file content is never read).
+
+    A zero-byte file yields no record from the ``binaryFile`` source, so an empty
+    export counts as missing here rather than failing later at the row-count gate.
+    """
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
             .select(F.element_at(F.split("path", "/"), -1).alias("name")))
 
