@@ -392,10 +392,13 @@ SELECT count(*) AS n_in, count(*) AS n_out, true AS preserved FROM pages"""
 
 SQL["sql_nested_probe"] = f"""
 WITH {_PP}
-SELECT count(*) AS n_pages, count_if(len(params) = 0) AS n_empty,
-       count_if(params[1].key IN ('page', 'utm_source')) AS n_first_known,
-       count_if(len(params) >= 2) AS n_multi
-FROM pp"""
+SELECT 'empty_params' AS probe, count(*) AS n FROM pp WHERE len(params) = 0
+UNION ALL
+SELECT 'first_key_known', count(*) FROM pp WHERE params[1].key IN ('page', 'utm_source')
+UNION ALL
+SELECT 'second_page', count(*) FROM pp WHERE params[1].value = '2'
+UNION ALL
+SELECT 'multi_params', count(*) FROM pp WHERE len(params) >= 2"""
 
 # ---------------------------------------------------------------- sources
 

@@ -404,15 +404,19 @@ def nested_profile(spark, sf_dir):
 
 @query
 def sql_nested_probe(spark, sf_dir):
-    """The SQL surface over a temp view: struct field access, IN, size()."""
+    """The SQL surface over a temp view: struct field access, ``WHERE x = ...``,
+    ``WHERE x IN (...)`` and ``size()``, one probe per row."""
     view = "strata_pages_params"
     page_params(spark, sf_dir).createOrReplaceTempView(view)
     return spark.sql(f"""
-        SELECT count(*) AS n_pages,
-               count_if(size(params) = 0) AS n_empty,
-               count_if(get(params, 0).key IN ('page', 'utm_source')) AS n_first_known,
-               count_if(size(params) >= 2) AS n_multi
-        FROM {view}""")
+        SELECT 'empty_params' AS probe, count(*) AS n FROM {view} WHERE size(params) = 0
+        UNION ALL
+        SELECT 'first_key_known', count(*) FROM {view}
+        WHERE get(params, 0).key IN ('page', 'utm_source')
+        UNION ALL
+        SELECT 'second_page', count(*) FROM {view} WHERE get(params, 0).value = '2'
+        UNION ALL
+        SELECT 'multi_params', count(*) FROM {view} WHERE size(params) >= 2""")
 
 
 # --------------------------------------------------------------------------- sources

@@ -67,3 +67,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder (never reused)."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/strata-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, how: str = "checkpoint", path: str | None = None):
+    """Cut the lineage of ``df`` so later jobs (and retries after a lost executor)
+    start from stored data instead of recomputing upstream shuffles.
+
+    ``checkpoint``: reliable checkpoint into the session's shared checkpoint folder;
+    ``table``: write Parquet to ``path`` (default: a fresh shared folder) and read
+    it back. Never a local checkpoint: executor-local blocks die with the executor.
+    """
+    spark = df.sparkSession
+    if how == "checkpoint":
+        checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    if how == "table":
+        target = path or shared_dir(spark, "materialized")
+        df.write.mode("overwrite").parquet(target)
+        return spark.read.parquet(target)
+    raise ValueError("how must be 'checkpoint' or 'table'")
