@@ -7,8 +7,9 @@ one ends on the entity's exit date, else on the open-ended sentinel 9999-12-31.
 Plan shape (chosen for skew, not only for speed):
 
 1. State events are collapsed to one row per (key, day) with ``max_by`` on the
-   event order. That is a hash aggregate with a map-side partial step, so a hot
-   key or a hot (key, day) is shrunk before it is shuffled.
+   event order. The aggregate has a map-side partial step (sort-based, because
+   the carried state is variable-width), so a hot key or a hot (key, day) is
+   shrunk before it is shuffled and memory stays bounded (it spills, never OOMs).
 2. Exit events are reduced to distinct (key, day) rows the same way.
 3. One window per key over the union computes ``lead`` and the last exit in a
    single sort. After step 1 a key holds at most one row per calendar day per
@@ -17,8 +18,9 @@ Plan shape (chosen for skew, not only for speed):
 
 ``same_day="fail"`` keeps every event like the reference does: all but the last
 event of a day get ``valid_to = day - 1`` (an inverted interval, which the
-interval gate reports). Those rows are found with an anti-join on the unique
-(key, day, order) triple, so no group is ever gathered in one task.
+interval gate reports). Those rows are found with an anti-join against the
+per-day maximum order on the unique (key, day, order) triple, so no group is ever
+gathered in one task.
 """
 
 from __future__ import annotations
@@ -111,9 +113,9 @@ def scd2(events: DataFrame, key: str | Sequence[str], date: str, order: str,
                         (F.col("valid_to") == end).alias("is_current"),
                         F.col("_o").alias(order), *state))
     if same_day == "fail":
-        earlier = (ev.filter(~F.col("_x")).filter(F.col("_d").isNotNull())
-                   .join(_state_days(ev, keys, state).select(*keys, "_d", "_o"),
-                         [*keys, "_d", "_o"], "left_anti")
+        st = ev.filter(~F.col("_x")).filter(F.col("_d").isNotNull())
+        last_o = st.groupBy(*keys, "_d").agg(F.max("_o").alias("_o"))
+        earlier = (st.join(last_o, [*keys, "_d", "_o"], "left_anti")
                    .select(*keys, F.col("_d").alias("valid_from"),
                            F.date_sub("_d", 1).alias("valid_to"),
                            F.lit(False).alias("is_current"),

@@ -146,8 +146,7 @@ def obt(spark, sf_dir):
 @query
 def incremental_changes(spark, sf_dir):
     v = with_keys(order_history(spark, sf_dir), "o_custkey", STATE_COLUMNS)
-    return marts.changes(as_of(v, F.lit(CHANGE_CURRENT)), as_of(v, F.lit(CHANGE_INCOMING)),
-                         "o_custkey")
+    return marts.changes_between(v, "o_custkey", CHANGE_CURRENT, CHANGE_INCOMING)
 
 
 def _calendar(spark, sf_dir, lo, hi):

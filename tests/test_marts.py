@@ -44,6 +44,21 @@ def test_changes_classifies(spark):
     assert got == {"a": "unchanged", "b": "changed", "c": "gone", "d": "new"}
 
 
+def test_changes_between_matches_changes(spark):
+    v = spark.createDataFrame([
+        ("a", D(2020, 1, 1), SENTINEL, "h1"),
+        ("b", D(2020, 1, 1), D(2020, 12, 31), "h2"), ("b", D(2021, 1, 1), SENTINEL, "h3"),
+        ("c", D(2020, 1, 1), D(2020, 6, 30), "h4"),
+        ("d", D(2021, 3, 1), SENTINEL, "h5"),
+    ], "k string, valid_from date, valid_to date, row_hash string")
+    t1, t2 = D(2020, 6, 30), D(2021, 6, 30)
+    got = {r["k"]: r["change"] for r in marts.changes_between(v, "k", t1, t2).collect()}
+    assert got == {"a": "unchanged", "b": "changed", "c": "gone", "d": "new"}
+    alive = lambda t: v.filter((v.valid_from <= t) & (v.valid_to >= t))
+    via_join = {r["k"]: r["change"] for r in marts.changes(alive(t1), alive(t2), "k").collect()}
+    assert via_join == got
+
+
 def test_first_key_with_versions(spark):
     out = marts.first_key_with_versions(_versions(spark), "k", 2).collect()
     assert {r["k"] for r in out} == {"A"} and len(out) == 2
