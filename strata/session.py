@@ -44,6 +44,33 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def scale_settings(input_bytes: int, cores: int, target_partition_bytes: int = 256 << 20,
+                   ) -> dict[str, str]:
+    """Shuffle / scan sizing derived from the input size, for a cluster session.
+
+    Initial shuffle partitions are sized so each holds ~``target_partition_bytes``
+    of input (at least 2 waves of the cluster's cores); AQE then coalesces small
+    ones and splits skewed join partitions. File splits use the same target.
+    """
+    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
+    """Set runtime SQL confs (static ones such as memory must come from the launcher)."""
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 

@@ -21,3 +21,10 @@ def test_materialize_checkpoint_and_table(spark, tmp_dir):
     df = spark.range(10).selectExpr("id", "id * 2 AS x")
     assert materialize(df).count() == 10
     assert materialize(df, "table", f"{tmp_dir}/m").count() == 10
+
+
+def test_scale_settings():
+    from strata.session import scale_settings
+    s = scale_settings(100 * 2**40, cores=8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600      # 100 TiB / 256 MiB
+    assert scale_settings(10, cores=8)["spark.sql.shuffle.partitions"] == "16"

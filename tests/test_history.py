@@ -137,3 +137,21 @@ def test_bad_same_day_mode(spark):
     df = _events(spark, [("E1", "A", "HIRE", D(2026, 1, 1), "D1", 10)])
     with pytest.raises(ValueError):
         scd2(df, "emp", "day", "eid", ["dept"], same_day="first")
+
+
+def test_hot_key_is_collapsed_before_the_window(spark):
+    """One key with 40,000 events on 20 days: 20 versions, and the rows that reach
+    the window for that key are the 20 collapsed days, not the 40,000 events."""
+    n, days = 40000, 20
+    df = (spark.range(n).select(
+        F.col("id").alias("eid"), F.lit("HOT").alias("emp"), F.lit("PROMOTION").alias("kind"),
+        F.date_add(F.lit(D(2026, 1, 1)), (F.col("id") % days).cast("int")).alias("day"),
+        F.col("id").cast("string").alias("dept"), F.lit(1).alias("salary")))
+    v = scd2(df, "emp", "day", "eid", ["dept"], is_exit=F.col("kind").isin(*EXITS))
+    rows = v.orderBy("valid_from").collect()
+    assert len(rows) == days
+    assert rows[0]["dept"] == str(n - days)        # last event of day 0 by order
+    assert rows[-1]["is_current"]
+    plan = v._jdf.queryExecution().executedPlan().toString()
+    window_input = plan.split("Window")[1]
+    assert "Aggregate" in window_input              # the window reads collapsed days
