@@ -20,7 +20,7 @@ from strata.operators import calendar, clean as cleaning, gates, nested
 from strata.operators.history import scd2
 from strata.operators.keys import with_keys
 from strata.sources.files import (all_string_schema, read_table, require_landing, scan_csv,
-                                  scan_json, with_audit, write_table)
+                                  scan_json, verify_tables, with_audit, write_table)
 from strata.sources.workbook import scan_workbooks
 
 # ---------------------------------------------------------------- fixed values
@@ -81,7 +81,7 @@ def bronze_tables(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
         "employee_events": with_audit(scan_csv(spark, f"{base}/employee_events.csv",
                                                all_string_schema(EVENT_COLUMNS))),
         "employees": scan_workbooks(spark, f"{base}/employees.xlsx", EMPLOYEE_COLUMNS,
-                                    sheet="employees").withColumn(
+                                    sheet="employees", start_cell="A1").withColumn(
                                         "_ingested_at", F.current_timestamp()),
         "employee_contact_info": with_audit(scan_json(
             spark, f"{base}/employee_contact_info.json", CONTACT_SCHEMA, multiline=True)),
@@ -224,4 +224,6 @@ def run(spark: SparkSession, landing: str, warehouse: str, rehire: bool = False,
 
     paths["silver.public_holidays"] = write_table(silver_holidays(b["public_holidays"]),
                                                   f"{wh}/silver/public_holidays")
+    verify_tables(spark, {k: v for k, v in paths.items() if k.startswith("silver.")},
+                  require=True)
     return paths

@@ -117,6 +117,37 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return out.withColumn("status", F.when(F.col("n") > 0, "OK").otherwise("EMPTY"))
 
 
+def verify_tables(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
+                  require: bool = False) -> DataFrame:
+    """Read back each written table: (table_name, n, status) with status ``OK``,
+    ``EMPTY`` or ``FAILED`` (unreadable path). With ``require`` any non-OK raises.
+
+    Opening a table only touches its metadata on the driver; all counts then run
+    as one Spark job.
+    """
+    readable: dict[str, DataFrame] = {}
+    failed: list[str] = []
+    for name, path in paths.items():
+        try:
+            readable[name] = spark.read.format(fmt).load(path)
+        except Exception:  # noqa: BLE001 - any unreadable table is a FAILED row
+            failed.append(name)
+    parts = []
+    if readable:
+        parts.append(table_counts(readable))
+    if failed:
+        parts.append(spark.createDataFrame([(n, None, "FAILED") for n in failed],
+                                           "table_name string, n bigint, status string"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    if require:
+        bad = [r["table_name"] for r in out.filter(F.col("status") != "OK").collect()]
+        if bad:
+            raise RuntimeError(f"tables not OK: {sorted(bad)}")
+    return out
+
+
 def union_sources(spark: SparkSession, path: str, schema: StructType | None = None,
                   fmt: str = "parquet", source_from: str = "folder") -> DataFrame:
     """Read every source landed under ``path`` as one scan and tag each row with

@@ -102,21 +102,31 @@ def read_sheet(data: bytes, sheet: str | None = None) -> list[list[str | None]]:
     return rows
 
 
+def _start(cell: str) -> tuple[int, int]:
+    m = _CELL.match(cell.upper())
+    if not m:
+        raise ValueError(f"bad start cell {cell!r}")
+    return int(m.group(2)) - 1, _col_index(m.group(1))
+
+
 def scan_workbooks(spark: SparkSession, path: str, columns: Sequence[str],
                    sheet: str | None = None, header: bool = True,
-                   glob: str = "*.xlsx") -> DataFrame:
+                   start_cell: str = "A1", glob: str = "*.xlsx") -> DataFrame:
     """All workbooks under ``path`` -> one all-string DataFrame + ``_source_file``.
 
-    With ``header=True`` the first row names the columns; cells are matched to
-    ``columns`` by header name (missing ones are NULL), otherwise by position.
+    The table starts at ``start_cell`` of ``sheet`` (``'employees'!A1`` is
+    ``sheet="employees", start_cell="A1"``). With ``header=True`` its first row
+    names the columns and cells are matched to ``columns`` by header name (missing
+    ones are NULL), otherwise by position.
     """
     cols = list(columns)
+    row0, col0 = _start(start_cell)
     out_schema = ", ".join(f"`{c}` string" for c in [*cols, "_source_file"])
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for p, content in zip(pdf["path"], pdf["content"]):
-                rows = read_sheet(bytes(content), sheet)
+                rows = [r[col0:] for r in read_sheet(bytes(content), sheet)[row0:]]
                 if header and rows:
                     head = [(h or "").strip() for h in rows[0]]
                     pos = {h: i for i, h in enumerate(head)}

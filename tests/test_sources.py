@@ -100,3 +100,25 @@ def test_workbook_reader_handles_shared_string_table(tmp_dir):
                    f'<worksheet xmlns="{ns}"><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c></row>'
                    '<row r="2"><c r="B2" t="s"><v>1</v></c></row></sheetData></worksheet>')
     assert read_sheet(out.getvalue()) == [["head"], [None, "part"]]
+
+
+def test_workbook_start_cell(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "w.xlsx")
+    with open(p, "wb") as f:
+        f.write(workbook_bytes("s", ["title", None], [[None, None], [None, "id"], [None, "7"]]))
+    back = scan_workbooks(spark, p, ["id"], sheet="s", start_cell="B3")
+    assert [r["id"] for r in back.collect()] == ["7"]
+
+
+def test_verify_tables_reports_failed(spark, tmp_dir):
+    ok = os.path.join(tmp_dir, "ok")
+    files.write_table(spark.range(2), ok)
+    out = {r["table_name"]: r["status"] for r in files.verify_tables(
+        spark, {"ok": ok, "gone": os.path.join(tmp_dir, "nope")}).collect()}
+    assert out == {"ok": "OK", "gone": "FAILED"}
+    try:
+        files.verify_tables(spark, {"gone": os.path.join(tmp_dir, "nope")}, require=True)
+    except RuntimeError as e:
+        assert "gone" in str(e)
+    else:
+        raise AssertionError("expected RuntimeError")
