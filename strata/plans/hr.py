@@ -19,8 +19,8 @@ from strata.functions import in_domain, no_digit
 from strata.operators import calendar, clean as cleaning, gates, nested
 from strata.operators.history import scd2
 from strata.operators.keys import with_keys
-from strata.sources.files import (all_string_schema, read_table, require_landing, scan_csv,
-                                  scan_json, verify_tables, with_audit, write_table)
+from strata.sources.files import (all_string_schema, publish, read_table, require_landing,
+                                  scan_csv, scan_json, verify_tables, with_audit, write_table)
 from strata.sources.workbook import scan_workbooks
 
 # ---------------------------------------------------------------- fixed values
@@ -183,47 +183,58 @@ def _require_empty(name: str, df: DataFrame) -> None:
 
 def run(spark: SparkSession, landing: str, warehouse: str, rehire: bool = False,
         same_day: str = "fail") -> dict[str, str]:
-    """Landing -> Bronze -> Silver. Returns {table: path}. Raises on any gate."""
+    """Landing -> Bronze -> Silver. Returns {table: path}. Raises on any gate.
+
+    Every table is written to a staging folder, gated there (the written data, so
+    no gate re-runs the lineage), and only then published to its final path.
+    """
+    import uuid
     require_landing(spark, landing, LANDING_FILES)
     wh = warehouse.rstrip("/")
+    run_id = uuid.uuid4().hex[:12]
     paths: dict[str, str] = {}
+
+    def stage(layer: str, name: str, df: DataFrame) -> DataFrame:
+        staged = write_table(df, f"{wh}/_staging/{run_id}/{layer}/{name}")
+        return read_table(spark, staged)
+
+    def done(layer: str, name: str) -> DataFrame:
+        final = publish(spark, f"{wh}/_staging/{run_id}/{layer}/{name}", f"{wh}/{layer}/{name}")
+        paths[f"{layer}.{name}"] = final
+        return read_table(spark, final)
+
+    b: dict[str, DataFrame] = {}
     for name, df in bronze_tables(spark, landing).items():
-        paths[f"bronze.{name}"] = write_table(df, f"{wh}/bronze/{name}")
-        gates.enforce(gates.profile(read_table(spark, paths[f"bronze.{name}"]), {}))
-    b = {k.split(".", 1)[1]: read_table(spark, p) for k, p in paths.items()}
+        gates.enforce(gates.profile(stage("bronze", name, df), {}))
+        b[name] = done("bronze", name)
 
     for name, key in (("departments", "department_id"), ("job_roles", "job_role_id")):
-        out = silver_reference(b[name])
-        p = write_table(out, f"{wh}/silver/{name}")
-        gates.enforce(gates.profile(read_table(spark, p), {}, key=key))
-        paths[f"silver.{name}"] = p
-
-    events = silver_events(b["employee_events"])
-    p = write_table(events, f"{wh}/silver/employee_events")
-    ev = read_table(spark, p)
+        gates.enforce(gates.profile(stage("silver", name, silver_reference(b[name])), {},
+                                    key=key))
+        done("silver", name)
+
+    ev = stage("silver", "employee_events", silver_events(b["employee_events"]))
     for gname, offenders in event_gates(b["employee_events"], ev).items():
         _require_empty(gname, offenders)
-    paths["silver.employee_events"] = p
+    ev = done("silver", "employee_events")
 
     roster = silver_roster(b["employees"])
-    hist = silver_history(ev, roster, rehire=rehire, same_day=same_day)
-    p = write_table(hist, f"{wh}/silver/employees_scd2")
-    bad = {r["rule"]: int(r["n"]) for r in history_gates(read_table(spark, p)).collect()
-           if r["n"]}
+    hist = stage("silver", "employees_scd2",
+                 silver_history(ev, roster, rehire=rehire, same_day=same_day))
+    bad = {r["rule"]: int(r["n"]) for r in history_gates(hist).collect() if r["n"]}
     if bad:
         raise gates.QualityError(bad)
-    paths["silver.employees_scd2"] = p
+    done("silver", "employees_scd2")
 
-    contacts = silver_contacts(b["employee_contact_info"])
-    p = write_table(contacts, f"{wh}/silver/employee_contact_info")
-    n_in = b["employee_contact_info"].count()
-    n_out = read_table(spark, p).count()
+    contacts = stage("silver", "employee_contact_info",
+                     silver_contacts(b["employee_contact_info"]))
+    n_in, n_out = b["employee_contact_info"].count(), contacts.count()
     if n_in != n_out:
         raise gates.QualityError({"contact_row_count": abs(n_in - n_out)})
-    paths["silver.employee_contact_info"] = p
+    done("silver", "employee_contact_info")
 
-    paths["silver.public_holidays"] = write_table(silver_holidays(b["public_holidays"]),
-                                                  f"{wh}/silver/public_holidays")
+    stage("silver", "public_holidays", silver_holidays(b["public_holidays"]))
+    done("silver", "public_holidays")
     verify_tables(spark, {k: v for k, v in paths.items() if k.startswith("silver.")},
                   require=True)
     return paths

@@ -92,6 +92,25 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     return path
 
 
+def publish(spark: SparkSession, staged: str, final: str) -> str:
+    """Move a gated staging table into place with one filesystem rename.
+
+    The live table is replaced only after its staged copy passed the gates, so a
+    failed gate never leaves bad rows where readers look. If the filesystem cannot
+    rename (some object stores), the staged table is rewritten to ``final``.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src, dst = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(final)
+    fs = src.getFileSystem(conf)
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        spark.read.parquet(staged).write.mode("overwrite").parquet(final)
+    return final
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 

@@ -58,8 +58,12 @@ def _number_text(v: str) -> str:
     return str(int(f)) if f.is_integer() and abs(f) < 1e15 else repr(f)
 
 
-def read_sheet(data: bytes, sheet: str | None = None) -> list[list[str | None]]:
-    """Rows of one sheet (first sheet when ``sheet`` is None) as lists of text."""
+def iter_sheet(data: bytes, sheet: str | None = None) -> Iterator[list[str | None]]:
+    """Rows of one sheet (first sheet when ``sheet`` is None) as lists of text.
+
+    The sheet XML is streamed (``iterparse``, elements cleared after use), so a
+    workbook of a million rows never holds its parsed tree in memory.
+    """
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         names = set(z.namelist())
         wb = ET.fromstring(z.read("xl/workbook.xml"))
@@ -71,35 +75,41 @@ def read_sheet(data: bytes, sheet: str | None = None) -> list[list[str | None]]:
                 chosen = targets[s.get(f"{{{_NS['r']}}}id")]
                 break
         if chosen is None:
-            return []
+            return
         part = chosen.lstrip("/") if chosen.startswith("/") else f"xl/{chosen}"
         shared: list[str] = []
         if "xl/sharedStrings.xml" in names:
             sst = ET.fromstring(z.read("xl/sharedStrings.xml"))
             shared = [_text_of(si) for si in sst.findall("m:si", _NS)]
-        root = ET.fromstring(z.read(part))
-    rows: list[list[str | None]] = []
-    for row in root.iter(f"{{{_NS['m']}}}row"):
-        cells: dict[int, str | None] = {}
-        for c in row.findall("m:c", _NS):
-            m = _CELL.match(c.get("r", ""))
-            idx = _col_index(m.group(1)) if m else len(cells)
-            kind, v = c.get("t"), c.find("m:v", _NS)
-            if kind == "s" and v is not None:
-                val = shared[int(v.text)]
-            elif kind == "inlineStr":
-                isel = c.find("m:is", _NS)
-                val = _text_of(isel) if isel is not None else None
-            elif kind == "b" and v is not None:
-                val = "TRUE" if v.text == "1" else "FALSE"
-            elif v is not None and v.text is not None:
-                val = v.text if kind in ("str", "e") else _number_text(v.text)
-            else:
-                val = None
-            cells[idx] = val
-        width = max(cells) + 1 if cells else 0
-        rows.append([cells.get(i) for i in range(width)])
-    return rows
+        row_tag, c_tag = f"{{{_NS['m']}}}row", f"{{{_NS['m']}}}c"
+        with z.open(part) as fh:
+            for _, row in ET.iterparse(fh, events=("end",)):
+                if row.tag != row_tag:
+                    continue
+                cells: dict[int, str | None] = {}
+                for c in row.iter(c_tag):
+                    m = _CELL.match(c.get("r", ""))
+                    idx = _col_index(m.group(1)) if m else len(cells)
+                    kind, v = c.get("t"), c.find("m:v", _NS)
+                    if kind == "s" and v is not None:
+                        val = shared[int(v.text)]
+                    elif kind == "inlineStr":
+                        isel = c.find("m:is", _NS)
+                        val = _text_of(isel) if isel is not None else None
+                    elif kind == "b" and v is not None:
+                        val = "TRUE" if v.text == "1" else "FALSE"
+                    elif v is not None and v.text is not None:
+                        val = v.text if kind in ("str", "e") else _number_text(v.text)
+                    else:
+                        val = None
+                    cells[idx] = val
+                row.clear()
+                width = max(cells) + 1 if cells else 0
+                yield [cells.get(i) for i in range(width)]
+
+
+def read_sheet(data: bytes, sheet: str | None = None) -> list[list[str | None]]:
+    return list(iter_sheet(data, sheet))
 
 
 def _start(cell: str) -> tuple[int, int]:
@@ -111,34 +121,46 @@ def _start(cell: str) -> tuple[int, int]:
 
 def scan_workbooks(spark: SparkSession, path: str, columns: Sequence[str],
                    sheet: str | None = None, header: bool = True,
-                   start_cell: str = "A1", glob: str = "*.xlsx") -> DataFrame:
+                   start_cell: str = "A1", glob: str = "*.xlsx",
+                   batch_rows: int = 10_000) -> DataFrame:
     """All workbooks under ``path`` -> one all-string DataFrame + ``_source_file``.
 
     The table starts at ``start_cell`` of ``sheet`` (``'employees'!A1`` is
     ``sheet="employees", start_cell="A1"``). With ``header=True`` its first row
     names the columns and cells are matched to ``columns`` by header name (missing
-    ones are NULL), otherwise by position.
+    ones are NULL), otherwise by position. Rows leave the task in Arrow batches of
+    ``batch_rows``.
     """
     cols = list(columns)
     row0, col0 = _start(start_cell)
     out_schema = ", ".join(f"`{c}` string" for c in [*cols, "_source_file"])
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        out_cols = [*cols, "_source_file"]
         for pdf in batches:
             for p, content in zip(pdf["path"], pdf["content"]):
-                rows = [r[col0:] for r in read_sheet(bytes(content), sheet)[row0:]]
-                if header and rows:
-                    head = [(h or "").strip() for h in rows[0]]
-                    pos = {h: i for i, h in enumerate(head)}
-                    body = rows[1:]
+                name = p.rsplit("/", 1)[-1]
+                rows = iter_sheet(bytes(content), sheet)
+                for _ in range(row0):
+                    next(rows, None)
+                take: list[int | None] = list(range(col0, col0 + len(cols)))
+                if header:
+                    head_row = next(rows, None)
+                    if head_row is None:
+                        continue
+                    pos = {(h or "").strip(): i for i, h in enumerate(head_row) if i >= col0}
                     take = [pos.get(c) for c in cols]
-                else:
-                    body, take = rows, list(range(len(cols)))
-                recs = [[(r[i] if i is not None and i < len(r) else None) for i in take]
-                        + [p.rsplit("/", 1)[-1]] for r in body
-                        if any(x not in (None, "") for x in r)]
-                if recs:
-                    yield pd.DataFrame(recs, columns=[*cols, "_source_file"])
+                chunk: list[list[str | None]] = []
+                for r in rows:
+                    if not any(x not in (None, "") for x in r[col0:]):
+                        continue
+                    chunk.append([(r[i] if i is not None and i < len(r) else None)
+                                  for i in take] + [name])
+                    if len(chunk) >= batch_rows:
+                        yield pd.DataFrame(chunk, columns=out_cols)
+                        chunk = []
+                if chunk:
+                    yield pd.DataFrame(chunk, columns=out_cols)
 
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "true").load(path).select("path", "content"))

@@ -82,10 +82,14 @@ def test_missing_landing_file_raises(spark, tmp_path):
 
 def test_unknown_event_type_fails_the_gate(spark, tmp_path):
     landing = write_landing(str(tmp_path / "landing"))
+    good = hr.run(spark, landing, str(tmp_path / "wh"))
+    before = read_table(spark, good["silver.employee_events"]).count()
     with open(os.path.join(landing, "employee_events.csv"), "a") as f:
         f.write("V10,P4,PROMOTED,2026-05-01,D2,J3,,140,\n")
     with pytest.raises(QualityError, match="unknown_type"):
         hr.run(spark, landing, str(tmp_path / "wh"))
+    # the failed run never replaced the published Silver table
+    assert read_table(spark, good["silver.employee_events"]).count() == before
 
 
 def test_same_day_events_fail_history_gate(spark, tmp_path):
