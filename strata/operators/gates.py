@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import not_in_domain
@@ -107,6 +107,39 @@ def start_violations(df: DataFrame, key: str | Sequence[str], type_col: str,
                     | ~F.coalesce(F.col("first_type") == F.lit(start), F.lit(False))))
 
 
+def history_violations(versions: DataFrame, key: str | Sequence[str],
+                       valid_from: str = "valid_from", valid_to: str = "valid_to",
+                       is_current: str = "is_current") -> DataFrame:
+    """One row of invariant breaks of a version table:
+
+    * ``inverted``   -- valid_from > valid_to
+    * ``overlaps``   -- a version starting on or before the previous one's end
+    * ``gaps``       -- a version starting later than the day after the previous end
+      (only a rehire may do that; count them, do not forbid them)
+    * ``multi_current`` -- keys with more than one current version
+
+    ``lag`` runs per key over versions, which the history already partitioned by
+    key; a ``same_day="last"`` history has at most one version per key and day, so
+    the largest window partition is bounded by the calendar span.
+    """
+    keys = _keys(key)
+    w = Window.partitionBy(*keys).orderBy(valid_from, valid_to)
+    prev_end = F.lag(valid_to).over(w)
+    flagged = versions.select(
+        *keys, F.col(is_current).alias("_cur"),
+        (F.col(valid_from) > F.col(valid_to)).alias("_inv"),
+        (F.col(valid_from) <= prev_end).alias("_ovl"),
+        (F.col(valid_from) > F.date_add(prev_end, 1)).alias("_gap"))
+    per_key = flagged.groupBy(*keys).agg(
+        F.count_if("_inv").alias("_inv"), F.count_if("_ovl").alias("_ovl"),
+        F.count_if("_gap").alias("_gap"), F.count_if("_cur").alias("_cur"))
+    return per_key.agg(
+        F.coalesce(F.sum("_inv"), F.lit(0)).alias("inverted"),
+        F.coalesce(F.sum("_ovl"), F.lit(0)).alias("overlaps"),
+        F.coalesce(F.sum("_gap"), F.lit(0)).alias("gaps"),
+        F.count_if(F.col("_cur") > 1).alias("multi_current"))
+
+
 def split_quarantine(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
     """(good, bad): bad rows carry ``_violations`` (names of the rules they break).
 

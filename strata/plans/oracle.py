@@ -74,6 +74,21 @@ v AS (SELECT o_custkey, o_orderkey, d AS valid_from,
       FROM lv LEFT JOIN ex ON o_custkey = xk)
 SELECT * FROM v WHERE valid_from > valid_to"""
 
+SQL["history_invariants"] = _HIST + """,
+lg AS (SELECT o_custkey, valid_from, valid_to, is_current,
+              lag(valid_to) OVER (PARTITION BY o_custkey ORDER BY valid_from, valid_to) AS pe
+       FROM h),
+pk AS (SELECT o_custkey, count_if(valid_from > valid_to) AS inv,
+              count_if(valid_from <= pe) AS ovl,
+              count_if(valid_from > CAST(pe + INTERVAL 1 DAY AS DATE)) AS gap,
+              count_if(is_current) AS cur
+       FROM lg GROUP BY o_custkey)
+SELECT CAST(coalesce(sum(inv), 0) AS BIGINT) AS inverted,
+       CAST(coalesce(sum(ovl), 0) AS BIGINT) AS overlaps,
+       CAST(coalesce(sum(gap), 0) AS BIGINT) AS gaps,
+       count_if(cur > 1) AS multi_current
+FROM pk"""
+
 SQL["surrogate_key"] = _HIST + """
 SELECT o_custkey, valid_from,
        md5(concat_ws('||', CAST(o_custkey AS VARCHAR), CAST(valid_from AS VARCHAR))) AS version_sk

@@ -65,6 +65,11 @@ def interval_violations(spark, sf_dir):
         "o_custkey", "o_orderkey", "valid_from", "valid_to")
 
 
+@query
+def history_invariants(spark, sf_dir):
+    return gates.history_violations(order_history(spark, sf_dir), "o_custkey")
+
+
 @query
 def surrogate_key(spark, sf_dir):
     return (with_keys(order_history(spark, sf_dir), "o_custkey", STATE_COLUMNS)

@@ -70,3 +70,15 @@ def test_untrimmed_counts(spark):
     df = spark.createDataFrame([(" a", "b"), ("a", "b "), ("\ta", "b")], "x string, y string")
     row = gates.untrimmed_counts(df).first()
     assert (row["untrimmed_x"], row["untrimmed_y"]) == (1, 1)
+
+
+def test_history_violations(spark):
+    d = dt.date
+    v = spark.createDataFrame([
+        ("A", d(2026, 1, 1), d(2026, 1, 31), False), ("A", d(2026, 2, 1), d(9999, 12, 31), True),
+        ("B", d(2026, 1, 1), d(2026, 2, 10), False), ("B", d(2026, 2, 1), d(9999, 12, 31), True),
+        ("C", d(2026, 1, 1), d(2026, 1, 10), False), ("C", d(2026, 3, 1), d(9999, 12, 31), True),
+        ("D", d(2026, 1, 5), d(2026, 1, 4), True), ("D", d(2026, 2, 1), d(9999, 12, 31), True),
+    ], "k string, valid_from date, valid_to date, is_current boolean")
+    row = gates.history_violations(v, "k").first().asDict()
+    assert row == {"inverted": 1, "overlaps": 1, "gaps": 2, "multi_current": 1}
