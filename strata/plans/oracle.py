@@ -61,7 +61,7 @@ FROM (SELECT *, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_fro
 SQL["current_versions"] = _HIST + "\nSELECT * FROM h WHERE is_current"
 
 SQL["versions_per_key"] = _HIST + """
-SELECT o_custkey, count(*) AS n_versions, count_if(is_current) AS n_current
+SELECT o_custkey, count(*) AS n_versions, CAST(count_if(is_current) AS BIGINT) AS n_current
 FROM h GROUP BY o_custkey"""
 
 SQL["interval_violations"] = f"""
@@ -78,15 +78,15 @@ SQL["history_invariants"] = _HIST + """,
 lg AS (SELECT o_custkey, valid_from, valid_to, is_current,
               lag(valid_to) OVER (PARTITION BY o_custkey ORDER BY valid_from, valid_to) AS pe
        FROM h),
-pk AS (SELECT o_custkey, count_if(valid_from > valid_to) AS inv,
-              count_if(valid_from <= pe) AS ovl,
-              count_if(valid_from > CAST(pe + INTERVAL 1 DAY AS DATE)) AS gap,
-              count_if(is_current) AS cur
+pk AS (SELECT o_custkey, CAST(count_if(valid_from > valid_to) AS BIGINT) AS inv,
+              CAST(count_if(valid_from <= pe) AS BIGINT) AS ovl,
+              CAST(count_if(valid_from > CAST(pe + INTERVAL 1 DAY AS DATE)) AS BIGINT) AS gap,
+              CAST(count_if(is_current) AS BIGINT) AS cur
        FROM lg GROUP BY o_custkey)
 SELECT CAST(coalesce(sum(inv), 0) AS BIGINT) AS inverted,
        CAST(coalesce(sum(ovl), 0) AS BIGINT) AS overlaps,
        CAST(coalesce(sum(gap), 0) AS BIGINT) AS gaps,
-       count_if(cur > 1) AS multi_current
+       CAST(count_if(cur > 1) AS BIGINT) AS multi_current
 FROM pk"""
 
 SQL["surrogate_key"] = _HIST + """
@@ -275,8 +275,8 @@ SELECT event_id, type_text, upper(trim(type_text)) AS event_type FROM et"""
 
 SQL["untrimmed_profile"] = f"""
 WITH {_CT}
-SELECT count_if(name_text <> trim(name_text)) AS untrimmed_name_text,
-       count_if(segment_text <> trim(segment_text)) AS untrimmed_segment_text
+SELECT CAST(count_if(name_text <> trim(name_text)) AS BIGINT) AS untrimmed_name_text,
+       CAST(count_if(segment_text <> trim(segment_text)) AS BIGINT) AS untrimmed_segment_text
 FROM ct"""
 
 SQL["clean_events"] = f"""
@@ -324,21 +324,21 @@ p AS (SELECT event_id, user_id, ts,
                   WHEN rn > 1 AND event_type = 'signup' AND user_id % 10 <> 0 THEN 'view'
                   ELSE event_type END AS event_type
       FROM r)
-SELECT user_id, count_if(event_type = 'signup') AS n_start,
+SELECT user_id, CAST(count_if(event_type = 'signup') AS BIGINT) AS n_start,
        first(event_type ORDER BY ts, event_id) AS first_type
 FROM p GROUP BY user_id
-HAVING count_if(event_type = 'signup') <> 1
+HAVING CAST(count_if(event_type = 'signup') AS BIGINT) <> 1
     OR NOT coalesce(first(event_type ORDER BY ts, event_id) = 'signup', false)"""
 
 SQL["gate_summary"] = f"""
 WITH {_OT},
 pk AS (SELECT o_orderkey, o_orderkey IS NULL AS nk, count(*) AS n,
-              count_if(date_text IS NOT NULL AND {_parse('date_text')} IS NULL) AS bad_date,
-              count_if(date_text IS NULL) AS null_date
+              CAST(count_if(date_text IS NOT NULL AND {_parse('date_text')} IS NULL) AS BIGINT) AS bad_date,
+              CAST(count_if(date_text IS NULL) AS BIGINT) AS null_date
        FROM ot GROUP BY o_orderkey)
 SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows,
        CAST(coalesce(sum(CASE WHEN nk THEN n END), 0) AS BIGINT) AS null_keys,
-       count_if(NOT nk AND n > 1) AS duplicate_keys,
+       CAST(count_if(NOT nk AND n > 1) AS BIGINT) AS duplicate_keys,
        CAST(coalesce(sum(bad_date), 0) AS BIGINT) AS bad_date,
        CAST(coalesce(sum(null_date), 0) AS BIGINT) AS null_date
 FROM pk"""
@@ -363,9 +363,9 @@ SELECT c.c_custkey, c.c_name AS name, c.c_mktsegment AS segment,
        CASE WHEN c.c_custkey % 10 <> 0 THEN r.r_name END AS region_name""" + _NESTED_FROM
 
 SQL["nested_profile"] = """
-SELECT count(*) AS n_rows, count_if(c.c_custkey % 10 = 0) AS null_address,
-       count_if(c.c_custkey % 10 = 0 OR r.r_name IS NULL) AS null_address_region_name,
-       count_if(c.c_name IS NULL) AS null_profile_name""" + _NESTED_FROM
+SELECT count(*) AS n_rows, CAST(count_if(c.c_custkey % 10 = 0) AS BIGINT) AS null_address,
+       CAST(count_if(c.c_custkey % 10 = 0 OR r.r_name IS NULL) AS BIGINT) AS null_address_region_name,
+       CAST(count_if(c.c_name IS NULL) AS BIGINT) AS null_profile_name""" + _NESTED_FROM
 
 SQL["flag_and_null"] = """
 SELECT doc_id, CASE WHEN flag THEN NULL ELSE text END AS text, flag AS text_invalid
