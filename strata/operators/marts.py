@@ -45,7 +45,7 @@ def first_key_with_versions(versions: DataFrame, key: str, min_versions: int) ->
 
 def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date: str,
          how: str = "inner", valid_from: str = "valid_from",
-         valid_to: str = "valid_to") -> DataFrame:
+         valid_to: str = "valid_to", bucket: str = "year") -> DataFrame:
     """Join each fact to the version with ``valid_from <= date <= valid_to``.
 
     Equi-join on (key, year) with the interval as a residual predicate:
@@ -59,19 +59,24 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
 
     ``how`` is "inner" (facts without a version are dropped) or "left" (kept with
     NULL version columns). Versions must not overlap per key (the history gate).
+    ``bucket="month"`` trades more version copies for fewer comparisons per fact,
+    for histories that change many times a year.
     """
     keys = _keys(key)
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
+    if bucket not in ("year", "month"):
+        raise ValueError("bucket must be 'year' or 'month'")
+    unit = F.year if bucket == "year" else month_index
     horizon = (facts.select(*keys, F.col(date).alias("_fd"))
                .groupBy(*keys).agg(F.max("_fd").alias("_hz")))
     vcols = [c for c in versions.columns if c not in keys]
     spans = (versions.join(horizon, keys)
              .filter(F.col(valid_from) <= F.col("_hz"))
              .withColumn("_yr", F.explode(ascending(
-                 F.year(valid_from), F.year(F.least(F.col(valid_to), F.col("_hz"))))))
+                 unit(F.col(valid_from)), unit(F.least(F.col(valid_to), F.col("_hz"))))))
              .select(*keys, "_yr", *[F.col(c).alias(f"_v_{c}") for c in vcols]))
-    left = facts.withColumn("_yr", F.year(date))
+    left = facts.withColumn("_yr", unit(F.col(date)))
     cond = [left[k] == spans[k] for k in keys] + [
         left["_yr"] == spans["_yr"],
         left[date] >= spans[f"_v_{valid_from}"],
@@ -82,6 +87,21 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
                       *[spans[f"_v_{c}"].alias(c) for c in vcols if c not in facts.columns])
 
 
+def obt(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date: str,
+        dims: Sequence[tuple[DataFrame, str | Sequence[str]]] = (),
+        how: str = "left") -> DataFrame:
+    """One big table: each fact with the version alive on its day and the
+    attributes of every dimension joined onto that version.
+
+    Dimensions are joined to the (smaller) version table first, so the facts are
+    shuffled exactly once, by the as-of join.
+    """
+    wide = versions
+    for dim, dkey in dims:
+        wide = enrich(wide, dim, dkey)
+    return asof(facts, wide, key, date, how=how)
+
+
 def snapshot(versions: DataFrame, lo: _dt.date, hi: _dt.date,
              by: Sequence[str] = (), valid_from: str = "valid_from",
              valid_to: str = "valid_to", name: str = "headcount") -> DataFrame:

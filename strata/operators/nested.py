@@ -37,11 +37,14 @@ def lookup(df: DataFrame, array_col: str, keys: Mapping[str, str],
     return out.drop(array_col) if drop_array else out
 
 
-def flag_null(df: DataFrame, column: str, invalid: Column, flag: str) -> DataFrame:
+def flag_null(df: DataFrame, column: str, invalid: Column | str, flag: str) -> DataFrame:
     """Flag a present-but-malformed value, then NULL it, keeping the reason.
 
+    ``invalid`` is a predicate Column, or a regex a *valid* value must contain.
     ``flag`` is False for a NULL input (missing is not malformed).
     """
+    if isinstance(invalid, str):
+        invalid = ~F.col(column).rlike(invalid)
     bad = F.coalesce(F.col(column).isNotNull() & invalid, F.lit(False))
     return (df.withColumn(flag, bad)
             .withColumn(column, F.when(~F.col(flag), F.col(column))))

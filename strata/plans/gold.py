@@ -42,8 +42,8 @@ def build(spark: SparkSession, sf_dir: str, warehouse: str) -> dict[str, str]:
         q.DIM_COUNTRY))
     put("fact_headcount_snapshot",
         marts.snapshot(versions, q.SNAPSHOT_LO, q.SNAPSHOT_HI, by=["o_orderstatus"]))
-    obt = put("obt", marts.asof(order_facts(spark, sf_dir), dim, "o_custkey", "ship_date",
-                                how="left"))
+    obt = put("obt", marts.obt(order_facts(spark, sf_dir), dim, "o_custkey", "ship_date",
+                               how="left"))
     put("fact_lines_asof", obt.select("l_orderkey", "l_linenumber", "o_custkey", "ship_date",
                                       "version_sk"))
     return paths

@@ -140,10 +140,9 @@ def dim_versioned(spark, sf_dir):
 
 @query
 def obt(spark, sf_dir):
-    dims = _dim_versions(spark, sf_dir).select(
-        "o_custkey", "valid_from", "valid_to", "version_sk", "o_orderstatus", "price",
-        "c_name", "c_mktsegment", "n_name", "r_name")
-    return marts.asof(order_facts(spark, sf_dir), dims, "o_custkey", "ship_date").select(
+    v = with_keys(order_history(spark, sf_dir), "o_custkey", STATE_COLUMNS)
+    return marts.obt(order_facts(spark, sf_dir), v, "o_custkey", "ship_date",
+                     dims=[(customer_dim(spark, sf_dir), "o_custkey")], how="inner").select(
         "l_orderkey", "l_linenumber", "ship_date", "o_custkey", "version_sk",
         "o_orderstatus", "price", "c_name", "c_mktsegment", "n_name", "r_name")
 

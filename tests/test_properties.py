@@ -51,8 +51,9 @@ def test_scd2_matches_brute_force(spark, evs, same_day):
 @given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 800)), min_size=1,
                 max_size=20),
        st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.integers(0, 900)), min_size=1,
-                max_size=30))
-def test_asof_matches_brute_force(spark, starts, facts):
+                max_size=30),
+       st.sampled_from(["year", "month"]))
+def test_asof_matches_brute_force(spark, starts, facts, bucket):
     # versions: disjoint per key, built from sorted distinct starts; last is open-ended
     vs = []
     for k in {s[0] for s in starts}:
@@ -63,7 +64,8 @@ def test_asof_matches_brute_force(spark, starts, facts):
     fx = [(i, k, BASE + d * ONE) for i, (k, d) in enumerate(facts)]
     vdf = spark.createDataFrame(vs, "k string, valid_from date, valid_to date, tag string")
     fdf = spark.createDataFrame(fx, "id int, k string, d date")
-    got = sorted((r["id"], r["tag"]) for r in marts.asof(fdf, vdf, "k", "d", how="left").collect())
+    got = sorted((r["id"], r["tag"]) for r in
+                 marts.asof(fdf, vdf, "k", "d", how="left", bucket=bucket).collect())
     want = []
     for i, k, d in fx:
         tags = [t for kk, lo, hi, t in vs if kk == k and lo <= d <= hi]
