@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import in_domain, no_digit
-from strata.operators import calendar, clean as cleaning, gates, nested
+from strata.operators import calendar, clean as cleaning, gates, marts, nested
 from strata.operators.history import scd2
 from strata.operators.keys import with_keys
 from strata.sources.files import (all_string_schema, publish, read_table, require_landing,
@@ -234,3 +234,52 @@ def run(spark: SparkSession, landing: str, warehouse: str, rehire: bool = False,
     verify_tables(spark, {k: v for k, v in paths.items() if k.startswith("silver.")},
                   require=True)
     return paths
+
+
+# ---------------------------------------------------------------- gold
+
+# The snapshot months and the holiday country of the date dimension.
+SNAPSHOT_LO, SNAPSHOT_HI = dt.date(2026, 1, 1), dt.date(2026, 6, 30)
+HOLIDAY_COUNTRY = "GB"
+
+
+def gold(spark: SparkSession, silver: dict[str, str], warehouse: str,
+         country: str = HOLIDAY_COUNTRY) -> dict[str, str]:
+    """Silver -> Gold: dim_employee, dim_date, fact_employee_events (as-of),
+    fact_headcount_snapshot and the OBT. Returns {table: path}.
+
+    The version table is read once from Silver (already written, so the history is
+    not recomputed); the event facts are shuffled once, by the as-of join against
+    the wide employee dimension.
+    """
+    wh = warehouse.rstrip("/")
+    paths: dict[str, str] = {}
+
+    def put(name: str, df: DataFrame) -> DataFrame:
+        paths[f"gold.{name}"] = write_table(df, f"{wh}/gold/{name}")
+        return read_table(spark, paths[f"gold.{name}"])
+
+    versions = read_table(spark, silver["silver.employees_scd2"]).drop("_silver_processed_at")
+    departments = read_table(spark, silver["silver.departments"]).select(
+        "department_id", "department_name", "cost_center")
+    roles = read_table(spark, silver["silver.job_roles"]).select(
+        "job_role_id", "job_title", "job_level")
+    dim_employee = put("dim_employee", marts.enrich(
+        marts.enrich(versions, departments, "department_id"), roles, "job_role_id"))
+
+    holidays = read_table(spark, silver["silver.public_holidays"])
+    dim_date = put("dim_date", calendar.dim_date(spark, SNAPSHOT_LO, SNAPSHOT_HI, holidays,
+                                                 country))
+    put("fact_headcount_snapshot",
+        marts.snapshot(versions, SNAPSHOT_LO, SNAPSHOT_HI, by=["department_id"]))
+
+    events = read_table(spark, silver["silver.employee_events"]).select(
+        "event_id", "employee_id", "event_type", "event_date")
+    wide = dim_employee.select("employee_id", "valid_from", "valid_to", "employee_sk",
+                               "department_name", "job_title", "salary")
+    obt = put("obt", marts.asof(events, wide, "employee_id", "event_date", how="left")
+              .join(dim_date.select(F.col("date").alias("event_date"), "is_public_holiday",
+                                    "is_weekend"), "event_date", "left"))
+    put("fact_employee_events", obt.select("event_id", "employee_id", "event_type",
+                                           "event_date", "employee_sk"))
+    return paths

@@ -18,6 +18,7 @@ def built(spark, tmp_path_factory):
     root = tmp_path_factory.mktemp("hr")
     landing = write_landing(str(root / "landing"))
     paths = hr.run(spark, landing, str(root / "warehouse"))
+    paths.update(hr.gold(spark, paths, str(root / "warehouse")))
     return {k: read_table(spark, p) for k, p in paths.items()}
 
 
@@ -101,3 +102,24 @@ def test_same_day_events_fail_history_gate(spark, tmp_path):
     paths = hr.run(spark, landing, str(tmp_path / "wh2"), same_day="last")
     h = read_table(spark, paths["silver.employees_scd2"]).filter(F.col("employee_id") == "P4")
     assert [r["salary"] for r in h.collect()] == [140]
+
+
+def test_gold_headcount_at_month_ends(built):
+    snap = built["gold.fact_headcount_snapshot"]
+    per_month = {r["month_end"]: r["n"] for r in
+                 snap.groupBy("month_end").agg(F.sum("headcount").alias("n")).collect()}
+    assert [per_month[D(2026, m, d)] for m, d in
+            ((1, 31), (2, 28), (3, 31), (4, 30), (5, 31), (6, 30))] == [3, 4, 4, 4, 3, 3]
+
+
+def test_gold_facts_join_the_version_alive_that_day(built):
+    obt = {r["event_id"]: r for r in built["gold.obt"].collect()}
+    assert len(obt) == 9
+    assert obt["V07"]["department_name"] == "People"          # exit day still in version
+    assert obt["V09"]["department_name"] == "Sales" and obt["V09"]["salary"] == 120
+    assert all(r["employee_sk"] is not None for r in obt.values())
+    assert built["gold.fact_employee_events"].count() == 9
+    dim = built["gold.dim_employee"]
+    assert dim.count() == 8 and dim.filter("job_title IS NULL").count() == 0
+    dd = built["gold.dim_date"]
+    assert dd.count() == 181 and dd.filter("is_public_holiday").count() == 2
