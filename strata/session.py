@@ -32,6 +32,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # AQE may replace a sort-merge join by a shuffled hash join once it has
+        # measured every build-side partition below this size (no sort of the
+        # large side); above it the sort-merge join stays.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -62,6 +66,7 @@ def scale_settings(input_bytes: int, cores: int, target_partition_bytes: int = 2
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(target_partition_bytes // 2),
     }
 
 
