@@ -7,17 +7,16 @@ used by ``__spark_entry__.queries()``; its DuckDB twin lives in
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators.history import as_of, current, next_event, scd2
-from strata.operators.keys import with_keys
-import datetime as dt
-
 from strata.functions import no_digit, not_in_domain, parse_date
 from strata.operators import calendar, clean as cleaning, gates, marts, nested
+from strata.operators.history import current
+from strata.operators.keys import with_keys
 from strata.plans.catalog import (STATE_COLUMNS, customer_dim, customer_nested,
                                   customer_text, events_text, holiday_feed, order_facts,
                                   order_history, order_log, orders_text, page_params, table)
@@ -39,7 +38,7 @@ def scd2_history(spark, sf_dir):
 
 
 @query
-def next_event(spark, sf_dir):  # noqa: F811 - the query wraps the operator
+def next_event(spark, sf_dir):
     from strata.operators import history
     return history.next_event(order_log(spark, sf_dir), key="o_custkey",
                               date="event_date", order="o_orderkey", state=STATE_COLUMNS)
@@ -177,7 +176,8 @@ def date_window(spark, sf_dir):
 
 # --------------------------------------------------------------------------- cleaning
 
-def _date_rules(df):
+def _date_rules():
+    """Gate rules of a landed day column: present but unparseable, and absent."""
     parsed = parse_date("date_text")
     return {"bad_date": F.col("date_text").isNotNull() & parsed.isNull(),
             "null_date": F.col("date_text").isNull()}
@@ -192,7 +192,7 @@ def parse_dates(spark, sf_dir):
 @query
 def quarantine_split(spark, sf_dir):
     o = orders_text(spark, sf_dir)
-    rules = {**_date_rules(o), "nonpositive_price": F.col("price") <= 0}
+    rules = {**_date_rules(), "nonpositive_price": F.col("price") <= 0}
     good, bad = gates.split_quarantine(o, rules)
     return (good.select("o_orderkey", F.lit(False).alias("quarantined"),
                         F.lit(None).cast("string").alias("violations"))
@@ -339,7 +339,7 @@ def exactly_one_start(spark, sf_dir):
 @query
 def gate_summary(spark, sf_dir):
     o = orders_text(spark, sf_dir)
-    return gates.profile(o, _date_rules(o), key="o_orderkey")
+    return gates.profile(o, _date_rules(), key="o_orderkey")
 
 
 @query
