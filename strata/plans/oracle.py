@@ -444,3 +444,31 @@ FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey"""
 SQL["idempotent_overwrite"] = "SELECT r_regionkey, r_name FROM region"
 
 SQL["workbook_scan"] = SQL["csv_roundtrip"]
+
+SQL["scd2_incremental"] = _HIST + f""",
+base_st AS (SELECT * FROM st WHERE valid_from <= DATE '2000-12-31'),
+base AS (SELECT o_custkey, valid_from,
+                coalesce(CAST(lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from)
+                              - INTERVAL 1 DAY AS DATE), DATE '9999-12-31') AS valid_to,
+                o_orderstatus, o_orderpriority, price
+         FROM base_st),
+b AS (SELECT *, valid_to = DATE '9999-12-31' AS is_current, {_ROWHASH} AS row_hash FROM base),
+inc AS (SELECT o_custkey, o_orderstatus, o_orderpriority, price, {_ROWHASH} AS row_hash
+        FROM h WHERE DATE '2001-06-30' BETWEEN valid_from AND valid_to),
+cur AS (SELECT * FROM b WHERE is_current),
+cur_out AS (
+  SELECT cur.o_custkey, cur.valid_from,
+         CASE WHEN inc.row_hash IS NOT DISTINCT FROM cur.row_hash THEN cur.valid_to
+              ELSE DATE '2001-06-30' END AS valid_to,
+         coalesce(inc.row_hash = cur.row_hash, false) AS is_current,
+         cur.o_orderstatus, cur.o_orderpriority, cur.price, cur.row_hash
+  FROM cur LEFT JOIN inc ON cur.o_custkey = inc.o_custkey),
+new_out AS (
+  SELECT inc.o_custkey, DATE '2001-07-01' AS valid_from, DATE '9999-12-31' AS valid_to,
+         true AS is_current, inc.o_orderstatus, inc.o_orderpriority, inc.price, inc.row_hash
+  FROM inc LEFT JOIN cur ON cur.o_custkey = inc.o_custkey
+  WHERE cur.o_custkey IS NULL OR cur.row_hash <> inc.row_hash)
+SELECT o_custkey, valid_from, valid_to, is_current, o_orderstatus, o_orderpriority, price,
+       row_hash FROM b WHERE NOT is_current
+UNION ALL SELECT * FROM cur_out
+UNION ALL SELECT * FROM new_out"""

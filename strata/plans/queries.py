@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import no_digit, not_in_domain, parse_date
 from strata.operators import calendar, clean as cleaning, gates, marts, nested
-from strata.operators.history import current
+from strata.operators.history import as_of, current
 from strata.operators.keys import with_keys
 from strata.plans.catalog import (STATE_COLUMNS, customer_dim, customer_nested,
                                   customer_text, events_text, holiday_feed, order_facts,
@@ -152,6 +152,24 @@ def incremental_changes(spark, sf_dir):
     return marts.changes_between(v, "o_custkey", CHANGE_CURRENT, CHANGE_INCOMING)
 
 
+# Fixed value: the day the incremental snapshot is loaded (the base history holds
+# the orders up to the day before the change comparison's current date + 1).
+LOAD_DATE = dt.date(2001, 7, 1)
+
+
+@query
+def scd2_incremental(spark, sf_dir):
+    """History of orders up to CHANGE_CURRENT, merged with the customer states alive
+    on CHANGE_INCOMING (taken from the full history) as a snapshot loaded on LOAD_DATE."""
+    from strata.operators.history import apply_snapshot, scd2
+    log = order_log(spark, sf_dir)
+    base = with_keys(scd2(log.filter(F.col("event_date") <= F.lit(CHANGE_CURRENT)),
+                          "o_custkey", "event_date", "o_orderkey", STATE_COLUMNS),
+                     "o_custkey", STATE_COLUMNS)
+    snapshot = as_of(order_history(spark, sf_dir), F.lit(CHANGE_INCOMING))
+    return apply_snapshot(base, snapshot, "o_custkey", STATE_COLUMNS, LOAD_DATE)
+
+
 def _calendar(spark, sf_dir, lo, hi):
     return calendar.shape_calendar(holiday_feed(spark, sf_dir), lo, hi)
 

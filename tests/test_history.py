@@ -155,3 +155,26 @@ def test_hot_key_is_collapsed_before_the_window(spark):
     plan = v._jdf.queryExecution().executedPlan().toString()
     window_input = plan.split("Window")[1]
     assert "Aggregate" in window_input              # the window reads collapsed days
+
+
+def test_apply_snapshot_opens_closes_and_keeps(spark):
+    from strata.operators.history import apply_snapshot
+    from strata.operators.keys import with_keys
+    hist = spark.createDataFrame([
+        ("a", D(2025, 1, 1), D(2025, 12, 31), False, "x"),
+        ("a", D(2026, 1, 1), SENTINEL, True, "y"),
+        ("b", D(2026, 1, 1), SENTINEL, True, "p"),
+        ("c", D(2026, 1, 1), SENTINEL, True, "q"),
+    ], "k string, valid_from date, valid_to date, is_current boolean, v string")
+    hist = with_keys(hist, "k", ["v"]).drop("version_sk")
+    snap = spark.createDataFrame([("a", "y"), ("b", "p2"), ("d", "n")], "k string, v string")
+    out = sorted((r["k"], r["valid_from"], r["valid_to"], r["is_current"], r["v"]) for r in
+                 apply_snapshot(hist, snap, "k", ["v"], D(2026, 7, 1)).collect())
+    assert out == [
+        ("a", D(2025, 1, 1), D(2025, 12, 31), False, "x"),
+        ("a", D(2026, 1, 1), SENTINEL, True, "y"),                 # unchanged
+        ("b", D(2026, 1, 1), D(2026, 6, 30), False, "p"),          # changed: closed
+        ("b", D(2026, 7, 1), SENTINEL, True, "p2"),                # ... and reopened
+        ("c", D(2026, 1, 1), D(2026, 6, 30), False, "q"),          # gone
+        ("d", D(2026, 7, 1), SENTINEL, True, "n"),                 # new
+    ]
