@@ -11,6 +11,7 @@ aggregate per table), so no gate re-runs the upstream lineage.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ from strata.functions import in_domain, no_digit
 from strata.operators import calendar, clean as cleaning, gates, marts, nested
 from strata.operators.history import scd2
 from strata.operators.keys import with_keys
-from strata.sources.files import (all_string_schema, publish, read_table, require_landing,
-                                  scan_csv, scan_json, verify_tables, with_audit, write_table)
+from strata.sources.files import (all_string_schema, missing_sources, publish, read_table,
+                                  require_landing, scan_csv, scan_json, verify_tables,
+                                  with_audit, write_table)
 from strata.sources.workbook import scan_workbooks
 
 # ---------------------------------------------------------------- fixed values
@@ -85,8 +87,9 @@ def bronze_tables(spark: SparkSession, landing: str) -> dict[str, DataFrame]:
                                         "_ingested_at", F.current_timestamp()),
         "employee_contact_info": with_audit(scan_json(
             spark, f"{base}/employee_contact_info.json", CONTACT_SCHEMA, multiline=True)),
+        # one file, or one file per country (public_holidays_GB.json ...): one scan
         "public_holidays": with_audit(scan_json(
-            spark, f"{base}/public_holidays.json", HOLIDAY_SCHEMA, multiline=True)),
+            spark, f"{base}/public_holidays*.json", HOLIDAY_SCHEMA, multiline=True)),
     }
 
 
@@ -178,9 +181,12 @@ def _require_empty(name: str, df: DataFrame) -> None:
 
 
 def run(spark: SparkSession, landing: str, warehouse: str, rehire: bool = False,
-        same_day: str = "fail") -> dict[str, str]:
+        same_day: str = "fail", holiday_countries: Sequence[str] = ()) -> dict[str, str]:
     """Landing -> Bronze -> Silver. Returns {table: path}. Raises on any gate.
 
+    ``holiday_countries``: countries whose holidays must be present; an absent
+    one fails the run by name instead of silently leaving the calendar short.
+
     Every table is written to a staging folder, gated there (the written data, so
     no gate re-runs the lineage), and only then published to its final path.
     """
@@ -203,6 +209,9 @@ def run(spark: SparkSession, landing: str, warehouse: str, rehire: bool = False,
     for name, df in bronze_tables(spark, landing).items():
         gates.enforce(gates.profile(stage("bronze", name, df), {}))
         b[name] = done("bronze", name)
+    if holiday_countries:
+        absent = missing_sources(b["public_holidays"], holiday_countries, "countryCode")
+        _require_empty("missing_holiday_country", absent)
 
     for name, key in (("departments", "department_id"), ("job_roles", "job_role_id")):
         gates.enforce(gates.profile(stage("silver", name, silver_reference(b[name])), {},

@@ -123,3 +123,21 @@ def test_gold_facts_join_the_version_alive_that_day(built):
     assert dim.count() == 8 and dim.filter("job_title IS NULL").count() == 0
     dd = built["gold.dim_date"]
     assert dd.count() == 181 and dd.filter("is_public_holiday").count() == 2
+
+
+def test_per_country_holiday_files_and_missing_country(spark, tmp_path):
+    import json
+    from tests.fixtures import HOLIDAYS
+    landing = write_landing(str(tmp_path / "landing"))
+    os.remove(os.path.join(landing, "public_holidays.json"))
+    for cc in ("GB", "US", "IN"):
+        with open(os.path.join(landing, f"public_holidays_{cc}.json"), "w") as f:
+            json.dump([h for h in HOLIDAYS if h["countryCode"] == cc], f, indent=2)
+    with open(os.path.join(landing, "public_holidays.json"), "w") as f:
+        f.write("[]")
+    paths = hr.run(spark, landing, str(tmp_path / "wh"), holiday_countries=["GB", "US", "IN"])
+    bronze = read_table(spark, paths["bronze.public_holidays"])
+    assert bronze.count() == 4
+    assert bronze.select("_source_file").distinct().count() == 3
+    with pytest.raises(QualityError, match="missing_holiday_country"):
+        hr.run(spark, landing, str(tmp_path / "wh2"), holiday_countries=["GB", "FR"])
