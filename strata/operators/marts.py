@@ -45,7 +45,8 @@ def first_key_with_versions(versions: DataFrame, key: str, min_versions: int) ->
 
 def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date: str,
          how: str = "inner", valid_from: str = "valid_from",
-         valid_to: str = "valid_to", bucket: str = "year") -> DataFrame:
+         valid_to: str = "valid_to", bucket: str = "year",
+         horizon: DataFrame | None = None) -> DataFrame:
     """Join each fact to the version with ``valid_from <= date <= valid_to``.
 
     Equi-join on (key, year) with the interval as a residual predicate:
@@ -60,7 +61,9 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
     ``how`` is "inner" (facts without a version are dropped) or "left" (kept with
     NULL version columns). Versions must not overlap per key (the history gate).
     ``bucket="month"`` trades more version copies for fewer comparisons per fact,
-    for histories that change many times a year.
+    for histories that change many times a year. ``horizon`` (key..., ``_hz``: the
+    last fact day per key, or any later day) may be given when the caller can
+    compute it more cheaply than a pass over ``facts``.
     """
     keys = _keys(key)
     if how not in ("inner", "left"):
@@ -68,8 +71,9 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
     if bucket not in ("year", "month"):
         raise ValueError("bucket must be 'year' or 'month'")
     unit = F.year if bucket == "year" else month_index
-    horizon = (facts.select(*keys, F.col(date).alias("_fd"))
-               .groupBy(*keys).agg(F.max("_fd").alias("_hz")))
+    if horizon is None:
+        horizon = (facts.select(*keys, F.col(date).alias("_fd"))
+                   .groupBy(*keys).agg(F.max("_fd").alias("_hz")))
     vcols = [c for c in versions.columns if c not in keys]
     spans = (versions.join(horizon, keys)
              .filter(F.col(valid_from) <= F.col("_hz"))
