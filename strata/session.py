@@ -31,6 +31,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # small shuffles still keep several partitions, so CPU-heavy steps after
+        # them (windows, explodes) stay parallel; big shuffles are unaffected
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # AQE may replace a sort-merge join by a shuffled hash join once it has
         # measured every build-side partition below this size (no sort of the
