@@ -17,7 +17,7 @@ _CKPT_KEY = "spark.checkpoint.dir"
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app: str = "strata") -> SparkSession:
+                app: str = "strata", extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the settings this library is tuned for.
 
     AQE stays on: it coalesces small shuffles, turns joins against small sides into
@@ -45,6 +45,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
