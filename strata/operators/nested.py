@@ -37,6 +37,21 @@ def lookup(df: DataFrame, array_col: str, keys: Mapping[str, str],
     return out.drop(array_col) if drop_array else out
 
 
+def pivot_pairs(df: DataFrame, entity: str | Sequence[str], key_col: str, value_col: str,
+                order: str, keys: Mapping[str, str]) -> DataFrame:
+    """Key/value pairs stored as rows -> one row per entity, one column per key.
+
+    The row-form twin of :func:`lookup`: per entity and wanted key, the value of
+    the first pair by ``order`` (NULL if the key never occurs). One aggregate with a
+    map-side partial step: pairs are never collected into an array, so an entity
+    with very many pairs is not gathered in one task.
+    """
+    ents = [entity] if isinstance(entity, str) else list(entity)
+    return df.groupBy(*ents).agg(*[
+        F.min_by(F.col(value_col), F.when(F.col(key_col) == F.lit(k), F.col(order))).alias(name)
+        for k, name in keys.items()])
+
+
 def flag_null(df: DataFrame, column: str, invalid: Column | str, flag: str) -> DataFrame:
     """Flag a present-but-malformed value, then NULL it, keeping the reason.
 

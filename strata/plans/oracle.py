@@ -392,6 +392,13 @@ SELECT page_id, {_pick('page')} AS param_page, {_pick('ref')} AS param_ref,
        {_pick('utm_source')} AS param_utm_source
 FROM pp"""
 
+SQL["pivot_pairs"] = """
+SELECT conv_id,
+       arg_min(text, turn) FILTER (WHERE role = 'system') AS first_system,
+       arg_min(text, turn) FILTER (WHERE role = 'user') AS first_user,
+       arg_min(text, turn) FILTER (WHERE role = 'assistant') AS first_assistant
+FROM conversations GROUP BY conv_id"""
+
 SQL["explode_pairs"] = f"""
 WITH {_PP}
 SELECT page_id, p.key AS key, p.value AS value

@@ -399,6 +399,18 @@ def pivot_keyed_array(spark, sf_dir):
         "page_id", *PARAM_COLUMNS.values())
 
 
+# Conversation roles -> output columns.
+ROLE_COLUMNS = {"system": "first_system", "user": "first_user", "assistant": "first_assistant"}
+
+
+@query
+def pivot_pairs(spark, sf_dir):
+    """Conversation turns as (role, text) pairs -> first text of each role per
+    conversation, without collecting a conversation into an array."""
+    c = table(spark, sf_dir, "conversations")
+    return nested.pivot_pairs(c, "conv_id", "role", "text", "turn", ROLE_COLUMNS)
+
+
 @query
 def explode_pairs(spark, sf_dir):
     return nested.explode_pairs(page_params(spark, sf_dir), "params", ["page_id"])

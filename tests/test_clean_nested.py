@@ -61,3 +61,11 @@ def test_first_element_column(spark):
     got = [r["f"] for r in nested.first_element(df, "a", "f").collect()]
     assert got == ["p", None]
     assert F  # keep the import used
+
+
+def test_pivot_pairs_first_by_order(spark):
+    df = spark.createDataFrame([(1, 2, "user", "b"), (1, 1, "user", "a"), (1, 3, "system", "s"),
+                                (2, 1, "assistant", "x")], "c int, t int, role string, text string")
+    got = {r["c"]: (r["u"], r["s"]) for r in
+           nested.pivot_pairs(df, "c", "role", "text", "t", {"user": "u", "system": "s"}).collect()}
+    assert got == {1: ("a", "s"), 2: (None, None)}
