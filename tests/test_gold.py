@@ -28,3 +28,11 @@ def test_scale_settings():
     s = scale_settings(100 * 2**40, cores=8000)
     assert int(s["spark.sql.shuffle.partitions"]) == 409600      # 100 TiB / 256 MiB
     assert scale_settings(10, cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_command_line_gold(spark, tmp_dir, capsys):
+    import json
+    from strata.__main__ import main
+    main(["gold", "--sf", SF, "--warehouse", tmp_dir])
+    paths = json.loads(capsys.readouterr().out)
+    assert "obt" in paths and read_table(spark, paths["obt"]).count() > 0
