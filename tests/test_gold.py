@@ -16,6 +16,15 @@ def test_gold_build_writes_every_table(spark, tmp_dir):
     assert v.select("version_sk").distinct().count() == v.count()
 
 
+def test_month_partitioned_facts_prune(spark, tmp_dir):
+    paths = gold.build(spark, SF, tmp_dir)
+    f = read_table(spark, paths["fact_lines_asof"]).filter("ship_month = '1997-03'")
+    plan = f._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ship_month" in plan and "1997-03" in plan
+    assert f.count() == f.filter("ship_date >= DATE'1997-03-01' AND "
+                                 "ship_date <= DATE'1997-03-31'").count() > 0
+
+
 def test_materialize_checkpoint_and_table(spark, tmp_dir):
     from strata.session import materialize
     df = spark.range(10).selectExpr("id", "id * 2 AS x")
