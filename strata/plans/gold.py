@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import calendar, marts
+from strata.operators import calendar, gates, marts
 from strata.operators.keys import with_keys
 from strata.plans.catalog import (STATE_COLUMNS, customer_dim, holiday_feed, order_facts,
                                   order_history)
@@ -43,6 +43,9 @@ def build(spark: SparkSession, sf_dir: str, warehouse: str,
 
     versions = put("employee_versions",
                    with_keys(order_history(spark, sf_dir), "o_custkey", STATE_COLUMNS))
+    # gate the written history before anything is derived from it
+    gates.enforce(gates.history_violations(versions, "o_custkey"), allow=("gaps",),
+                  require_rows=False)
     dim = put("dim_customer_versioned",
               marts.enrich(versions, customer_dim(spark, sf_dir), "o_custkey"))
     put("dim_date", calendar.dim_date(
