@@ -75,6 +75,9 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
         horizon = (facts.select(*keys, F.col(date).alias("_fd"))
                    .groupBy(*keys).agg(F.max("_fd").alias("_hz")))
     vcols = [c for c in versions.columns if c not in keys]
+    clash = sorted(set(vcols) & set(facts.columns))
+    if clash:
+        raise ValueError(f"facts and versions share non-key columns {clash}; rename one side")
     spans = (versions.join(horizon, keys)
              .filter(F.col(valid_from) <= F.col("_hz"))
              .withColumn("_yr", F.explode(ascending(
@@ -88,7 +91,7 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
     ]
     out = left.join(spans, cond, how)
     return out.select(*[left[c] for c in facts.columns],
-                      *[spans[f"_v_{c}"].alias(c) for c in vcols if c not in facts.columns])
+                      *[spans[f"_v_{c}"].alias(c) for c in vcols])
 
 
 def obt(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date: str,

@@ -73,3 +73,10 @@ def test_dim_date_merges_same_day_holidays(spark):
     assert [r["is_public_holiday"] for r in dd] == [True, False, False]
     assert dd[0]["holiday_name"] == "Another" and dd[0]["n_holidays"] == 2
     assert [r["is_weekend"] for r in dd] == [False, False, True]   # 2026-01-03 is a Saturday
+
+
+def test_asof_rejects_clashing_columns(spark):
+    import pytest
+    facts = spark.createDataFrame([(1, "A", D(2020, 5, 1), "f")], "id int, k string, d date, st string")
+    with pytest.raises(ValueError, match="st"):
+        marts.asof(facts, _versions(spark), "k", "d")
