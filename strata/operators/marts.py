@@ -28,7 +28,11 @@ def _keys(k: str | Sequence[str]) -> list[str]:
 def enrich(versions: DataFrame, attrs: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Left join of key-unique attributes; never multiplies versions if the
     attribute table passed its uniqueness gate."""
-    return versions.join(attrs, _keys(key), "left")
+    keys = _keys(key)
+    clash = sorted((set(versions.columns) & set(attrs.columns)) - set(keys))
+    if clash:
+        raise ValueError(f"versions and attributes share non-key columns {clash}")
+    return versions.join(attrs, keys, "left")
 
 
 def first_key_with_versions(versions: DataFrame, key: str, min_versions: int) -> DataFrame:
