@@ -71,3 +71,68 @@ def test_asof_matches_brute_force(spark, starts, facts, bucket):
         tags = [t for kk, lo, hi, t in vs if kk == k and lo <= d <= hi]
         want.append((i, tags[0] if tags else None))
     assert got == sorted(want, key=lambda x: (x[0], x[1] or ""))
+
+
+def brute_rehire(rows, same_day):
+    """rehire=True written plainly: per key, state days (last event of a day wins in
+    "last" mode) and exit days in one sorted list (state before exit on a day); a
+    state version ends the day before the next state day, or on the next exit day."""
+    out = []
+    for k in {r[1] for r in rows}:
+        states = sorted((r for r in rows if r[1] == k and r[3] == "S"), key=lambda r: (r[2], r[0]))
+        lasts = [r for i, r in enumerate(states) if i + 1 == len(states) or states[i + 1][2] != r[2]]
+        earlier = [r for r in states if r not in lasts]
+        exits = sorted({r[2] for r in rows if r[1] == k and r[3] == "X"})
+        seq = sorted([(r[2], 0, r) for r in lasts] + [(d, 1, None) for d in exits],
+                     key=lambda t: (t[0], t[1]))
+        for i, (d, is_x, r) in enumerate(seq):
+            if is_x:
+                continue
+            if i + 1 == len(seq):
+                end = SENTINEL
+            elif seq[i + 1][1]:
+                end = seq[i + 1][0]
+            else:
+                end = seq[i + 1][0] - ONE
+            out.append((k, d, end, r[4]))
+        if same_day == "fail":
+            out += [(k, r[2], r[2] - ONE, r[4]) for r in earlier]
+    return sorted(out)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(events, st.sampled_from(["last", "fail"]))
+def test_scd2_rehire_matches_brute_force(spark, evs, same_day):
+    rows = [(i, k, BASE + d * ONE, kind, v) for i, (k, d, kind, v) in enumerate(evs)]
+    df = spark.createDataFrame(rows, "eid int, k string, day date, kind string, v int")
+    got = scd2(df, "k", "day", "eid", ["v"], is_exit=F.col("kind") == "X", same_day=same_day,
+               rehire=True)
+    got = sorted((r["k"], r["valid_from"], r["valid_to"], r["v"]) for r in got.collect())
+    assert got == brute_rehire(rows, same_day)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.dictionaries(st.sampled_from("abcdef"), st.sampled_from(["x", "y", "z"]), max_size=6),
+       st.dictionaries(st.sampled_from("abcdef"), st.sampled_from(["x", "y", "z"]), max_size=6))
+def test_apply_snapshot_matches_brute_force(spark, current, snapshot):
+    from strata.operators.history import apply_snapshot
+    from strata.operators.keys import with_keys
+    start, load = BASE, BASE + 100 * ONE
+    hist_rows = [(k, start - 50 * ONE, start - ONE, False, "old") for k in current]
+    hist_rows += [(k, start, SENTINEL, True, v) for k, v in current.items()]
+    hist = spark.createDataFrame(hist_rows or [("zz", start, start, False, "q")],
+                                 "k string, valid_from date, valid_to date, is_current boolean, v string")
+    hist = with_keys(hist, "k", ["v"]).drop("version_sk")
+    snap = spark.createDataFrame(list(snapshot.items()) or [("none", "x")], "k string, v string")
+    if not snapshot:
+        snap = snap.filter("k = 'never'")
+    got = sorted((r["k"], r["valid_from"], r["valid_to"], r["is_current"], r["v"]) for r in
+                 apply_snapshot(hist, snap, "k", ["v"], load).collect())
+    want = [r[:5] for r in hist_rows if not r[3]] or [("zz", start, start, False, "q")]
+    for k, v in current.items():
+        same = snapshot.get(k) == v
+        want.append((k, start, SENTINEL if same else load - ONE, same, v))
+    for k, v in snapshot.items():
+        if current.get(k) != v:
+            want.append((k, load, SENTINEL, True, v))
+    assert got == sorted(want)
