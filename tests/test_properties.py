@@ -136,3 +136,28 @@ def test_apply_snapshot_matches_brute_force(spark, current, snapshot):
         if current.get(k) != v:
             want.append((k, load, SENTINEL, True, v))
     assert got == sorted(want)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 400), st.integers(0, 120),
+                          st.booleans(), st.sampled_from(["p", "q"])), min_size=1, max_size=15))
+def test_snapshot_matches_brute_force(spark, spans):
+    import calendar as cal
+    rows = [(k, BASE + s * ONE, SENTINEL if open_ else BASE + (s + n) * ONE, g)
+            for k, s, n, open_, g in spans]
+    lo, hi = BASE + 20 * ONE, BASE + 380 * ONE
+    df = spark.createDataFrame(rows, "k string, valid_from date, valid_to date, g string")
+    got = sorted((r["month_end"], r["g"], r["headcount"]) for r in
+                 marts.snapshot(df, lo, hi, by=["g"]).collect())
+    ends, d = [], lo
+    while d <= hi:
+        e = d.replace(day=cal.monthrange(d.year, d.month)[1])
+        if lo <= e <= hi:
+            ends.append(e)
+        d = e + ONE
+    want = {}
+    for _, vf, vt, g in rows:
+        for e in ends:
+            if vf <= e <= vt:
+                want[(e, g)] = want.get((e, g), 0) + 1
+    assert got == sorted((e, g, n) for (e, g), n in want.items())
