@@ -22,8 +22,8 @@ def build(spark: SparkSession, sf_dir: str, warehouse: str,
           partition_facts: bool = True) -> dict[str, str]:
     """Write the Gold tables; returns {table: path}.
 
-    The facts are shuffled once by the as-of join against the wide versioned
-    dimension and written as the OBT; the narrow fact table is then a column
+    The facts are joined once, by the as-of join against the wide versioned
+    dimension, and written as the OBT; the narrow fact table is then a column
     projection of the written OBT (Parquet reads only the projected columns).
 
     With ``partition_facts`` the OBT and the fact table are partitioned by ship
@@ -31,7 +31,8 @@ def build(spark: SparkSession, sf_dir: str, warehouse: str,
     on that month (the ``rebalance`` hint: hash by month, then AQE splits a large
     month into advisory-sized slices and merges small ones; no sampling pass over
     the join, unlike a range repartition), so each write task holds one month and
-    writes one file, instead of every task writing a file into every month.
+    writes one file, instead of every task writing a file into every month. That
+    rebalance is the one extra shuffle of the OBT; ``partition_facts=False`` skips it.
     """
     from strata.plans import queries as q
     wh = warehouse.rstrip("/")
