@@ -35,6 +35,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         # them (windows, explodes) stay parallel; big shuffles are unaffected
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # on one machine partitions are small, so let AQE split a join partition
+        # that is 3x the median and over 8 MB (cluster sizing: scale_settings)
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "8MB")
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "3")
         # AQE may replace a sort-merge join by a shuffled hash join once it has
         # measured every build-side partition below this size (no sort of the
         # large side); above it the sort-merge join stays.
