@@ -141,3 +141,14 @@ def test_per_country_holiday_files_and_missing_country(spark, tmp_path):
     assert bronze.select("_source_file").distinct().count() == 3
     with pytest.raises(QualityError, match="missing_holiday_country"):
         hr.run(spark, landing, str(tmp_path / "wh2"), holiday_countries=["GB", "FR"])
+
+
+def test_command_line_hr_with_gold(spark, tmp_path, capsys):
+    import json
+    from strata.__main__ import main
+    landing = write_landing(str(tmp_path / "landing"))
+    main(["hr", "--landing", landing, "--warehouse", str(tmp_path / "wh"), "--gold",
+          "--holiday-countries", "GB,US"])
+    paths = json.loads(capsys.readouterr().out)
+    assert {"silver.employees_scd2", "gold.obt", "gold.dim_date"} <= set(paths)
+    assert read_table(spark, paths["gold.obt"]).count() == 9
