@@ -167,6 +167,16 @@ def silver_contacts(bronze_contacts: DataFrame) -> DataFrame:
             .withColumn("_silver_processed_at", F.current_timestamp()))
 
 
+def contact_quarantine(bronze_contacts: DataFrame) -> DataFrame:
+    """Contacts with a malformed value, raw values kept, with the broken rules
+    (``_violations``); the Silver table carries the same rows flagged and nulled."""
+    flat = nested.flatten(bronze_contacts, CONTACT_PATHS, keep=["employee_id"])
+    present = F.col("mobile_phone").isNotNull()
+    _, bad = gates.split_quarantine(flat, {"mobile_phone_no_digit":
+                                           present & no_digit("mobile_phone")})
+    return bad.withColumn("_quarantined_at", F.current_timestamp())
+
+
 def silver_holidays(bronze_holidays: DataFrame) -> DataFrame:
     return calendar.shape_calendar(bronze_holidays, CALENDAR_LO, CALENDAR_HI).withColumn(
         "_silver_processed_at", F.current_timestamp())
@@ -237,10 +247,15 @@ def run(spark: SparkSession, landing: str, warehouse: str, rehire: bool = False,
     if n_in != n_out:
         raise gates.QualityError({"contact_row_count": abs(n_in - n_out)})
     done("silver", "employee_contact_info")
+    stage("silver", "employee_contact_info_quarantine",
+          contact_quarantine(b["employee_contact_info"]))
+    done("silver", "employee_contact_info_quarantine")
 
     stage("silver", "public_holidays", silver_holidays(b["public_holidays"]))
     done("silver", "public_holidays")
-    verify_tables(spark, {k: v for k, v in paths.items() if k.startswith("silver.")},
+    # an empty quarantine is the good case, so it is not required to hold rows
+    verify_tables(spark, {k: v for k, v in paths.items()
+                          if k.startswith("silver.") and not k.endswith("_quarantine")},
                   require=True)
     return paths
 

@@ -67,6 +67,12 @@ def test_contacts_flat_one_row_per_employee(built):
     assert "preferences" not in c["P1"].asDict()
 
 
+def test_contact_quarantine_keeps_raw_value(built):
+    q = built["silver.employee_contact_info_quarantine"].collect()
+    assert [(r["employee_id"], r["mobile_phone"], list(r["_violations"])) for r in q] == [
+        ("P2", "NOT-A-NUMBER", ["mobile_phone_no_digit"])]
+
+
 def test_holidays_shaped_to_window(built):
     h = {r["holiday_name"]: r for r in built["silver.public_holidays"].collect()}
     assert set(h) == {"New Year's Day", "Spring Bank Holiday", "Local Day"}
