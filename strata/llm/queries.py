@@ -1,11 +1,14 @@
 """The registered queries of this subpackage and their DuckDB twins where SQL can express them."""
 
-from . import byte_bpe, line_dedup, mixing, quality
+from . import byte_bpe, langid, line_dedup, mixing, quality, simhash, toxicity
 
 REGISTRY = {
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
+    "op6_simhash": simhash.op6_simhash,
+    "op8_language_id": langid.op8_language_id,
     "op9_quality": quality.op9_quality,
 }
 

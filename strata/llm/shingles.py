@@ -40,9 +40,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of all words, and the first word of each text (with the total last)."""
-    word = ~_SPACE[data]
+def spans(data: np.ndarray, offs: np.ndarray, gap: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of all words, and the first word of each text (with the total last).
+
+    ``gap`` marks the bytes between words.
+    """
+    word = ~gap[data]
     start, end = word.copy(), word.copy()
     start[1:] &= ~word[:-1]
     end[:-1] &= ~word[1:]
