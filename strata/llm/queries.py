@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their DuckDB twins where SQL can express them."""
 
-from . import byte_bpe, langid, line_dedup, mixing, quality, simhash, toxicity
+from . import byte_bpe, embedding_dedup, langid, line_dedup, mixing, quality, simhash, toxicity, warc
 
 REGISTRY = {
     "op2_mix_sources": mixing.op2_mix_sources,
@@ -8,10 +8,13 @@ REGISTRY = {
     "op4_line_dedup": line_dedup.op4_line_dedup,
     "op5_byte_bpe": byte_bpe.op5_byte_bpe,
     "op6_simhash": simhash.op6_simhash,
+    "op7_warc": warc.op7_warc,
     "op8_language_id": langid.op8_language_id,
     "op9_quality": quality.op9_quality,
+    "op10_embedding_dedup": embedding_dedup.op10_embedding_dedup,
 }
 
 SQL = {
     "op4_line_dedup": line_dedup.OP4_SQL,
+    "op7_warc": warc.OP7_SQL,
 }
