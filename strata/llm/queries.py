@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and their DuckDB twins where SQL can express them."""
 
-from . import byte_bpe, embedding_dedup, langid, line_dedup, mixing, quality, simhash, toxicity, warc
+from . import byte_bpe, embedding_dedup, langid, line_dedup, mixing, ngram_join, quality, simhash, toxicity, warc
 
 REGISTRY = {
+    "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op2_mix_sources": mixing.op2_mix_sources,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_line_dedup": line_dedup.op4_line_dedup,
