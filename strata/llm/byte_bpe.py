@@ -28,6 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import table
 
@@ -259,7 +260,7 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text",
 
     schema = docs.select("*").schema
     if with_ids:
-        schema = schema.add("__ids", "array<int>")
+        schema = schema.add("__ids", T.ArrayType(T.IntegerType()))
     return docs.mapInArrow(run, schema.add("__n_tokens", "long").add("__ids_sha256", "string")
                            .add("__decoded_sha256", "string"))
 
