@@ -53,6 +53,15 @@ def bounded_sample(ids: DataFrame, stratum: str, key: str, per_stratum: int) ->
             .drop("__stratum", "__n", "__h", "__rn"))
 
 
+def hash_sample(ids: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows, the smallest by a hash of ``key``: a count gives a threshold that
+    lets about twice as many through, and those are cut to the exact number."""
+    n = ids.count()
+    cut = min(1.0, (2.0 * most + 64) / max(n, 1)) * (1 << 40)
+    near = ids.withColumn("__h", F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 40))).filter(F.col("__h") <= cut)
+    return near.orderBy("__h", key).limit(most).drop("__h")
+
+
 def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes and the offsets of a string or binary column; NULL is empty."""
     col = col.cast(pa.large_binary())

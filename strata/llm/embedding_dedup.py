@@ -8,7 +8,7 @@ vectors, so that unrelated ones rarely meet; the number of tables follows from t
 once on random pairs exactly at the threshold, that a pair meets in one table, so that the chance
 to meet in some table is at least ``recall``.
 
-Equal vectors are one row from the start. Only ids enter the hash tables; the vectors are fetched
+Equal vectors are one row from the start, known by a hash. Only those hashes enter the hash tables; the vectors are fetched
 for the buckets with two rows or more. A bucket of more than ``BLOCK`` rows is dealt into blocks and
 each pair of blocks is a group of its own, so no task holds a large bucket. In a group all cosines
 are computed in double precision; a pair counts in the first bucket that both rows share and
@@ -141,8 +141,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = REC
             yield pa.RecordBatch.from_pydict({"vec_id": b.column("vec_id"), "unit": pa.array(found, pa.binary())})
 
     units = stored(rows.mapInArrow(unit, "vec_id long, unit binary")
-                   .withColumn("class", F.when(F.col("vec_id").isNotNull(), F.sha2("unit", 256))))
-    classes = stored(units.filter(F.col("class").isNotNull()).groupBy("class")
+                   .withColumn("node", F.when(F.col("vec_id").isNotNull(), F.unhex(F.substring(F.sha2("unit", 256), 1, 32)))))
+    classes = stored(units.filter(F.col("node").isNotNull()).groupBy("node")
                      .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("unit").alias("unit")))
     dims = {r["d"]: r["n"] for r in classes.groupBy((F.octet_length("unit") / 8).cast("int").alias("d"))
             .agg(F.count(F.lit(1)).alias("n")).collect()}   # lengths of vectors: a few numbers
@@ -159,34 +159,36 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, recall: float = REC
                     x = np.frombuffer(b"".join(raw[i] for i in at)).reshape(len(at), d)
                     for i, s in zip(at, CrossPolytope(d, *plans[d]).buckets(x)):
                         found[i] = s.astype(np.uint64).view(np.int64).ravel()
-                yield pa.RecordBatch.from_pydict({"rep": b.column("rep"), "copies": b.column("copies"),
+                yield pa.RecordBatch.from_pydict({"node": b.column("node"), "copies": b.column("copies"),
                                                   "unit": b.column("unit"),
                                                   "buckets": pa.array(found, pa.list_(pa.int64()))})
 
-    placed = stored(classes.select("rep", "copies", "unit").mapInArrow(
-        place, "rep long, copies long, unit binary, buckets array<long>"))
-    entries = placed.select("rep", F.posexplode("buckets").alias("at", "bucket"))
+    placed = stored(classes.select("node", "copies", "unit").mapInArrow(
+        place, "node binary, copies long, unit binary, buckets array<long>"))
+    entries = placed.select("node", F.explode("buckets").alias("bucket")).distinct()
     full = stored(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = (entries.join(full, "bucket").withColumn("blocks", blocks).withColumn("own", own)
            .withColumn("other", other)
-           .select("rep", "bucket", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "at"))
+           .select("node", "bucket", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")))
     met = met.withColumn("group", F.xxhash64("bucket", "i", "j"))
-    held = (met.join(placed, "rep").repartition("group").sortWithinPartitions("group", "rep")
-            .select("group", "bucket", "i", "j", "own", "at", "rep", "copies", "unit", "buckets"))
+    held = (met.join(placed, "node").repartition("group").sortWithinPartitions("group", "node")
+            .select("group", "bucket", "i", "j", "own", "node", "copies", "unit", "buckets"))
     probes = {d: 1 + f for d, (f, _) in plans.items()}
-    found = stored(held.mapInArrow(lambda it: _verify(it, cosine, probes), "a long, b long, n long"))
-    counts = found.filter(F.col("n") > 0).groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("links"))
-    comps = components(found.filter(F.col("n") == 0), "a", "b").withColumnsRenamed({"node": "rep", "component": "root"})
-    links = stored(classes.select("class", "rep", "copies").join(counts, "rep", "left").join(comps, "rep", "left")
-                   .select("class", F.coalesce("root", "rep").alias("root"),
-                           (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")))
-    out = units.select("vec_id", "class").join(links, "class", "left")
+    found = stored(held.mapInArrow(lambda it: _verify(it, cosine, probes), "a binary, b binary, n long"))
+    counts = found.filter(F.col("n") > 0).groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
+    comps = components(found.filter(F.col("n") == 0), "a", "b")
+    linked = stored(classes.select("node", "rep", "copies").join(counts, "node", "left").join(comps, "node", "left")
+                    .select("node", "rep", F.coalesce("component", "node").alias("root"),
+                            (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")))
+    heads = stored(linked.groupBy("root").agg(F.min("rep").alias("head")))
+    info = stored(linked.join(heads, "root").select("node", "head", "links"))
+    out = units.select("vec_id", "node").join(info, "node", "left")
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-                      F.coalesce("root", "vec_id").alias("component_id"),
-                      F.col("vec_id").eqNullSafe(F.coalesce("root", "vec_id")).alias("kept"))
+                      F.coalesce("head", "vec_id").alias("component_id"),
+                      F.col("vec_id").eqNullSafe(F.coalesce("head", "vec_id")).alias("kept"))
 
 
 def _verify(batches: Iterator[pa.RecordBatch], cosine: float, probes: dict[int, int]) -> Iterator[pa.RecordBatch]:
@@ -198,7 +200,7 @@ def _verify(batches: Iterator[pa.RecordBatch], cosine: float, probes: dict[int,
         d = len(g.column("unit")[0].as_py()) // 8
         x = np.frombuffer(b"".join(g.column("unit").to_pylist())).reshape(len(g), d)
         s = np.array(g.column("buckets").to_pylist(), np.int64).reshape(len(g), -1, probes[d])
-        rep, copies, own = (g.column(c).to_numpy() for c in ("rep", "copies", "own"))
+        node, copies, own = g.column("node"), g.column("copies").to_numpy(), g.column("own").to_numpy()
         here, i, j = g.column("bucket")[0].as_py(), g.column("i")[0].as_py(), g.column("j")[0].as_py()
         left, right = (np.flatnonzero(own == k) for k in (i, j))
         a, b = np.nonzero(x[left] @ x[right].T >= cosine)
@@ -211,13 +213,14 @@ def _verify(batches: Iterator[pa.RecordBatch], cosine: float, probes: dict[int,
         n = np.bincount(a, copies[b], len(g)) + np.bincount(b, copies[a], len(g))
         root = _forest(a, b, len(g))
         some, joined = np.flatnonzero(n), np.flatnonzero(root != np.arange(len(g)))
-        yield pa.RecordBatch.from_pydict({
-            "a": np.concatenate([rep[some], rep[joined]]), "b": np.concatenate([rep[some], rep[root[joined]]]),
-            "n": np.concatenate([n[some].astype(np.int64), np.zeros(len(joined), np.int64)])})
+        yield pa.RecordBatch.from_arrays([
+            node.take(pa.array(np.concatenate([some, joined]))).combine_chunks(),
+            node.take(pa.array(np.concatenate([some, root[joined]]))).combine_chunks(),
+            pa.array(np.concatenate([n[some].astype(np.int64), np.zeros(len(joined), np.int64)]))], ["a", "b", "n"])
 
 
 def _first_meeting(a: np.ndarray, b: np.ndarray, s: np.ndarray, here: int) -> tuple[np.ndarray, np.ndarray]:
-    """Of the pairs of rows, those whose first shared bucket (by table, then place) is ``here``."""
+    """Of the pairs of rows, those whose first shared bucket (by table, then id) is ``here``."""
     kept_a, kept_b = [], []
     for t in range(s.shape[1]):
         if not len(a):
@@ -225,7 +228,7 @@ def _first_meeting(a: np.ndarray, b: np.ndarray, s: np.ndarray, here: int) -> tu
         same = s[a, t][:, :, None] == s[b, t][:, None, :]
         any_of = same.any(axis=2)
         met = any_of.any(axis=1)
-        first = s[a, t][np.arange(len(a)), any_of.argmax(axis=1)]
+        first = np.where(any_of, s[a, t], np.iinfo(np.int64).max).min(axis=1)
         good = met & (first == here)
         kept_a.append(a[good])
         kept_b.append(b[good])

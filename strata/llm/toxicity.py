@@ -31,12 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, held_out, labelled_sample, sigmoid, slices, stored, table
+from .common import hash_sample, held_out, labelled_sample, sigmoid, slices, stored, table
 from .shingles import running, span_hash, spans
 
 STEMS = (4, 5, 6)
 FEATURES = 2000
 VOTERS = 160                                                # mined ones, of either class together
+SURE = 3.0                                                  # standard errors from no association
+UNLABELLED = 0.3                                            # weight of a row without a label
 SHARED = 0.3                                                # correlation from which voters repeat each other
 LEAST = 4                                                   # sample documents with a feature
 PENALTY = 1e-5                                              # of the classifier's weights
@@ -119,9 +121,10 @@ def label_model(votes: np.ndarray, gold: np.ndarray, prior: float) -> np.ndarray
         q = np.clip(prior + fired - fired.mean(), 0.05, 0.95)
     trusted = np.array([0.95, 0.95])                        # P(label = class) for class 0, 1
     v = votes.astype(np.float64)
+    weigh = np.where(known, 1.0, UNLABELLED)
     for _ in range(ROUNDS):
         rates, spread = [], np.zeros((v.shape[1], v.shape[1]))
-        for side in (1 - q, q):
+        for side in ((1 - q) * weigh, q * weigh):
             total = side.sum() + 1.0
             rate = (side @ v + 0.02) / (total + 0.04)
             centred = v - rate
@@ -212,7 +215,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
     known = np.unique(np.array([f for f, _ in mined] + [word_feature(w) for w in LEXICON], np.int64).view(np.uint64))
     lookup = Lookup(known)
     place = {int(f): i for i, f in enumerate(known.view(np.int64))}
-    best = sorted(mined, key=lambda m: (-abs(m[1]), m[0]))[:VOTERS]
+    best = [m for m in sorted(mined, key=lambda m: (-abs(m[1]), m[0]))[:VOTERS] if abs(m[1]) >= SURE]
     voters = sorted({place[f] for f, _ in best} | {place[word_feature(w)] for w in LEXICON})
     sent = spark.sparkContext.broadcast(lookup)
     patterns = [re.compile(p) for p in PATTERNS]
@@ -230,8 +233,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
                 "doc_id": b.column("doc_id").cast(pa.string()), "label": b.column("label"), "weight": b.column("weight"),
                 "found": pa.array(got, pa.list_(pa.int32())), "hits": pa.array(hits, pa.list_(pa.int32()))})
 
-    loose = docs.select("doc_id").filter(F.col("doc_id").isNotNull()).withColumn("all", F.lit(1))
-    plain = bounded_sample(loose, "all", "doc_id", 2 * per_class).select("doc_id").distinct()
+    plain = hash_sample(docs.select("doc_id").filter(F.col("doc_id").isNotNull()), "doc_id", 2 * per_class).distinct()
     plain = plain.join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
     unlabelled = stored(docs.select("doc_id", "text").join(F.broadcast(plain), "doc_id").select(
         "doc_id", F.lit(None).cast("string").alias("label"), "text", F.lit(0.0).alias("weight")))
