@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -62,6 +63,64 @@ def hash_sample(ids: DataFrame, key: str, most: int) -> DataFrame:
     return near.orderBy("__h", key).limit(most).drop("__h")
 
 
+FILTER_HASHES = 3
+FILTER_SLICES = 16
+
+
+def filter_places(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """The FILTER_HASHES positions of each 64-bit hash in a Bloom filter of ``bits`` (a power of two)."""
+    h = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    step = (h ^ (h >> np.uint64(32))) | np.uint64(1)
+    i = np.arange(FILTER_HASHES, dtype=np.uint64)
+    return ((h[:, None] + i * step[:, None]) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def id_filter(ids: DataFrame, key: str, n: int, max_bits: int = 1 << 31) -> tuple[np.ndarray, int]:
+    """(packed bits, number of bits) of a Bloom filter over ``n`` long ids.
+
+    Its size is bounded by ``max_bits`` whatever the number of ids, so it may be sent to every
+    task; beyond that it only lets more rows through. Tasks fill their own bits, and the bits are
+    merged slice by slice.
+    """
+    bits = min(max_bits, max(1 << 16, 1 << (16 * max(n, 1) - 1).bit_length()))
+    part = bits // 8 // FILTER_SLICES
+
+    def rows(found: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for i, x in found.items():
+            yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int32()),
+                                              "bits": pa.array([zlib.compress(x.tobytes(), 1)], pa.binary())})
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, seen = np.zeros(bits // 8, np.uint8), False
+        for b in batches:
+            at = filter_places(b.column(key).to_numpy(zero_copy_only=False).view(np.uint64), bits).ravel()
+            np.bitwise_or.at(out, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+            seen = True
+        if seen:
+            yield from rows({i: out[i * part:(i + 1) * part] for i in range(FILTER_SLICES)})
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, z in zip(b.column("slice").to_pylist(), b.column("bits").to_pylist()):
+                x = np.frombuffer(zlib.decompress(z), np.uint8)
+                held[i] = held[i] | x if i in held else x
+        yield from rows(held)
+
+    schema = "slice int, bits binary"
+    some = (ids.select(key).mapInArrow(fill, schema)
+            .repartition(FILTER_SLICES * 4, F.col("slice"), F.pmod(F.xxhash64("bits"), F.lit(8))).mapInArrow(merge, schema))
+    out = np.zeros(bits // 8, np.uint8)
+    for r in some.repartition(FILTER_SLICES, "slice").mapInArrow(merge, schema).collect():  # bits / 8 bytes in all
+        out[r["slice"] * part:(r["slice"] + 1) * part] = np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
+    return out, bits
+
+
+def filter_has(packed: np.ndarray, bits: int, ids: np.ndarray) -> np.ndarray:
+    at = filter_places(ids.view(np.uint64), bits)
+    return ((packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
+
+
 def column_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes and the offsets of a string or binary column; NULL is empty."""
     col = col.cast(pa.large_binary())

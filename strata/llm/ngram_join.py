@@ -15,7 +15,8 @@ process, q -> 1 - exp(-q), which gives the number of runs.
 Buckets compare signatures loosely (four standard deviations below the threshold) and only hand on
 a forest of what is alike. Components of these forests are families; inside a family all pairs are
 compared exactly on their whole sets, block by block, each pair once. So links are counted exactly
-without listing pairs, and only documents of families have their sets built a second time.
+without listing pairs. Only documents of families have their sets built a second time and shuffled:
+a Bloom filter of bounded size over the ids of families rules most others out where they are read.
 
 Cases: a text without words (NULL, empty, only white space) and a NULL doc_id link with nothing. A
 text with fewer than five words has one shingle of all of them. Rows that share a doc_id are
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import grouped, slices, stored, table
+from .common import filter_has, grouped, id_filter, slices, stored, table
 from .graph import components
 from .shingles import mix, shingle_hashes
 
@@ -294,17 +295,18 @@ def jaccard_join(docs: DataFrame, threshold: float = JACCARD, recall: float = RE
     counts = stored(members.groupBy("family").agg(F.count(F.lit(1)).alias("n")))
     wanted = stored(members.join(counts, "family").join(sets.select("node", "rep", "copies"), "node"))
 
+    packed, bits = id_filter(wanted, "rep", wanted.count())
+    sent = own.sparkSession.sparkContext.broadcast(packed)
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo, _, _, found in _sets(b.column("text")):
-                part = b.slice(lo, len(found)).drop_columns(["text"])
-                raw = [s.tobytes() for s in found]
-                ok = [_set_id(s) == k for s, k in zip(found, part.column("node").to_pylist())]
-                cols = dict(zip(part.schema.names, part.columns)) | {"shingles": pa.array(raw, pa.binary())}
-                yield pa.RecordBatch.from_pydict(cols).filter(pa.array(ok))
-
-    texts = own.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id").select("node", "family", "n", "copies", "text")
-    built = texts.mapInArrow(build, "node binary, family binary, n long, copies long, shingles binary")
+            b = b.filter(b.column("doc_id").is_valid())
+            b = b.filter(pa.array(filter_has(sent.value, bits, b.column("doc_id").to_numpy())))
+            for _, _, _, found in _sets(b.column("text")):
+                yield pa.RecordBatch.from_pydict({"node": pa.array([_set_id(s) for s in found], pa.binary()),
+                                                  "shingles": pa.array([s.tobytes() for s in found], pa.binary())})
+
+    built = own.mapInArrow(build, "node binary, shingles binary").join(wanted.drop("rep"), "node")
     exact = (_dealt(built, "family", "n", EXACT).select("group", "own", "i", "j", "node", "copies", "shingles")
              .repartition("group").sortWithinPartitions("group", "node"))
     found = stored(exact.mapInArrow(lambda it: _compare_sets(it, threshold), "a binary, b binary, n long"))
