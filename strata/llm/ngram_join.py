@@ -43,9 +43,9 @@ WORDS = 5
 JACCARD = 0.8
 RECALL = 0.99
 COORDS = 64
-LEAF = 100                                                  # sets compared without a further split
-DEPTH = 4
-BLOCK = 512                                                 # sets of a side where buckets are dealt into blocks
+LEAF = 256                                                  # sets compared without a further split
+DEPTH = 3
+BLOCK = 4096                                                # sets of a side where buckets are dealt into blocks
 EXACT = 128                                                 # sets of a side in the exact comparison
 COLUMNS = 8192                                              # shingles multiplied at once
 _rng = np.random.default_rng(20)
