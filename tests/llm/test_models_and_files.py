@@ -236,9 +236,9 @@ def test_hadamard_keeps_lengths_and_hashes_meet():
 ODD = [(10 ** 6, None), (10 ** 6 + 1, ""), (10 ** 6 + 2, "...123"), (10 ** 6 + 3, "a" * 200000), (10 ** 6 + 3, "again"), (None, "no id")]
 
 
-def scored(spark, fn, label, mod, rest):
-    got = fn(spark, SF).collect()
-    truth = {r["doc_id"]: r[label] for r in table(spark, SF, "labels" if label != "lang" else "documents").collect()}
+def scored(spark, fn, label, mod, rest, sf=SF):
+    got = fn(spark, sf).collect()
+    truth = {r["doc_id"]: r[label] for r in table(spark, sf, "labels" if label != "lang" else "documents").collect()}
     for r in got:
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % mod == rest)
         assert 0 <= r["score"] <= 1
@@ -252,9 +252,10 @@ def test_quality_on_held_out_documents(spark):
 
 
 def test_toxicity_on_held_out_documents(spark):
-    held = scored(spark, toxicity.op3_toxicity, "toxic", 5, 0)
+    held = scored(spark, toxicity.op3_toxicity, "toxic", 5, 0, sf="/root/testdata/sf0.1")
     assert all(r["predicted"] == (r["score"] >= 0.5) for r, _ in held)
-    assert np.mean([r["predicted"] == y for r, y in held]) > 0.9
+    assert np.mean([r["predicted"] == y for r, y in held]) > 0.97
+    assert np.mean([r["predicted"] for r, y in held if y]) > 0.8
 
 
 def test_languages_on_held_out_documents(spark):
