@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 
 # Accepted date formats, tried in order (ISO first, then day-first).
 DEFAULT_DATE_FORMATS = ("yyyy-MM-dd", "dd-MM-yyyy")
-# Token standing for NULL inside hashed strings, and the separator.
+# Token standing for NULL inside hashed strings, the separator, and the
+# character put before either where a value holds it itself.
 NULL_TOKEN = "NULL"
 HASH_SEPARATOR = "||"
+HASH_ESCAPE = "\\"
 
 
 def col(c: str | Column) -> Column:
@@ -78,10 +80,19 @@ def hash_text(parts: Sequence[str | Column], null_token: str = NULL_TOKEN,
               sep: str = HASH_SEPARATOR) -> Column:
     """Separator-joined text of the parts with an explicit token for NULL.
 
-    ``concat_ws`` alone skips NULLs, so (NULL, 'a') and ('a', NULL) would collide.
+    ``concat_ws`` alone skips NULLs, so (NULL, 'a') and ('a', NULL) would collide. A
+    value that equals the token, or holds a character of the separator or the escape,
+    has it escaped, so different values never give one text; all others stay as they are.
     """
-    return F.concat_ws(sep, *[F.coalesce(col(p).cast("string"), F.lit(null_token))
-                              for p in parts])
+    marks = "".join(sorted(set(sep) | {HASH_ESCAPE}))
+    pattern = "([" + "".join("\\" + m for m in marks) + "])"
+
+    def safe(p: str | Column) -> Column:
+        text = F.regexp_replace(col(p).cast("string"), pattern, "\\\\$1")
+        return (F.when(text.isNull(), F.lit(null_token))
+                .when(text == F.lit(null_token), F.lit(HASH_ESCAPE + null_token)).otherwise(text))
+
+    return F.concat_ws(sep, *[safe(p) for p in parts])
 
 
 def md5_of(parts: Sequence[str | Column], null_token: str = NULL_TOKEN,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import DEFAULT_DATE_FORMATS, first_element, parse_date
@@ -22,7 +22,8 @@ def shape_calendar(holidays: DataFrame, lo: _dt.date, hi: _dt.date,
 
     Output: holiday_date, holiday_name, local_name, country_code, fixed, global,
     holiday_type. The window filter runs on the parsed day, so it is pushed to the
-    scan only when the input is already typed (Silver), not on landed text.
+    scan only when the input is already typed (Silver), not on landed text. A day that
+    does not parse is outside every window; :func:`unparsed_days` is its gate rule.
     """
     day = parse_date(date_col, formats)
     return (holidays
@@ -32,6 +33,11 @@ def shape_calendar(holidays: DataFrame, lo: _dt.date, hi: _dt.date,
             .filter(F.col("holiday_date").between(F.lit(lo), F.lit(hi))))
 
 
+def unparsed_days(date_col: str = "date", formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> Column:
+    """Gate rule: a holiday whose day is absent or parses in no format."""
+    return parse_date(date_col, formats).isNull()
+
+
 def date_spine(spark: SparkSession, lo: _dt.date, hi: _dt.date) -> DataFrame:
     """One row per day in [lo, hi], generated in parallel by ``spark.range``."""
     n = (hi - lo).days + 1

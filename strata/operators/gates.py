@@ -58,6 +58,18 @@ def profile(df: DataFrame, rules: Mapping[str, Column],
         *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in rules])
 
 
+def failures(profile_df: DataFrame, allow: Iterable[str] = ("n_rows",), prefix: str = "",
+             require_rows: bool = True) -> dict[str, int]:
+    """The non-zero counts of a profile row (reads one row), with ``prefix`` before each
+    name; ``empty_input`` if rows are required and there are none."""
+    row = profile_df.first()
+    values = row.asDict() if row is not None else {}
+    bad = {f"{prefix}{k}": int(v) for k, v in values.items() if k not in set(allow) and v}
+    if require_rows and not values.get("n_rows", 0):
+        bad[f"{prefix}empty_input"] = 1
+    return bad
+
+
 def enforce(profile_df: DataFrame, allow: Iterable[str] = ("n_rows",),
             require_rows: bool = True) -> dict[str, int]:
     """Read the one profile row; raise if any counted rule is non-zero.
@@ -113,26 +125,33 @@ def history_violations(versions: DataFrame, key: str | Sequence[str],
     """One row of invariant breaks of a version table:
 
     * ``inverted``   -- valid_from > valid_to
-    * ``overlaps``   -- a version starting on or before the previous one's end
-    * ``gaps``       -- a version starting later than the day after the previous end
+    * ``overlaps``   -- a version starting on or before the end of any earlier one
+    * ``gaps``       -- a version starting later than the day after every earlier end
       (only a rehire may do that; count them, do not forbid them)
     * ``multi_current`` -- keys with more than one current version
 
-    ``lag`` runs per key over versions, which the history already partitioned by
-    key; a ``same_day="last"`` history has at most one version per key and day, so
-    the largest window partition is bounded by the calendar span.
+    Inverted versions cover no day, so they take no part in overlaps and gaps. The
+    others are first collapsed to one row per (key, valid_from) by an aggregate with a
+    map-side step, so the window, which carries the running maximum of the ends, holds
+    at most one row per day of a key, whatever the number of its versions.
     """
     keys = _keys(key)
-    w = Window.partitionBy(*keys).orderBy(valid_from, valid_to)
-    prev_end = F.lag(valid_to).over(w)
-    flagged = versions.select(
-        *keys, F.col(is_current).alias("_cur"),
-        (F.col(valid_from) > F.col(valid_to)).alias("_inv"),
-        (F.col(valid_from) <= prev_end).alias("_ovl"),
-        (F.col(valid_from) > F.date_add(prev_end, 1)).alias("_gap"))
+    lo, hi = F.col(valid_from), F.col(valid_to)
+    days = (versions.groupBy(*keys, lo.alias("_lo"))
+            .agg(F.count_if(lo > hi).alias("_inv"), F.count_if(lo <= hi).alias("_n"),
+                 F.max(F.when(lo <= hi, hi)).alias("_hi"), F.count_if(is_current).alias("_cur")))
+    w = (Window.partitionBy(*keys).orderBy("_lo")
+         .rowsBetween(Window.unboundedPreceding, -1))
+    ended = F.max("_hi").over(w)
+    real = F.col("_n") > 0
+    flagged = days.select(
+        *keys, "_inv", "_cur",
+        F.when(real, F.col("_n") - 1 + F.coalesce((F.col("_lo") <= ended).cast("bigint"), F.lit(0)))
+        .otherwise(0).alias("_ovl"),
+        (real & (F.col("_lo") > F.date_add(ended, 1))).alias("_gap"))
     per_key = flagged.groupBy(*keys).agg(
-        F.count_if("_inv").alias("_inv"), F.count_if("_ovl").alias("_ovl"),
-        F.count_if("_gap").alias("_gap"), F.count_if("_cur").alias("_cur"))
+        F.sum("_inv").alias("_inv"), F.sum("_ovl").alias("_ovl"),
+        F.count_if("_gap").alias("_gap"), F.sum("_cur").alias("_cur"))
     return per_key.agg(
         F.coalesce(F.sum("_inv"), F.lit(0)).alias("inverted"),
         F.coalesce(F.sum("_ovl"), F.lit(0)).alias("overlaps"),
@@ -162,13 +181,14 @@ def untrimmed_counts(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
                     for c in cols])
 
 
-def row_count_check(before: DataFrame, after: DataFrame) -> DataFrame:
-    """One row: input count, output count and whether they agree (no fan-out)."""
-    b = before.agg(F.count("*").alias("n_in"))
-    a = after.agg(F.count("*").alias("n_out"))
-    # two one-row aggregates side by side: union then pivot by label, no join
-    both = (b.select(F.lit("in").alias("_k"), F.col("n_in").alias("_n"))
-            .unionByName(a.select(F.lit("out").alias("_k"), F.col("n_out").alias("_n"))))
-    return (both.agg(F.max(F.when(F.col("_k") == "in", F.col("_n"))).alias("n_in"),
-                     F.max(F.when(F.col("_k") == "out", F.col("_n"))).alias("n_out"))
-            .withColumn("preserved", F.col("n_in") == F.col("n_out")))
+def row_count_check(before: DataFrame, after: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Keys whose number of rows a step changed: key..., ``n_in``, ``n_out``.
+
+    Empty if every row came out once. Both sides are counted in one aggregate over
+    their union, so neither side's count can be answered from the other's.
+    """
+    keys = _keys(key)
+    tagged = (before.select(*keys, F.lit(1).alias("_in"), F.lit(0).alias("_out"))
+              .unionByName(after.select(*keys, F.lit(0).alias("_in"), F.lit(1).alias("_out"))))
+    return (tagged.groupBy(*keys).agg(F.sum("_in").alias("n_in"), F.sum("_out").alias("n_out"))
+            .filter(F.col("n_in") != F.col("n_out")))

@@ -16,11 +16,14 @@ Plan shape (chosen for skew, not only for speed):
    kind, so the window's largest partition is bounded by the calendar span of the
    log, never by how many events one key has.
 
-``same_day="fail"`` keeps every event like the reference does: all but the last
-event of a day get ``valid_to = day - 1`` (an inverted interval, which the
-interval gate reports). Those rows are found with an anti-join against the
-per-day maximum order on the unique (key, day, order) triple, so no group is ever
-gathered in one task.
+``same_day="fail"`` keeps every dated event of a known key: all but the one that
+opens a day's version get ``valid_to = day - 1`` (an inverted interval, which the
+interval gate reports), ties on (key, day, order) included. Equal events are counted
+first, and the day's winner takes one off its count, so no group is ever gathered in
+one task.
+
+Events without a day or without a key can open or close nothing. :func:`scd2_rejects`
+returns them, so that versions, exits and rejects together are all events.
 """
 
 from __future__ import annotations
@@ -46,11 +49,19 @@ def _prepared(events: DataFrame, keys: list[str], date: str, order: str,
                          *state, flag.alias("_x"))
 
 
+def _placeable(ev: DataFrame, keys: list[str], day: str = "_d") -> Column:
+    """True for events that can take part in a history: day and key are there."""
+    ok = F.col(day).isNotNull()
+    for k in keys:
+        ok = ok & F.col(k).isNotNull()
+    return ok
+
+
 def _state_days(ev: DataFrame, keys: list[str], state: list[str]) -> DataFrame:
-    """Last state event of each (key, day), by event order."""
-    st = ev.filter(~F.col("_x")).filter(F.col("_d").isNotNull())
-    return (st.groupBy(*keys, "_d")
-            .agg(F.max_by(F.struct("_o", *state), F.col("_o")).alias("_last"))
+    """Last state event of each (key, day), by event order, then by its state (so that
+    ties give the same version on every run)."""
+    st = ev.filter(~F.col("_x")).filter(_placeable(ev, keys))
+    return (st.groupBy(*keys, "_d").agg(F.max(F.struct("_o", *state)).alias("_last"))
             .select(*keys, "_d", "_last.*"))
 
 
@@ -59,7 +70,7 @@ def _exit_days(ev: DataFrame, keys: list[str], date: str,
     xs = ev.filter(F.col("_x")).select(*keys, "_d")
     if exits is not None:
         xs = xs.unionByName(exits.select(*keys, F.col(date).alias("_d")))
-    return xs.filter(F.col("_d").isNotNull()).dropDuplicates([*keys, "_d"])
+    return xs.filter(_placeable(xs, keys)).dropDuplicates([*keys, "_d"])
 
 
 def scd2(events: DataFrame, key: str | Sequence[str], date: str, order: str,
@@ -75,7 +86,7 @@ def scd2(events: DataFrame, key: str | Sequence[str], date: str, order: str,
     state    -- tracked columns copied onto the version
     is_exit  -- Column, true for events that close the entity (they open nothing)
     exits    -- optional extra exits as a DataFrame of (key..., date)
-    same_day -- "last": keep the last event of a day; "fail": keep all, earlier
+    same_day -- "last": keep the last event of a day; "fail": keep all, the other
                 same-day events get an inverted interval (reported by the gate)
     rehire   -- False: an exit closes only the last version (reference rule);
                 True: an exit closes whatever version precedes it and a later
@@ -113,9 +124,13 @@ def scd2(events: DataFrame, key: str | Sequence[str], date: str, order: str,
                         (F.col("valid_to") == end).alias("is_current"),
                         F.col("_o").alias(order), *state))
     if same_day == "fail":
-        st = ev.filter(~F.col("_x")).filter(F.col("_d").isNotNull())
-        last_o = st.groupBy(*keys, "_d").agg(F.max("_o").alias("_o"))
-        earlier = (st.join(last_o, [*keys, "_d", "_o"], "left_anti")
+        st = ev.filter(~F.col("_x")).filter(_placeable(ev, keys))
+        equal = st.groupBy(*keys, "_d", "_o", *state).agg(F.count("*").alias("_n"))
+        won = (st.groupBy(*keys, "_d").agg(F.max(F.struct("_o", *state)).alias("_won")))
+        rest = F.col("_n") - F.struct("_o", *state).eqNullSafe(F.col("_won")).cast("int")
+        earlier = (equal.join(won, [*keys, "_d"]).withColumn("_n", rest)
+                   .filter(F.col("_n") > 0)
+                   .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
                    .select(*keys, F.col("_d").alias("valid_from"),
                            F.date_sub("_d", 1).alias("valid_to"),
                            F.lit(False).alias("is_current"),
@@ -124,6 +139,28 @@ def scd2(events: DataFrame, key: str | Sequence[str], date: str, order: str,
     return versions
 
 
+def scd2_rejects(events: DataFrame, key: str | Sequence[str], date: str, order: str,
+                 state: Sequence[str], is_exit: Column | None = None,
+                 exits: DataFrame | None = None) -> DataFrame:
+    """Events and exits that :func:`scd2` cannot place: no day, or a NULL key column.
+
+    Output: key..., <date>, <order>, state..., ``is_exit``, ``reason`` ("null_key" or
+    "null_day"). Empty for a log that passed its gates.
+    """
+    keys, state = _as_list(key), list(state)
+    ev = _prepared(events, keys, date, order, state, is_exit)
+    if exits is not None:
+        extra = exits.select(*keys, F.col(date).alias("_d")).withColumn("_x", F.lit(True))
+        ev = ev.unionByName(extra, allowMissingColumns=True)
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    return (ev.filter(~_placeable(ev, keys))
+            .select(*keys, F.col("_d").alias(date), F.col("_o").alias(order), *state,
+                    F.col("_x").alias("is_exit"),
+                    F.when(no_key, "null_key").otherwise("null_day").alias("reason")))
+
+
 def next_event(events: DataFrame, key: str | Sequence[str], date: str, order: str,
                state: Sequence[str] = (), sentinel: _dt.date = SENTINEL) -> DataFrame:
     """The ``lead`` step alone: per (key, day) the next state day and the day before it.
@@ -150,50 +187,72 @@ def as_of(versions: DataFrame, day: Column) -> DataFrame:
     return versions.filter((F.col("valid_from") <= day) & (day <= F.col("valid_to")))
 
 
+def snapshot_profile(history: DataFrame, incoming: DataFrame, key: str | Sequence[str],
+                     load_date: _dt.date) -> DataFrame:
+    """One row of what :func:`apply_snapshot` cannot merge: NULL and duplicate keys of
+    the snapshot, and versions that start after the load day (a load out of order)."""
+    from strata.operators.gates import profile
+    keys = _as_list(key)
+    snap = profile(incoming.select(*keys), {}, key=keys).select(
+        F.col("null_keys"), F.col("duplicate_keys"), F.lit(0).cast("bigint").alias("later_versions"))
+    late = history.agg(F.lit(0).cast("bigint").alias("null_keys"),
+                       F.lit(0).cast("bigint").alias("duplicate_keys"),
+                       F.count_if(F.col("valid_from") > F.lit(load_date)).alias("later_versions"))
+    return snap.unionByName(late).agg(*[F.sum(c).alias(c) for c in snap.columns])
+
+
 def apply_snapshot(history: DataFrame, incoming: DataFrame, key: str | Sequence[str],
                    tracked: Sequence[str], load_date: _dt.date,
-                   sentinel: _dt.date = SENTINEL, hash_col: str = "row_hash") -> DataFrame:
+                   sentinel: _dt.date = SENTINEL, hash_col: str = "row_hash",
+                   gate: bool = True) -> DataFrame:
     """Merge a full snapshot of the source into a version table (incremental SCD2).
 
-    Per key, the current version's ``row_hash`` is compared with the incoming row's:
+    Per key, the version alive on ``load_date`` (an exit that lies after it counts as
+    still open) is compared with the incoming row by ``row_hash``:
 
     * equal          -> nothing changes (no new version);
-    * different      -> the current version ends on ``load_date - 1`` and a new
-      version starts on ``load_date``;
-    * only incoming  -> a new version starts on ``load_date``;
-    * only current   -> the current version ends on ``load_date - 1``.
+    * different      -> the version ends on ``load_date - 1`` and a new one starts on
+      ``load_date`` with the old one's end, so a planned exit stays planned;
+    * only incoming  -> a new open-ended version starts on ``load_date``;
+    * only history   -> the version ends on ``load_date - 1``.
+
+    A version that started on ``load_date`` itself never lived a day, so a corrected
+    snapshot of the same day replaces it instead of closing it.
 
-    Past versions pass through untouched (no shuffle). Current versions and the
-    incoming rows meet in one shuffle by key; with one current version per key and
-    a key-unique snapshot (both gated), a key holds at most two rows there.
+    One full outer join on the key does all of it: a history that is still partitioned
+    by key (as :func:`scd2` leaves it) is read once and not shuffled again. With
+    ``gate`` the snapshot's keys and the load order are checked first
+    (:func:`snapshot_profile`); without it the caller vouches for them.
 
     ``history`` needs key..., valid_from, valid_to, is_current, tracked...,
     ``hash_col``; the output has exactly those columns.
     """
     from strata.functions import md5_of
+    from strata.operators.gates import enforce
     keys, tracked = _as_list(key), list(tracked)
+    if gate:
+        enforce(snapshot_profile(history, incoming, keys, load_date), require_rows=False)
     cols = [*keys, "valid_from", "valid_to", "is_current", *tracked, hash_col]
-    past = history.filter(~F.col("is_current")).select(*cols)
-    cur = history.filter(F.col("is_current")).select(*cols).withColumn("_src", F.lit("cur"))
-    inc = (incoming.select(*keys, *tracked)
-           .withColumns({"valid_from": F.lit(load_date), "valid_to": F.lit(sentinel),
-                         "is_current": F.lit(True), hash_col: md5_of(tracked),
-                         "_src": F.lit("inc")})
-           .select(*cols, "_src"))
-    w = Window.partitionBy(*keys)
-    both = cur.unionByName(inc)
-    cur_h = F.max(F.when(F.col("_src") == "cur", F.col(hash_col))).over(w)
-    inc_h = F.max(F.when(F.col("_src") == "inc", F.col(hash_col))).over(w)
-    tagged = both.select("*", cur_h.alias("_ch"), inc_h.alias("_ih"))
-    same = F.coalesce(F.col("_ch") == F.col("_ih"), F.lit(False))
-    is_cur = F.col("_src") == "cur"
-    closed = ~same
-    out = (tagged
-           .filter(is_cur | ~same)                      # an unchanged incoming row adds nothing
-           .withColumn("valid_to", F.when(is_cur & closed,
-                                          F.lit(load_date - _dt.timedelta(days=1)))
-                       .otherwise(F.col("valid_to")))
-           .withColumn("is_current", F.when(is_cur & closed, F.lit(False))
-                       .otherwise(F.col("is_current")))
-           .select(*cols))
-    return past.unionByName(out)
+    day = F.lit(load_date)
+    old = history.select(*cols).withColumn(
+        "_alive", (F.col("valid_from") <= day) & (F.col("valid_to") >= day)).alias("h")
+    inc = incoming.select(*[F.col(c).alias(f"_i_{c}") for c in [*keys, *tracked]],
+                          md5_of(tracked).alias("_i_hash")).alias("i")
+    cond = F.col("_alive")
+    for k in keys:
+        cond = cond & (F.col(k) == F.col(f"_i_{k}"))
+    both = old.join(inc, cond, "full_outer")
+    is_old, is_inc = F.col("_alive").isNotNull(), F.col("_i_hash").isNotNull()
+    touched = is_old & F.col("_alive") & ~(is_inc & F.col(hash_col).eqNullSafe(F.col("_i_hash")))
+    born_today = F.col("valid_from") == day
+    closed_to = F.date_sub(day, 1)
+    kept = F.struct(*keys, "valid_from", F.when(touched, closed_to).otherwise(F.col("valid_to")).alias("valid_to"),
+                    F.when(touched, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
+                    *tracked, hash_col)
+    end = F.coalesce(F.col("valid_to"), F.lit(sentinel))
+    opened = F.struct(*[F.col(f"_i_{k}").alias(k) for k in keys], day.alias("valid_from"), end.alias("valid_to"),
+                      (end == F.lit(sentinel)).alias("is_current"), *[F.col(f"_i_{c}").alias(c) for c in tracked],
+                      F.col("_i_hash").alias(hash_col))
+    rows = F.array_compact(F.array(F.when(is_old & ~(touched & born_today), kept),
+                                   F.when(is_inc & (touched | ~is_old), opened)))
+    return both.select(F.inline(rows)).select(*cols)

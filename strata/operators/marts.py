@@ -50,7 +50,7 @@ def first_key_with_versions(versions: DataFrame, key: str, min_versions: int) ->
 def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date: str,
          how: str = "inner", valid_from: str = "valid_from",
          valid_to: str = "valid_to", bucket: str = "year",
-         horizon: DataFrame | None = None) -> DataFrame:
+         horizon: DataFrame | _dt.date | None = None) -> DataFrame:
     """Join each fact to the version with ``valid_from <= date <= valid_to``.
 
     Equi-join on (key, year) with the interval as a residual predicate:
@@ -65,9 +65,10 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
     ``how`` is "inner" (facts without a version are dropped) or "left" (kept with
     NULL version columns). Versions must not overlap per key (the history gate).
     ``bucket="month"`` trades more version copies for fewer comparisons per fact,
-    for histories that change many times a year. ``horizon`` (key..., ``_hz``: the
-    last fact day per key, or any later day) may be given when the caller can
-    compute it more cheaply than a pass over ``facts``.
+    for histories that change many times a year. ``horizon`` is the last fact day: one
+    day for all facts (:func:`last_day_of` reads it from the fact table before any
+    join, so the facts are planned once), or a table (key..., ``_hz``). Without it the
+    last day of each key is aggregated from ``facts``, which plans them a second time.
     """
     keys = _keys(key)
     if how not in ("inner", "left"):
@@ -82,8 +83,11 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
     clash = sorted(set(vcols) & set(facts.columns))
     if clash:
         raise ValueError(f"facts and versions share non-key columns {clash}; rename one side")
-    spans = (versions.join(horizon, keys)
-             .filter(F.col(valid_from) <= F.col("_hz"))
+    if isinstance(horizon, DataFrame):
+        capped = versions.join(horizon, keys)
+    else:
+        capped = versions.withColumn("_hz", F.lit(horizon))
+    spans = (capped.filter(F.col(valid_from) <= F.col("_hz"))
              .withColumn("_yr", F.explode(ascending(
                  unit(F.col(valid_from)), unit(F.least(F.col(valid_to), F.col("_hz"))))))
              .select(*keys, "_yr", *[F.col(c).alias(f"_v_{c}") for c in vcols]))
@@ -98,9 +102,14 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
                       *[spans[f"_v_{c}"].alias(c) for c in vcols])
 
 
+def last_day_of(facts: DataFrame, date: str) -> _dt.date:
+    """The last day of a fact table (one row read): the ``horizon`` of :func:`asof`."""
+    return facts.agg(F.max(date)).first()[0] or _dt.date(1, 1, 1)
+
+
 def obt(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date: str,
         dims: Sequence[tuple[DataFrame, str | Sequence[str]]] = (),
-        how: str = "left") -> DataFrame:
+        how: str = "left", horizon: DataFrame | _dt.date | None = None) -> DataFrame:
     """One big table: each fact with the version alive on its day and the
     attributes of every dimension joined onto that version.
 
@@ -110,7 +119,7 @@ def obt(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date: s
     wide = versions
     for dim, dkey in dims:
         wide = enrich(wide, dim, dkey)
-    return asof(facts, wide, key, date, how=how)
+    return asof(facts, wide, key, date, how=how, horizon=horizon)
 
 
 def snapshot(versions: DataFrame, lo: _dt.date, hi: _dt.date,

@@ -11,6 +11,8 @@ The input tables are TPC-H-shaped Parquet files; the HR roles map onto them as:
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +70,13 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(od, "l_orderkey")
 
 
+def last_ship_day(spark: SparkSession, sf_dir: str) -> dt.date:
+    """Last day of the facts, read from ``lineitem`` before any join (one row)."""
+    from strata.operators.marts import last_day_of
+    return last_day_of(table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("ship_date")), "ship_date")
+
+
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer attributes with nation and region names (one row per customer)."""
     c = table(spark, sf_dir, "customer").select(

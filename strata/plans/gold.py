@@ -8,19 +8,22 @@ history's shuffles. The OBT is written, not recomputed per reader.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import calendar, gates, marts
 from strata.operators.keys import with_keys
 from strata.plans.catalog import (STATE_COLUMNS, customer_dim, holiday_feed, order_facts,
-                                  order_history)
-from strata.sources.files import read_table, write_table
+                                  last_ship_day, order_history)
+from strata.sources.files import publish, read_table, write_table
 
 
 def build(spark: SparkSession, sf_dir: str, warehouse: str,
           partition_facts: bool = True) -> dict[str, str]:
-    """Write the Gold tables; returns {table: path}.
+    """Write the Gold tables into a folder of this run, gate them, and publish them
+    together (:func:`strata.sources.files.publish`); returns {table: path}.
 
     The facts are joined once, by the as-of join against the wide versioned
     dimension, and written as the OBT; the narrow fact table is then a column
@@ -35,11 +38,12 @@ def build(spark: SparkSession, sf_dir: str, warehouse: str,
     rebalance is the one extra shuffle of the OBT; ``partition_facts=False`` skips it.
     """
     from strata.plans import queries as q
-    wh = warehouse.rstrip("/")
+    run_id = uuid.uuid4().hex[:12]
+    base = f"{warehouse.rstrip('/')}/_runs/{run_id}/gold"
     paths: dict[str, str] = {}
 
     def put(name, df):
-        paths[name] = write_table(df, f"{wh}/gold/{name}")
+        paths[name] = write_table(df, f"{base}/{name}")
         return read_table(spark, paths[name])
 
     versions = put("employee_versions",
@@ -47,23 +51,26 @@ def build(spark: SparkSession, sf_dir: str, warehouse: str,
     # gate the written history before anything is derived from it
     gates.enforce(gates.history_violations(versions, "o_custkey"), allow=("gaps",),
                   require_rows=False)
-    dim = put("dim_customer_versioned",
-              marts.enrich(versions, customer_dim(spark, sf_dir), "o_custkey"))
+    customers = customer_dim(spark, sf_dir)
+    gates.enforce(gates.profile(customers.select("o_custkey"), {}, key="o_custkey"), require_rows=False)
+    dim = put("dim_customer_versioned", marts.enrich(versions, customers, "o_custkey"))
     put("dim_date", calendar.dim_date(
         spark, q.DIM_LO, q.DIM_HI,
         calendar.shape_calendar(holiday_feed(spark, sf_dir), q.DIM_LO, q.DIM_HI),
         q.DIM_COUNTRY))
     put("fact_headcount_snapshot",
         marts.snapshot(versions, q.SNAPSHOT_LO, q.SNAPSHOT_HI, by=["o_orderstatus"]))
-    obt = marts.obt(order_facts(spark, sf_dir), dim, "o_custkey", "ship_date", how="left")
+    obt = marts.obt(order_facts(spark, sf_dir), dim, "o_custkey", "ship_date", how="left",
+                    horizon=last_ship_day(spark, sf_dir))
     parts: list[str] = []
     if partition_facts:
         obt = (obt.withColumn("ship_month", F.date_format("ship_date", "yyyy-MM"))
                .hint("rebalance", "ship_month"))
         parts = ["ship_month"]
-    paths["obt"] = write_table(obt, f"{wh}/gold/obt", partition_by=parts)
+    paths["obt"] = write_table(obt, f"{base}/obt", partition_by=parts)
     obt = read_table(spark, paths["obt"])
     paths["fact_lines_asof"] = write_table(
         obt.select("l_orderkey", "l_linenumber", "o_custkey", "ship_date", "version_sk",
-                   *parts), f"{wh}/gold/fact_lines_asof", partition_by=parts)
+                   *parts), f"{base}/fact_lines_asof", partition_by=parts)
+    publish(spark, warehouse, run_id, {f"gold.{k}": p for k, p in paths.items()})
     return paths

@@ -75,19 +75,20 @@ v AS (SELECT o_custkey, o_orderkey, d AS valid_from,
 SELECT * FROM v WHERE valid_from > valid_to"""
 
 SQL["history_invariants"] = _HIST + """,
-lg AS (SELECT o_custkey, valid_from, valid_to, is_current,
-              lag(valid_to) OVER (PARTITION BY o_custkey ORDER BY valid_from, valid_to) AS pe
-       FROM h),
-pk AS (SELECT o_custkey, CAST(count_if(valid_from > valid_to) AS BIGINT) AS inv,
-              CAST(count_if(valid_from <= pe) AS BIGINT) AS ovl,
-              CAST(count_if(valid_from > CAST(pe + INTERVAL 1 DAY AS DATE)) AS BIGINT) AS gap,
-              CAST(count_if(is_current) AS BIGINT) AS cur
-       FROM lg GROUP BY o_custkey)
-SELECT CAST(coalesce(sum(inv), 0) AS BIGINT) AS inverted,
-       CAST(coalesce(sum(ovl), 0) AS BIGINT) AS overlaps,
-       CAST(coalesce(sum(gap), 0) AS BIGINT) AS gaps,
-       CAST(count_if(cur > 1) AS BIGINT) AS multi_current
-FROM pk"""
+p AS (SELECT o_custkey, valid_from, valid_to, is_current FROM h
+      UNION ALL SELECT o_custkey, valid_from, valid_from + 400, true FROM h WHERE o_custkey % 20 = 0
+      UNION ALL SELECT o_custkey, valid_from, valid_from - 5, false FROM h WHERE o_custkey % 21 = 0
+      UNION ALL SELECT o_custkey, valid_to + 100, valid_to + 200, false FROM h
+                WHERE o_custkey % 22 = 0 AND valid_to < DATE '9999-12-31'),
+lg AS (SELECT o_custkey, valid_from, max(valid_to) OVER (
+                PARTITION BY o_custkey ORDER BY valid_from, valid_to
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe
+       FROM p WHERE valid_from <= valid_to)
+SELECT (SELECT count(*) FROM p WHERE valid_from > valid_to) AS inverted,
+       (SELECT count(*) FROM lg WHERE valid_from <= pe) AS overlaps,
+       (SELECT count(*) FROM lg WHERE valid_from > pe + 1) AS gaps,
+       (SELECT count(*) FROM (SELECT o_custkey FROM p WHERE is_current
+                              GROUP BY o_custkey HAVING count(*) > 1) t) AS multi_current"""
 
 SQL["surrogate_key"] = _HIST + """
 SELECT o_custkey, valid_from,
@@ -133,7 +134,7 @@ SQL["fact_events_asof"] = _HIST + f""",
 {_FACTS}
 SELECT f.l_orderkey, f.l_linenumber, f.o_custkey, f.ship_date, h.valid_from, h.valid_to,
        h.o_orderstatus, h.o_orderpriority
-FROM f JOIN h ON f.o_custkey = h.o_custkey AND f.ship_date BETWEEN h.valid_from AND h.valid_to"""
+FROM f LEFT JOIN h ON f.o_custkey = h.o_custkey AND f.ship_date BETWEEN h.valid_from AND h.valid_to"""
 
 SQL["headcount_snapshot"] = _HIST + """,
 m AS (SELECT CAST(last_day(CAST(g AS DATE)) AS DATE) AS month_end
@@ -148,7 +149,7 @@ SQL["obt"] = _HIST + _DV + f""",
 {_FACTS}
 SELECT f.l_orderkey, f.l_linenumber, f.ship_date, f.o_custkey, dv.version_sk, dv.o_orderstatus,
        dv.price, dv.c_name, dv.c_mktsegment, dv.n_name, dv.r_name
-FROM f JOIN dv ON f.o_custkey = dv.o_custkey AND f.ship_date BETWEEN dv.valid_from AND dv.valid_to"""
+FROM f LEFT JOIN dv ON f.o_custkey = dv.o_custkey AND f.ship_date BETWEEN dv.valid_from AND dv.valid_to"""
 
 SQL["incremental_changes"] = _HIST + f""",
 k AS (SELECT *, {_ROWHASH} AS row_hash FROM h),
@@ -237,13 +238,15 @@ SELECT o_orderkey, date_text, {_parse('date_text')} AS order_date FROM ot"""
 
 SQL["quarantine_split"] = f"""
 WITH {_OT},
+od AS (SELECT o_orderkey, CASE WHEN o_orderkey % 89 <> 2 THEN date_text END AS date_text,
+              CASE WHEN o_orderkey % 83 = 5 THEN -price ELSE price END AS price FROM ot),
 v AS (SELECT o_orderkey,
              NULLIF(concat_ws(',',
                 CASE WHEN date_text IS NOT NULL AND {_parse('date_text')} IS NULL
                      THEN 'bad_date' END,
                 CASE WHEN date_text IS NULL THEN 'null_date' END,
                 CASE WHEN price <= 0 THEN 'nonpositive_price' END), '') AS violations
-      FROM ot)
+      FROM od)
 SELECT o_orderkey, violations IS NOT NULL AS quarantined, violations FROM v"""
 
 SQL["safe_int_cast"] = f"""
@@ -332,10 +335,13 @@ HAVING CAST(count_if(event_type = 'signup') AS BIGINT) <> 1
 
 SQL["gate_summary"] = f"""
 WITH {_OT},
-pk AS (SELECT o_orderkey, o_orderkey IS NULL AS nk, count(*) AS n,
+od AS (SELECT CASE WHEN o_orderkey % 101 = 0 THEN NULL WHEN o_orderkey % 53 = 0
+                   THEN -(o_orderkey % 7) - 1 ELSE o_orderkey END AS gk,
+              CASE WHEN o_orderkey % 89 <> 2 THEN date_text END AS date_text FROM ot),
+pk AS (SELECT gk, gk IS NULL AS nk, count(*) AS n,
               CAST(count_if(date_text IS NOT NULL AND {_parse('date_text')} IS NULL) AS BIGINT) AS bad_date,
               CAST(count_if(date_text IS NULL) AS BIGINT) AS null_date
-       FROM ot GROUP BY o_orderkey)
+       FROM od GROUP BY gk)
 SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS n_rows,
        CAST(coalesce(sum(CASE WHEN nk THEN n END), 0) AS BIGINT) AS null_keys,
        CAST(count_if(NOT nk AND n > 1) AS BIGINT) AS duplicate_keys,
@@ -351,6 +357,10 @@ SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS order_
        CAST(o_totalprice AS DECIMAL(18,2)) AS price
 FROM orders ORDER BY o_orderkey LIMIT 10"""
 
+SQL["chronological_log"] = """
+SELECT CAST(o_orderdate AS DATE) AS event_date, o_custkey, o_orderkey FROM orders
+ORDER BY event_date, o_custkey, o_orderkey"""
+
 # ---------------------------------------------------------------- nested
 
 _NESTED_FROM = """
@@ -410,7 +420,8 @@ SQL["first_array_element"] = """
 SELECT p_partkey, string_split(p_name, ' ')[1] AS first_word FROM part"""
 
 SQL["row_count_preserved"] = """
-SELECT count(*) AS n_in, count(*) AS n_out, true AS preserved FROM pages"""
+SELECT c_custkey, 1::BIGINT AS n_in, CASE WHEN c_custkey % 150 = 0 THEN 3 ELSE 2 END::BIGINT AS n_out
+FROM customer WHERE c_custkey % 50 = 0"""
 
 SQL["sql_nested_probe"] = f"""
 WITH {_PP}
@@ -433,49 +444,68 @@ _ALL_TABLES = ("region nation customer supplier part orders lineitem events docu
 SQL["table_counts"] = "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, count(*) AS n, "
     f"CASE WHEN count(*) > 0 THEN 'OK' ELSE 'EMPTY' END AS status FROM {t}"
-    for t in _ALL_TABLES)
+    for t in _ALL_TABLES) + "\nUNION ALL\nSELECT 'employees', NULL, 'MISSING'"
 
 SQL["multi_source_union"] = """
-SELECT event_id, user_id, event_type AS source FROM events"""
+SELECT event_id, user_id,
+       CASE event_id % 5 WHEN 0 THEN event_type || ' up' WHEN 1 THEN event_type || '/x:y=%'
+                         WHEN 2 THEN NULL ELSE event_type END AS source
+FROM events"""
 
 SQL["csv_roundtrip"] = """
-SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name,
-       CAST(n_regionkey AS VARCHAR) AS n_regionkey
-FROM nation"""
+SELECT CAST(event_id AS VARCHAR) AS event_id,
+       CASE WHEN event_id % 97 <> 3 THEN CAST(user_id AS VARCHAR) END AS user_id,
+       CASE WHEN event_id % 97 <> 3 THEN event_type END AS event_type,
+       CASE WHEN event_id % 97 = 3 THEN CAST(event_id AS VARCHAR)
+            WHEN event_id % 89 = 4 THEN concat_ws(',', event_id, user_id, event_type, 'extra')
+       END AS broken_line
+FROM events"""
 
 SQL["json_nested_roundtrip"] = """
 SELECT s.s_suppkey, s.s_name, n.n_nationkey AS nation_key, n.n_name AS nation_name,
        n.n_regionkey AS region_key, n.n_name AS tag_nation
 FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey"""
 
-SQL["idempotent_overwrite"] = "SELECT r_regionkey, r_name FROM region"
-
-SQL["workbook_scan"] = SQL["csv_roundtrip"]
+SQL["idempotent_overwrite"] = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders"
+
+SQL["source_changes"] = """
+WITH cur AS (SELECT c_custkey, md5(concat_ws('||', c_name, c_mktsegment)) AS hh FROM customer),
+alt AS (SELECT c_custkey, c_name,
+               CASE WHEN c_custkey % 11 = 0 THEN 'CHANGED' ELSE c_mktsegment END AS seg FROM customer),
+inc AS (SELECT c_custkey, md5(concat_ws('||', c_name, seg)) AS hh FROM alt WHERE c_custkey % 7 <> 0
+        UNION ALL
+        SELECT c_custkey + 10000000, md5(concat_ws('||', c_name, seg)) FROM alt WHERE c_custkey % 13 = 0)
+SELECT coalesce(cur.c_custkey, inc.c_custkey) AS c_custkey,
+       CASE WHEN cur.c_custkey IS NULL THEN 'new' WHEN inc.c_custkey IS NULL THEN 'gone'
+            WHEN cur.hh = inc.hh THEN 'unchanged' ELSE 'changed' END AS change,
+       cur.hh AS current_hash, inc.hh AS incoming_hash
+FROM cur FULL OUTER JOIN inc ON cur.c_custkey = inc.c_custkey"""
 
 SQL["scd2_incremental"] = _HIST + f""",
 base_st AS (SELECT * FROM st WHERE valid_from <= DATE '2000-12-31'),
-base AS (SELECT o_custkey, valid_from,
-                coalesce(CAST(lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from)
-                              - INTERVAL 1 DAY AS DATE), DATE '9999-12-31') AS valid_to,
-                o_orderstatus, o_orderpriority, price
-         FROM base_st),
-b AS (SELECT *, valid_to = DATE '9999-12-31' AS is_current, {_ROWHASH} AS row_hash FROM base),
+base AS (SELECT o_custkey, valid_from, nx, o_orderstatus, o_orderpriority, price
+         FROM (SELECT *, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS nx
+               FROM base_st) t),
+b AS (SELECT o_custkey, valid_from,
+             CASE WHEN nx IS NOT NULL THEN CAST(nx - INTERVAL 1 DAY AS DATE)
+                  ELSE coalesce(exit_date, DATE '9999-12-31') END AS valid_to,
+             o_orderstatus, o_orderpriority, price, {_ROWHASH} AS row_hash
+      FROM base LEFT JOIN ex ON o_custkey = xk),
 inc AS (SELECT o_custkey, o_orderstatus, o_orderpriority, price, {_ROWHASH} AS row_hash
         FROM h WHERE DATE '2001-06-30' BETWEEN valid_from AND valid_to),
-cur AS (SELECT * FROM b WHERE is_current),
-cur_out AS (
-  SELECT cur.o_custkey, cur.valid_from,
-         CASE WHEN inc.row_hash IS NOT DISTINCT FROM cur.row_hash THEN cur.valid_to
-              ELSE DATE '2001-06-30' END AS valid_to,
-         coalesce(inc.row_hash = cur.row_hash, false) AS is_current,
-         cur.o_orderstatus, cur.o_orderpriority, cur.price, cur.row_hash
-  FROM cur LEFT JOIN inc ON cur.o_custkey = inc.o_custkey),
-new_out AS (
-  SELECT inc.o_custkey, DATE '2001-07-01' AS valid_from, DATE '9999-12-31' AS valid_to,
-         true AS is_current, inc.o_orderstatus, inc.o_orderpriority, inc.price, inc.row_hash
-  FROM inc LEFT JOIN cur ON cur.o_custkey = inc.o_custkey
-  WHERE cur.o_custkey IS NULL OR cur.row_hash <> inc.row_hash)
-SELECT o_custkey, valid_from, valid_to, is_current, o_orderstatus, o_orderpriority, price,
-       row_hash FROM b WHERE NOT is_current
-UNION ALL SELECT * FROM cur_out
-UNION ALL SELECT * FROM new_out"""
+alive AS (SELECT * FROM b WHERE DATE '2001-07-01' BETWEEN valid_from AND valid_to),
+same AS (SELECT alive.o_custkey FROM alive JOIN inc ON alive.o_custkey = inc.o_custkey
+         WHERE alive.row_hash = inc.row_hash)
+SELECT o_custkey, valid_from, valid_to, valid_to = DATE '9999-12-31' AS is_current,
+       o_orderstatus, o_orderpriority, price, row_hash
+FROM b WHERE NOT DATE '2001-07-01' BETWEEN valid_from AND valid_to
+          OR o_custkey IN (SELECT o_custkey FROM same)
+UNION ALL
+SELECT o_custkey, valid_from, DATE '2001-06-30', false, o_orderstatus, o_orderpriority, price, row_hash
+FROM alive WHERE o_custkey NOT IN (SELECT o_custkey FROM same) AND valid_from < DATE '2001-07-01'
+UNION ALL
+SELECT inc.o_custkey, DATE '2001-07-01', coalesce(alive.valid_to, DATE '9999-12-31'),
+       coalesce(alive.valid_to, DATE '9999-12-31') = DATE '9999-12-31',
+       inc.o_orderstatus, inc.o_orderpriority, inc.price, inc.row_hash
+FROM inc LEFT JOIN alive ON inc.o_custkey = alive.o_custkey
+WHERE inc.o_custkey NOT IN (SELECT o_custkey FROM same)"""

@@ -10,15 +10,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.functions import no_digit, not_in_domain, parse_date
+from strata.functions import md5_of, no_digit, not_in_domain, parse_date
 from strata.operators import calendar, clean as cleaning, gates, marts, nested
-from strata.operators.history import as_of, current
+from strata.operators.history import SENTINEL, as_of, current
 from strata.operators.keys import with_keys
-from strata.plans.catalog import (STATE_COLUMNS, customer_dim, customer_nested,
-                                  customer_text, events_text, holiday_feed, order_facts,
+from strata.plans.catalog import (STATE_COLUMNS, customer_dim, customer_exits, customer_nested,
+                                  customer_text, events_text, holiday_feed, last_ship_day, order_facts,
                                   order_history, order_log, orders_text, page_params, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,7 +67,21 @@ def interval_violations(spark, sf_dir):
 
 @query
 def history_invariants(spark, sf_dir):
-    return gates.history_violations(order_history(spark, sf_dir), "o_custkey")
+    """The order history with planted breaks: key % 20 = 0 a second, current version of 400
+    days from the same start, key % 21 = 0 an inverted one, key % 22 = 0 one that starts 100
+    days after a closed one's end."""
+    v = order_history(spark, sf_dir).select("o_custkey", "valid_from", "valid_to", "is_current")
+    k, lo, hi = F.col("o_custkey"), F.col("valid_from"), F.col("valid_to")
+    spans = F.array_compact(F.array(
+        F.struct(lo.alias("valid_from"), hi.alias("valid_to"), "is_current"),
+        F.when(k % 20 == 0, F.struct(lo.alias("valid_from"), F.date_add(lo, 400).alias("valid_to"),
+                                     F.lit(True).alias("is_current"))),
+        F.when(k % 21 == 0, F.struct(lo.alias("valid_from"), F.date_sub(lo, 5).alias("valid_to"),
+                                     F.lit(False).alias("is_current"))),
+        F.when((k % 22 == 0) & (hi < F.lit(SENTINEL)), F.struct(
+            F.date_add(hi, 100).alias("valid_from"), F.date_add(hi, 200).alias("valid_to"),
+            F.lit(False).alias("is_current")))))
+    return gates.history_violations(v.select("o_custkey", F.inline(spans)), "o_custkey")
 
 
 @query
@@ -114,7 +129,7 @@ DIM_COUNTRY = "O"
 @query
 def fact_events_asof(spark, sf_dir):
     out = marts.asof(order_facts(spark, sf_dir), order_history(spark, sf_dir),
-                     "o_custkey", "ship_date")
+                     "o_custkey", "ship_date", how="left", horizon=last_ship_day(spark, sf_dir))
     return out.select("l_orderkey", "l_linenumber", "o_custkey", "ship_date",
                       "valid_from", "valid_to", "o_orderstatus", "o_orderpriority")
 
@@ -141,7 +156,8 @@ def dim_versioned(spark, sf_dir):
 def obt(spark, sf_dir):
     v = with_keys(order_history(spark, sf_dir), "o_custkey", STATE_COLUMNS)
     return marts.obt(order_facts(spark, sf_dir), v, "o_custkey", "ship_date",
-                     dims=[(customer_dim(spark, sf_dir), "o_custkey")], how="inner").select(
+                     dims=[(customer_dim(spark, sf_dir), "o_custkey")], how="left",
+                     horizon=last_ship_day(spark, sf_dir)).select(
         "l_orderkey", "l_linenumber", "ship_date", "o_custkey", "version_sk",
         "o_orderstatus", "price", "c_name", "c_mktsegment", "n_name", "r_name")
 
@@ -159,15 +175,34 @@ LOAD_DATE = dt.date(2001, 7, 1)
 
 @query
 def scd2_incremental(spark, sf_dir):
-    """History of orders up to CHANGE_CURRENT, merged with the customer states alive
-    on CHANGE_INCOMING (taken from the full history) as a snapshot loaded on LOAD_DATE."""
+    """History of orders up to CHANGE_CURRENT with the customers' exits (some of which lie
+    after the load), merged with the customer states alive on CHANGE_INCOMING (taken from
+    the full history) as a snapshot loaded on LOAD_DATE. Both sides come from ``scd2``, so
+    the snapshot is key-unique and no version starts after the load."""
     from strata.operators.history import apply_snapshot, scd2
     log = order_log(spark, sf_dir)
     base = with_keys(scd2(log.filter(F.col("event_date") <= F.lit(CHANGE_CURRENT)),
-                          "o_custkey", "event_date", "o_orderkey", STATE_COLUMNS),
+                          "o_custkey", "event_date", "o_orderkey", STATE_COLUMNS,
+                          exits=customer_exits(spark, sf_dir)),
                      "o_custkey", STATE_COLUMNS)
     snapshot = as_of(order_history(spark, sf_dir), F.lit(CHANGE_INCOMING))
-    return apply_snapshot(base, snapshot, "o_custkey", STATE_COLUMNS, LOAD_DATE)
+    return apply_snapshot(base, snapshot, "o_custkey", STATE_COLUMNS, LOAD_DATE, gate=False)
+
+
+@query
+def source_changes(spark, sf_dir):
+    """Two sources compared by row hash: ``customer``, and a second delivery of it without
+    key % 7 = 0, with another segment where key % 11 = 0, and with new keys (key + 10000000)
+    where key % 13 = 0."""
+    k = F.col("c_custkey")
+    now = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    then = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.when(
+        k % 11 == 0, F.lit("CHANGED")).otherwise(F.col("c_mktsegment")).alias("c_mktsegment"))
+    fresh = then.filter(k % 13 == 0).withColumn("c_custkey", k + 10_000_000)
+    cols = ["c_name", "c_mktsegment"]
+    return marts.changes(now.withColumn("row_hash", md5_of(cols)),
+                         then.filter(k % 7 != 0).unionByName(fresh).withColumn("row_hash", md5_of(cols)),
+                         "c_custkey")
 
 
 def _calendar(spark, sf_dir, lo, hi):
@@ -209,7 +244,12 @@ def parse_dates(spark, sf_dir):
 
 @query
 def quarantine_split(spark, sf_dir):
-    o = orders_text(spark, sf_dir)
+    """Landed orders with more planted defects, so that every rule fires, alone and with
+    others: no day where key % 89 = 2, a negative price where key % 83 = 5."""
+    k = F.col("o_orderkey")
+    o = (orders_text(spark, sf_dir)
+         .withColumn("date_text", F.when(k % 89 != 2, F.col("date_text")))
+         .withColumn("price", F.when(k % 83 == 5, -F.col("price")).otherwise(F.col("price"))))
     rules = {**_date_rules(), "nonpositive_price": F.col("price") <= 0}
     good, bad = gates.split_quarantine(o, rules)
     return (good.select("o_orderkey", F.lit(False).alias("quarantined"),
@@ -356,8 +396,14 @@ def exactly_one_start(spark, sf_dir):
 
 @query
 def gate_summary(spark, sf_dir):
-    o = orders_text(spark, sf_dir)
-    return gates.profile(o, _date_rules(), key="o_orderkey")
+    """Landed orders with planted keys: NULL where key % 101 = 0, one of seven shared keys
+    where key % 53 = 0; and no day where key % 89 = 2."""
+    k = F.col("o_orderkey")
+    o = (orders_text(spark, sf_dir)
+         .withColumn("date_text", F.when(k % 89 != 2, F.col("date_text")))
+         .withColumn("gate_key", F.when(k % 101 == 0, F.lit(None))
+                     .when(k % 53 == 0, -(k % 7) - 1).otherwise(k)))
+    return gates.profile(o, _date_rules(), key="gate_key")
 
 
 @query
@@ -375,6 +421,13 @@ def preview_top_n(spark, sf_dir):
                     ).orderBy("o_orderkey").limit(10)
 
 
+@query
+def chronological_log(spark, sf_dir):
+    """The whole event log in order of day, then entity, then event."""
+    return order_log(spark, sf_dir).select("event_date", "o_custkey", "o_orderkey").orderBy(
+        "event_date", "o_custkey", "o_orderkey")
+
+
 # --------------------------------------------------------------------------- nested
 # Wanted URL parameters -> output columns, nested paths -> columns.
 PARAM_COLUMNS = {"page": "param_page", "ref": "param_ref", "utm_source": "param_utm_source"}
@@ -424,9 +477,15 @@ def first_array_element(spark, sf_dir):
 
 @query
 def row_count_preserved(spark, sf_dir):
-    pages = page_params(spark, sf_dir)
-    flat = nested.lookup(pages, "params", PARAM_COLUMNS)
-    return gates.row_count_check(pages, flat)
+    """Keys whose rows multiply when ``enrich`` meets attributes that failed their uniqueness
+    gate: a second attribute row is planted where key % 50 = 0, a third where key % 150 = 0."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    copies = F.sequence(F.lit(1), F.when(k % 150 == 0, 3).when(k % 50 == 0, 2).otherwise(1))
+    attrs = c.select("c_custkey", "c_mktsegment", F.explode(copies).alias("copy"))
+    return gates.row_count_check(c.select("c_custkey"),
+                                 marts.enrich(c.select("c_custkey", "c_name"), attrs, "c_custkey"),
+                                 "c_custkey")
 
 
 @query
@@ -453,11 +512,11 @@ def sql_nested_probe(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- sources
-# The input table names (landing check) and one required file that
-# never lands there, so the check has something to report.
+# The input table names and one required table that never lands there, so
+# the check has something to report.
 INPUT_TABLES = ("region nation customer supplier part orders lineitem events documents "
                 "embeddings pages benchmark labels conversations").split()
-ABSENT_REQUIRED = "employees.xlsx"
+ABSENT_REQUIRED = "employees"
 
 
 @query
@@ -467,38 +526,55 @@ def audit_columns(spark, sf_dir):
         "o_orderkey", "_source_file", F.col("_ingested_at").isNotNull().alias("has_ingested_at"))
 
 
-@query
-def table_counts(spark, sf_dir):
-    from strata.sources.files import table_counts as counts
-    return counts({t: table(spark, sf_dir, t) for t in INPUT_TABLES})
+def _if_there(spark, sf_dir, name):
+    try:
+        return table(spark, sf_dir, name)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 @query
-def landing_missing(spark, sf_dir):
-    from strata.sources.files import landing_missing as missing
-    return missing(spark, sf_dir, [f"{t}.parquet" for t in INPUT_TABLES] + [ABSENT_REQUIRED])
+def table_counts(spark, sf_dir):
+    from strata.sources.files import table_counts as counts
+    return counts({t: _if_there(spark, sf_dir, t) for t in [*INPUT_TABLES, ABSENT_REQUIRED]})
 
 
 @query
 def multi_source_union(spark, sf_dir):
-    """Events landed as one folder per source (event type), read back as one scan."""
+    """Events landed as one folder per source, read back as one scan. Source names hold
+    spaces, slashes and colons, and some events have none."""
     from strata.session import shared_dir
     from strata.sources.files import union_sources, write_table
     path = shared_dir(spark, "multi-source")
-    write_table(_events(spark, sf_dir).select("event_id", "user_id", "event_type"), path,
-                partition_by=["event_type"])
-    return union_sources(spark, path).select("event_id", "user_id",
-                                             F.col("_source").alias("source"))
+    i, t = F.col("event_id") % 5, F.col("event_type")
+    source = (F.when(i == 0, F.concat(t, F.lit(" up"))).when(i == 1, F.concat(t, F.lit("/x:y=%")))
+              .when(i == 2, F.lit(None)).otherwise(t))
+    write_table(_events(spark, sf_dir).select("event_id", "user_id", source.alias("source")), path,
+                partition_by=["source"])
+    return union_sources(spark, path, source_column="source").select(
+        "event_id", "user_id", F.col("_source").alias("source"))
 
 
 @query
 def csv_roundtrip(spark, sf_dir):
+    """Events landed as CSV with broken lines: key % 97 = 3 ends after the first field,
+    key % 89 = 4 has one field too many. Every line comes back, the broken ones with their
+    raw text."""
     from strata.session import shared_dir
-    from strata.sources.files import all_string_schema, scan_csv, write_table
-    cols = ["n_nationkey", "n_name", "n_regionkey"]
+    from strata.sources.files import CORRUPT, all_string_schema, scan_csv, write_table
+    cols = ["event_id", "user_id", "event_type"]
     path = shared_dir(spark, "csv")
-    write_table(table(spark, sf_dir, "nation").select(*cols), path, fmt="csv", header="true")
-    return scan_csv(spark, path, all_string_schema(cols)).select(*cols)
+    k = F.col("event_id")
+    line = (F.when(k % 97 == 3, k.cast("string"))
+            .when(k % 89 == 4, F.concat_ws(",", *cols, F.lit("extra")))
+            .otherwise(F.concat_ws(",", *cols)))
+    # one column whose name is the header; a separator that no line holds keeps lines as they are
+    write_table(_events(spark, sf_dir).select(line.alias(",".join(cols))), path, fmt="csv",
+                header="true", sep="\x01")
+    return scan_csv(spark, path, all_string_schema(cols)).select(
+        *cols, F.col(CORRUPT).alias("broken_line"))
 
 
 SUPPLIER_JSON_SCHEMA = (
@@ -535,18 +611,7 @@ def idempotent_overwrite(spark, sf_dir):
     from strata.session import shared_dir
     from strata.sources.files import read_table, write_table
     path = shared_dir(spark, "overwrite")
-    region = table(spark, sf_dir, "region")
-    write_table(region, path)
-    write_table(region, path)        # a retry must leave exactly one copy
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    write_table(orders, path)
+    write_table(orders, path)        # a retry must leave exactly one copy
     return read_table(spark, path)
-
-
-@query
-def workbook_scan(spark, sf_dir):
-    from strata.session import shared_dir
-    from strata.sources.workbook import scan_workbooks, write_workbooks
-    cols = ["n_nationkey", "n_name", "n_regionkey"]
-    path = shared_dir(spark, "workbooks")
-    write_workbooks(table(spark, sf_dir, "nation").select(*cols).repartition(3), path,
-                    sheet="nations")
-    return scan_workbooks(spark, path, cols, sheet="nations").select(*cols)

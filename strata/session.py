@@ -1,8 +1,9 @@
 """Session construction and the shared scratch location.
 
 On a cluster the scratch location is the folder named by ``spark.checkpoint.dir``
-(shared storage every executor can reach). We only invent one when it is unset
-*and* the master is local, which is the test / bench situation.
+(shared storage every executor can reach). A folder is made only when it is unset
+*and* the master is a single machine, which is the test and bench situation; everywhere
+else an unset folder is an error.
 """
 
 from __future__ import annotations
@@ -10,50 +11,65 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
+# Settings of every session, and those that only suit one machine, where
+# partitions are small: keep small shuffles parallel, split skewed partitions early.
+COMMON = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+ONE_MACHINE = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+    # AQE may replace a sort-merge join by a shuffled hash join once it has measured
+    # every build-side partition below this size; above it the sort-merge join stays.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+}
+
+
+def is_one_machine(spark: SparkSession) -> bool:
+    """True for ``local`` and ``local[...]`` masters (not for ``local-cluster``)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "strata", extra: dict[str, str] | None = None) -> SparkSession:
-    """Build (or reuse) a session with the settings this library is tuned for.
+    """Build (or reuse) a session; what the launcher configured stays as it is.
 
-    AQE stays on: it coalesces small shuffles, turns joins against small sides into
-    broadcasts only after measuring them, and splits skewed join partitions.
+    No master is set unless one is given, so ``spark-submit``, ``spark-defaults.conf`` and
+    the environment decide. The library's settings fill in only what is not configured:
+    AQE and UTC everywhere, small-partition settings and one shuffle partition a core on a
+    single machine. On a cluster, size shuffles with :func:`scale_settings`.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    master = master or f"local[{cpus}]"
-    parts = shuffle_partitions or int(os.environ.get("STRATA_SHUFFLE_PARTITIONS", cpus))
-    builder = (
-        SparkSession.builder.master(master).appName(app)
-        .config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        # small shuffles still keep several partitions, so CPU-heavy steps after
-        # them (windows, explodes) stay parallel; big shuffles are unaffected
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # on one machine partitions are small, so let AQE split a join partition
-        # that is 3x the median and over 8 MB (cluster sizing: scale_settings)
-        .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "8MB")
-        .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "3")
-        # AQE may replace a sort-merge join by a shuffled hash join once it has
-        # measured every build-side partition below this size (no sort of the
-        # large side); above it the sort-merge join stays.
-        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master).config(
+            "spark.driver.memory", os.environ.get("STRATA_DRIVER_MEMORY", "16g"))
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    builder = (builder.config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    wanted = dict(COMMON)
+    if is_one_machine(spark):
+        wanted |= ONE_MACHINE | {"spark.sql.shuffle.partitions":
+                                 str(spark.sparkContext.defaultParallelism)}
+    apply_settings(spark, wanted, keep=[*(extra or {}), *(
+        ["spark.sql.shuffle.partitions"] if shuffle_partitions else [])])
     return spark
 
 
@@ -79,10 +95,15 @@ def scale_settings(input_bytes: int, cores: int, target_partition_bytes: int = 2
     }
 
 
-def apply_settings(spark: SparkSession, settings: dict[str, str]) -> None:
-    """Set runtime SQL confs (static ones such as memory must come from the launcher)."""
-    for k, v in settings.items():
+def apply_settings(spark: SparkSession, settings: dict[str, str],
+                   keep: Iterable[str] = ()) -> dict[str, str]:
+    """Set runtime SQL confs that the launcher left open (static ones such as memory must
+    come from it); returns those that were set."""
+    configured = spark.sparkContext.getConf()
+    own = {k: v for k, v in settings.items() if k not in set(keep) and not configured.contains(k)}
+    for k, v in own.items():
         spark.conf.set(k, v)
+    return own
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -96,7 +117,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
-    if not sc.master.startswith("local"):
+    if not is_one_machine(spark):
         raise RuntimeError(
             f"{_CKPT_KEY} is not set; on a cluster it must name a shared folder")
     path = tempfile.mkdtemp(prefix="strata-ckpt-")

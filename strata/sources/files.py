@@ -8,6 +8,7 @@ files Spark finds, and each row carries the real name of the file it came from
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,24 +25,32 @@ def all_string_schema(columns: Iterable[str]) -> StructType:
 def scan_csv(spark: SparkSession, path: str, schema: StructType,
              keep_corrupt: bool = True) -> DataFrame:
     """Header CSV with an explicit schema (no inference pass); malformed lines are
-    kept with their raw text in ``_corrupt_record`` instead of being dropped."""
+    kept with their raw text in ``_corrupt_record`` instead of being dropped. A header
+    whose names or order differ from the schema fails the read: columns are never bound
+    by position alone."""
     full = schema
     if keep_corrupt and CORRUPT not in schema.fieldNames():
         full = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
     reader = (spark.read.option("header", "true").option("mode", "PERMISSIVE")
+              .option("enforceSchema", "false")
               .option("columnNameOfCorruptRecord", CORRUPT).schema(full))
     return reader.csv(path)
 
 
 def scan_json(spark: SparkSession, path: str, schema: StructType | str,
-              multiline: bool = False) -> DataFrame:
-    """JSON with an explicit (possibly nested) schema (StructType or DDL text).
+              multiline: bool = False, keep_corrupt: bool = True) -> DataFrame:
+    """JSON with an explicit (possibly nested) schema (StructType or DDL text); what does
+    not parse is kept as text in ``_corrupt_record``.
 
     ``multiline=True`` reads pretty-printed arrays, as landed by an API export; such
     a file is one task, so parallelism is the number of files. Line-delimited JSON
     splits like CSV.
     """
-    return spark.read.schema(schema).option("multiLine", multiline).json(path)
+    full = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if keep_corrupt and CORRUPT not in full.fieldNames():
+        full = StructType([*full.fields, StructField(CORRUPT, StringType(), True)])
+    return (spark.read.schema(full).option("multiLine", multiline).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
 
 
 def with_audit(df: DataFrame) -> DataFrame:
@@ -54,13 +63,22 @@ def with_audit(df: DataFrame) -> DataFrame:
 
 
 def landed_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """File names present in a landing directory (file content is never read).
+    """(name, empty) of the files in a landing directory; file content is never read.
 
-    A zero-byte file yields no record from the ``binaryFile`` source, so an empty
-    export counts as missing here rather than failing later at the row-count gate.
+    A zero-byte file is listed with ``empty`` true, so an empty export is not taken for
+    a missing one.
     """
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-            .select(F.element_at(F.split("path", "/"), -1).alias("name")))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    present = files.select(F.element_at(F.split("path", "/"), -1).alias("name"),
+                           (F.col("length") == 0).alias("empty"))
+    # the binary source yields no record for a zero-byte file; the text source lists it
+    listed = [f.rsplit("/", 1)[-1] for f in
+              spark.read.option("pathGlobFilter", glob).text(path).inputFiles()]
+    if not listed:
+        return present
+    names = spark.createDataFrame([(unquote(n),) for n in listed], "name string")
+    return names.join(present, "name", "left").select(
+        "name", F.coalesce("empty", F.lit(True)).alias("empty"))
 
 
 def landing_missing(spark: SparkSession, path: str, required: Iterable[str],
@@ -71,10 +89,16 @@ def landing_missing(spark: SparkSession, path: str, required: Iterable[str],
 
 
 def require_landing(spark: SparkSession, path: str, required: Iterable[str]) -> None:
-    """Raise ``FileNotFoundError`` naming every missing file (reads only names)."""
-    missing = [r["name"] for r in landing_missing(spark, path, required).collect()]
+    """Raise ``FileNotFoundError`` naming every missing file, or ``ValueError`` naming
+    every empty one (reads only names and lengths)."""
+    req = spark.createDataFrame([(n,) for n in required], "name string")
+    found = req.join(landed_files(spark, path), "name", "left").collect()
+    missing = sorted(r["name"] for r in found if r["empty"] is None)
     if missing:
-        raise FileNotFoundError(f"missing in {path}: {sorted(missing)}")
+        raise FileNotFoundError(f"missing in {path}: {missing}")
+    empty = sorted(r["name"] for r in found if r["empty"])
+    if empty:
+        raise ValueError(f"empty in {path}: {empty}")
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet",
@@ -92,23 +116,29 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet",
     return path
 
 
-def publish(spark: SparkSession, staged: str, final: str) -> str:
-    """Move a gated staging table into place with one filesystem rename.
+def publish(spark: SparkSession, warehouse: str, run_id: str, paths: Mapping[str, str]) -> None:
+    """Make all tables of a run visible at once.
 
-    The live table is replaced only after its staged copy passed the gates, so a
-    failed gate never leaves bad rows where readers look. If the filesystem cannot
-    rename (some object stores), the staged table is rewritten to ``final``.
+    Tables are written to folders of their own run and never move. Publishing appends one
+    small file to ``<warehouse>/_published`` that lists them; a file appears whole or not
+    at all, so readers (:func:`published`) see the tables of one run or of the one before,
+    and a run that fails at any step changes nothing for them.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    src, dst = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(final)
-    fs = src.getFileSystem(conf)
-    if fs.exists(dst):
-        fs.delete(dst, True)
-    fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst):
-        spark.read.parquet(staged).write.mode("overwrite").parquet(final)
-    return final
+    import datetime as dt
+    now = dt.datetime.now(dt.timezone.utc).isoformat()
+    rows = [(run_id, now, t, p) for t, p in sorted(paths.items())]
+    (spark.createDataFrame(rows, "run_id string, published_at string, table_name string, path string")
+     .coalesce(1).write.mode("append").json(f"{warehouse.rstrip('/')}/_published"))
+
+
+def published(spark: SparkSession, warehouse: str) -> dict[str, str]:
+    """{table: path} as last published, table by table (a later run that published fewer
+    layers leaves the others as they were). Reads a few rows per run."""
+    log = (spark.read.schema("run_id string, published_at string, table_name string, path string")
+           .json(f"{warehouse.rstrip('/')}/_published"))
+    last = log.groupBy("table_name").agg(
+        F.max_by("path", F.struct("published_at", "run_id")).alias("path"))
+    return {r["table_name"]: r["path"] for r in last.collect()}
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -123,17 +153,22 @@ def missing_sources(df: DataFrame, expected: Iterable[str],
     return exp.join(df.select(source_col).distinct(), source_col, "left_anti")
 
 
-def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per table: name, row count, status ``OK`` (non-empty) or ``EMPTY``.
+def table_counts(tables: Mapping[str, DataFrame | None]) -> DataFrame:
+    """One row per table: name, row count, status ``OK`` (non-empty), ``EMPTY``, or
+    ``MISSING`` with a NULL count for a required table given as None.
 
     All counts run as one job (a union of global aggregates).
     """
-    parts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
-             for name, df in tables.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("status", F.when(F.col("n") > 0, "OK").otherwise("EMPTY"))
+    spark = next(df.sparkSession for df in tables.values() if df is not None)
+    out = None
+    for name, df in tables.items():
+        if df is None:
+            part = spark.range(1).select(F.lit(name).alias("table_name"), F.lit(None).cast("bigint").alias("n"))
+        else:
+            part = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table_name"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("status", F.when(F.col("n").isNull(), "MISSING")
+                          .when(F.col("n") > 0, "OK").otherwise("EMPTY"))
 
 
 def verify_tables(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet",
@@ -168,15 +203,26 @@ def verify_tables(spark: SparkSession, paths: Mapping[str, str], fmt: str = "par
 
 
 def union_sources(spark: SparkSession, path: str, schema: StructType | None = None,
-                  fmt: str = "parquet", source_from: str = "folder") -> DataFrame:
-    """Read every source landed under ``path`` as one scan and tag each row with
-    its source: the partition-style folder (``key=value``) or the file name."""
+                  fmt: str = "parquet", source_from: str = "folder",
+                  source_column: str | None = None) -> DataFrame:
+    """Read every source landed under ``path`` as one scan and tag each row with its
+    source in ``_source``: the value of the partition folder (``source_column=value``) or
+    the file name.
+
+    Folders are read by partition discovery with the source typed as text, so escaped
+    characters and NULL come back as they were written, and a filter on ``_source`` reads
+    only the folders it names.
+    """
     reader = spark.read.format(fmt)
-    if schema is not None:
-        reader = reader.schema(schema)
-    df = reader.option("recursiveFileLookup", "true").load(path)
-    if source_from == "folder":
-        src = F.regexp_extract(F.col("_metadata.file_path"), r"/[^/=]+=([^/]+)/[^/]+$", 1)
-    else:
-        src = F.col("_metadata.file_name")
-    return df.withColumn("_source", src)
+    if source_from != "folder":
+        if schema is not None:
+            reader = reader.schema(schema)
+        df = reader.option("recursiveFileLookup", "true").load(path)
+        return df.withColumn("_source", F.col("_metadata.file_name"))
+    if source_column is None:
+        raise ValueError("source_column names the partition folders")
+    fields = schema.fields if schema is not None else reader.load(path).schema.fields
+    typed = StructType([*[f for f in fields if f.name != source_column],
+                        StructField(source_column, StringType(), True)])
+    return (spark.read.format(fmt).schema(typed).load(path)
+            .withColumnRenamed(source_column, "_source"))

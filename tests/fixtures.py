@@ -72,7 +72,7 @@ CONTACTS = [
               {"key": "preferred_language", "value": "en"},
               {"key": "timezone", "value": "UTC"},
               {"key": "timezone", "value": "CET"}]),
-    _contact("P2", "NOT-A-NUMBER", "p2@work.test", None,
+    _contact("P2", "call reception", "p2@work.test", None,
              [{"key": "preferred_language", "value": "fr"}]),
     _contact("P3", None, None,
              {"full_name": "Lee", "relationship": "parent",

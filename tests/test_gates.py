@@ -62,8 +62,10 @@ def test_interval_and_row_count(spark):
     df = spark.createDataFrame([(d(2026, 1, 2), d(2026, 1, 1)), (d(2026, 1, 1), d(2026, 1, 1))],
                                "a date, b date")
     assert gates.interval_violations(df, "a", "b").count() == 1
-    row = gates.row_count_check(df, df.limit(1)).first()
-    assert (row["n_in"], row["n_out"], row["preserved"]) == (2, 1, False)
+    assert gates.row_count_check(df, df, "a").count() == 0
+    more = df.unionByName(df.filter("a = DATE'2026-01-02'")).filter("a > DATE'2026-01-01'")
+    rows = gates.row_count_check(df, more, "a").collect()
+    assert sorted((r["a"].day, r["n_in"], r["n_out"]) for r in rows) == [(1, 1, 0), (2, 1, 2)]
 
 
 def test_untrimmed_counts(spark):
@@ -81,4 +83,23 @@ def test_history_violations(spark):
         ("D", d(2026, 1, 5), d(2026, 1, 4), True), ("D", d(2026, 2, 1), d(9999, 12, 31), True),
     ], "k string, valid_from date, valid_to date, is_current boolean")
     row = gates.history_violations(v, "k").first().asDict()
-    assert row == {"inverted": 1, "overlaps": 1, "gaps": 2, "multi_current": 1}
+    # D's inverted version covers no day, so nothing starts late after it
+    assert row == {"inverted": 1, "overlaps": 1, "gaps": 1, "multi_current": 1}
+
+
+def test_versions_inside_a_longer_one_overlap_it(spark):
+    d = dt.date
+    v = spark.createDataFrame([
+        ("A", d(2026, 1, 1), d(2026, 12, 31), False), ("A", d(2026, 2, 1), d(2026, 2, 10), False),
+        ("A", d(2026, 3, 1), d(2026, 3, 10), False), ("A", d(2027, 1, 1), d(9999, 12, 31), True),
+        ("B", d(2026, 1, 1), d(2026, 1, 5), False), ("B", d(2026, 1, 1), d(2026, 1, 9), False),
+    ], "k string, valid_from date, valid_to date, is_current boolean")
+    row = gates.history_violations(v, "k").first().asDict()
+    assert row == {"inverted": 0, "overlaps": 3, "gaps": 0, "multi_current": 0}
+
+
+def test_failures_lists_every_rule_with_its_count(spark):
+    df = spark.createDataFrame([(1, None), (1, "x"), (None, "x")], "k int, v string")
+    row = gates.profile(df, {"null_v": F.col("v").isNull(), "x": F.col("v") == "x"}, key="k")
+    assert gates.failures(row, prefix="t.") == {"t.null_keys": 1, "t.duplicate_keys": 1, "t.null_v": 1, "t.x": 2}
+    assert gates.failures(gates.profile(df.limit(0), {})) == {"empty_input": 1}

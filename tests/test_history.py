@@ -157,6 +157,58 @@ def test_hot_key_is_collapsed_before_the_window(spark):
     assert "Aggregate" in window_input              # the window reads collapsed days
 
 
+def _keyed(spark, rows):
+    from strata.operators.keys import with_keys
+    df = spark.createDataFrame(rows, "k string, valid_from date, valid_to date, is_current boolean, v string")
+    return with_keys(df, "k", ["v"]).drop("version_sk")
+
+
+def _merged(spark, hist, snap, day):
+    from strata.operators.history import apply_snapshot
+    out = apply_snapshot(hist, spark.createDataFrame(snap, "k string, v string"), "k", ["v"], day)
+    return sorted((r["k"], r["valid_from"], r["valid_to"], r["is_current"], r["v"]) for r in out.collect())
+
+
+def test_corrected_snapshot_of_the_same_day_replaces(spark):
+    day = D(2026, 7, 1)
+    hist = _keyed(spark, [("a", D(2026, 1, 1), SENTINEL, True, "x"), ("b", D(2026, 1, 1), SENTINEL, True, "p")])
+    first = _merged(spark, hist, [("a", "y"), ("b", "p"), ("n", "1")], day)
+    again = _merged(spark, _keyed(spark, first), [("a", "z"), ("b", "p")], day)
+    assert again == [("a", D(2026, 1, 1), D(2026, 6, 30), False, "x"), ("a", day, SENTINEL, True, "z"),
+                     ("b", D(2026, 1, 1), SENTINEL, True, "p")]     # n never lived a day
+
+
+def test_future_exit_counts_as_open_and_stays_planned(spark):
+    day, out = D(2026, 7, 1), D(2026, 9, 30)
+    hist = _keyed(spark, [("a", D(2026, 1, 1), out, False, "x"), ("b", D(2026, 1, 1), out, False, "p"),
+                             ("c", D(2026, 1, 1), D(2026, 6, 30), False, "q")])
+    assert _merged(spark, hist, [("a", "y"), ("b", "p"), ("c", "q")], day) == [
+        ("a", D(2026, 1, 1), D(2026, 6, 30), False, "x"), ("a", day, out, False, "y"),
+        ("b", D(2026, 1, 1), out, False, "p"),
+        ("c", D(2026, 1, 1), D(2026, 6, 30), False, "q"), ("c", day, SENTINEL, True, "q")]
+
+
+@pytest.mark.parametrize("snap,day,rule", [
+    ([("a", "y"), ("a", "z")], D(2026, 7, 1), "duplicate_keys=1"), ([(None, "y")], D(2026, 7, 1), "null_keys=1"),
+    ([("a", "y")], D(2025, 7, 1), "later_versions=1")])
+def test_snapshots_that_cannot_be_merged_are_refused(spark, snap, day, rule):
+    from strata.operators.gates import QualityError
+    with pytest.raises(QualityError, match=rule):
+        _merged(spark, _keyed(spark, [("a", D(2026, 1, 1), SENTINEL, True, "x")]), snap, day)
+
+
+def test_ties_and_undated_events_are_kept_or_reported(spark):
+    from strata.operators.history import scd2_rejects
+    rows = [("a", 1, D(2026, 1, 1), "x"), ("a", 1, D(2026, 1, 1), "y"), ("a", 1, D(2026, 1, 1), "y"),
+            ("a", 2, None, "z"), (None, 3, D(2026, 1, 1), "w"), ("a", 0, D(2026, 1, 1), None)]
+    ev = spark.createDataFrame(rows, "k string, o int, d date, v string")
+    got = scd2(ev, "k", "d", "o", ["v"], same_day="fail").collect()
+    assert sorted((r["o"], r["v"] or "", r["valid_to"] == SENTINEL) for r in got) == [
+        (0, "", False), (1, "x", False), (1, "y", False), (1, "y", True)]
+    bad = scd2_rejects(ev, "k", "d", "o", ["v"]).collect()
+    assert sorted((r["o"], r["reason"]) for r in bad) == [(2, "null_day"), (3, "null_key")]
+
+
 def test_apply_snapshot_opens_closes_and_keeps(spark):
     from strata.operators.history import apply_snapshot
     from strata.operators.keys import with_keys

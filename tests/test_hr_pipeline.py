@@ -65,12 +65,13 @@ def test_contacts_flat_one_row_per_employee(built):
     assert c["P1"]["pref_timezone"] == "UTC"                  # first key wins
     assert c["P3"]["pref_language"] is None and c["P4"]["pref_language"] is None
     assert "preferences" not in c["P1"].asDict()
+    assert c["P1"]["last_updated_ts"].isoformat().startswith("2026-06-01T10:00:00")
 
 
 def test_contact_quarantine_keeps_raw_value(built):
     q = built["silver.employee_contact_info_quarantine"].collect()
     assert [(r["employee_id"], r["mobile_phone"], list(r["_violations"])) for r in q] == [
-        ("P2", "NOT-A-NUMBER", ["mobile_phone_no_digit"])]
+        ("P2", "call reception", ["mobile_phone_no_digit"])]
 
 
 def test_holidays_shaped_to_window(built):
@@ -136,17 +137,114 @@ def test_per_country_holiday_files_and_missing_country(spark, tmp_path):
     from tests.fixtures import HOLIDAYS
     landing = write_landing(str(tmp_path / "landing"))
     os.remove(os.path.join(landing, "public_holidays.json"))
+    with pytest.raises(FileNotFoundError, match="public_holidays.json"):
+        hr.run(spark, landing, str(tmp_path / "wh"))
     for cc in ("GB", "US", "IN"):
         with open(os.path.join(landing, f"public_holidays_{cc}.json"), "w") as f:
             json.dump([h for h in HOLIDAYS if h["countryCode"] == cc], f, indent=2)
-    with open(os.path.join(landing, "public_holidays.json"), "w") as f:
-        f.write("[]")
-    paths = hr.run(spark, landing, str(tmp_path / "wh"), holiday_countries=["GB", "US", "IN"])
+    paths = hr.run(spark, landing, str(tmp_path / "wh"), holiday_countries=["GB", "US", "IN"],
+                   calendar_hi=D(2026, 12, 31))
     bronze = read_table(spark, paths["bronze.public_holidays"])
     assert bronze.count() == 4
     assert bronze.select("_source_file").distinct().count() == 3
-    with pytest.raises(QualityError, match="missing_holiday_country"):
+    assert read_table(spark, paths["silver.public_holidays"]).count() == 4   # the window is a parameter
+    with pytest.raises(QualityError, match="missing_holiday_country.FR"):
         hr.run(spark, landing, str(tmp_path / "wh2"), holiday_countries=["GB", "FR"])
+    with open(os.path.join(landing, "public_holidays.json"), "w") as f:
+        json.dump(HOLIDAYS, f)
+    with pytest.raises(ValueError, match="count twice"):
+        hr.run(spark, landing, str(tmp_path / "wh3"))
+
+
+def _append(name, line):
+    def change(landing):
+        with open(os.path.join(landing, name), "a") as f:
+            f.write(line)
+    return change
+
+
+def _edit(name, old, new):
+    def change(landing):
+        p = os.path.join(landing, name)
+        with open(p) as f:
+            text = f.read()
+        assert old in text
+        with open(p, "w") as f:
+            f.write(text.replace(old, new, 1))
+    return change
+
+
+def _truncate(name):
+    def change(landing):
+        p = os.path.join(landing, name)
+        with open(p) as f:
+            text = f.read()
+        with open(p, "w") as f:
+            f.write(text[:len(text) * 2 // 3])
+    return change
+
+
+def _roster(change_rows):
+    def change(landing):
+        from strata.sources.workbook import workbook_bytes
+        from tests.fixtures import EMPLOYEES, EMPLOYEES_HEADER
+        with open(os.path.join(landing, "employees.xlsx"), "wb") as f:
+            f.write(workbook_bytes("employees", EMPLOYEES_HEADER, change_rows([list(r) for r in EMPLOYEES])))
+    return change
+
+
+@pytest.mark.parametrize("change,names", [
+    (_truncate("employee_contact_info.json"), ["employee_contact_info.corrupt_record"]),
+    (_append("employee_events.csv", "V10,P4,TRANSFER,2026-05-01\n"), ["employee_events.corrupt_record=1"]),
+    (_append("employee_events.csv", "V10,P4,TRANSFER,2026-05-01,D2,J3,,13O,\n"), ["employee_events.bad_salary=1"]),
+    (_append("employee_events.csv", "V10,P4,X1,2026-05-01,D2,J3,,1,\nV11,P4,X2,2026-06-01,D2,J3,,1,\nV11,,HIRE,2026-06-02,,,,1,\n"),
+     ["employee_events.unknown_type=2", "employee_events.duplicate_keys=1", "employee_events.null_employee=1"]),
+    (_append("employee_events.csv", "V10,P4,TRANSFER,2026/05/01,D2,J3,,1,\nV11,P4,TRANSFER,soon,D2,J3,,1,\n"),
+     ["employee_events.bad_event_date=2"]),
+    (_edit("public_holidays.json", "2026-05-25", "2026/05/25"), ["public_holidays.bad_date=1"]),
+    (_edit("employee_contact_info.json", '"employee_id": "P1"', '"employee_id": null'), ["employee_contact_info.null_keys=1"]),
+    (_edit("employee_contact_info.json", '"employee_id": "P1"', '"employee_id": "P2"'), ["employee_contact_info.duplicate_keys=1"]),
+    (_roster(lambda rows: [[None, *rows[0][1:]], *rows[1:]]), ["employees.null_keys=1"]),
+    (_roster(lambda rows: [*rows, rows[0]]), ["employees.duplicate_keys=1"]),
+])
+def test_malformed_landing_files_fail_by_name(spark, tmp_path, change, names):
+    from strata.sources.files import published
+    landing, wh = write_landing(str(tmp_path / "landing")), str(tmp_path / "wh")
+    change(landing)
+    with pytest.raises(QualityError) as e:
+        hr.run(spark, landing, wh)
+    assert all(n in str(e.value) for n in names), str(e.value)
+    assert not os.path.exists(os.path.join(wh, "_published"))
+
+
+def test_reordered_header_fails_the_run(spark, tmp_path):
+    landing = write_landing(str(tmp_path / "landing"))
+    _edit("departments.csv", "department_id,department_name,cost_center", "cost_center,department_name,department_id")(landing)
+    with pytest.raises(Exception, match="header"):
+        hr.run(spark, landing, str(tmp_path / "wh"))
+
+
+def test_failed_run_leaves_the_published_run_readable(spark, tmp_path, monkeypatch):
+    from strata.sources.files import published
+    landing, wh = write_landing(str(tmp_path / "landing")), str(tmp_path / "wh")
+    good = hr.run(spark, landing, wh)
+    assert published(spark, wh) == good
+    steps = {"n": 0}
+    write = hr.write_table
+
+    def crash(df, path, *a, **k):
+        steps["n"] += 1
+        if steps["n"] == steps["at"]:
+            raise OSError("disk gone")
+        return write(df, path, *a, **k)
+
+    monkeypatch.setattr(hr, "write_table", crash)
+    for at in (2, 8, 12):
+        steps |= {"n": 0, "at": at}
+        with pytest.raises(OSError):
+            hr.run(spark, landing, wh)
+        assert published(spark, wh) == good
+        assert read_table(spark, good["silver.employees_scd2"]).count() == 8
 
 
 def test_command_line_hr_with_gold(spark, tmp_path, capsys):

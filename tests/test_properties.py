@@ -161,3 +161,44 @@ def test_snapshot_matches_brute_force(spark, spans):
             if vf <= e <= vt:
                 want[(e, g)] = want.get((e, g), 0) + 1
     assert got == sorted((e, g, n) for (e, g), n in want.items())
+
+
+maybe_events = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(0, 5)),
+                                  st.integers(0, 2), st.sampled_from(["S", "S", "S", "X"]), st.integers(0, 1)),
+                        min_size=1, max_size=14)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(maybe_events)
+def test_versions_exits_and_rejects_are_all_events(spark, evs):
+    from strata.operators.history import scd2_rejects
+    rows = [(k, None if d is None else BASE + d * ONE, o, kind, v) for k, d, o, kind, v in evs]
+    df = spark.createDataFrame(rows, "k string, day date, o int, kind string, v int")
+    args = dict(key="k", date="day", order="o", state=["v"], is_exit=F.col("kind") == "X")
+    got = [(r["k"], r["valid_from"], r["o"], "S", r["v"]) for r in scd2(df, same_day="fail", **args).collect()]
+    got += [(r["k"], r["day"], r["o"], "X" if r["is_exit"] else "S", r["v"]) for r in scd2_rejects(df, **args).collect()]
+    got += [r for r in rows if r[3] == "X" and r[0] is not None and r[1] is not None]
+    assert sorted(map(str, got)) == sorted(map(str, rows))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.sampled_from("xyz")), min_size=1, max_size=5, unique_by=lambda t: t[0]),
+       st.lists(st.dictionaries(st.sampled_from("abc"), st.sampled_from("xyz"), min_size=1, max_size=3), min_size=1, max_size=3),
+       st.lists(st.integers(0, 2), min_size=3, max_size=3))
+def test_chained_snapshots_keep_the_invariants(spark, start, snaps, steps):
+    from strata.operators import gates
+    from strata.operators.history import apply_snapshot
+    from strata.operators.keys import with_keys
+    ends = [SENTINEL, BASE + 3 * ONE]
+    rows = [(k, BASE - 9 * ONE, ends[i % 2], i % 2 == 0, v) for i, (k, v) in enumerate(start)]
+    hist = with_keys(spark.createDataFrame(
+        rows, "k string, valid_from date, valid_to date, is_current boolean, v string"), "k", ["v"]).drop("version_sk")
+    load = BASE
+    for snap, step in zip(snaps, steps):
+        load = load + step * ONE                            # a step of 0 loads the same day again
+        hist = apply_snapshot(hist, spark.createDataFrame(list(snap.items()), "k string, v string"), "k", ["v"], load)
+        row = gates.history_violations(hist, "k").first()
+        assert (row["inverted"], row["overlaps"], row["multi_current"]) == (0, 0, 0)
+        assert gates.duplicate_keys(hist, ["k", "valid_from"]).count() == 0
+        alive = {r["k"]: r["v"] for r in hist.collect() if r["valid_from"] <= load <= r["valid_to"]}
+        assert alive == snap

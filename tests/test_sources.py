@@ -1,6 +1,8 @@
 import json
 import os
 
+import pytest
+
 from pyspark.sql.types import StructType
 
 from strata.sources import files
@@ -43,13 +45,45 @@ def test_landing_missing_and_require(spark, tmp_dir):
     open(os.path.join(tmp_dir, "empty.csv"), "w").close()
     miss = sorted(r["name"] for r in files.landing_missing(
         spark, tmp_dir, ["a.csv", "b.csv", "empty.csv"]).collect())
-    assert miss == ["b.csv", "empty.csv"]
-    try:
+    assert miss == ["b.csv"]
+    files.require_landing(spark, tmp_dir, ["a.csv"])
+    with pytest.raises(FileNotFoundError, match=r"\['b.csv'\]"):
         files.require_landing(spark, tmp_dir, ["a.csv", "b.csv"])
-    except FileNotFoundError as e:
-        assert "b.csv" in str(e)
-    else:
-        raise AssertionError("expected FileNotFoundError")
+    with pytest.raises(ValueError, match="empty in .*empty.csv"):
+        files.require_landing(spark, tmp_dir, ["a.csv", "empty.csv"])
+
+
+def test_reordered_header_is_refused(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "a.csv"), "w") as f:
+        f.write("b,a\n1,2\n")
+    with pytest.raises(Exception, match="header"):
+        files.scan_csv(spark, tmp_dir, files.all_string_schema(["a", "b"])).collect()
+
+
+def test_broken_lines_and_json_keep_their_text(spark, tmp_dir):
+    with open(os.path.join(tmp_dir, "a.csv"), "w") as f:
+        f.write("a,b\n1,2\n3\n4,5,6\n")
+    rows = files.scan_csv(spark, os.path.join(tmp_dir, "a.csv"), files.all_string_schema(["a", "b"])).collect()
+    assert [r[files.CORRUPT] for r in rows] == [None, "3", "4,5,6"]
+    with open(os.path.join(tmp_dir, "c.json"), "w") as f:
+        f.write('[{"x": "1"}, {"x": ')
+    rows = files.scan_json(spark, os.path.join(tmp_dir, "c.json"), "x string", multiline=True).collect()
+    assert any(r[files.CORRUPT] is not None for r in rows)
+
+
+def test_published_tables_switch_together(spark, tmp_dir):
+    files.publish(spark, tmp_dir, "r1", {"silver.a": "/1/a", "silver.b": "/1/b"})
+    files.publish(spark, tmp_dir, "r2", {"gold.g": "/2/g"})
+    files.publish(spark, tmp_dir, "r3", {"silver.a": "/3/a", "silver.b": "/3/b"})
+    assert files.published(spark, tmp_dir) == {"silver.a": "/3/a", "silver.b": "/3/b", "gold.g": "/2/g"}
+
+
+def test_source_names_survive(spark, tmp_dir):
+    names = ["sign up", "a/b:c", "x=y%20", "é", None, "12", "007"]
+    p = os.path.join(tmp_dir, "s")
+    files.write_table(spark.createDataFrame(list(enumerate(names)), "id int, src string"), p, partition_by=["src"])
+    got = files.union_sources(spark, p, source_column="src").collect()
+    assert {r["id"]: r["_source"] for r in got} == dict(enumerate(names))
 
 
 def test_overwrite_twice_leaves_one_copy(spark, tmp_dir):
@@ -62,12 +96,12 @@ def test_overwrite_twice_leaves_one_copy(spark, tmp_dir):
 
 def test_table_counts_and_missing_sources(spark, tmp_dir):
     out = {r["table_name"]: (r["n"], r["status"]) for r in files.table_counts(
-        {"a": spark.range(3), "b": spark.range(0)}).collect()}
-    assert out == {"a": (3, "OK"), "b": (0, "EMPTY")}
+        {"a": spark.range(3), "b": spark.range(0), "c": None}).collect()}
+    assert out == {"a": (3, "OK"), "b": (0, "EMPTY"), "c": (None, "MISSING")}
     p = os.path.join(tmp_dir, "u")
     files.write_table(spark.createDataFrame([(1, "GB"), (2, "US")], "id int, cc string"), p,
                       partition_by=["cc"])
-    u = files.union_sources(spark, p)
+    u = files.union_sources(spark, p, source_column="cc")
     assert sorted(r["_source"] for r in u.collect()) == ["GB", "US"]
     assert [r["_source"] for r in files.missing_sources(u, ["GB", "US", "IN"]).collect()] == ["IN"]
 
