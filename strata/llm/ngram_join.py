@@ -16,7 +16,8 @@ Buckets compare signatures loosely (four standard deviations below the threshold
 a forest of what is alike. Components of these forests are families; inside a family all pairs are
 compared exactly on their whole sets, block by block, each pair once. So links are counted exactly
 without listing pairs. Only documents of families have their sets built a second time and shuffled:
-a Bloom filter of bounded size over the ids of families rules most others out where they are read.
+a Bloom filter of bounded size over the ids of families rules most others out where they are read,
+and the rest travel as packed texts, which are smaller than their sets.
 
 Cases: a text without words (NULL, empty, only white space) and a NULL doc_id link with nothing. A
 text with fewer than five words has one shingle of all of them. Rows that share a doc_id are
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -242,6 +244,7 @@ def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
 
 def _compare_sets(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
     """(a, b, 0) links of a forest, and (a, a, n) with n documents linked to those of a."""
+    unpack = zstandard.ZstdDecompressor()
     for g in grouped(batches, "group"):
         if len(g) < 2:
             continue
@@ -250,7 +253,8 @@ def _compare_sets(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterat
         keep = [k for k in range(len(node)) if not k or node[k] != node[k - 1]]  # rows that share id and text
         if len(keep) < len(node):
             g = g.take(pa.array(keep)).combine_chunks()
-        sets = [np.frombuffer(x, np.uint64) for x in g.column("shingles").to_pylist()]
+        texts = pa.array([unpack.decompress(x) for x in g.column("packed").to_pylist()], pa.binary())
+        sets = [x for _, _, _, found in _sets(texts) for x in found]
         size, copies, own = np.array([len(s) for s in sets]), g.column("copies").to_numpy(), g.column("own").to_numpy()
         i, j = g.column("i")[0].as_py(), g.column("j")[0].as_py()
         left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
@@ -302,12 +306,14 @@ def jaccard_join(docs: DataFrame, threshold: float = JACCARD, recall: float = RE
         for b in batches:
             b = b.filter(b.column("doc_id").is_valid())
             b = b.filter(pa.array(filter_has(sent.value, bits, b.column("doc_id").to_numpy())))
-            for _, _, _, found in _sets(b.column("text")):
+            pack = zstandard.ZstdCompressor(level=3)
+            for lo, _, _, found in _sets(b.column("text")):
+                texts = b.column("text").slice(lo, len(found)).cast(pa.binary()).to_pylist()
                 yield pa.RecordBatch.from_pydict({"node": pa.array([_set_id(s) for s in found], pa.binary()),
-                                                  "shingles": pa.array([s.tobytes() for s in found], pa.binary())})
+                                                  "packed": pa.array([pack.compress(t or b"") for t in texts], pa.binary())})
 
-    built = own.mapInArrow(build, "node binary, shingles binary").join(wanted.drop("rep"), "node")
-    exact = (_dealt(built, "family", "n", EXACT).select("group", "own", "i", "j", "node", "copies", "shingles")
+    built = own.mapInArrow(build, "node binary, packed binary").join(wanted.drop("rep"), "node")
+    exact = (_dealt(built, "family", "n", EXACT).select("group", "own", "i", "j", "node", "copies", "packed")
              .repartition("group").sortWithinPartitions("group", "node"))
     found = stored(exact.mapInArrow(lambda it: _compare_sets(it, threshold), "a binary, b binary, n long"))
     counts = found.filter(F.col("n") > 0).groupBy(F.col("a").alias("node")).agg(F.sum("n").alias("links"))
