@@ -15,7 +15,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import ascending, month_end_of_index, month_index
@@ -127,21 +127,27 @@ def snapshot(versions: DataFrame, lo: _dt.date, hi: _dt.date,
              valid_to: str = "valid_to", name: str = "headcount") -> DataFrame:
     """Versions alive at each month end in [lo, hi], counted per ``by``.
 
-    A version alive on month end ``e`` satisfies ``valid_from <= e <= valid_to``.
-    Each version generates its own month ends (``explode(sequence)``), bounded by
-    ``hi`` so the open-ended sentinel never expands; no range join, no shuffle
-    before the (partially aggregated) count.
+    A version alive on month end ``e`` satisfies ``valid_from <= e <= valid_to``. It adds
+    one at its first month end and takes one off after its last: two rows a version,
+    however long it lives, summed per (group, month) with a map-side step. A running sum
+    over that small table gives the counts, and each one is repeated up to the month of
+    the next change. No range join, and the open-ended sentinel never expands.
     """
     vf, vt = F.col(valid_from), F.least(F.col(valid_to), F.lit(hi))
-    first_m = month_index(vf)                       # month end of valid_from's month
-    last_m = F.when(F.last_day(vt) == vt, month_index(vt)).otherwise(month_index(vt) - 1)
-    lo_m = month_index(F.lit(lo))
-    months = ascending(F.greatest(first_m, lo_m), last_m)
-    exploded = (versions.filter(vf <= F.lit(hi))
-                .select(*by, F.explode(months).alias("_m"))
-                .withColumn("month_end", month_end_of_index("_m"))
-                .filter((F.col("month_end") >= F.lit(lo)) & (F.col("month_end") <= F.lit(hi))))
-    return exploded.groupBy("month_end", *by).agg(F.count("*").alias(name))
+    last = F.when(F.last_day(vt) == vt, month_index(vt)).otherwise(month_index(vt) - 1)
+    lives = (versions.filter(vf <= F.lit(hi))
+             .select(*by, F.greatest(month_index(vf), month_index(F.lit(lo))).alias("_a"),
+                     last.alias("_z"))
+             .filter(F.col("_a") <= F.col("_z")))
+    steps = (lives.select(*by, F.inline(F.array(
+        F.struct(F.col("_a").alias("_m"), F.lit(1).alias("_d")),
+        F.struct((F.col("_z") + 1).alias("_m"), F.lit(-1).alias("_d")))))
+        .groupBy(*by, "_m").agg(F.sum("_d").alias("_d")))
+    w = Window.partitionBy(*by).orderBy("_m")
+    counts = (steps.select(*by, "_m", F.sum("_d").over(w).alias(name), F.lead("_m").over(w).alias("_next"))
+              .filter(F.col(name) > 0))
+    return (counts.withColumn("_i", F.explode(ascending(F.col("_m"), F.col("_next") - 1)))
+            .select(month_end_of_index("_i").alias("month_end"), *by, name))
 
 
 def _classify(in_cur, in_inc, h_cur, h_inc):

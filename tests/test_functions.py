@@ -78,3 +78,11 @@ def test_no_digit(spark):
     df = spark.createDataFrame([("call reception",), ("+1 555",), (None,)], "t string")
     got = [r["x"] for r in df.select(S.no_digit("t").alias("x")).collect()]
     assert got == [True, False, None]
+
+
+def test_hashes_of_different_values_differ(spark):
+    from strata.functions import md5_of
+    rows = [("NULL", "x"), (None, "x"), ("a||b", "c"), ("a", "b||c"), ("a|", "|b"), ("a||", "b"), ("\\NULL", "x"),
+            ("a\\", "b"), ("a", "\\b")]
+    got = spark.createDataFrame(rows, "a string, b string").select(md5_of(["a", "b"]).alias("h")).collect()
+    assert len({r["h"] for r in got}) == len(rows)
