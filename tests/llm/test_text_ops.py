@@ -218,13 +218,16 @@ def test_near_fingerprints_finds_every_pair(spark):
         bits[rng.choice(128, rng.integers(0, 6), replace=False)] ^= 1
         prints.append(np.packbits(bits))
         rows.append((i, prints[-1].tobytes().hex()))
-    pairs, members = simhash.near_fingerprints(spark.createDataFrame(rows, "doc_id long, fingerprint string"), radius=3)
-    rep = {r["doc_id"]: r["rep"] for r in members.collect()}
-    wanted = set()
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint string")
+    pairs, members = simhash.near_fingerprints(df, radius=3)
+    fp = {r["doc_id"]: r["fp"] for r in members.collect()}
+    wanted, near = set(), [0] * 240
     for i in range(240):
-        for j in range(i):
+        for j in range(240):
             d = int(np.bitwise_count(prints[i] ^ prints[j]).sum())
-            assert (d == 0) == (rep[i] == rep[j])
-            if 0 < d <= 3:
-                wanted.add((min(rep[i], rep[j]), max(rep[i], rep[j]), d))
+            near[i] += d <= 3 and i != j
+            if fp[i] < fp[j] and d <= 3:
+                wanted.add((fp[i], fp[j], d))
     assert {tuple(r) for r in pairs.collect()} == wanted and len(wanted) > 20
+    assert {r["doc_id"]: r["n_near"] for r in simhash.count_near(df).collect()} == dict(enumerate(near))
+    assert simhash.count_near(df.limit(0)).collect() == []
