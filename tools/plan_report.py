@@ -35,12 +35,12 @@ def main() -> None:
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--out", default="PLANS.md")
     a = ap.parse_args()
-    from __spark_entry__ import queries
+    from strata.plans.queries import REGISTRY
     from strata.session import get_session
     spark = get_session()
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     rows = []
-    for name, fn in queries().items():
+    for name, fn in REGISTRY.items():
         plan = fn(spark, a.sf)._jdf.queryExecution().executedPlan().toString()
         rows.append([name] + [str(len(re.findall(p, plan))) for _, p in COUNTS])
     head = ["query"] + [c for c, _ in COUNTS]
