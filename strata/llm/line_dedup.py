@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_BYTES, held_out, stored, table  # noqa: F401
+from .common import SPACE_BYTES, stored, table
 from .shingles import mix
 
 HASHES = 3                                                  # bits per key in a filter

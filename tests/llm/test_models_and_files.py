@@ -9,7 +9,6 @@ import zlib
 import brute
 import numpy as np
 import public_tokenizers
-import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
