@@ -231,3 +231,50 @@ def test_near_fingerprints_finds_every_pair(spark):
     assert {tuple(r) for r in pairs.collect()} == wanted and len(wanted) > 20
     assert {r["doc_id"]: r["n_near"] for r in simhash.count_near(df).collect()} == dict(enumerate(near))
     assert simhash.count_near(df.limit(0)).collect() == []
+
+
+def hamming(prints):
+    raw = np.array([np.frombuffer(bytes.fromhex(p), np.uint8) for p in prints])
+    return np.array([np.bitwise_count(raw ^ r).sum(axis=1, dtype=np.int64) for r in raw])
+
+
+def test_n_near_reaches_near_copies_of_ordinary_length(spark, tmp_path):
+    rng = random.Random(12)
+    vocab = [f"word{i}" for i in range(3000)]
+    rows, copies = [], []
+    for _ in range(120):
+        words = [rng.choice(vocab) for _ in range(rng.randrange(100, 500))]
+        edited = list(words)
+        while True:                                         # words replaced down to a similarity of 0.8
+            at, old = rng.randrange(len(edited)), list(edited)
+            edited[at] = "other"
+            a, b = brute.shingles(" ".join(words)), brute.shingles(" ".join(edited))
+            if len(a & b) < 0.8 * len(a | b):
+                break
+        copies.append((len(rows), len(rows) + 1))
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(old))]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r for r in simhash.op6_simhash(spark, str(tmp_path)).collect()}
+    d = hamming([got[i]["fingerprint"] for i in range(len(rows))])
+    assert [got[i]["n_near"] for i in range(len(rows))] == ((d <= 26).sum(axis=1) - 1).tolist()
+    assert sum(got[a]["n_near"] > 0 for a, _ in copies) >= 0.9 * len(copies)
+
+
+@pytest.mark.parametrize("crowd", [8, 64])
+def test_count_near_by_keys_meets_wide_pairs_once(spark, monkeypatch, crowd):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    monkeypatch.setattr(simhash, "WHOLE", 0)
+    rng = np.random.default_rng(9)
+    base, rows = rng.integers(0, 256, (60, 16), np.uint8), []
+    for i in range(600):
+        bits = np.unpackbits(base[0 if i % 5 == 0 else i % 60])
+        bits[rng.choice(128, rng.integers(0, 15), replace=False)] ^= 1
+        rows.append((i, np.packbits(bits).tobytes().hex()))
+    rows += [(600 + i, rows[0][1]) for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint string")
+    near = {r["doc_id"]: r["n_near"] for r in simhash.count_near(df, 26).collect()}
+    exact = (hamming([p for _, p in rows]) <= 26).sum(axis=1) - 1
+    assert all(near[i] <= n for i, n in enumerate(exact))
+    assert sum(near.values()) >= 0.99 * exact.sum() > 1000
+    few = {r["doc_id"]: r["n_near"] for r in simhash.count_near(df, 3).collect()}
+    assert [few[i] for i in range(len(rows))] == ((hamming([p for _, p in rows]) <= 3).sum(axis=1) - 1).tolist()
