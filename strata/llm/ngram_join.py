@@ -9,10 +9,11 @@ sampled. A bucket of at most ``LEAF`` sets is compared by brute force. The sets
 sample again, with new hashes, and split further; below ``DEPTH`` levels a bucket that is still
 large (many sets that are alike) is dealt into blocks and all pairs of blocks are compared. The
 runs repeat with other hashes until a pair exactly at the threshold is met with probability
-``recall`` at least: from a level to the next its chance to stay together is that of a branching
-process, q -> 1 - exp(-q), which gives the number of runs.
+``recall`` at least (``enough_runs``). All runs share one signature, so the chance is taken for each
+number m of agreeing values, weighted by the binomial law: from a level to the next the chance to
+stay together is that of a branching process, q -> 1 - (1 - q / (threshold * COORDS))**m.
 
-Buckets compare signatures loosely (four standard deviations below the threshold) and only hand on
+Buckets compare signatures loosely (five standard deviations below the threshold) and only hand on
 a forest of what is alike. Components of these forests are families; inside a family all pairs are
 compared exactly on their whole sets, block by block, each pair once. So links are counted exactly
 without listing pairs. Only documents of families have their sets built a second time and shuffled:
@@ -43,7 +44,7 @@ from .shingles import mix, shingle_hashes
 
 WORDS = 5
 JACCARD = 0.8
-RECALL = 0.99
+RECALL = 0.9999
 COORDS = 64
 LEAF = 256                                                  # sets compared without a further split
 DEPTH = 3
@@ -64,8 +65,30 @@ def runs(recall: float, depth: int = DEPTH) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - stays)))
 
 
+def met_chance(n_runs: int, likeness: float, threshold: float, depth: int = DEPTH) -> float:
+    """Chance that a pair of this similarity shares a bucket of the last level in one of the runs
+    and passes there."""
+    total = 0.0
+    for m in range(math.ceil(loose(threshold) * COORDS - 1e-9), COORDS + 1):
+        stays = 1.0
+        for _ in range(depth):
+            stays = 1 - (1 - stays / max(1.0, threshold * COORDS))**m
+        total += math.comb(COORDS, m) * likeness**m * (1 - likeness)**(COORDS - m) * (1 - (1 - stays)**n_runs)
+    return total
+
+
+def enough_runs(recall: float, threshold: float, depth: int = DEPTH) -> int:
+    """Fewest runs that meet a pair exactly at the threshold with this probability."""
+    if met_chance(10**6, threshold, threshold, depth) < recall:
+        raise ValueError(f"signatures of {COORDS} values do not reach a recall of {recall} at {threshold}")
+    n = 1
+    while met_chance(n, threshold, threshold, depth) < recall:
+        n += 1
+    return n
+
+
 def loose(threshold: float) -> float:
-    return max(0.0, threshold - 4 * math.sqrt(threshold * (1 - threshold) / COORDS))
+    return max(0.0, threshold - 5 * math.sqrt(threshold * (1 - threshold) / COORDS))
 
 
 def _limit(threshold: float) -> np.uint64:
@@ -285,7 +308,7 @@ def jaccard_join(docs: DataFrame, threshold: float = JACCARD, recall: float = RE
     Jaccard similarity with this one is ``threshold`` or more, copies included.
     """
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    described = stored(describe_sets(own, threshold, runs(recall)))
+    described = stored(describe_sets(own, threshold, enough_runs(recall, threshold)))
     sets = stored(described.filter(F.col("node").isNotNull()).groupBy("node").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("size").alias("size"),
         F.first("octets").alias("octets"), F.first("buckets").alias("buckets")))

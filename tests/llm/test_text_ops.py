@@ -81,6 +81,30 @@ def test_keep_one_keeps_a_row_of_each_class(spark, corpus):
     assert len(rows) == len(set(rows)) and set(rows) == kept
 
 
+def test_registered_join_meets_pairs_at_the_threshold():
+    n = ngram_join.enough_runs(ngram_join.RECALL, ngram_join.JACCARD)
+    assert ngram_join.met_chance(n, 0.8, 0.8) >= 0.9999 > ngram_join.met_chance(n - 1, 0.8, 0.8)
+    assert round(ngram_join.met_chance(10, 0.9, 0.8), 4) == 0.9974
+    with pytest.raises(ValueError):
+        ngram_join.enough_runs(1 - 1e-12, 0.8)
+
+
+def test_registered_join_splits_large_buckets(spark):
+    rng = random.Random(21)
+    vocab = [f"v{i}" for i in range(5000)]
+    hot = " ".join(rng.choice(vocab) for _ in range(60))    # shingles of all documents: buckets above LEAF
+    rows = []
+    for _ in range(ngram_join.LEAF):
+        own = [rng.choice(vocab) for _ in range(90)]
+        other = list(own)
+        other[45], other[70] = "x", "y"
+        rows += [(len(rows), f"{hot} {' '.join(own)}"), (len(rows) + 1, f"{hot} {' '.join(other)}")]
+    got = {r["doc_id"]: r for r in ngram_join.jaccard_join(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(0.8 <= len(a & b) / len(a | b) < 0.9 for a, b in
+               [(brute.shingles(rows[i][1]), brute.shingles(rows[i + 1][1])) for i in range(0, len(rows), 2)])
+    assert [(got[i]["class_id"], got[i]["n_links"]) for i in range(len(rows))] == [(i - i % 2, 1) for i in range(len(rows))]
+
+
 def test_runs_reach_the_recall():
     assert ngram_join.runs(0.99, 1) == 5 and ngram_join.runs(0.99, 4) == 13
 
