@@ -307,6 +307,11 @@ def jaccard_join(docs: DataFrame, threshold: float = JACCARD, recall: float = RE
     class_id is the smallest doc_id that links lead to; n_links counts the other documents whose
     Jaccard similarity with this one is ``threshold`` or more, copies included.
     """
+    return _joined(docs, threshold, recall, doc_id, text).drop("node")
+
+
+def _joined(docs: DataFrame, threshold: float, recall: float, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``jaccard_join`` with node, the id of each document's set."""
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     described = stored(describe_sets(own, threshold, enough_runs(recall, threshold)))
     sets = stored(described.filter(F.col("node").isNotNull()).groupBy("node").agg(
@@ -349,22 +354,34 @@ def jaccard_join(docs: DataFrame, threshold: float = JACCARD, recall: float = RE
     out = described.select("doc_id", "node", "size").join(info, "node", "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
                       F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
-                      F.col("size").cast("long").alias("n_shingles"))
+                      F.col("size").cast("long").alias("n_shingles"), "node")
+
+
+def _with_node(docs: DataFrame) -> DataFrame:
+    """``docs`` with __node, the id of the set of each text (also where nothing links)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [_set_id(x) for _, _, _, sets in _sets(b.column("text")) for x in sets]
+            yield pa.RecordBatch.from_pydict(dict(zip(b.schema.names, b.columns)) | {"__node": pa.array(found, pa.binary())})
+
+    return docs.mapInArrow(run, docs.select("*").schema.add("__node", "binary"))
 
 
 def keep_one(docs: DataFrame, threshold: float = JACCARD, recall: float = RECALL) -> DataFrame:
     """``docs`` without the rows whose class has a smaller doc_id; of rows that share the smallest
     doc_id and a text one stays. Columns are unchanged."""
-    found = jaccard_join(docs, threshold, recall)
-    gone = stored(found.filter(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias("__gone")).distinct())
+    found = _joined(docs, threshold, recall)
+    gone = stored(found.filter(F.col("doc_id") != F.col("class_id"))
+                  .select(F.col("doc_id").alias("__gone"), F.col("node").alias("__gone_node")).distinct())
     again = stored(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).filter((F.col("__n") > 1) & F.col("doc_id").isNotNull())
                    .select(F.col("doc_id").alias("__again")))
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    same_id = F.col("doc_id") == F.col("__gone")
     if not again.limit(1).count():                          # ids are unique, the usual case
-        return left
-    single = left.join(again, F.col("doc_id") == F.col("__again"), "left_anti")
-    shared = left.join(again, F.col("doc_id") == F.col("__again"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.unionByName(shared)
+        return docs.join(gone, same_id, "left_anti")
+    single = docs.join(again, F.col("doc_id") == F.col("__again"), "left_anti").join(gone, same_id, "left_anti")
+    shared = _with_node(docs.join(again, F.col("doc_id") == F.col("__again"), "left_semi"))
+    shared = shared.join(gone, same_id & (F.col("__node") == F.col("__gone_node")), "left_anti")
+    return single.unionByName(shared.drop("__node").dropDuplicates(["doc_id", "text"]))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -81,6 +81,14 @@ def test_keep_one_keeps_a_row_of_each_class(spark, corpus):
     assert len(rows) == len(set(rows)) and set(rows) == kept
 
 
+def test_keep_one_drops_by_id_and_text(spark):
+    rng = random.Random(31)
+    near, clean = prose(rng, 120), prose(rng, 120)
+    rows = [(1, near), (2, near_copy(rng, near, 1)), (2, clean), (2, clean), (3, near.replace(" ", "  "))]
+    got = ngram_join.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(tuple(r) for r in got) == [(1, near), (2, clean)]
+
+
 def test_registered_join_meets_pairs_at_the_threshold():
     n = ngram_join.enough_runs(ngram_join.RECALL, ngram_join.JACCARD)
     assert ngram_join.met_chance(n, 0.8, 0.8) >= 0.9999 > ngram_join.met_chance(n - 1, 0.8, 0.8)
