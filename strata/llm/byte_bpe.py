@@ -65,6 +65,7 @@ class ByteBpe:
         self.ids = {t: i for i, t in enumerate(tokens)}
         self.length = [len(t) for t in tokens]
         self.split = regex.compile(pattern).findall
+        self.known_borders = pattern == public_tokenizers.PATTERN
         self.wide_space = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]").search
         self.automaton = ahocorasick.Automaton()
         for i, t in enumerate(tokens):
@@ -190,12 +191,13 @@ class ByteBpe:
     def encode_text(self, text: str) -> str:
         """The ids of a text as decimal text, joined by one space.
 
-        Where all white space is single (``plain_space``), no match of the pattern crosses a
-        border before a space or at a line feed, so words can be split off and remembered whole.
+        Where all white space is single (``plain_space``), no match of public_tokenizers.PATTERN
+        crosses a border before a space or at a line feed, so words can be split off and remembered
+        whole. Other patterns may have other borders and split the whole text.
         """
         if not text:
             return ""
-        if not self.plain_space(text):
+        if not self.known_borders or not self.plain_space(text):
             return " ".join(map(self._ids_text, self.split(text)))
         known, out = self.young, []
         for line in text.split("\n"):

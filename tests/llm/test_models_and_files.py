@@ -343,3 +343,12 @@ def test_pipeline_stages_of_no_documents(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, TINY)
         assert docs.collect() == []
+
+
+def test_bpe_takes_other_patterns_as_the_library_does():
+    pattern = r"\p{L}+|\p{N}+|[^\s\p{L}\p{N}]+[\r\n]*|\s+"
+    tokens = byte_bpe.read_ranks(byte_bpe.default_ranks())
+    library = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
+    own = byte_bpe.ByteBpe(tokens, pattern)
+    for text in ("one;\ntwo, three.\nfour", "a b c", "end ...\n\nnext (x)\ny", "two  spaces;\nz"):
+        assert own.encode(text) == library.encode_ordinary(text)
