@@ -103,6 +103,8 @@ def solve(cells: DataFrame, wanted: DataFrame, cap: float = CAP) -> DataFrame:
         if not state.filter(F.col("__step") != 0).limit(1).count():
             break
         state = state.drop("__step")
+    else:
+        raise ValueError(f"a source is still off its target after {STEPS} steps")
     return state.drop("__step")
 
 

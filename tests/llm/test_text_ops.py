@@ -184,6 +184,14 @@ def test_mixing_with_base_rates(spark):
         assert len(low) == len(high) == 1 and max(high) == pytest.approx(min(3.0, 2 * max(low)))
 
 
+def test_mixing_says_when_targets_are_missed(spark, monkeypatch):
+    rows = [(i, "ab"[i % 2], 10, 400.0 if i % 20 == 0 else 1.0) for i in range(200)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long, base double")
+    monkeypatch.setattr(mixing, "STEPS", 1)
+    with pytest.raises(ValueError):
+        mixing.mix(sized).collect()
+
+
 def test_apply_mix_repeats_rows(spark):
     rows = [(i, "w " * (i % 9), "ab"[i % 2], 7) for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int")
