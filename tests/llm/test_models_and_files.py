@@ -20,14 +20,14 @@ from strata.llm.common import table
 
 SF = "/root/testdata/sf0.01"
 TINY = "/root/testdata/sf0.001"
-NAMES = [f"op{i}_" for i in range(1, 11)] + ["pipeline"]
+NAMES = [f"op{i}_" for i in range(1, 14)] + ["pipeline"]
 
 
 def test_every_dealt_query_is_registered():
     own = [n for n in queries() if n.startswith("op") and n[2].isdigit()]
     assert sorted(own, key=lambda n: int(n[2:].split("_")[0])) == [next(n for n in own if n.startswith(p)) for p in NAMES[:-1]]
     assert "pipeline" in queries()
-    assert {n for n in oracle_sql() if n in own} == {"op4_line_dedup", "op7_warc"}
+    assert {n for n in oracle_sql() if n in own} == {"op4_line_dedup", "op7_warc", "op11_hard_negatives", "op12_prefix_trie"}
 
 
 # ---------------------------------------------------------------- tokenizer
