@@ -81,6 +81,10 @@ class ByteBpe:
         self.young: dict[str, str] = {}                     # when full it becomes the old one
         self.old: dict[str, str] = {}
 
+    def forget(self) -> None:
+        """Empty the memories."""
+        self.pairs, self.young, self.old = {}, {}, {}
+
     def _halves(self, i: int, t: bytes) -> tuple[int, int] | None:
         """The two tokens whose merge makes token ``i``; None for a single byte."""
         for cut in range(1, len(t)):                        # most tokens split in one way only
@@ -236,10 +240,12 @@ def tokenizer(path: str, pattern: str) -> ByteBpe:
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text",
-                 with_ids: bool = True) -> DataFrame:
+                 with_ids: bool = True, keep: bool = True) -> DataFrame:
     """``docs`` with __ids (array of int, if asked for), __n_tokens, __ids_sha256, __decoded_sha256.
 
     ``path`` must name the rank file on every executor (it is part of an installed package).
+    Without ``keep`` a worker gives its remembered pieces back after each task, so that other work
+    in the same workers has their memory.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path, pattern)
@@ -259,6 +265,8 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text",
                     cols["__ids"] = pa.array(ids_of, pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_pydict(cols | {"__n_tokens": pa.array(n, pa.int64()),
                                                          "__ids_sha256": a, "__decoded_sha256": d})
+        if not keep:
+            bpe.forget()
 
     schema = docs.select("*").schema
     if with_ids:

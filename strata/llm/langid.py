@@ -3,18 +3,25 @@
 A text is lower-cased, everything in ASCII but letters becomes a space, and its byte trigrams are
 counted in ``DIMS`` hashed dimensions. The vector is the square root of the counts times the
 inverse document frequency, scaled to length 1. Document frequencies come from all documents that
-may be learnt from, in one pass. Each language has ``CLUSTERS`` centroids, found by spherical
-k-means over a bounded sample of its documents (``per_lang``, a parameter) in one task a language.
+may be learnt from, in one pass. Each language has up to ``CLUSTERS`` centroids, found by spherical
+k-means (seeded by k-means++) over a bounded sample of its documents (``per_lang``, a parameter) in
+one task a language. A cluster with less than ``LEAST_SHARE`` of the sample, or with one document, is
+given up and the largest one split in its place, so an outlier never becomes a centroid.
 A text gets the language of the centroid with the highest cosine; its score is the softmax share
 of that language's best cosine among all languages' best ones.
 
-Rejection: each centroid keeps the distance (1 - cosine) that 99 % of its own sample stays under.
-A text farther from its nearest centroid than ``slack`` times that is marked ``rejected``. The
-operator's ``lang`` is then "und" if ``reject`` is set; the query keeps the nearest language and
+Rejection: every fourth document of the sample builds no centroid. Each centroid's reach is the
+distance (1 - cosine) that 99 % of these documents nearest to it stay under (of all of them in the
+language, where fewer than ``LEAST_NEAR`` are its own). A text is marked ``rejected`` if it lies
+farther from its nearest centroid than ``slack`` times the reach, or than halfway from the reach to
+distance 1, at which nothing is shared; so every centroid can reject. The operator's ``lang`` is then "und" if ``reject`` is set; the query keeps the nearest language and
 shows the mark, since its contract asks for a learnt language wherever there is a letter.
 
 Cases: a NULL text and a text without a letter are "und" with score 0. Ties go to the language
-first by code point. Without any learnt language every text is "und". Every text is read whole.
+first by code point. Without any learnt language, as from an empty table, every text is "und"; an
+empty table to predict gives an empty result. Rows that share a doc_id are predicted one by one; for
+learning, the smallest of their texts counts. Every text is read whole. Columns named __lang, __score
+or __rejected are replaced; no other name clashes.
 """
 
 from __future__ import annotations
@@ -36,6 +43,8 @@ ROUNDS = 8                                                  # of k-means
 ROWS = 256                                                  # rows counted at once
 SHARP = 30.0                                                # of the softmax over cosines
 SLACK = 1.5
+LEAST_SHARE = 0.05                                          # of a language's sample in a cluster
+LEAST_NEAR = 10                                             # documents that a reach of its own rests on
 UND = "und"
 _KEEP = np.full(256, 32, np.uint32)
 _KEEP[97:123] = np.arange(97, 123)
@@ -87,7 +96,7 @@ class LangModel:
             e = np.exp(SHARP * (best - best.max(axis=1, keepdims=True)))
             names += [self.langs[i] for i in top]
             scores += (1 / e.sum(axis=1)).tolist()
-            far += (1 - cos[np.arange(len(v)), near] > slack * self.reach[near]).tolist()
+            far += (1 - cos[np.arange(len(v)), near] > np.minimum(slack * self.reach, (1 + self.reach) / 2)[near]).tolist()
         return names, scores, far
 
 
@@ -110,16 +119,30 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _cluster(x: np.ndarray) -> np.ndarray:
-    """Cluster of each row by spherical k-means, started from rows far from one another."""
-    start = [0]
-    while len(start) < min(CLUSTERS, len(x)):
-        start.append(int((x @ x[start].T).max(axis=1).argmin()))
-    centre = x[start]
-    for _ in range(ROUNDS):
+    """Centroids (rows of length 1) of the rows of ``x`` by spherical k-means."""
+    rng = np.random.default_rng(len(x))
+    start = [int(rng.integers(len(x)))]
+    while len(start) < min(CLUSTERS, max(1, len(x) // LEAST_NEAR)):
+        far = np.maximum(1 - (x @ x[start].T).max(axis=1), 0) ** 2
+        if far.sum() < 1e-9:                                # all rows are alike
+            break
+        start.append(int(rng.choice(len(x), p=far / far.sum())))
+    centre, tries = x[start].copy(), 4 * CLUSTERS
+    while True:
+        for _ in range(ROUNDS):
+            own = (x @ centre.T).argmax(axis=1)
+            sums = np.stack([x[own == k].sum(axis=0) if (own == k).any() else centre[k] for k in range(len(centre))])
+            centre = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
         own = (x @ centre.T).argmax(axis=1)
-        sums = np.stack([x[own == k].sum(axis=0) if (own == k).any() else centre[k] for k in range(len(centre))])
-        centre = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
-    return (x @ centre.T).argmax(axis=1)
+        size = np.bincount(own, minlength=len(centre))
+        if len(centre) == 1 or size.min() >= max(2, LEAST_SHARE * len(x)):
+            return centre
+        if tries:                                           # split the largest cluster instead of keeping an outlier
+            most = np.flatnonzero(own == size.argmax())
+            centre[size.argmin()] = x[rng.choice(most, max(1, len(most) // 2), replace=False)].mean(axis=0)
+            tries -= 1
+        else:
+            centre = np.delete(centre, size.argmin(), axis=0)
 
 
 def fit_langid(docs: DataFrame, per_lang: int = 400) -> LangModel | None:
@@ -134,15 +157,13 @@ def fit_langid(docs: DataFrame, per_lang: int = 400) -> LangModel | None:
     def centre(group: pa.Table) -> pa.Table:
         group = group.combine_chunks().sort_by("doc_id")
         x = np.concatenate(list(vectors(group.column("text").combine_chunks(), idf)))
-        own = _cluster(x)
-        found, reach = [], []
-        for k in np.unique(own):
-            s = x[own == k].sum(axis=0)
-            c = s / max(np.linalg.norm(s), 1e-12)
-            found.append(c.tolist())
-            reach.append(float(np.quantile(1 - x[own == k] @ c, 0.99)))
-        return pa.table({"lang": pa.array([group.column("label")[0].as_py()] * len(found), pa.string()),
-                         "centroid": pa.array(found, pa.list_(pa.float32())),
+        spare = np.arange(len(x)) % 4 == 3 if len(x) >= 8 else np.ones(len(x), bool)  # too few to set some aside
+        centres = _cluster(x[~spare] if len(x) >= 8 else x)
+        cos = x[spare] @ centres.T
+        near, far = cos.argmax(axis=1), 1 - cos.max(axis=1)
+        reach = [float(np.quantile(far[near == k] if (near == k).sum() >= LEAST_NEAR else far, 0.99)) for k in range(len(centres))]
+        return pa.table({"lang": pa.array([group.column("label")[0].as_py()] * len(centres), pa.string()),
+                         "centroid": pa.array(centres.tolist(), pa.list_(pa.float32())),
                          "reach": pa.array(reach, pa.float64())})
 
     rows = sample.groupBy("label").applyInArrow(centre, "lang string, centroid array<float>, reach double").collect()
@@ -157,6 +178,7 @@ def fit_langid(docs: DataFrame, per_lang: int = 400) -> LangModel | None:
 def predict_langs(docs: DataFrame, model: LangModel | None, text: str = "text", slack: float = SLACK,
                   reject: bool = True) -> DataFrame:
     """``docs`` with __lang, __score and __rejected of every whole text."""
+    docs = docs.drop("__lang", "__score", "__rejected")
     if model is None:
         return (docs.withColumn("__lang", F.lit(UND)).withColumn("__score", F.lit(0.0))
                 .withColumn("__rejected", F.lit(False)))

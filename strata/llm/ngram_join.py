@@ -48,6 +48,7 @@ RECALL = 0.9999
 COORDS = 64
 LEAF = 256                                                  # sets compared without a further split
 DEPTH = 3
+SLICE = 256 << 10                                           # bytes of text hashed at once
 BLOCK = 4096                                                # sets of a side where buckets are dealt into blocks
 EXACT = 128                                                 # sets of a side in the exact comparison
 COLUMNS = 8192                                              # shingles multiplied at once
@@ -132,7 +133,7 @@ def _set_id(h: np.ndarray) -> bytes:
 
 def _sets(col: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, list[np.ndarray]]]:
     """(first row, flat shingles, offsets, sorted distinct shingles of each text) by slice."""
-    for lo, _, data, offs in slices(col):
+    for lo, _, data, offs in slices(col, SLICE):
         flat, at = shingle_hashes(data, offs, WORDS)
         yield lo, flat, at, [np.unique(flat[i:j]) for i, j in zip(at, at[1:])]
 

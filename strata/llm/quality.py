@@ -32,6 +32,7 @@ WINDOW = 1024                                               # bytes
 WINDOWS = 32                                                # of one document in a dictionary
 DICT_BYTES = 112 << 10
 LEVEL = 3
+ROWS = 256                                                  # texts scored at once
 FEATURES = 4
 
 
@@ -137,9 +138,11 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text", out:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            s = sent.value.score(b.column(text).cast(pa.binary()).to_pylist())
-            yield pa.RecordBatch.from_pydict(dict(zip(b.schema.names, b.columns)) | {out: pa.array(s, pa.float64())})
+        for whole in batches:
+            for lo in range(0, whole.num_rows, ROWS):
+                b = whole.slice(lo, ROWS)
+                s = sent.value.score(b.column(text).cast(pa.binary()).to_pylist())
+                yield pa.RecordBatch.from_pydict(dict(zip(b.schema.names, b.columns)) | {out: pa.array(s, pa.float64())})
 
     return docs.mapInArrow(run, docs.select("*").schema.add(out, "double"))
 

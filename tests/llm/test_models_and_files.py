@@ -279,6 +279,55 @@ def test_scores_of_odd_texts(spark):
     assert langid.predict_langs(far, lang).first()["__lang"] == "und"
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_languages_reject_what_they_never_saw(spark, sf):
+    docs = table(spark, f"/root/testdata/{sf}", "documents").filter(F.col("doc_id") % 4 != 0)
+    model = langid.fit_langid(docs)
+    assert (np.minimum(langid.SLACK * model.reach, (1 + model.reach) / 2) < 1).all()
+    odd = ["слово " * 50, "中文的文字在这里写了很多", "Το πνεύμα της ελευθερίας", "zq xw qpf vvk jjx qqz xxv wwk " * 6]
+    far = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string").withColumn("__lang", F.lit("clash"))
+    assert [r["__lang"] for r in langid.predict_langs(far, model).collect()] == ["und"] * len(odd)
+    held = table(spark, f"/root/testdata/{sf}", "documents").filter((F.col("doc_id") % 4 == 0) & F.col("lang").isNotNull())
+    got = [r["__lang"] == r["lang"] for r in langid.predict_langs(held, model).collect()]
+    assert np.mean(got) > 0.95
+
+
+def test_language_clusters_are_no_outliers():
+    rng = np.random.default_rng(2)
+    kinds = np.eye(6, 30)[rng.integers(0, 3, 400)] + rng.random((400, 30)) * .2
+    x = np.vstack([kinds, np.eye(30)[25:]])                 # five outliers
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    centres = langid._cluster(x)
+    assert 2 <= len(centres) <= 4
+    assert np.bincount((x @ centres.T).argmax(axis=1), minlength=len(centres)).min() >= 0.05 * len(x)
+    assert len(langid._cluster(x[:1])) == 1 and len(langid._cluster(np.repeat(x[:1], 50, axis=0))) == 1
+
+
+def test_languages_agree_with_a_plain_version(spark):
+    docs = table(spark, TINY, "documents")
+    model = langid.fit_langid(docs)
+    keep = lambda ch: ch if ch.isascii() and ch.isalpha() or not ch.isascii() else " "
+    for r in langid.predict_langs(docs.filter(F.col("text").isNotNull()).limit(60), model, reject=False).collect():
+        data = ("".join(map(keep, r["text"].lower()))).encode() + b"  "
+        v = np.zeros(langid.DIMS)
+        for a, b, c in zip(data, data[1:], data[2:]):
+            if (a, b) != (32, 32):
+                h = ((a * 0x01000193 + b) * 0x01000193 + c) * 0x9E3779B1 & 0xFFFFFFFF
+                v[h >> 32 - langid.DIMS.bit_length() + 1] += 1
+        v = np.sqrt(v) * model.idf
+        cos = model.centroids @ (v / max(np.linalg.norm(v), 1e-12))
+        if r["__lang"] != "und":
+            assert r["__lang"] == model.langs[model.lang_of[cos.argmax()]]
+
+
+def test_learning_from_no_rows(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string")
+    assert langid.fit_langid(docs) is None
+    assert langid.predict_langs(docs, langid.fit_langid(table(spark, TINY, "documents"))).collect() == []
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    assert toxicity.score_toxicity(docs, toxicity.fit_toxicity(docs, labels)).collect() == []
+
+
 def test_without_labels_or_rows(spark):
     docs = spark.createDataFrame([(1, "some text here"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
