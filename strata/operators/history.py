@@ -204,7 +204,7 @@ def snapshot_profile(history: DataFrame, incoming: DataFrame, key: str | Sequenc
 def apply_snapshot(history: DataFrame, incoming: DataFrame, key: str | Sequence[str],
                    tracked: Sequence[str], load_date: _dt.date,
                    sentinel: _dt.date = SENTINEL, hash_col: str = "row_hash",
-                   gate: bool = True) -> DataFrame:
+                   gate: bool = True, reopen: bool = False) -> DataFrame:
     """Merge a full snapshot of the source into a version table (incremental SCD2).
 
     Per key, the version alive on ``load_date`` (an exit that lies after it counts as
@@ -219,6 +219,12 @@ def apply_snapshot(history: DataFrame, incoming: DataFrame, key: str | Sequence[
     A version that started on ``load_date`` itself never lived a day, so a corrected
     snapshot of the same day replaces it instead of closing it.
 
+    With ``reopen`` a version that ended on ``load_date - 1`` and equals the incoming row
+    goes on instead of being followed by an equal one: a corrected load that restores
+    yesterday's state leaves one version, as if the wrong load had never been. If no two
+    touching versions of a key shared a hash before, none do after. The neighbour comes
+    from one window over the key, whose partitioning the join then uses.
+
     One full outer join on the key does all of it: a history that is still partitioned
     by key (as :func:`scd2` leaves it) is read once and not shuffled again. With
     ``gate`` the snapshot's keys and the load order are checked first
@@ -234,25 +240,48 @@ def apply_snapshot(history: DataFrame, incoming: DataFrame, key: str | Sequence[
         enforce(snapshot_profile(history, incoming, keys, load_date), require_rows=False)
     cols = [*keys, "valid_from", "valid_to", "is_current", *tracked, hash_col]
     day = F.lit(load_date)
-    old = history.select(*cols).withColumn(
-        "_alive", (F.col("valid_from") <= day) & (F.col("valid_to") >= day)).alias("h")
+    alive = (F.col("valid_from") <= day) & (F.col("valid_to") >= day)
+    old = history.select(*cols).withColumn("_alive", alive)
+    if reopen:
+        w = Window.partitionBy(*keys).orderBy("valid_from", "valid_to")
+        ended = F.col("valid_to") == F.date_sub(day, 1)
+        before = F.lag(F.struct(*cols)).over(w)
+        next_from = F.lead("valid_from").over(w)
+        old = (old.select("*", before.alias("_before"), next_from.alias("_next_from"))
+               # a version that today's one follows travels with it
+               .filter(~(ended & F.coalesce(F.col("_next_from") == day, F.lit(False))))
+               .withColumn("_asleep", ended & F.col("_next_from").isNull())
+               .withColumn("_before", F.when((F.col("valid_from") == day) & (F.col("_before.valid_to") == F.date_sub(day, 1)),
+                                             F.col("_before"))).drop("_next_from"))
+    else:
+        old = old.withColumns({"_asleep": F.lit(False), "_before": F.lit(None).cast(history.select(*cols).schema)})
     inc = incoming.select(*[F.col(c).alias(f"_i_{c}") for c in [*keys, *tracked]],
                           md5_of(tracked).alias("_i_hash")).alias("i")
-    cond = F.col("_alive")
+    cond = F.col("_alive") | F.col("_asleep")
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"_i_{k}"))
-    both = old.join(inc, cond, "full_outer")
+    both = old.alias("h").join(inc, cond, "full_outer")
     is_old, is_inc = F.col("_alive").isNotNull(), F.col("_i_hash").isNotNull()
+    asleep = F.coalesce("_asleep", F.lit(False))
     touched = is_old & F.col("_alive") & ~(is_inc & F.col(hash_col).eqNullSafe(F.col("_i_hash")))
-    born_today = F.col("valid_from") == day
+    replaced = touched & (F.col("valid_from") == day)
+    equals_before = F.coalesce(is_inc & (F.col(f"_before.{hash_col}") == F.col("_i_hash")), F.lit(False))
+    wakes = asleep & is_inc & F.col(hash_col).eqNullSafe(F.col("_i_hash"))
     closed_to = F.date_sub(day, 1)
-    kept = F.struct(*keys, "valid_from", F.when(touched, closed_to).otherwise(F.col("valid_to")).alias("valid_to"),
-                    F.when(touched, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
+    kept = F.struct(*keys, "valid_from",
+                    F.when(touched, closed_to).when(wakes, F.lit(sentinel)).otherwise(F.col("valid_to")).alias("valid_to"),
+                    F.when(touched, F.lit(False)).when(wakes, F.lit(True)).otherwise(F.col("is_current")).alias("is_current"),
                     *tracked, hash_col)
-    end = F.coalesce(F.col("valid_to"), F.lit(sentinel))
+    end = F.when(asleep, F.lit(sentinel)).otherwise(F.coalesce(F.col("valid_to"), F.lit(sentinel)))
     opened = F.struct(*[F.col(f"_i_{k}").alias(k) for k in keys], day.alias("valid_from"), end.alias("valid_to"),
                       (end == F.lit(sentinel)).alias("is_current"), *[F.col(f"_i_{c}").alias(c) for c in tracked],
                       F.col("_i_hash").alias(hash_col))
-    rows = F.array_compact(F.array(F.when(is_old & ~(touched & born_today), kept),
-                                   F.when(is_inc & (touched | ~is_old), opened)))
+    goes_on = replaced & equals_before
+    earlier = F.struct(*[F.col(f"_before.{k}").alias(k) for k in keys], F.col("_before.valid_from").alias("valid_from"),
+                       F.when(goes_on, F.col("valid_to")).otherwise(F.col("_before.valid_to")).alias("valid_to"),
+                       F.when(goes_on, F.col("is_current")).otherwise(F.col("_before.is_current")).alias("is_current"),
+                       *[F.col(f"_before.{c}").alias(c) for c in [*tracked, hash_col]])
+    opens = is_inc & ~goes_on & (touched | ~is_old | (asleep & ~wakes))
+    rows = F.array_compact(F.array(F.when(F.col("_before").isNotNull(), earlier), F.when(is_old & ~replaced, kept),
+                                   F.when(opens, opened)))
     return both.select(F.inline(rows)).select(*cols)

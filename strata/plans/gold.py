@@ -14,9 +14,10 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import calendar, gates, marts
+from strata.operators.history import scd2_rejects
 from strata.operators.keys import with_keys
 from strata.plans.catalog import (STATE_COLUMNS, customer_dim, holiday_feed, order_facts,
-                                  last_ship_day, order_history)
+                                  last_ship_day, order_history, order_log)
 from strata.sources.files import publish, read_table, write_table
 
 
@@ -46,6 +47,10 @@ def build(spark: SparkSession, sf_dir: str, warehouse: str,
         paths[name] = write_table(df, f"{base}/{name}")
         return read_table(spark, paths[name])
 
+    # events that can open no version must not get lost
+    rejects = scd2_rejects(order_log(spark, sf_dir), "o_custkey", "event_date", "o_orderkey", STATE_COLUMNS)
+    gates.enforce(rejects.agg(F.count_if(F.col("reason") == "null_key").alias("null_key_events"),
+                              F.count_if(F.col("reason") == "null_day").alias("null_day_events")), require_rows=False)
     versions = put("employee_versions",
                    with_keys(order_history(spark, sf_dir), "o_custkey", STATE_COLUMNS))
     # gate the written history before anything is derived from it

@@ -509,3 +509,80 @@ SELECT inc.o_custkey, DATE '2001-07-01', coalesce(alive.valid_to, DATE '9999-12-
        inc.o_orderstatus, inc.o_orderpriority, inc.price, inc.row_hash
 FROM inc LEFT JOIN alive ON inc.o_custkey = alive.o_custkey
 WHERE inc.o_custkey NOT IN (SELECT o_custkey FROM same)"""
+
+
+SQL["reloaded_history"] = SQL["scd2_incremental"].replace(
+    "SELECT o_custkey, valid_from, valid_to, valid_to = DATE '9999-12-31' AS is_current,\n       o_orderstatus",
+    ", r AS (SELECT o_custkey, valid_from, valid_to, valid_to = DATE '9999-12-31' AS is_current,\n       o_orderstatus", 1) + """)
+SELECT a.o_custkey, a.valid_from, coalesce(b.valid_to, a.valid_to) AS valid_to,
+       coalesce(b.is_current, a.is_current) AS is_current,
+       a.o_orderstatus, a.o_orderpriority, a.price, a.row_hash
+FROM r a LEFT JOIN r b ON a.o_custkey = b.o_custkey AND a.row_hash = b.row_hash
+                      AND a.valid_to = DATE '2001-06-30' AND b.valid_from = DATE '2001-07-01'
+WHERE NOT (a.valid_from = DATE '2001-07-01' AND EXISTS (
+  SELECT 1 FROM r c WHERE c.o_custkey = a.o_custkey AND c.row_hash = a.row_hash AND c.valid_to = DATE '2001-06-30'))"""
+
+SQL["late_events_spliced"] = SQL["scd2_history"]
+
+SQL["coalesced_history"] = _HIST + """,
+marked AS (
+  SELECT *, CASE WHEN valid_to >= valid_from
+                  AND lag(valid_to) OVER w + INTERVAL 1 DAY = valid_from AND lag(o_orderstatus) OVER w = o_orderstatus
+             THEN 0 ELSE 1 END AS opens
+  FROM h WINDOW w AS (PARTITION BY o_custkey ORDER BY valid_from)),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS island FROM marked)
+SELECT o_custkey, min(valid_from) AS valid_from, max(valid_to) AS valid_to, max(valid_to) = DATE '9999-12-31' AS is_current,
+       arg_min(o_orderkey, valid_from) AS o_orderkey, any_value(o_orderstatus) AS o_orderstatus,
+       md5(any_value(o_orderstatus)) AS row_hash
+FROM numbered GROUP BY o_custkey, island"""
+
+SQL["bitemporal_asof"] = """
+WITH f AS (
+  SELECT l_orderkey, l_linenumber, o_custkey, CAST(l_shipdate AS DATE) AS ship_date,
+         CAST(CAST(l_shipdate AS DATE) + INTERVAL 30 DAY AS DATE) AS known_day
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+known AS (SELECT *, CASE WHEN known_day >= DATE '2001-07-01' THEN DATE '9999-12-31'
+                         WHEN known_day >= DATE '2000-12-31' THEN DATE '2000-12-31' END AS upto FROM f),
+day AS (
+  SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS d, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus
+  FROM orders GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, o_custkey, ship_date, known_day,
+       (SELECT arg_max(day.o_orderstatus, day.d) FROM day
+        WHERE day.k = o_custkey AND day.d <= ship_date AND day.d <= upto) AS o_orderstatus
+FROM known"""
+
+_USERS = """
+WITH e AS (
+  SELECT event_id, CASE WHEN event_id % 109 <> 0 THEN user_id END AS user_id,
+         CASE WHEN event_id % 107 <> 0 THEN CAST(ts AS DATE) END AS event_day,
+         CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 103 = 0 THEN 'transfer' ELSE event_type END AS event_type
+  FROM events),
+ok(a, b) AS (VALUES ('signup', 'view'), ('signup', 'click'), ('signup', 'error'), ('view', 'view'), ('view', 'click'),
+  ('view', 'purchase'), ('view', 'error'), ('click', 'view'), ('click', 'click'), ('click', 'purchase'), ('click', 'error'),
+  ('purchase', 'view'), ('purchase', 'click'), ('purchase', 'error'), ('error', 'signup')),
+p AS (
+  SELECT *, lag(event_type) OVER w AS previous, row_number() OVER w AS nth
+  FROM e WHERE user_id IS NOT NULL AND event_day IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY event_day, event_id)),
+v AS (
+  SELECT user_id, event_day, event_id, previous, event_type,
+         CASE WHEN event_type IS NULL OR event_type NOT IN ('signup', 'view', 'click', 'purchase', 'error') THEN 'unknown_kind'
+              WHEN nth = 1 THEN CASE WHEN event_type <> 'signup' THEN 'not_started' END
+              WHEN EXISTS (SELECT 1 FROM ok WHERE a = previous AND b = event_type) THEN NULL
+              WHEN event_type = 'signup' THEN 'second_start'
+              WHEN previous = 'error' THEN 'after_end'
+              ELSE 'bad_transition' END AS violation
+  FROM p
+  UNION ALL
+  SELECT user_id, event_day, event_id, NULL, event_type, CASE WHEN user_id IS NULL THEN 'null_key' ELSE 'null_day' END
+  FROM e WHERE user_id IS NULL OR event_day IS NULL)"""
+
+SQL["lifecycle_violations"] = _USERS + " SELECT * FROM v WHERE violation IS NOT NULL"
+
+SQL["lifecycle_counts"] = _USERS + " SELECT " + ", ".join(
+    f"count(*) FILTER (violation = '{k}') AS {k}" for k in
+    ("null_key", "null_day", "unknown_kind", "not_started", "second_start", "after_end", "bad_transition")) + " FROM v"
+
+SQL["scd2_reject_counts"] = """
+SELECT CASE WHEN o_orderkey % 89 = 0 THEN 'null_key' ELSE 'null_day' END AS reason,
+       count(*) AS n_events, min(o_orderkey) AS first_order
+FROM orders WHERE o_orderkey % 89 = 0 OR o_orderkey % 97 = 0 GROUP BY 1"""

@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions import md5_of, no_digit, not_in_domain, parse_date
-from strata.operators import calendar, clean as cleaning, gates, marts, nested
+from strata.operators import calendar, clean as cleaning, gates, lifecycle, marts, nested
 from strata.operators.history import SENTINEL, as_of, current
 from strata.operators.keys import with_keys
+from strata.operators.lifecycle import LifeCycle
 from strata.plans.catalog import (STATE_COLUMNS, customer_dim, customer_exits, customer_nested,
                                   customer_text, events_text, holiday_feed, last_ship_day, order_facts,
                                   order_history, order_log, orders_text, page_params, table)
@@ -189,6 +190,109 @@ def scd2_incremental(spark, sf_dir):
     return apply_snapshot(base, snapshot, "o_custkey", STATE_COLUMNS, LOAD_DATE, gate=False)
 
 
+@query
+def coalesced_history(spark, sf_dir):
+    """The history of the order status alone, touching versions of one status merged."""
+    from strata.operators.history import scd2
+    from strata.operators.timeline import coalesce_versions
+    versions = scd2(order_log(spark, sf_dir), "o_custkey", "event_date", "o_orderkey", ("o_orderstatus",),
+                    exits=customer_exits(spark, sf_dir))
+    keyed = with_keys(versions, "o_custkey", ("o_orderstatus",)).drop("version_sk")
+    return coalesce_versions(keyed, "o_custkey")
+
+
+@query
+def reloaded_history(spark, sf_dir):
+    """``scd2_incremental`` by way of a wrong load: the same day first gets the snapshot with
+    another status for key % 3 = 0 and with keys that don't exist (key + 10000000 for
+    key % 7 = 0), then the right one, which reopens what the wrong one closed."""
+    from strata.operators.history import apply_snapshot, scd2
+    log = order_log(spark, sf_dir)
+    base = with_keys(scd2(log.filter(F.col("event_date") <= F.lit(CHANGE_CURRENT)), "o_custkey", "event_date",
+                          "o_orderkey", STATE_COLUMNS, exits=customer_exits(spark, sf_dir)), "o_custkey", STATE_COLUMNS)
+    right = as_of(order_history(spark, sf_dir), F.lit(CHANGE_INCOMING)).select("o_custkey", *STATE_COLUMNS)
+    k = F.col("o_custkey")
+    wrong = right.withColumn("o_orderstatus", F.when(k % 3 == 0, F.lit("X")).otherwise(F.col("o_orderstatus")))
+    wrong = wrong.unionByName(right.filter(k % 7 == 0).withColumn("o_custkey", k + 10_000_000))
+    first = apply_snapshot(base, wrong, "o_custkey", STATE_COLUMNS, LOAD_DATE, gate=False, reopen=True)
+    return apply_snapshot(first, right, "o_custkey", STATE_COLUMNS, LOAD_DATE, gate=False, reopen=True)
+
+
+@query
+def late_events_spliced(spark, sf_dir):
+    """Orders with key % 50 = 7 arrive after the history of all others was stored, and are
+    spliced into it; the exits of customers are known from the start."""
+    from strata.operators import timeline
+    from strata.operators.history import scd2
+    from strata.session import shared_dir
+    log, exits = order_log(spark, sf_dir), customer_exits(spark, sf_dir)
+    late = F.col("o_orderkey") % 50 == 7
+    on_time = scd2(log.filter(~late), "o_custkey", "event_date", "o_orderkey", STATE_COLUMNS, exits=exits)
+    path = timeline.store_history(on_time, shared_dir(spark, "history"))
+    stored = timeline.read_history(spark, path, "o_custkey")
+    staged = timeline.splice_events(spark, path, log.filter(late), "o_custkey", "event_date", "o_orderkey", STATE_COLUMNS,
+                                    exits=timeline.unplaced_exits(stored, exits, "o_custkey"))
+    timeline.finish_splice(spark, path, staged)
+    return timeline.read_history(spark, path, "o_custkey")
+
+
+@query
+def bitemporal_asof(spark, sf_dir):
+    """Every line item with the state of its customer on its ship day, as known 30 days later by
+    two loads of ``orders``: one with the orders up to CHANGE_CURRENT, one with all of them."""
+    from strata.operators import timeline
+    from strata.operators.history import scd2
+    log = order_log(spark, sf_dir)
+
+    def load(events, day):
+        versions = scd2(events, "o_custkey", "event_date", "o_orderkey", ("o_orderstatus",))
+        return with_keys(versions, "o_custkey", ("o_orderstatus",)).withColumn("load_day", F.lit(day))
+
+    loads = load(log.filter(F.col("event_date") <= F.lit(CHANGE_CURRENT)), CHANGE_CURRENT).unionByName(load(log, LOAD_DATE))
+    known = timeline.bitemporal(loads, "o_custkey", ("o_orderstatus",)).drop("row_hash")
+    facts = order_facts(spark, sf_dir).withColumn("known_day", F.date_add("ship_date", 30))
+    met = timeline.known_asof(facts, known, "o_custkey", "ship_date", "known_day", how="left")
+    return met.select("l_orderkey", "l_linenumber", "o_custkey", "ship_date", "known_day", "o_orderstatus")
+
+
+# Fixed value: the life cycle that the users of ``events`` are held to.
+USER_LIFE = LifeCycle(starts=frozenset({"signup"}), ends=frozenset({"error"}), follows={
+    "signup": frozenset({"view", "click", "error"}), "view": frozenset({"view", "click", "purchase", "error"}),
+    "click": frozenset({"view", "click", "purchase", "error"}), "purchase": frozenset({"view", "click", "error"}),
+    "error": frozenset({"signup"})})
+
+
+def _user_log(spark, sf_dir):
+    """``events`` with planted breaks: no kind (id % 101 = 0), an unknown one (% 103 = 0), no day
+    (% 107 = 0), no user (% 109 = 0)."""
+    i = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.when(i % 109 != 0, F.col("user_id")).alias("user_id"),
+        F.when(i % 107 != 0, F.col("ts").cast("date")).alias("event_day"),
+        F.when(i % 101 == 0, None).when(i % 103 == 0, "transfer").otherwise(F.col("event_type")).alias("event_type"))
+
+
+@query
+def lifecycle_violations(spark, sf_dir):
+    return lifecycle.lifecycle_violations(_user_log(spark, sf_dir), USER_LIFE, "user_id", "event_day", "event_id", "event_type")
+
+
+@query
+def lifecycle_counts(spark, sf_dir):
+    return lifecycle.lifecycle_counts(lifecycle_violations(spark, sf_dir))
+
+
+@query
+def scd2_reject_counts(spark, sf_dir):
+    """Orders that can open no version: no day (key % 97 = 0) or no customer (key % 89 = 0)."""
+    from strata.operators.history import scd2_rejects
+    k = F.col("o_orderkey")
+    log = order_log(spark, sf_dir).withColumn("event_date", F.when(k % 97 != 0, F.col("event_date"))).withColumn(
+        "o_custkey", F.when(k % 89 != 0, F.col("o_custkey")))
+    rejects = scd2_rejects(log, "o_custkey", "event_date", "o_orderkey", STATE_COLUMNS)
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n_events"), F.min("o_orderkey").alias("first_order"))
+
+
 @query
 def source_changes(spark, sf_dir):
     """Two sources compared by row hash: ``customer``, and a second delivery of it without
