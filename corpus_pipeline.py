@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from strata.llm import byte_bpe, line_dedup, mixing, ngram_join, quality
 from strata.llm.common import stored, table
 
+PIECES = 200_000                                            # remembered by a worker: the other stages share its memory
 KEEP_FROM = 0.7                                             # quality score of documents that stay
 
 
@@ -47,7 +48,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source and the token ids, with hashes of the ids and of the decoded bytes."""
     out = byte_bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), byte_bpe.default_ranks(),
-                                public_tokenizers.PATTERN, keep=False)
+                                public_tokenizers.PATTERN, keep=False, remember=PIECES)
     return out.select("doc_id", "lang", "source", F.col("__n_tokens").alias("n_tokens"), F.col("__ids").alias("ids"),
                       F.col("__ids_sha256").alias("ids_sha256"), F.col("__decoded_sha256").alias("decoded_sha256"))
 
