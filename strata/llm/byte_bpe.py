@@ -77,6 +77,7 @@ class ByteBpe:
         self.text_of = [str(i) for i in range(len(tokens))]
         self.by_text = dict(zip(self.text_of, tokens))
         self.line_feed = str(self.ids[b"\n"])
+        self.most = CHUNKS
         self.pairs: dict[int, bool] = {}
         self.young: dict[str, str] = {}                     # when full it becomes the old one
         self.old: dict[str, str] = {}
@@ -172,7 +173,7 @@ class ByteBpe:
             if got is None:
                 got = " ".join(map(self.text_of.__getitem__, self.encode_piece(piece.encode())))
             if len(piece) <= CHUNK_CHARS:
-                if len(self.young) >= CHUNKS // 2:
+                if len(self.young) >= self.most // 2:
                     self.old, self.young = self.young, {}
                 self.young[piece] = got
         return got
@@ -240,15 +241,16 @@ def tokenizer(path: str, pattern: str) -> ByteBpe:
 
 
 def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text",
-                 with_ids: bool = True, keep: bool = True) -> DataFrame:
+                 with_ids: bool = True, keep: bool = True, remember: int = CHUNKS) -> DataFrame:
     """``docs`` with __ids (array of int, if asked for), __n_tokens, __ids_sha256, __decoded_sha256.
 
     ``path`` must name the rank file on every executor (it is part of an installed package).
-    Without ``keep`` a worker gives its remembered pieces back after each task, so that other work
-    in the same workers has their memory.
+    A worker remembers ``remember`` pieces at most. Without ``keep`` it gives them back after each
+    task, so that other work in the same workers has their memory.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path, pattern)
+        bpe.most = remember
         for whole in batches:
             for lo in range(0, whole.num_rows, 256):
                 b = whole.slice(lo, 256)
