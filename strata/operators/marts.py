@@ -50,13 +50,14 @@ def first_key_with_versions(versions: DataFrame, key: str, min_versions: int) ->
 def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date: str,
          how: str = "inner", valid_from: str = "valid_from",
          valid_to: str = "valid_to", bucket: str = "year",
-         horizon: DataFrame | _dt.date | None = None) -> DataFrame:
+         horizon: _dt.date | None = None) -> DataFrame:
     """Join each fact to the version with ``valid_from <= date <= valid_to``.
 
     Equi-join on (key, year) with the interval as a residual predicate:
 
-    * each version is repeated once per calendar year it covers, but only up to
-      the last fact day of its key (so the open-ended sentinel never expands);
+    * each version is repeated once per calendar year it covers, but the last bucket is
+      the one of ``horizon`` and holds every later day of facts and versions too, so the
+      open-ended sentinel never expands;
     * a fact is compared only with the versions of its key that touch its year,
       so a key with a long history costs a handful of comparisons per fact;
     * the (key, year) join key spreads a hot key over many partitions, and AQE
@@ -65,10 +66,11 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
     ``how`` is "inner" (facts without a version are dropped) or "left" (kept with
     NULL version columns). Versions must not overlap per key (the history gate).
     ``bucket="month"`` trades more version copies for fewer comparisons per fact,
-    for histories that change many times a year. ``horizon`` is the last fact day: one
-    day for all facts (:func:`last_day_of` reads it from the fact table before any
-    join, so the facts are planned once), or a table (key..., ``_hz``). Without it the
-    last day of each key is aggregated from ``facts``, which plans them a second time.
+    for histories that change many times a year. ``horizon`` (default: today) changes no
+    result, only how far open versions are repeated and how fine late facts are split; a day
+    near the last fact is best. Facts and versions are planned once each, and no job runs
+    while the join is built. Facts with a NULL key match nothing; with ``left`` they are
+    spread over many buckets, since they would otherwise meet in one task.
     """
     keys = _keys(key)
     if how not in ("inner", "left"):
@@ -76,22 +78,20 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
     if bucket not in ("year", "month"):
         raise ValueError("bucket must be 'year' or 'month'")
     unit = F.year if bucket == "year" else month_index
-    if horizon is None:
-        horizon = (facts.select(*keys, F.col(date).alias("_fd"))
-                   .groupBy(*keys).agg(F.max("_fd").alias("_hz")))
+    last = F.lit(horizon or _dt.date.today())
     vcols = [c for c in versions.columns if c not in keys]
     clash = sorted(set(vcols) & set(facts.columns))
     if clash:
         raise ValueError(f"facts and versions share non-key columns {clash}; rename one side")
-    if isinstance(horizon, DataFrame):
-        capped = versions.join(horizon, keys)
-    else:
-        capped = versions.withColumn("_hz", F.lit(horizon))
-    spans = (capped.filter(F.col(valid_from) <= F.col("_hz"))
-             .withColumn("_yr", F.explode(ascending(
-                 unit(F.col(valid_from)), unit(F.least(F.col(valid_to), F.col("_hz"))))))
+    spans = (versions.withColumn("_yr", F.explode(ascending(
+                 unit(F.least(F.col(valid_from), last)), unit(F.least(F.col(valid_to), last)))))
              .select(*keys, "_yr", *[F.col(c).alias(f"_v_{c}") for c in vcols]))
-    left = facts.withColumn("_yr", unit(F.col(date)))
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
+    bucket_of = unit(F.least(F.col(date), last))
+    left = facts.withColumn("_yr", F.when(no_key, -1 - F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("int"))
+                            .otherwise(bucket_of) if how == "left" else bucket_of)
     cond = [left[k] == spans[k] for k in keys] + [
         left["_yr"] == spans["_yr"],
         left[date] >= spans[f"_v_{valid_from}"],
@@ -102,14 +102,9 @@ def asof(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date:
                       *[spans[f"_v_{c}"].alias(c) for c in vcols])
 
 
-def last_day_of(facts: DataFrame, date: str) -> _dt.date:
-    """The last day of a fact table (one row read): the ``horizon`` of :func:`asof`."""
-    return facts.agg(F.max(date)).first()[0] or _dt.date(1, 1, 1)
-
-
 def obt(facts: DataFrame, versions: DataFrame, key: str | Sequence[str], date: str,
         dims: Sequence[tuple[DataFrame, str | Sequence[str]]] = (),
-        how: str = "left", horizon: DataFrame | _dt.date | None = None) -> DataFrame:
+        how: str = "left", horizon: _dt.date | None = None) -> DataFrame:
     """One big table: each fact with the version alive on its day and the
     attributes of every dimension joined onto that version.
 

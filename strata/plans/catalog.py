@@ -21,6 +21,8 @@ from strata.operators.history import scd2
 # Fixed values of the mapping above.
 EXIT_SEGMENT = "FURNITURE"
 EXIT_AFTER_DAYS = 30
+# Year buckets of the as-of join end here; later days share the last one (no result changes).
+FACT_HORIZON = dt.date(2001, 12, 31)
 STATE_COLUMNS = ("o_orderstatus", "o_orderpriority", "price")
 
 
@@ -70,13 +72,6 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(od, "l_orderkey")
 
 
-def last_ship_day(spark: SparkSession, sf_dir: str) -> dt.date:
-    """Last day of the facts, read from ``lineitem`` before any join (one row)."""
-    from strata.operators.marts import last_day_of
-    return last_day_of(table(spark, sf_dir, "lineitem").select(
-        F.col("l_shipdate").cast("date").alias("ship_date")), "ship_date")
-
-
 def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer attributes with nation and region names (one row per customer)."""
     c = table(spark, sf_dir, "customer").select(

@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from strata.operators import calendar, gates, marts
 from strata.operators.history import scd2_rejects
 from strata.operators.keys import with_keys
-from strata.plans.catalog import (STATE_COLUMNS, customer_dim, holiday_feed, order_facts,
-                                  last_ship_day, order_history, order_log)
+from strata.plans.catalog import (FACT_HORIZON, STATE_COLUMNS, customer_dim, holiday_feed, order_facts,
+                                  order_history, order_log)
 from strata.sources.files import publish, read_table, write_table
 
 
@@ -66,7 +66,7 @@ def build(spark: SparkSession, sf_dir: str, warehouse: str,
     put("fact_headcount_snapshot",
         marts.snapshot(versions, q.SNAPSHOT_LO, q.SNAPSHOT_HI, by=["o_orderstatus"]))
     obt = marts.obt(order_facts(spark, sf_dir), dim, "o_custkey", "ship_date", how="left",
-                    horizon=last_ship_day(spark, sf_dir))
+                    horizon=FACT_HORIZON)
     parts: list[str] = []
     if partition_facts:
         obt = (obt.withColumn("ship_month", F.date_format("ship_date", "yyyy-MM"))

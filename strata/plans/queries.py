@@ -19,8 +19,8 @@ from strata.operators import calendar, clean as cleaning, gates, lifecycle, mart
 from strata.operators.history import SENTINEL, as_of, current
 from strata.operators.keys import with_keys
 from strata.operators.lifecycle import LifeCycle
-from strata.plans.catalog import (STATE_COLUMNS, customer_dim, customer_exits, customer_nested,
-                                  customer_text, events_text, holiday_feed, last_ship_day, order_facts,
+from strata.plans.catalog import (FACT_HORIZON, STATE_COLUMNS, customer_dim, customer_exits, customer_nested,
+                                  customer_text, events_text, FACT_HORIZON, holiday_feed, order_facts,
                                   order_history, order_log, orders_text, page_params, table)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,7 +130,7 @@ DIM_COUNTRY = "O"
 @query
 def fact_events_asof(spark, sf_dir):
     out = marts.asof(order_facts(spark, sf_dir), order_history(spark, sf_dir),
-                     "o_custkey", "ship_date", how="left", horizon=last_ship_day(spark, sf_dir))
+                     "o_custkey", "ship_date", how="left", horizon=FACT_HORIZON)
     return out.select("l_orderkey", "l_linenumber", "o_custkey", "ship_date",
                       "valid_from", "valid_to", "o_orderstatus", "o_orderpriority")
 
@@ -158,7 +158,7 @@ def obt(spark, sf_dir):
     v = with_keys(order_history(spark, sf_dir), "o_custkey", STATE_COLUMNS)
     return marts.obt(order_facts(spark, sf_dir), v, "o_custkey", "ship_date",
                      dims=[(customer_dim(spark, sf_dir), "o_custkey")], how="left",
-                     horizon=last_ship_day(spark, sf_dir)).select(
+                     horizon=FACT_HORIZON).select(
         "l_orderkey", "l_linenumber", "ship_date", "o_custkey", "version_sk",
         "o_orderstatus", "price", "c_name", "c_mktsegment", "n_name", "r_name")
 

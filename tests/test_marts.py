@@ -80,3 +80,20 @@ def test_asof_rejects_clashing_columns(spark):
     facts = spark.createDataFrame([(1, "A", D(2020, 5, 1), "f")], "id int, k string, d date, st string")
     with pytest.raises(ValueError, match="st"):
         marts.asof(facts, _versions(spark), "k", "d")
+
+
+def test_any_horizon_gives_the_same_join(spark):
+    """The horizon only bounds the buckets: facts and versions after it still meet."""
+    import datetime as dt
+    versions = spark.createDataFrame([("a", dt.date(2019, 5, 1), dt.date(2020, 2, 1), 1), ("a", dt.date(2020, 2, 2), dt.date(2021, 7, 1), 2),
+                                      ("a", dt.date(2021, 7, 2), dt.date(9999, 12, 31), 3), ("b", dt.date(2022, 1, 1), dt.date(2022, 1, 1), 4)],
+                                     "k string, valid_from date, valid_to date, tag int")
+    days = [(k, dt.date(y, m, 2)) for k in ("a", "b", None) for y in (2018, 2019, 2020, 2021, 2022, 2040) for m in (1, 2, 7)] + [("a", None)]
+    facts = spark.createDataFrame([(i, k, d) for i, (k, d) in enumerate(days)], "n int, k string, d date")
+    want = [(i, next((t for kk, lo, hi, t in (("a", (2019, 5, 1), (2020, 2, 1), 1), ("a", (2020, 2, 2), (2021, 7, 1), 2),
+                                               ("a", (2021, 7, 2), (9999, 12, 31), 3), ("b", (2022, 1, 1), (2022, 1, 1), 4))
+                      if d and kk == k and dt.date(*lo) <= d <= dt.date(*hi)), None)) for i, (k, d) in enumerate(days)]
+    for horizon in (None, dt.date(1990, 1, 1), dt.date(2020, 6, 1), dt.date(2050, 1, 1)):
+        for bucket in ("year", "month"):
+            got = marts.asof(facts, versions, "k", "d", how="left", bucket=bucket, horizon=horizon).collect()
+            assert sorted((r["n"], r["tag"]) for r in got) == want
