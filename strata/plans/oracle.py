@@ -358,8 +358,9 @@ SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS order_
 FROM orders ORDER BY o_orderkey LIMIT 10"""
 
 SQL["chronological_log"] = """
-SELECT CAST(o_orderdate AS DATE) AS event_date, o_custkey, o_orderkey FROM orders
-ORDER BY event_date, o_custkey, o_orderkey"""
+SELECT CAST(o_orderdate AS DATE) AS event_date, o_custkey, o_orderkey,
+       row_number() OVER (ORDER BY CAST(o_orderdate AS DATE), o_custkey, o_orderkey) AS position
+FROM orders ORDER BY position"""
 
 # ---------------------------------------------------------------- nested
 

@@ -19,6 +19,7 @@ from strata.operators import calendar, clean as cleaning, gates, lifecycle, mart
 from strata.operators.history import SENTINEL, as_of, current
 from strata.operators.keys import with_keys
 from strata.operators.lifecycle import LifeCycle
+from strata.operators.ordering import with_position
 from strata.plans.catalog import (FACT_HORIZON, STATE_COLUMNS, customer_dim, customer_exits, customer_nested,
                                   customer_text, events_text, FACT_HORIZON, holiday_feed, order_facts,
                                   order_history, order_log, orders_text, page_params, table)
@@ -527,9 +528,9 @@ def preview_top_n(spark, sf_dir):
 
 @query
 def chronological_log(spark, sf_dir):
-    """The whole event log in order of day, then entity, then event."""
-    return order_log(spark, sf_dir).select("event_date", "o_custkey", "o_orderkey").orderBy(
-        "event_date", "o_custkey", "o_orderkey")
+    """The whole event log in order of day, then entity, then event, with each event's position."""
+    log = order_log(spark, sf_dir).select("event_date", "o_custkey", "o_orderkey")
+    return with_position(log, ["event_date", "o_custkey", "o_orderkey"]).orderBy("position")
 
 
 # --------------------------------------------------------------------------- nested
