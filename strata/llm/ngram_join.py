@@ -370,7 +370,7 @@ def _with_node(docs: DataFrame) -> DataFrame:
 
 def keep_one(docs: DataFrame, threshold: float = JACCARD, recall: float = RECALL) -> DataFrame:
     """``docs`` without the rows whose class has a smaller doc_id; of rows that share the smallest
-    doc_id and a text one stays. Columns are unchanged."""
+    doc_id and a text the smallest by their other columns stays. Columns are unchanged."""
     found = _joined(docs, threshold, recall)
     gone = stored(found.filter(F.col("doc_id") != F.col("class_id"))
                   .select(F.col("doc_id").alias("__gone"), F.col("node").alias("__gone_node")).distinct())
@@ -382,7 +382,9 @@ def keep_one(docs: DataFrame, threshold: float = JACCARD, recall: float = RECALL
     single = docs.join(again, F.col("doc_id") == F.col("__again"), "left_anti").join(gone, same_id, "left_anti")
     shared = _with_node(docs.join(again, F.col("doc_id") == F.col("__again"), "left_semi"))
     shared = shared.join(gone, same_id & (F.col("__node") == F.col("__gone_node")), "left_anti")
-    return single.unionByName(shared.drop("__node").dropDuplicates(["doc_id", "text"]))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    least = shared.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("__first"), *others)).alias("__least"))
+    return single.unionByName(least.select(*[c if c in ("doc_id", "text") else F.col(f"__least.{c}").alias(c) for c in docs.columns]))
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,6 +89,15 @@ def test_keep_one_drops_by_id_and_text(spark):
     assert sorted(tuple(r) for r in got) == [(1, near), (2, clean)]
 
 
+def test_keep_one_takes_the_smallest_of_equal_rows(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, "z", "en"), (1, text, "b", "fr"), (1, text, None, "de"), (2, text, "a", "en"), (3, "other words", "c", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    for n in (1, 5):
+        got = ngram_join.keep_one(df.repartition(n)).collect()
+        assert sorted((r["doc_id"], r["source"] or "", r["lang"] or "") for r in got) == [(1, "", "de"), (3, "c", "")]
+
+
 def test_registered_join_meets_pairs_at_the_threshold():
     n = ngram_join.enough_runs(ngram_join.RECALL, ngram_join.JACCARD)
     assert ngram_join.met_chance(n, 0.8, 0.8) >= 0.9999 > ngram_join.met_chance(n - 1, 0.8, 0.8)
