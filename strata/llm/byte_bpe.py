@@ -12,7 +12,10 @@ Whether two tokens are compatible is remembered for all pairs met, and finished
 remembered too; both memories are emptied when full (``PAIRS``, ``CHUNKS``), which changes no
 result. The vocabulary is read from a rank file (a parameter) once per Python worker.
 
-Cases: a NULL or empty text has no tokens. Every text is encoded whole, whatever its length.
+Cases: a NULL or empty text has no tokens. Every text is encoded whole, whatever its length. Rows that
+share a doc_id are encoded one by one, and an empty table gives an empty result. Columns named __ids,
+__n_tokens, __ids_sha256 or __decoded_sha256 are replaced; no other name clashes. There are no ties: of
+equal ranks the leftmost pair merges first.
 """
 
 from __future__ import annotations
@@ -248,6 +251,8 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text",
     A worker remembers ``remember`` pieces at most. Without ``keep`` it gives them back after each
     task, so that other work in the same workers has their memory.
     """
+    docs = docs.drop("__ids", "__n_tokens", "__ids_sha256", "__decoded_sha256")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path, pattern)
         bpe.most = remember

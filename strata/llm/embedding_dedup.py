@@ -17,7 +17,9 @@ that joins the same rows. Components follow from the forests.
 
 Cases: vectors that are NULL, empty or zero, or hold NULL or non-finite components, link with
 nothing, as do vectors of different lengths. Rows that share a vec_id are vectors of their own. A
-NULL vec_id links with nothing.
+NULL vec_id links with nothing. Equal cosines need no order: every pair at the threshold or above is a
+link. An empty table gives an empty result. Only vec_id and the vector are read, so other columns clash
+with nothing.
 """
 
 from __future__ import annotations

@@ -11,6 +11,8 @@ Cases: a NULL or empty text is one empty line. Lines whose key is shorter than `
 points always stay. A key counts once per document, however often it stands in it, and all its
 lines in a document share one fate. Rows that share a doc_id are one document for the choice, and
 each row is rebuilt by itself. A NULL doc_id counts as one document that is never the largest.
+There are no ties: the largest doc_id is one document. An empty table gives an empty result. Other
+columns stay; only names beginning with __ (the two counts, and helpers) are the operator's own.
 """
 
 from __future__ import annotations

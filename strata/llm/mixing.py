@@ -18,6 +18,9 @@ No target passes ``cap`` times its source's words; the excess goes to the others
 Cases: NULL text has no words. A NULL source is a source of its own. A document without words
 takes none. A source without words has target 0. Rows that share a doc_id are mixed one by one in
 ``mix`` and as one document in ``apply_mix``. An empty table gives an empty result.
+Only the named columns are read, so others clash with nothing; ``apply_mix`` hands them on. Rounding
+carries the remainder from row to row of a block in a fixed order, so of equal rows one may be taken
+more often than another, but a rerun takes the same number in all.
 """
 
 from __future__ import annotations

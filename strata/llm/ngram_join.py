@@ -23,7 +23,9 @@ and the rest travel as packed texts, which are smaller than their sets.
 Cases: a text without words (NULL, empty, only white space) and a NULL doc_id link with nothing. A
 text with fewer than five words has one shingle of all of them. Rows that share a doc_id are
 documents of their own. Words are compared with A-Z lower-cased and white space of any length
-between them.
+between them. An empty table gives an empty result. Equal similarities need no order: every pair at the
+threshold or above is a link. Only doc_id and text are read, so other columns clash with nothing;
+``keep_one`` hands them on, and only names beginning with __ are its own.
 """
 
 from __future__ import annotations

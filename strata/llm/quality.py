@@ -12,7 +12,10 @@ dictionaries (at most ``WINDOWS`` windows of each, spread evenly over the text)
 whole texts, for the calibration. Every text is scored whole.
 
 Cases: a NULL or empty text gets the share of good labels. Without labels of both classes every
-text gets that share, or 0.5 without any. Rows that share a doc_id are scored one by one.
+text gets that share, or 0.5 without any. Rows that share a doc_id are scored one by one;
+for learning, the smallest of their texts counts. An empty table gives an empty result. A column with
+the name of the score is replaced; no other name clashes. There are no ties: a score depends on its
+text alone.
 """
 
 from __future__ import annotations
@@ -135,6 +138,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality",
 
 def score_quality(docs: DataFrame, model: QualityModel, text: str = "text", out: str = "__quality") -> DataFrame:
     """``docs`` with the score of every whole text."""
+    docs = docs.drop(out)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

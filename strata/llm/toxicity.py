@@ -17,7 +17,9 @@ learnt from. Counts over the sample run in Spark; the driver gets ``FEATURES`` f
 
 Cases: a NULL or empty text has no features and gets the intercept's probability. Without labels
 of both classes every text gets the share of toxic labels (0 without any). Rows that share a
-doc_id are scored one by one.
+doc_id are scored one by one; for learning, the smallest of their texts counts. An empty table gives
+an empty result. A column with the name of the score is replaced; no other name clashes. There are no
+ties: a score depends on its text alone.
 """
 
 from __future__ import annotations
@@ -257,6 +259,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
 
 def score_toxicity(docs: DataFrame, model: ToxicModel, text: str = "text", out: str = "__toxicity") -> DataFrame:
     """``docs`` with the score of every whole text."""
+    docs = docs.drop(out)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -22,7 +22,8 @@ Cases: NULL html is an empty payload. Short and empty payloads are always respon
 are made from page_id and payload, so rows that share a page_id keep apart; if several rows share
 the smallest page_id of a payload, each of them is a response. A NULL page_id never is the
 smallest; it is written as an empty id and read back as NULL. A record that breaks a rule, or whose
-payload differs from its stated digest, raises ``WarcError`` with its id.
+payload differs from its stated digest, raises ``WarcError`` with its id. An empty table reads back empty.
+Only page_id, url and html are read, so other columns clash with nothing.
 """
 
 from __future__ import annotations

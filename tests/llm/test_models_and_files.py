@@ -401,3 +401,19 @@ def test_bpe_takes_other_patterns_as_the_library_does():
     own = byte_bpe.ByteBpe(tokens, pattern)
     for text in ("one;\ntwo, three.\nfour", "a b c", "end ...\n\nnext (x)\ny", "two  spaces;\nz"):
         assert own.encode(text) == library.encode_ordinary(text)
+
+
+def test_clashing_columns_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "some words here and more of them"), (1, None)], "doc_id long, text string")
+    names = ["__quality", "__toxicity", "__fingerprint", "__ids", "__n_tokens", "__ids_sha256", "__decoded_sha256", "key", "node", "size"]
+    odd = docs.withColumns({n: F.lit("clash") for n in names})
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    from strata.llm import line_dedup, mixing, ngram_join, simhash
+    outs = [quality.score_quality(odd, quality.fit_quality(docs, none.select("doc_id", "quality"))),
+            toxicity.score_toxicity(odd, toxicity.fit_toxicity(docs, none.select("doc_id", "toxic"))),
+            simhash.fingerprints(odd), byte_bpe.encode_texts(odd, byte_bpe.default_ranks(), public_tokenizers.PATTERN),
+            line_dedup.dedup_lines(odd), ngram_join.keep_one(odd), ngram_join.jaccard_join(odd),
+            mixing.apply_mix(odd.withColumn("source", F.lit("s")))]
+    for out in outs:
+        assert len(set(out.columns)) == len(out.columns) and out.count() >= 1
+    assert all(r["__quality"] != "clash" for r in outs[0].collect()) and outs[3].filter("__n_tokens > 0").count() == 1
