@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
 of ``documents`` (and any others that came in). ``run`` writes each stage's result as Parquet to
 the shared checkpoint folder and reads it back as the next one's documents.
+
+Cases: a NULL or empty text gets the share of good labels as its score, is one empty line, links with
+nothing, and has no words and no tokens. Very long texts go through every stage whole. Rows that share
+a doc_id count as one document for line dedup and mixing; of those that also share a text the join
+keeps the smallest by their other columns. An empty table passes through every stage. Other columns
+are handed on by all stages but the last; names beginning with __ belong to the stages.
 """
 
 from __future__ import annotations
