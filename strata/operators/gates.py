@@ -74,8 +74,7 @@ def enforce(profile_df: DataFrame, allow: Iterable[str] = ("n_rows",),
             require_rows: bool = True) -> dict[str, int]:
     """Read the one profile row; raise if any counted rule is non-zero.
 
-    This is the only place the library brings anything to the driver: one row of
-    integers.
+    Only that row of integers is brought to the driver.
     """
     row = profile_df.first()
     values = row.asDict() if row is not None else {}

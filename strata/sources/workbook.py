@@ -61,8 +61,8 @@ def _number_text(v: str) -> str:
 def iter_sheet(data: bytes, sheet: str | None = None) -> Iterator[list[str | None]]:
     """Rows of one sheet (first sheet when ``sheet`` is None) as lists of text.
 
-    The sheet XML is streamed (``iterparse``, elements cleared after use), so a
-    workbook of a million rows never holds its parsed tree in memory.
+    The sheet XML is parsed step by step (``iterparse``) and elements are emptied after
+    use; the emptied row elements stay attached, so memory still grows with the rows.
     """
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         names = set(z.namelist())
