@@ -587,3 +587,95 @@ SQL["scd2_reject_counts"] = """
 SELECT CASE WHEN o_orderkey % 89 = 0 THEN 'null_key' ELSE 'null_day' END AS reason,
        count(*) AS n_events, min(o_orderkey) AS first_order
 FROM orders WHERE o_orderkey % 89 = 0 OR o_orderkey % 97 = 0 GROUP BY 1"""
+
+_LAYOUTS = """
+WITH e AS (
+  SELECT event_id AS k, CAST(event_id AS VARCHAR) AS i, CAST(user_id AS VARCHAR) AS u, event_type AS t,
+         'n' || event_id AS note, event_id % 97 = 3 AS short, event_id % 97 <> 3 AND event_id % 89 = 4 AS long FROM events),
+l AS (
+  SELECT 'event_id,user_id,event_type' AS header, i AS event_id, CASE WHEN NOT short THEN u END AS user_id,
+         CASE WHEN NOT short THEN t END AS event_type,
+         CASE WHEN short THEN i WHEN long THEN concat_ws(',', i, u, t, 'more') END AS broken_line FROM e WHERE k % 3 = 0
+  UNION ALL
+  SELECT 'EVENT_TYPE,event_id,user_id', CASE WHEN NOT short THEN i END, CASE WHEN NOT short THEN u END, t,
+         CASE WHEN short THEN t WHEN long THEN concat_ws(',', t, i, u, 'more') END FROM e WHERE k % 3 = 1
+  UNION ALL
+  SELECT 'user_id,event_id,note', CASE WHEN NOT short THEN i END, u, NULL,
+         CASE WHEN short THEN u WHEN long THEN concat_ws(',', u, i, note, 'more') END FROM e WHERE k % 3 = 2)"""
+
+SQL["csv_by_header"] = _LAYOUTS + " SELECT event_id, user_id, event_type, broken_line, header FROM l"
+
+SQL["csv_header_report"] = _LAYOUTS + """
+SELECT header, CASE WHEN header LIKE '%note' THEN 'event_type' END AS missing,
+       CASE WHEN header LIKE '%note' THEN 'note' END AS extra, count(*) AS n_rows, count(broken_line) AS n_broken
+FROM l GROUP BY header"""
+
+SQL["variant_fields"] = """
+SELECT CASE WHEN whole THEN o_orderkey END AS id, CASE WHEN whole THEN o_orderstatus END AS status,
+       CASE WHEN whole THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS price,
+       CASE WHEN whole AND o_orderkey % 19 <> 0 THEN o_orderpriority END AS priority,
+       CASE WHEN whole AND o_orderkey % 19 <> 0 THEN o_custkey END AS customer,
+       CASE WHEN whole THEN CAST(o_orderkey AS VARCHAR) END AS tag,
+       CASE WHEN NOT whole THEN '{"id":' || o_orderkey END AS broken_line
+FROM (SELECT *, o_orderkey % 97 <> 3 AS whole FROM orders) o"""
+
+SQL["json_drift_report"] = """
+SELECT path, drift, expected, found, sum(n)::BIGINT AS n FROM (
+  SELECT '$' AS path, 'broken' AS drift, 'object' AS expected, 'broken' AS found, 1 AS n FROM orders WHERE o_orderkey % 97 = 3
+  UNION ALL SELECT 'channel', 'unknown', NULL, 'string', 1 FROM orders WHERE o_orderkey % 97 <> 3 AND o_orderkey % 7 = 0
+  UNION ALL SELECT 'price', 'retyped', 'number', 'string', 1 FROM orders WHERE o_orderkey % 97 <> 3 AND o_orderkey % 11 = 0
+  UNION ALL SELECT 'detail.weight', 'unknown', NULL, 'number', 1 FROM orders
+            WHERE o_orderkey % 97 <> 3 AND o_orderkey % 13 = 0 AND o_orderkey % 19 <> 0
+  UNION ALL SELECT 'tags.[].value', 'retyped', 'string', 'number', 2 FROM orders WHERE o_orderkey % 97 <> 3 AND o_orderkey % 17 = 0)
+GROUP BY ALL"""
+
+_LOADS = """
+WITH r AS (
+  SELECT o_custkey, CASE WHEN year(o_orderdate) < 1999 OR o_orderkey % 4 <> 0 THEN o_orderstatus END AS o_orderstatus,
+         CASE WHEN o_orderkey % 10 <> 0 THEN CAST(CAST(o_totalprice AS DECIMAL(18,2))
+              * CASE WHEN year(o_orderdate) >= 1999 THEN 3 ELSE 1 END AS DOUBLE) END AS price,
+         CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS DOUBLE) AS order_date, year(o_orderdate) >= 1999 AS late
+  FROM orders)"""
+
+SQL["merged_profiles"] = _LOADS + " UNION ALL ".join(
+    f" SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({c}) AS n_null, true AS distinct_close, "
+    f"true AS quantiles_close FROM r" for c in ("o_custkey", "o_orderstatus", "price", "order_date"))
+
+
+def _drift(c: str, ordered: bool) -> str:
+    shift = f"""(SELECT max(abs((SELECT count(*) FROM r WHERE NOT late AND {c} <= q) / (SELECT count({c}) FROM r WHERE NOT late)
+                       - (SELECT count(*) FROM r WHERE late AND {c} <= q) / (SELECT count({c}) FROM r WHERE late))) > 0.15
+             FROM (SELECT unnest(quantile_disc({c}, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS q FROM r WHERE NOT late) t)"""
+    return (f" SELECT '{c}' AS \"column\", abs(count(*) FILTER (late AND {c} IS NULL) / count(*) FILTER (late) "
+            f"- count(*) FILTER (NOT late AND {c} IS NULL) / count(*) FILTER (NOT late)) > 0.1 AS nulls_changed, "
+            f"{shift if ordered else 'false'} AS values_changed FROM r")
+
+
+SQL["load_drift"] = _LOADS + " UNION ALL ".join(
+    _drift(c, c != "o_orderstatus") for c in ("o_custkey", "o_orderstatus", "price", "order_date"))
+
+SQL["ship_working_days"] = """
+WITH hol AS (
+  SELECT o_orderstatus AS country, CAST(o_orderdate AS DATE) AS d FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_orderstatus, date_trunc('month', o_orderdate)
+                             ORDER BY o_totalprice DESC, o_orderkey DESC) = 1),
+work AS (
+  SELECT c.country, CAST(g AS DATE) AS d
+  FROM (SELECT DISTINCT o_orderstatus AS country FROM orders) c,
+       generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2002-12-31', INTERVAL 1 DAY) t(g)
+  WHERE dayofweek(g) NOT IN (0, 6) AND NOT EXISTS (SELECT 1 FROM hol WHERE hol.country = c.country AND hol.d = CAST(g AS DATE))),
+li AS (
+  SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS ship_date, o_orderstatus AS country,
+         CAST(o_orderdate AS DATE) AS order_date
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+spans AS (SELECT DISTINCT country, order_date, ship_date FROM li),
+n AS (SELECT s.country, s.order_date, s.ship_date,
+             count(w.d) * CASE WHEN ship_date < order_date THEN -1 ELSE 1 END AS working_days
+      FROM spans s LEFT JOIN work w ON w.country = s.country AND w.d > least(s.order_date, s.ship_date)
+                                   AND w.d <= greatest(s.order_date, s.ship_date)
+      GROUP BY s.country, s.order_date, s.ship_date),
+due AS (SELECT s.country, s.order_date, w.d AS due FROM (SELECT DISTINCT country, order_date FROM spans) s
+        JOIN work w ON w.country = s.country AND w.d > s.order_date AND w.d <= s.order_date + 40
+        QUALIFY row_number() OVER (PARTITION BY s.country, s.order_date ORDER BY w.d) = 5)
+SELECT l_orderkey, l_linenumber, ship_date, country, order_date, due, working_days
+FROM li JOIN n USING (country, order_date, ship_date) LEFT JOIN due USING (country, order_date)"""

@@ -682,6 +682,182 @@ def csv_roundtrip(spark, sf_dir):
         *cols, F.col(CORRUPT).alias("broken_line"))
 
 
+# The wanted columns, and the header of each landed layout (event_id % 3): as wanted, in
+# another order and case, and with one column missing and one more.
+EVENT_COLUMNS = ("event_id", "user_id", "event_type")
+EVENT_LAYOUTS = {0: ("event_id", "user_id", "event_type"), 1: ("EVENT_TYPE", "event_id", "user_id"),
+                 2: ("user_id", "event_id", "note")}
+
+
+def _landed_layouts(spark, sf_dir):
+    """Events landed as CSV under three headers, with broken lines as in ``csv_roundtrip``."""
+    from strata.session import shared_dir
+    from strata.sources.files import write_table
+    from strata.sources.headers import scan_csv_by_name
+    path = shared_dir(spark, "csv-layouts")
+    k = F.col("event_id")
+    events = _events(spark, sf_dir).withColumn("note", F.concat(F.lit("n"), k.cast("string")))
+    for i, header in EVENT_LAYOUTS.items():
+        line = (F.when(k % 97 == 3, F.col(header[0]).cast("string"))
+                .when(k % 89 == 4, F.concat_ws(",", *header, F.lit("more")))
+                .otherwise(F.concat_ws(",", *header)))
+        write_table(events.filter(k % 3 == i).select(line.alias(",".join(header))), f"{path}/{i}", fmt="csv",
+                    header="true", sep="\x01")
+    return scan_csv_by_name(spark, path, EVENT_COLUMNS)
+
+
+@query
+def csv_by_header(spark, sf_dir):
+    """Every line under every header, bound by name."""
+    from strata.sources.files import CORRUPT
+    from strata.sources.headers import HEADER
+    return _landed_layouts(spark, sf_dir).select(*EVENT_COLUMNS, F.col(CORRUPT).alias("broken_line"),
+                                                 F.array_join(HEADER, ",").alias("header"))
+
+
+@query
+def csv_header_report(spark, sf_dir):
+    """Missing and extra columns of each header, with its lines and its broken lines."""
+    from strata.sources.headers import header_report
+    return header_report(_landed_layouts(spark, sf_dir), EVENT_COLUMNS)
+
+
+# What the landed orders are expected to be.
+ORDER_JSON_SCHEMA = ("id bigint, status string, price decimal(18,2), detail struct<priority: string, customer: bigint>, "
+                     "tags array<struct<key: string, value: string>>")
+
+
+def _landed_orders(spark, sf_dir):
+    """Orders landed as JSON lines that drift from their schema: an unknown field (key % 7 = 0), price as
+    text (% 11), an unknown nested field (% 13) where the struct isn't null (% 19), tag values as numbers
+    (% 17), truncated lines (% 97 = 3)."""
+    from strata.session import shared_dir
+    from strata.sources.drift import scan_variant
+    from strata.sources.files import write_table
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    price, key = F.col("o_totalprice").cast("decimal(18,2)").cast("string"), k.cast("string")
+
+    def text(c):
+        return F.concat(F.lit('"'), c, F.lit('"'))
+
+    detail = F.concat(F.lit('{"priority":'), text(F.col("o_orderpriority")), F.lit(',"customer":'),
+                      F.col("o_custkey").cast("string"), F.when(k % 13 == 0, F.lit(',"weight":1.5')).otherwise(""), F.lit("}"))
+    value = F.when(k % 17 == 0, key).otherwise(text(key))
+    whole = F.concat(F.lit('{"id":'), key, F.lit(',"status":'), text(F.col("o_orderstatus")), F.lit(',"price":'),
+                     F.when(k % 11 == 0, text(price)).otherwise(price),
+                     F.when(k % 7 == 0, F.lit(',"channel":"web"')).otherwise(""),
+                     F.lit(',"detail":'), F.when(k % 19 == 0, "null").otherwise(detail),
+                     F.lit(',"tags":[{"key":"order","value":'), value, F.lit('},{"key":"again","value":'), value, F.lit("}]}"))
+    path = shared_dir(spark, "variant")
+    write_table(o.select(F.when(k % 97 == 3, F.concat(F.lit('{"id":'), key)).otherwise(whole).alias("value")), path, fmt="text")
+    return scan_variant(spark, path)
+
+
+@query
+def variant_fields(spark, sf_dir):
+    """Typed fields of the landed orders; a truncated line keeps its raw text."""
+    from strata.sources.drift import BROKEN, read_fields
+    back = read_fields(_landed_orders(spark, sf_dir), ORDER_JSON_SCHEMA)
+    return back.select("id", "status", "price", F.col("detail.priority").alias("priority"),
+                       F.col("detail.customer").alias("customer"),
+                       F.get("tags", F.lit(0))["value"].alias("tag"), F.col(BROKEN).alias("broken_line"))
+
+
+@query
+def json_drift_report(spark, sf_dir):
+    """Unknown, retyped and broken parts of the landed orders, counted."""
+    from strata.sources.drift import drift_report
+    return drift_report(_landed_orders(spark, sf_dir), ORDER_JSON_SCHEMA)
+
+
+# --------------------------------------------------------------------------- sketches
+PROFILED = ("o_custkey", "o_orderstatus", "price", "order_date")
+
+
+def _profile_runs(spark, sf_dir):
+    """Orders as loads, one a year; no price where key % 10 = 0, and the loads from 1999 on have another
+    scale of prices and no status where key % 4 = 0."""
+    k, year = F.col("o_orderkey"), F.year("o_orderdate")
+    late = year >= 1999
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    return table(spark, sf_dir, "orders").select(
+        "o_custkey", F.when(~late | (k % 4 != 0), F.col("o_orderstatus")).alias("o_orderstatus"),
+        F.when(k % 10 != 0, F.when(late, price * 3).otherwise(price)).cast("double").alias("price"),
+        F.col("o_orderdate").cast("date").alias("order_date"), year.alias("load_year"))
+
+
+def _stored_profiles(spark, sf_dir):
+    from strata.operators.sketches import column_profiles
+    from strata.session import materialize
+    return materialize(column_profiles(_profile_runs(spark, sf_dir), PROFILED, run="load_year"), how="table")
+
+
+@query
+def merged_profiles(spark, sf_dir):
+    """Profiles of all loads merged, beside the exact figures: is each estimate within its stated error?"""
+    from strata.operators.sketches import DECILES, DISTINCT_ERROR, RANK_ERROR, estimates, merge_profiles
+    got = estimates(merge_profiles(_stored_profiles(spark, sf_dir)))
+    runs = _profile_runs(spark, sf_dir)
+    numbers = {c: F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double") if c == "order_date"
+               else F.col(c).cast("double") for c in PROFILED if c != "o_orderstatus"}
+    long = runs.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"),
+                 numbers.get(c, F.lit(None).cast("double")).alias("number")) for c in PROFILED])))
+    per_value = long.filter("value IS NOT NULL").groupBy("column", "value", "number").agg(F.count("*").alias("n"))
+    at = got.select("column", "n_distinct", "quantiles")
+    exact = (per_value.join(at, "column").groupBy("column")
+             .agg(F.count("*").alias("distinct"), F.sum("n").alias("held"), F.first("n_distinct").alias("n_distinct"),
+                  F.first("quantiles").isNotNull().alias("ordered"),
+                  *[F.sum(F.when(F.col("number") <= F.get("quantiles", F.lit(i)), F.col("n")).otherwise(0)).alias(f"up{i}")
+                    for i in range(len(DECILES))],
+                  *[F.sum(F.when(F.col("number") < F.get("quantiles", F.lit(i)), F.col("n")).otherwise(0)).alias(f"below{i}")
+                    for i in range(len(DECILES))]))
+    close = F.lit(True)
+    for i, r in enumerate(DECILES):                         # the rank wanted lies within the value's own ranks
+        close = close & (F.col(f"up{i}") / F.col("held") >= r - RANK_ERROR) & (F.col(f"below{i}") / F.col("held") <= r + RANK_ERROR)
+    checked = exact.select("column", (F.abs(F.col("n_distinct") - F.col("distinct")) <= F.col("distinct") * DISTINCT_ERROR + 1)
+                           .alias("distinct_close"), (~F.col("ordered") | close).alias("quantiles_close"))
+    return got.join(checked, "column").select("column", "n_rows", "n_null", "distinct_close", "quantiles_close")
+
+
+@query
+def load_drift(spark, sf_dir):
+    """Columns that changed between the loads before 1999 and those after, from stored profiles alone."""
+    from strata.operators.sketches import merge_profiles, profile_drift
+    runs = _stored_profiles(spark, sf_dir)
+    found = profile_drift(merge_profiles(runs.filter("load_year < 1999")), merge_profiles(runs.filter("load_year >= 1999")))
+    return found.select("column", (F.abs("null_shift") > 0.1).alias("nulls_changed"),
+                        F.coalesce(F.col("rank_shift") > 0.15, F.lit(False)).alias("values_changed"))
+
+
+# --------------------------------------------------------------------------- working days
+CALENDAR = (dt.date(1995, 1, 1), dt.date(2002, 12, 31))
+
+
+def _work_calendar(spark, sf_dir):
+    """Working days of each order status as a country, whose holidays are the days of each month's
+    dearest order (ties: the largest key)."""
+    from strata.operators.workdays import working_calendar
+    o = table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date")
+    holidays = (o.groupBy(F.col("o_orderstatus").alias("country"), F.trunc(day, "month").alias("month"))
+                .agg(F.max_by(day, F.struct("o_totalprice", "o_orderkey")).alias("date")))
+    return working_calendar(o.select(F.col("o_orderstatus").alias("country")), holidays, *CALENDAR)
+
+
+@query
+def ship_working_days(spark, sf_dir):
+    """Working days from order to shipping of every line item, and the fifth working day after the order."""
+    from strata.operators.workdays import add_working_days, working_days_between
+    cal = _work_calendar(spark, sf_dir)
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderstatus").alias("country"),
+                                              F.col("o_orderdate").cast("date").alias("order_date"))
+    due = add_working_days(o, cal, "country", "order_date", 5)
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("date").alias("ship_date"))
+    return working_days_between(li.join(due, "l_orderkey"), cal, "country", "order_date", "ship_date")
+
+
 SUPPLIER_JSON_SCHEMA = (
     "s_suppkey bigint, s_name string, "
     "nation struct<key: int, name: string, region: struct<key: int>>, "

@@ -23,16 +23,20 @@ def all_string_schema(columns: Iterable[str]) -> StructType:
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType,
-             keep_corrupt: bool = True) -> DataFrame:
+             keep_corrupt: bool = True, sep: str = ",", recursive: bool = False,
+             check_header: bool = True) -> DataFrame:
     """Header CSV with an explicit schema (no inference pass); malformed lines are
     kept with their raw text in ``_corrupt_record`` instead of being dropped. A header
     whose names or order differ from the schema fails the read: columns are never bound
-    by position alone."""
+    by position alone. ``check_header=False`` is for a caller that has read the headers
+    itself (:mod:`strata.sources.headers` binds each file by its own)."""
     full = schema
     if keep_corrupt and CORRUPT not in schema.fieldNames():
         full = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
     reader = (spark.read.option("header", "true").option("mode", "PERMISSIVE")
-              .option("enforceSchema", "false")
+              .option("enforceSchema", not check_header)
+              .option("columnPruning", not keep_corrupt)     # fields left out would hide that a line is broken
+              .option("sep", sep).option("recursiveFileLookup", recursive)
               .option("columnNameOfCorruptRecord", CORRUPT).schema(full))
     return reader.csv(path)
 
