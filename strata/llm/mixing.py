@@ -1,11 +1,13 @@
 """Mixing sources to target weights (operator 2): entropy balancing of document rates.
 
 Every document gets a rate, the expected number of copies in the mix. Of all rates that give each
-source its target number of words, the ones nearest to the base rates in (word-weighted) entropy
-are exponential tilts of the base rates, ``min(cap, base * exp(lam))`` with one dual variable for
-each source's word constraint. The convex dual is solved by Newton steps: one aggregate over the
-documents gives every source's gradient and curvature, and all sources step at once. Documents of
-one source with one base rate share their rate, so the steps run over word sums by (source, base).
+source its target number of words, the ones nearest to the base rates in entropy are exponential tilts
+by the document's size, ``min(cap, base * exp(lam * size / mean size of the source))``, with one dual
+variable for each source's word constraint. The convex dual is solved by Newton steps from lam = 0: one
+aggregate gives every source's gradient and curvature, and all sources step at once. Documents of one
+source with one base rate and size share their rate, so the steps run over counts by (source, base, size).
+The cap bends the dual, so each source also keeps the bounds that its steps have shown; a step that
+leaves them is halved into them. Sums are exact decimals: a rerun finds the same rates to the last bit.
 
 Rates become whole copies by diffusing the rounding error over blocks of a source's documents, from
 the longest to the shortest. A document gets its rate rounded down or up, so copies stay within
@@ -16,7 +18,7 @@ Targets: the sources by code point, NULL last, weigh 1, 2, 3, 1, 2, 3, ... and s
 No target passes ``cap`` times its source's words; the excess goes to the others by weight.
 
 Cases: NULL text has no words. A NULL source is a source of its own. A document without words
-takes none. A source without words has target 0. Rows that share a doc_id are mixed one by one in
+keeps its base rate (one copy, which takes no words). A source without words has target 0. Rows that share a doc_id are mixed one by one in
 ``mix`` and as one document in ``apply_mix``. An empty table gives an empty result.
 Only the named columns are read, so others clash with nothing; ``apply_mix`` hands them on. Rounding
 carries the remainder from row to row of a block in a fixed order, so of equal rows one may be taken
@@ -38,7 +40,8 @@ CAP = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
 BLOCK = 2000                                                # documents rounded together, about
 STEPS = 60                                                  # Newton steps at most
-CLOSE = 1e-10                                               # relative error that ends them
+CLOSE = 1e-9                                                # relative error that ends them
+EXACT = "decimal(38,10)"                                    # sums of it don't depend on the order of rows
 
 
 def words(text: str) -> Column:
@@ -80,39 +83,47 @@ def targets(sources: DataFrame, cap: float = CAP, weights: tuple[float, ...] = W
 
 
 def solve(cells: DataFrame, wanted: DataFrame, cap: float = CAP) -> DataFrame:
-    """(source, words, docs, target, lam): dual variables whose tilted rates meet the targets.
+    """(source, words, docs, target, lam, steps): dual variables whose tilted rates meet the targets.
 
-    ``cells``: (source, base, words), base > 0.
+    ``cells``: (source, base, size, n), base > 0, one row for the n documents of a source that share
+    both. ``steps`` counts the Newton steps a source took. Raises ValueError when one is still off.
     """
-    start = cells.groupBy("source").agg(F.sum(F.col("base") * F.col("words")).alias("mass"))
     full = F.col("target") >= F.col("words") * F.lit(cap) * (1 - 1e-12)
-    lam = F.when(F.col("target") <= 0, F.lit(-math.inf)).when(full, F.lit(math.inf)).otherwise(
-        F.ln(F.col("target") / F.col("mass")))
-    state = stored(wanted.join(start.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
-                   .withColumn("lam", lam).drop("__s", "mass"))
+    lam = F.when(F.col("target") <= 0, F.lit(-math.inf)).when(full, F.lit(math.inf)).otherwise(F.lit(0.0))
+    state = stored(wanted.withColumns({"lam": lam, "__low": F.lit(-math.inf), "__high": F.lit(math.inf),
+                                       "steps": F.lit(0).cast("long"), "__moved": F.abs(lam) != math.inf}))
+    cells = cells.filter("size > 0").select(F.col("source").alias("__s"), "base", "size", "n")
     for _ in range(STEPS):
-        rate = tilted(F.col("base"), F.col("lam"), cap)
-        now = (cells.withColumnRenamed("source", "__s").drop("docs").withColumnRenamed("words", "__words")
-               .join(state.select("source", "lam"), F.col("__s").eqNullSafe(F.col("source")))
-               .groupBy("__s").agg(F.sum(rate * F.col("__words")).alias("got"),
-                                   F.sum(F.when(rate < cap, rate * F.col("__words")).otherwise(0.0)).alias("curve")))
-        off = F.col("got") - F.col("target")
-        step = F.when(F.abs(F.col("lam")) == math.inf, 0.0).when(F.abs(off) <= F.col("target") * CLOSE, 0.0).otherwise(
-            F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.when(F.col("curve") > 0, off / F.col("curve"))
-                                            .otherwise(F.signum(off)))))
-        state = stored(state.join(now, F.col("source").eqNullSafe(F.col("__s")))
-                       .withColumn("__step", step).withColumn("lam", F.col("lam") - F.col("__step"))
-                       .drop("__s", "got", "curve"))
-        if not state.filter(F.col("__step") != 0).limit(1).count():
-            break
-        state = state.drop("__step")
-    else:
-        raise ValueError(f"a source is still off its target after {STEPS} steps")
-    return state.drop("__step")
-
-
-def tilted(base: Column, lam: Column, cap: float) -> Column:
-    return F.least(F.lit(float(cap)), base * F.exp(lam))
+        open_ = state.filter("__moved").select("source", "lam", (F.col("words") / F.col("docs")).alias("__mean"))
+        rate = tilted(F.col("base"), F.col("lam"), F.col("size") / F.col("__mean"), cap)
+        got = rate * F.col("size") * F.col("n")
+        curve = F.when(rate < cap, got * F.col("size") / F.col("__mean")).otherwise(0.0)
+        now = (cells.join(open_, F.col("__s").eqNullSafe(F.col("source"))).groupBy("__s")
+               .agg(F.sum(got.cast(EXACT)).cast("double").alias("__got"), F.sum(curve.cast(EXACT)).cast("double").alias("__curve")))
+        state = stored(_step(state.join(now, F.col("source").eqNullSafe(F.col("__s")), "left")))
+        if not state.filter("__moved").limit(1).count():
+            return state.drop("__low", "__high", "__moved")
+    raise ValueError(f"a source is still off its target after {STEPS} steps")
+
+
+def _step(state: DataFrame) -> DataFrame:
+    """Each open source one Newton step on ln(words taken / target), kept within its known bounds."""
+    off, at = F.col("__got") - F.col("target"), F.col("lam")
+    moved = F.col("__moved") & (F.abs(off) > F.col("target") * CLOSE)
+    low = F.when(moved & (off < 0), at).otherwise(F.col("__low"))
+    high = F.when(moved & (off > 0), at).otherwise(F.col("__high"))
+    newton = at - F.try_divide(F.col("__got"), F.col("__curve")) * F.ln(F.col("__got") / F.col("target"))
+    inside = F.coalesce((newton > low) & (newton < high), F.lit(False))
+    beyond = (F.when(high == math.inf, 2 * at + 1).when(low == -math.inf, 2 * at - 1).otherwise((low + high) / 2))
+    return (state.withColumns({"__low": low, "__high": high, "__to": F.when(inside, newton).otherwise(beyond), "__moved": moved})
+            .withColumns({"lam": F.when(F.col("__moved"), F.col("__to")).otherwise(at),
+                          "steps": F.col("steps") + F.col("__moved").cast("long")})
+            .drop("__s", "__got", "__curve", "__to"))
+
+
+def tilted(base: Column, lam: Column, size: Column, cap: float) -> Column:
+    """Rate of a document whose size is ``size`` times the mean of its source; base where it has none."""
+    return F.when(size > 0, F.least(F.lit(float(cap)), base * F.exp(lam * size))).otherwise(F.least(F.lit(float(cap)), base))
 
 
 def _diffuse(group: pa.Table) -> pa.Table:
@@ -133,11 +144,12 @@ def mix(sized: DataFrame, cap: float = CAP, weights: tuple[float, ...] = WEIGHTS
     """(doc_id, source, size[, base]) -> doc_id, size, source_size, target, rate, copies."""
     sized = sized if "base" in sized.columns else sized.withColumn("base", F.lit(1.0))
     sized = stored(sized.select("doc_id", "source", "size", "base"))
-    cells = stored(sized.groupBy("source", "base").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs")))
-    sources = cells.groupBy("source").agg(F.sum("words").alias("words"), F.sum("docs").alias("docs"))
+    cells = stored(sized.groupBy("source", "base", "size").agg(F.count(F.lit(1)).alias("n")))
+    sources = cells.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("words"), F.sum("n").alias("docs"))
     rates = solve(cells, targets(sources, cap, weights), cap).select(
         F.col("source").alias("__s"), F.col("words").alias("source_size"), "docs", "target", "lam")
-    rate = F.when(F.col("lam") == -math.inf, 0.0).otherwise(tilted(F.col("base"), F.col("lam"), cap))
+    share = F.try_divide(F.col("size") * F.col("docs"), F.col("source_size"))
+    rate = tilted(F.col("base"), F.col("lam"), F.coalesce(share, F.lit(0.0)), cap)
     rows = (sized.join(rates, F.col("source").eqNullSafe(F.col("__s")))
             .withColumn("rate", rate).withColumn("cap", F.lit(float(cap)))
             .withColumn("__block", F.pmod(F.xxhash64("doc_id", "size"), F.ceil(F.col("docs") / BLOCK))))

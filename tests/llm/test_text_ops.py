@@ -1,5 +1,6 @@
 """Shingles, line dedup, Jaccard join, mixing and fingerprints against plain Python."""
 
+import math
 import random
 
 import numpy as np
@@ -182,15 +183,38 @@ def test_mixing_targets_and_copies(spark):
 
 
 def test_mixing_with_base_rates(spark):
-    rows = [(i, "ab"[i % 2], 10 + i % 7, 1.0 + (i % 5 == 0)) for i in range(2000)]
+    """Rates are tilts of the base rates by size with one dual variable a source, found by brute force too."""
+    rows = [(i, "ab"[i % 2], (10 + i % 7) * (20 if i % 50 == 0 else 1), 1.0 + (i % 5 == 0)) for i in range(2000)] + [(-1, "a", 0, 1.0)]
     sized = spark.createDataFrame(rows, "doc_id long, source string, size long, base double")
     got = {r["doc_id"]: r for r in mixing.mix(sized).collect()}
     for s in "ab":
         own = [r for r in rows if r[1] == s]
-        assert sum(got[d]["rate"] * n for d, _, n, _ in own) == pytest.approx(got[own[0][0]]["target"], rel=1e-6)
-        low = {round(got[d]["rate"], 9) for d, _, _, b in own if b == 1.0}
-        high = {round(got[d]["rate"], 9) for d, _, _, b in own if b == 2.0}
-        assert len(low) == len(high) == 1 and max(high) == pytest.approx(min(3.0, 2 * max(low)))
+        target, mean = got[own[0][0]]["target"], sum(r[2] for r in own) / len(own)
+
+        def rate(lam, n, base):
+            return min(3.0, base * math.exp(lam * n / mean))
+
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(rate(mid, n, b) * n for _, _, n, b in own) < target else (low, mid)
+        for d, _, n, b in own:
+            assert got[d]["rate"] == pytest.approx(rate(low, n, b), rel=1e-6)
+        assert sum(got[d]["rate"] * n for d, _, n, _ in own) == pytest.approx(target, rel=1e-6)
+    assert got[-1]["rate"] == 1.0 and got[-1]["copies"] == 1
+
+
+def test_mixing_takes_newton_steps(spark):
+    """From lam = 0 every source off its target steps; few steps do, also with very long documents."""
+    rng = random.Random(5)
+    rows = [(i, "abcd"[i % 4], min(20_000, int(rng.paretovariate(0.9) * 20))) for i in range(4000)]
+    sized = spark.createDataFrame(rows, "doc_id long, source string, size long").withColumn("base", F.lit(1.0))
+    cells = sized.groupBy("source", "base", "size").agg(F.count(F.lit(1)).alias("n"))
+    sources = sized.groupBy("source").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"))
+    found = mixing.solve(cells, mixing.targets(sources)).collect()
+    assert any(r["steps"] > 1 for r in found) and all(r["steps"] <= 30 for r in found)
+    again = mixing.solve(cells.repartition(7), mixing.targets(sources.repartition(3))).collect()
+    assert {r["source"]: r["lam"] for r in found} == {r["source"]: r["lam"] for r in again}
 
 
 def test_mixing_says_when_targets_are_missed(spark, monkeypatch):
