@@ -143,6 +143,52 @@ SELECT m.month_end, h.o_orderstatus, count(*) AS headcount
 FROM m JOIN h ON h.valid_from <= m.month_end AND m.month_end <= h.valid_to
 GROUP BY m.month_end, h.o_orderstatus"""
 
+_LEVELS = {"o_orderstatus,c_mktsegment": ("st", "sg"), "o_orderstatus": ("st", "NULL"), "c_mktsegment": ("NULL", "sg"),
+           "all": ("NULL", "NULL")}
+
+SQL["headcount_movements"] = _HIST + """,
+hv AS (SELECT h.o_custkey AS k, valid_from, valid_to, o_orderstatus AS st, c_mktsegment AS sg
+       FROM h LEFT JOIN customer ON h.o_custkey = c_custkey),
+m AS (SELECT CAST(last_day(CAST(g AS DATE)) AS DATE) AS month_end, CAST(g AS DATE) - 1 AS prev_end
+      FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH) t(g)),
+cur AS (SELECT month_end, k, st, sg FROM m JOIN hv ON month_end BETWEEN valid_from AND valid_to),
+prv AS (SELECT month_end, k, st, sg FROM m JOIN hv ON prev_end BETWEEN valid_from AND valid_to),
+mv AS (SELECT month_end, cur.k IS NOT NULL AS here, prv.k IS NOT NULL AS was, cur.st AS st, cur.sg AS sg,
+              prv.st AS pst, prv.sg AS psg
+       FROM cur FULL JOIN prv USING (month_end, k)),
+levels AS (""" + " UNION ALL ".join(f"""
+  SELECT '{level}' AS level, month_end, here, was, {a} AS a, {b} AS b, {a.replace("s", "ps", 1)} AS pa, {b.replace("s", "ps", 1)} AS pb
+  FROM mv""" for level, (a, b) in _LEVELS.items()) + """),
+sides AS (
+  SELECT level, month_end, a, b, 0 AS opening, NOT was AS entry, was AND (a IS DISTINCT FROM pa OR b IS DISTINCT FROM pb) AS tin,
+         false AS tout, false AS leave, 1 AS closing FROM levels WHERE here
+  UNION ALL
+  SELECT level, month_end, pa, pb, 1, false, false, here AND (a IS DISTINCT FROM pa OR b IS DISTINCT FROM pb), NOT here, 0
+  FROM levels WHERE was)
+SELECT level, month_end, a AS o_orderstatus, b AS c_mktsegment, CAST(sum(opening) AS BIGINT) AS opening,
+       CAST(count_if(entry) AS BIGINT) AS entries, CAST(count_if(tin) AS BIGINT) AS transfers_in,
+       CAST(count_if(tout) AS BIGINT) AS transfers_out, CAST(count_if(leave) AS BIGINT) AS exits,
+       CAST(sum(closing) AS BIGINT) AS closing
+FROM sides GROUP BY level, month_end, a, b"""
+
+SQL["reporting_lines"] = _HIST.replace("WITH ", "WITH RECURSIVE ", 1) + """,
+e AS (SELECT o_custkey AS k, CASE WHEN o_custkey % 40 = 0 THEN o_custkey + 1 WHEN o_custkey % 40 = 1 THEN o_custkey - 1
+                                  WHEN o_orderstatus = 'F' THEN o_custkey - 1
+                                  WHEN o_orderstatus = 'O' THEN o_custkey // 2 ELSE o_custkey // 3 END AS boss
+      FROM h WHERE DATE '2000-06-30' BETWEEN valid_from AND valid_to),
+way AS (SELECT k, k AS top, [k] AS path FROM e
+        UNION ALL
+        SELECT way.k, up.k, list_append(path, up.k) FROM way JOIN e ON e.k = way.top JOIN e AS up ON up.k = e.boss
+        WHERE NOT list_contains(path, up.k)),
+whole AS (SELECT k, path, top FROM way QUALIFY row_number() OVER (PARTITION BY k ORDER BY len(path) DESC) = 1),
+ended AS (SELECT whole.k, path, e.boss AS back, list_contains(path, e.boss) AS loops, whole.top
+          FROM whole JOIN e ON e.k = whole.top)
+SELECT ended.k AS o_custkey, CAST(e.boss AS BIGINT) AS manager,
+       CASE WHEN loops THEN list_min(path[list_position(path, back):]) ELSE top END AS root,
+       CASE WHEN NOT loops THEN len(path) - 1 END AS depth,
+       CASE WHEN NOT loops THEN 'line' WHEN back = ended.k THEN 'loop' ELSE 'into_loop' END AS status
+FROM ended JOIN e ON e.k = ended.k"""
+
 SQL["dim_versioned"] = _HIST + _DV + "\nSELECT * FROM dv"
 
 SQL["obt"] = _HIST + _DV + f""",

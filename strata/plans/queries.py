@@ -142,6 +142,29 @@ def headcount_snapshot(spark, sf_dir):
                           by=["o_orderstatus"])
 
 
+@query
+def headcount_movements(spark, sf_dir):
+    """Entries, transfers and exits a month by status and segment, each of them, and in total."""
+    from strata.operators.movements import headcount_movements as movements
+    segments = _customer_attrs(spark, sf_dir).select("o_custkey", "c_mktsegment")
+    versions = marts.enrich(order_history(spark, sf_dir), segments, "o_custkey")
+    return movements(versions, "o_custkey", SNAPSHOT_LO, SNAPSHOT_HI, levels=[
+        ("o_orderstatus", "c_mktsegment"), ("o_orderstatus",), ("c_mktsegment",), ()])
+
+
+@query
+def reporting_lines(spark, sf_dir):
+    """Who reports to whom on 2000-06-30, over customers with a version alive on that day. The manager
+    follows from key and state: key % 40 = 0 -> key + 1 and key % 40 = 1 -> key - 1 (planted loops);
+    status 'F' -> key - 1 (long lines), 'O' -> half the key, else a third of it."""
+    from strata.operators.reporting import reporting_lines as lines
+    k = F.col("o_custkey")
+    boss = (F.when(k % 40 == 0, k + 1).when(k % 40 == 1, k - 1).when(F.col("o_orderstatus") == "F", k - 1)
+            .when(F.col("o_orderstatus") == "O", F.floor(k / 2)).otherwise(F.floor(k / 3)))
+    alive = as_of(order_history(spark, sf_dir), F.lit(dt.date(2000, 6, 30)))
+    return lines(alive.select("o_custkey", boss.cast("long").alias("manager")), "o_custkey", "manager")
+
+
 def _dim_versions(spark, sf_dir):
     v = with_keys(order_history(spark, sf_dir), "o_custkey", STATE_COLUMNS)
     return marts.enrich(v, customer_dim(spark, sf_dir), "o_custkey")
