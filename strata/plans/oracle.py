@@ -189,6 +189,23 @@ SELECT ended.k AS o_custkey, CAST(e.boss AS BIGINT) AS manager,
        CASE WHEN NOT loops THEN 'line' WHEN back = ended.k THEN 'loop' ELSE 'into_loop' END AS status
 FROM ended JOIN e ON e.k = ended.k"""
 
+SQL["namesake_customers"] = """
+WITH c AS (SELECT c_custkey AS k, translate(md5(CAST(c_custkey AS VARCHAR)), '0123456789', 'ghijklmnop') AS h FROM customer),
+people AS (
+  SELECT k AS key, CASE WHEN k % 10 = 7 THEN 'nomen nescio' WHEN k % 50 = 8 THEN 'nomen nescoi'
+                        ELSE h[1:6] || ' ' || h[7:14] END AS name FROM c
+  UNION ALL
+  SELECT k + 1000000000, CASE WHEN k % 3 = 0 THEN h[1:3] || h[5:6] || ' ' || h[7:14]
+                              WHEN k % 3 = 1 THEN h[1:6] || ' z' || h[8:14]
+                              ELSE h[2:2] || h[1:1] || h[3:6] || ' ' || h[7:14] END FROM c WHERE k % 10 = 3
+  UNION ALL
+  SELECT k + 2000000000, upper(h[1:6] || ' ' || h[7:14]) FROM c WHERE k % 10 = 4),
+p AS (SELECT key, upper(name) AS name FROM people)
+SELECT x.key, x.name, CAST(count_if(x.name = y.name) - 1 AS BIGINT) AS n_same,
+       CAST(count_if(x.name <> y.name) AS BIGINT) AS n_near, min(y.key) AS first_key
+FROM p x JOIN p y ON damerau_levenshtein(x.name, y.name) <= 1
+GROUP BY x.key, x.name"""
+
 SQL["dim_versioned"] = _HIST + _DV + "\nSELECT * FROM dv"
 
 SQL["obt"] = _HIST + _DV + f""",

@@ -165,6 +165,25 @@ def reporting_lines(spark, sf_dir):
     return lines(alive.select("o_custkey", boss.cast("long").alias("manager")), "o_custkey", "manager")
 
 
+@query
+def namesake_customers(spark, sf_dir):
+    """Customers whose names are equal or one slip apart. Names are letters drawn from the key's hash;
+    planted: key % 10 = 7 all have one name, key % 50 = 8 it with two letters swapped; key % 10 = 3 has a
+    second key (+ 10^9) with a slip, key % 10 = 4 one (+ 2 * 10^9) in capitals with more spaces."""
+    from strata.operators.namesakes import namesakes
+    k, h = F.col("c_custkey"), F.translate(F.md5(F.col("c_custkey").cast("string").cast("binary")), "0123456789", "ghijklmnop")
+    first, last = F.substring(h, 1, 6), F.substring(h, 7, 8)
+    name = F.when(k % 10 == 7, F.lit("nomen nescio")).when(k % 50 == 8, F.lit("nomen nescoi")).otherwise(F.concat(first, F.lit(" "), last))
+    slip = (F.when(k % 3 == 0, F.concat(F.substring(first, 1, 3), F.substring(first, 5, 2), F.lit(" "), last))
+            .when(k % 3 == 1, F.concat(first, F.lit(" z"), F.substring(last, 2, 7)))
+            .otherwise(F.concat(F.substring(h, 2, 1), F.substring(h, 1, 1), F.substring(h, 3, 4), F.lit(" "), last)))
+    people = F.array_compact(F.array(
+        F.struct(k.alias("key"), name.alias("name")),
+        F.when(k % 10 == 3, F.struct((k + 1_000_000_000).alias("key"), slip.alias("name"))),
+        F.when(k % 10 == 4, F.struct((k + 2_000_000_000).alias("key"), F.upper(F.concat(F.lit(" "), first, F.lit("  "), last)).alias("name")))))
+    return namesakes(table(spark, sf_dir, "customer").select(F.inline(people)), "key", "name")
+
+
 def _dim_versions(spark, sf_dir):
     v = with_keys(order_history(spark, sf_dir), "o_custkey", STATE_COLUMNS)
     return marts.enrich(v, customer_dim(spark, sf_dir), "o_custkey")
