@@ -1,9 +1,10 @@
 """Toxicity (operator 3): weak supervision by many voters, a label model and a linear classifier.
 
 Features of a text are its distinct words (runs of letters, A-Z lower-cased) and word stems (their
-first 4, 5 and 6 bytes). Voters are lexicon and pattern rules: the ``VOTERS`` features that the
-labelled sample ties most closely to either class, a small fixed lexicon, and patterns of spelling
-and address. The given label is one more voter, so a wrong label can be outvoted.
+first 4, 5 and 6 bytes). Voters are lexicon and pattern rules: the ``voters`` features that the
+labels tie most closely to either class, a small fixed lexicon, and patterns of spelling
+and address. The given label is one more voter, so a wrong label can be outvoted. Features are counted
+over all labelled documents that may be learnt from.
 
 The label model is generative: a hidden class makes each voter fire with a probability of its own.
 Expectation maximisation over labelled and unlabelled sample documents estimates these
@@ -12,12 +13,14 @@ with others counts for as much less, so many rules for one cue don't pass for ma
 Its posterior labels train a sparse (L1) logistic regression over the features that sample
 documents share. A text's score is that regression's probability, over the whole text.
 
-Bounds (parameters): ``per_class`` labelled documents a class and as many unlabelled ones are
-learnt from. Counts over the sample run in Spark; the driver gets ``FEATURES`` features at most.
+Bounds (parameters of ``fit_toxicity``): the label model and the classifier learn from ``per_class``
+labelled documents a class and as many unlabelled ones. Counts run in Spark; the driver gets the
+``most`` features that tell the classes apart best, of those in ``least`` labelled documents or more.
 
 Cases: a NULL or empty text has no features and gets the intercept's probability. Without labels
 of both classes every text gets the share of toxic labels (0 without any). Rows that share a
-doc_id are scored one by one; for learning, the smallest of their texts counts. An empty table gives
+doc_id are scored one by one; each counts as one for mining, and the smallest of their texts for the
+sample. An empty table gives
 an empty result. A column with the name of the score is replaced; no other name clashes. There are no
 ties: a score depends on its text alone.
 """
@@ -42,7 +45,7 @@ VOTERS = 160                                                # mined ones, of eit
 SURE = 3.0                                                  # standard errors from no association
 UNLABELLED = 0.3                                            # weight of a row without a label
 SHARED = 0.3                                                # correlation from which voters repeat each other
-LEAST = 4                                                   # sample documents with a feature
+LEAST = 4                                                   # labelled documents with a feature
 PENALTY = 1e-5                                              # of the classifier's weights
 ROUNDS = 12                                                 # of the label model
 _LETTER_GAP = np.ones(256, bool)
@@ -178,8 +181,8 @@ def sparse_logistic(x: np.ndarray, q: np.ndarray, w: np.ndarray, penalty: float,
     return beta[:-1].astype(np.float64), float(beta[-1])
 
 
-def _mine(sample: DataFrame) -> list[tuple[int, float]]:
-    """(feature, z) of the features that tell the classes of the labelled sample apart best."""
+def _mine(texts: DataFrame, most: int, least: int) -> list[tuple[int, float]]:
+    """(feature, z) of the features that tell the classes of labelled (label, text) rows apart best."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             label = np.array(b.column("label").to_pylist()) == "1"
@@ -192,19 +195,20 @@ def _mine(sample: DataFrame) -> list[tuple[int, float]]:
                 yield pa.RecordBatch.from_pydict({"feature": feature.view(np.int64), "n": count, "toxic": toxic})
                 at += n
 
-    total = sample.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == "1").alias("t")).first()
+    total = texts.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == "1").alias("t")).first()
     t, c = float(total["t"]), float(total["n"] - total["t"])
     a, b = F.col("toxic") + 0.5, F.col("n") - F.col("toxic") + 0.5
     odds = F.ln(a / (t + 1 - a)) - F.ln(b / (c + 1 - b))
     z = odds / F.sqrt(1 / a + 1 / b + 1 / (t + 1 - a) + 1 / (c + 1 - b))
-    rows = (sample.select("label", "text").mapInArrow(emit, "feature long, n long, toxic long")
+    rows = (texts.select("label", "text").mapInArrow(emit, "feature long, n long, toxic long")
             .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-            .filter(F.col("n") >= LEAST).select("feature", z.alias("z"))
-            .orderBy(F.abs("z").desc(), "feature").limit(FEATURES).collect())
+            .filter(F.col("n") >= least).select("feature", z.alias("z"))
+            .orderBy(F.abs("z").desc(), "feature").limit(most).collect())
     return [(r["feature"], r["z"]) for r in rows]
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2500) -> ToxicModel:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = 2500, most: int = FEATURES,
+                 voters: int = VOTERS, least: int = LEAST) -> ToxicModel:
     """Learn from (doc_id, text) and from ``labels``, which must hold no held-out rows."""
     spark = docs.sparkSession
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
@@ -213,12 +217,13 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
     if not 0 < share < 1:
         return ToxicModel(None, np.zeros(0), float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     sample = labelled_sample(docs, rows, label, per_class)
-    mined = _mine(sample.filter(F.col("text").isNotNull()))
+    given = rows.select("doc_id", F.col(label).cast("string").alias("label")).distinct()
+    mined = _mine(docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(given, "doc_id"), most, least)
     known = np.unique(np.array([f for f, _ in mined] + [word_feature(w) for w in LEXICON], np.int64).view(np.uint64))
     lookup = Lookup(known)
     place = {int(f): i for i, f in enumerate(known.view(np.int64))}
-    best = [m for m in sorted(mined, key=lambda m: (-abs(m[1]), m[0]))[:VOTERS] if abs(m[1]) >= SURE]
-    voters = sorted({place[f] for f, _ in best} | {place[word_feature(w)] for w in LEXICON})
+    best = [m for m in sorted(mined, key=lambda m: (-abs(m[1]), m[0]))[:voters] if abs(m[1]) >= SURE]
+    voting = sorted({place[f] for f, _ in best} | {place[word_feature(w)] for w in LEXICON})
     sent = spark.sparkContext.broadcast(lookup)
     patterns = [re.compile(p) for p in PATTERNS]
 
@@ -239,7 +244,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
     plain = plain.join(labels.select("doc_id").distinct(), "doc_id", "left_anti")
     unlabelled = stored(docs.select("doc_id", "text").join(F.broadcast(plain), "doc_id").select(
         "doc_id", F.lit(None).cast("string").alias("label"), "text", F.lit(0.0).alias("weight")))
-    # at most 4 x per_class rows of at most FEATURES numbers
+    # at most 4 x per_class rows of at most ``most`` numbers
     found = (sample.select("doc_id", "label", "text", "weight").unionByName(unlabelled)
              .mapInArrow(measure, "doc_id string, label string, weight double, found array<int>, hits array<int>").collect())
     found.sort(key=lambda r: (r["label"] or "", r["doc_id"], r["found"], r["hits"]))
@@ -249,7 +254,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
         x[i, r["found"]] = 1
         hits[i, r["hits"]] = 1
     gold = np.array([-1 if r["label"] is None else int(r["label"]) for r in found])
-    q = label_model(np.concatenate([x[:, voters], hits], axis=1), gold, float(np.clip(share, 0.01, 0.99)))
+    q = label_model(np.concatenate([x[:, voting], hits], axis=1), gold, float(np.clip(share, 0.01, 0.99)))
     # unlabelled rows teach with the weight of one row; labelled ones stand for the rows they were drawn from
     w = np.array([r["weight"] or 1.0 for r in found])
     beta, intercept = sparse_logistic(x, q, w, penalty=PENALTY)

@@ -417,3 +417,15 @@ def test_clashing_columns_are_replaced(spark):
     for out in outs:
         assert len(set(out.columns)) == len(out.columns) and out.count() >= 1
     assert all(r["__quality"] != "clash" for r in outs[0].collect()) and outs[3].filter("__n_tokens > 0").count() == 1
+
+
+def test_toxic_words_are_mined_outside_the_sample(spark):
+    rows = [(i, "plain words of text " * 3 + ("grobzk" if i % 4 == 0 else "fein"), int(i % 4 == 0)) for i in range(400)]
+    rows += [(1000 + i, f"other calm lines {'schurf' if i % 2 else 'sanft'}", i % 2) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    texts = docs.selectExpr("cast(toxic as string) as label", "text")
+    mined = dict(toxicity._mine(texts, most=1000, least=4))
+    assert mined[toxicity.word_feature("grobzk")] > 3 and mined[toxicity.word_feature("schurf")] > 1
+    model = toxicity.fit_toxicity(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), per_class=60)
+    got = toxicity.score_toxicity(docs, model).select("toxic", "__toxicity").collect()
+    assert sum((r["__toxicity"] >= 0.5) == bool(r["toxic"]) for r in got) >= 0.98 * len(got)
