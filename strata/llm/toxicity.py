@@ -218,7 +218,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
         return ToxicModel(None, np.zeros(0), float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     sample = labelled_sample(docs, rows, label, per_class)
     given = rows.select("doc_id", F.col(label).cast("string").alias("label")).distinct()
-    mined = _mine(docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(given, "doc_id"), most, least)
+    # labels grow with the documents: one merge join at every size
+    texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(given.hint("merge"), "doc_id")
+    mined = _mine(texts, most, least)
     known = np.unique(np.array([f for f, _ in mined] + [word_feature(w) for w in LEXICON], np.int64).view(np.uint64))
     lookup = Lookup(known)
     place = {int(f): i for i, f in enumerate(known.view(np.int64))}
