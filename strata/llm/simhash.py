@@ -10,14 +10,14 @@ which at least one is equal in such a pair. There is one table for each block, w
 moved to the front as its key; fingerprints that meet in a table are compared. Equal fingerprints
 are first made one row, so a group of copies stays one row.
 
-``count_near`` counts within any radius and lists no pairs. Its radius comes from a likeness
-(``radius_for``): a pair of texts with Jaccard similarity J differs in a bit with chance
-acos(2J / (1 + J)) / pi. A table's key is a choice of bits, so long that about ``CROWD``
-fingerprints share it, and the choices of one shuffle of the bits have none in common. Fingerprints
-that meet are compared by all their bits, and a pair counts in the first table where it meets.
-``tables_for`` gives as many tables as find a pair at exactly the radius with probability
-``RECALL``; a nearer pair is found more surely, and up to ``WHOLE`` fingerprints are one bucket, so
-that all pairs are found. A bucket that stays large is dealt into blocks, each pair of which is a group.
+``count_near`` counts within any radius and lists no pairs; every pair within it is found. Its
+radius comes from a likeness (``radius_for``): a pair of texts with Jaccard similarity J differs in
+a bit with chance acos(2J / (1 + J)) / pi. Fingerprints are dealt into blocks, and each pair of
+blocks is a group that one task compares. Inside a group the bits are cut into runs, each with an
+allowance of differing bits (``allowances``); a pair within the radius keeps at least one of them.
+So for each run only the rows whose bits differ there by no more than its allowance are compared by
+all their bits, and a pair counts in the first run that it keeps. The work grows with the square of
+the different fingerprints; longer runs in larger blocks leave a smaller share of the pairs to compare.
 
 ``edited_fingerprints`` pairs each document with the next by descending doc_id without a global
 sort: ids are cut into blocks of rows that follow one another, each block is sorted by itself, and
@@ -34,6 +34,7 @@ no other name clashes.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -53,10 +54,12 @@ BLOCKS = 20_000                                             # blocks at most (la
 STEP = 256                                                  # rows handled at once
 JACCARD = 0.8                                               # similarity of the pairs that n_near is to reach
 WITHIN = 0.95                                               # share of those pairs within the radius
-RECALL = 0.99                                               # chance to find a pair at exactly the radius
-CROWD = 8192                                                # fingerprints that share a key, at most about
-WHOLE = 4 * CROWD                                           # fingerprints compared without keys
-FEW = 8                                                     # tables always taken where so many find all pairs
+CROWD = 8192                                                # fingerprints of a pair of blocks at least, about
+SPREAD = 8                                                  # blocks that more fingerprints are dealt into, so that tasks share the work
+HELD = 1 << 19                                              # fingerprints in a block at most, about
+WHOLE = 1 << 15                                             # a block of so many is compared without runs
+FILL = 64                                                   # rows that agree in a run of bits, about
+CHUNK = 1 << 13                                             # fingerprints compared with 64 at once
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64)
 
 
@@ -136,102 +139,109 @@ def radius_for(jaccard: float, within: float) -> int:
     return BITS
 
 
-def _missed(bits: int, tables: int, radius: int) -> float:
-    """Chance that a pair differing in ``radius`` bits has no equal key in ``tables`` of one shuffle."""
-    ways = sum((-1)**j * math.comb(tables, j) * math.comb(BITS - j * bits, radius) for j in range(tables + 1))
-    return ways / math.comb(BITS, radius)
-
-
-def tables_for(n: int, radius: int, recall: float = RECALL) -> list[np.ndarray]:
-    """The bits that make up the key of each table, for ``n`` different fingerprints."""
-    if n <= WHOLE:
-        return [np.zeros(0, np.int64)]
-    bits = min(BITS, math.ceil(math.log2(n / CROWD)))
-    per, left, count = BITS // bits, 1.0, 0
-    if radius < min(FEW, per):
-        left, count = 0.0, radius + 1                       # one of them is equal in every pair
-    while left > 1 - recall:
-        more = next((m for m in range(1, per + 1) if left * _missed(bits, m, radius) <= 1 - recall), per)
-        left, count = left * _missed(bits, more, radius), count + more
-    rng = np.random.default_rng(6)
-    out: list[np.ndarray] = []
-    while len(out) < count:
-        order = rng.permutation(BITS)
-        out += [order[i * bits:(i + 1) * bits] for i in range(per)]
-    return out[:count]
-
-
-def _masks(tables: list[np.ndarray]) -> np.ndarray:
-    """Two words for each table, with ones at the bits of its key."""
-    ones = np.zeros((len(tables), BITS), np.uint8)
-    for row, at in zip(ones, tables):
-        row[at] = 1
-    return np.packbits(ones, axis=1).view(np.uint64)
-
-
-def _count_group(left: np.ndarray, right: np.ndarray, same: bool, radius: int, before: np.ndarray,
+def allowances(rows: int, radius: int) -> list[tuple[int, int, int]]:
+    """(first bit, end, allowance) of runs of bits: a pair that differs in at most ``radius`` bits
+    differs within the allowance in at least one of them. Runs are as long as ``rows`` rows fill."""
+    bits = max(1, math.floor(math.log2(max(rows, 1) / FILL)))
+    count = min(-(-BITS // bits), radius + 1)               # of radius + 1 runs one is equal
+    cuts = [round(i * BITS / count) for i in range(count + 1)]
+    spare = radius - count + 1                              # a pair beyond every allowance differs in their sum + count bits
+    runs = [(lo, min(hi, lo + bits)) for lo, hi in zip(cuts, cuts[1:])]
+    longest = sorted(range(count), key=lambda i: (runs[i][0] - runs[i][1], i))
+    more = set(longest[:spare % count])
+    return [(lo, hi, spare // count + (i in more)) for i, (lo, hi) in enumerate(runs)]
+
+
+def _run_mask(lo: int, hi: int) -> np.ndarray:
+    ones = np.zeros(BITS, np.uint8)
+    ones[lo:hi] = 1
+    return np.packbits(ones).view(np.uint64)
+
+
+def _within(x: np.ndarray, radius: int) -> np.ndarray:
+    """Where rows of two words hold at most ``radius`` ones."""
+    return np.bitwise_count(x).sum(axis=-1, dtype=np.int64) <= radius
+
+
+def _keys(x: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """The bits from ``lo`` to ``hi`` of each row as a number."""
+    first, last = lo // 8, -(-hi // 8)
+    octets = np.ascontiguousarray(x).view(np.uint8).reshape(-1, BITS // 8)[:, first:last].astype(np.int64)
+    whole = octets @ (np.int64(1) << np.arange(8 * (last - first - 1), -1, -8))
+    return (whole >> (8 * last - hi)) & ((1 << (hi - lo)) - 1)
+
+
+def _count_group(left: np.ndarray, right: np.ndarray, same: bool, radius: int,
                  copies_left: np.ndarray, copies_right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each row the copies of rows on the other side within ``radius`` that meet in no table of
-    ``before``. Where both sides are the ``same``, each pair is taken once and a row is not its own."""
+    """For each row the copies of rows on the other side within ``radius``. Where both sides are the
+    ``same``, each pair is taken once and a row is not its own."""
     n_left, n_right = np.zeros(len(left)), np.zeros(len(right))
-    for lo in range(0, len(left), 64):
-        rows, first = left[lo:lo + 64], lo if same else 0
-        others = right[first:]
-        d = np.bitwise_count(rows[:, None, 0] ^ others[None, :, 0])
-        d += np.bitwise_count(rows[:, None, 1] ^ others[None, :, 1])
-        a, b = np.nonzero(d <= radius)
+    (x0, x1), (y0, y1) = (np.ascontiguousarray(side.T) for side in (left, right))
+
+    def compare(own: np.ndarray, others: np.ndarray, kept: list[tuple[np.ndarray, int]]) -> None:
+        d = np.bitwise_count(x0[own][:, None] ^ y0[others])
+        d += np.bitwise_count(x1[own][:, None] ^ y1[others])
+        a, b = np.divmod(np.flatnonzero(d <= radius), len(others))
         if same:
-            a, b = a[a < b], b[a < b]
-        for mask in before:
-            met = (((rows[a] ^ others[b]) & mask) == 0).all(axis=1)
-            a, b = a[~met], b[~met]
-        n_left[lo:lo + 64] += np.bincount(a, copies_right[first:][b], len(rows))
-        n_right[first:] += np.bincount(b, copies_left[lo:lo + 64][a], len(others))
+            once = own[a] < others[b]
+            a, b = a[once], b[once]
+        for mask, allowed in kept:
+            new = ~_within((left[own[a]] ^ right[others[b]]) & mask, allowed)
+            a, b = a[new], b[new]
+        if len(a):
+            n_left[own] += np.bincount(a, copies_right[others[b]], len(own))
+            n_right[others] += np.bincount(b, copies_left[own[a]], len(others))
+
+    # a run of no bits compares all
+    runs = allowances(len(right), radius) if len(right) > WHOLE else [(0, 0, 0)]
+    kept: list[tuple[np.ndarray, int]] = []
+    for lo, hi, allowed in runs:
+        flips = np.array([sum(1 << i for i in some) for k in range(allowed + 1)
+                          for some in itertools.combinations(range(hi - lo), k)], np.int64)
+        sides = []
+        for x in (left, right):
+            key = _keys(x, lo, hi) if hi else np.zeros(len(x), np.int64)
+            sides.append((np.argsort(key, kind="stable"), np.concatenate(([0], np.cumsum(np.bincount(key, minlength=1 << (hi - lo)))))))
+        (order_left, at_left), (order_right, at_right) = sides
+        for key in np.flatnonzero(np.diff(at_left)):
+            met = key ^ flips
+            start, n = at_right[met], at_right[met + 1] - at_right[met]
+            others = order_right[np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            own = order_left[at_left[key]:at_left[key + 1]]
+            for i in range(0, len(own), 64):
+                for j in range(0, len(others), CHUNK):
+                    compare(own[i:i + 64], others[j:j + CHUNK], kept)
+        kept.append((_run_mask(lo, hi), allowed))
     return n_left, n_right
 
 
-def near_counts(classes: DataFrame, radius: int, recall: float = RECALL) -> DataFrame:
+def near_counts(classes: DataFrame, radius: int) -> DataFrame:
     """(fp, more): rows with another fingerprint within ``radius`` bits, for those that have any.
 
     ``classes`` holds each fingerprint once, in ``fp``, with its number of ``copies``.
     """
-    tables = tables_for(classes.count(), radius, recall)
-    masks, whole = _masks(tables), not len(tables[0])
-    block = CROWD // 2 if whole else 2 * CROWD
+    n = classes.count()
+    blocks = max(-(-n // HELD), min(SPREAD, -(-n // (CROWD // 2))), 1)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def binary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             raw = np.frombuffer(bytes.fromhex("".join(b.column("fp").to_pylist())), np.uint8).reshape(-1, BITS // 8)
-            ones, prints = np.unpackbits(raw, axis=1), pa.array([r.tobytes() for r in raw], pa.binary())
-            for t, at in enumerate(tables):
-                key = ones[:, at].astype(np.int64) @ (np.int64(1) << np.arange(len(at)))
-                yield pa.RecordBatch.from_pydict({"bucket": pa.array(key * len(tables) + t), "print": prints,
-                                                  "copies": b.column("copies")})
-
-    entries = classes.select("fp", "copies").mapInArrow(place, "bucket long, print binary, copies long")
-    large = stored(entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
-                   .select(F.col("bucket").alias("__large"), F.ceil(F.col("n") / block).cast("int").alias("blocks")))
-    dealt = entries.withColumn("own", F.lit(0)).withColumn("i", F.lit(0)).withColumn("j", F.lit(0))
-    if large.limit(1).count():                              # each pair of blocks of a bucket is a group
-        dealt = (entries.join(large, F.col("bucket") == F.col("__large"), "left")
-                 .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-                 .withColumn("own", F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int"))
-                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                 .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")))
-    held = (dealt.withColumn("group", F.xxhash64("bucket", "i", "j"))
-            .select("group", "bucket", "own", "i", "j", "print", "copies")
-            .repartition("group").sortWithinPartitions("group"))
+            yield pa.RecordBatch.from_pydict({"print": pa.array([r.tobytes() for r in raw], pa.binary()), "copies": b.column("copies")})
+
+    held = (classes.select("fp", "copies").mapInArrow(binary, "print binary, copies long")
+            .withColumn("own", F.pmod(F.xxhash64("print"), F.lit(blocks)).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+            .select((F.least("own", "other") * blocks + F.greatest("own", "other")).alias("group"), "own", "print", "copies")
+            .repartition(blocks * (blocks + 1) // 2, "group").sortWithinPartitions("group"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in grouped(batches, "group"):
-            if len(g) < 2:
-                continue
             x = np.frombuffer(b"".join(g.column("print").to_pylist()), np.uint64).reshape(-1, 2)
             own, copies = g.column("own").to_numpy(), g.column("copies").to_numpy()
-            t, i, j = g.column("bucket")[0].as_py() % len(tables), g.column("i")[0].as_py(), g.column("j")[0].as_py()
+            i, j = divmod(g.column("group")[0].as_py(), blocks)
             left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
             more = np.zeros(len(g))
-            n_left, n_right = _count_group(x[left], x[right], i == j, radius, masks[:t], copies[left], copies[right])
+            n_left, n_right = _count_group(x[left], x[right], i == j, radius, copies[left], copies[right])
             more[left] += n_left
             more[right] += n_right
             some = np.flatnonzero(more)

@@ -351,3 +351,28 @@ def test_count_near_by_keys_meets_wide_pairs_once(spark, monkeypatch, crowd):
     assert sum(near.values()) >= 0.99 * exact.sum() > 1000
     few = {r["doc_id"]: r["n_near"] for r in simhash.count_near(df, 3).collect()}
     assert [few[i] for i in range(len(rows))] == ((hamming([p for _, p in rows]) <= 3).sum(axis=1) - 1).tolist()
+
+
+def test_count_near_finds_every_pair_at_the_radius(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CROWD", 64)
+    monkeypatch.setattr(simhash, "WHOLE", 0)
+    rng = np.random.default_rng(4)
+    rows = []
+    for i, base in enumerate(rng.integers(0, 256, (2000, 16), np.uint8)):
+        bits = np.unpackbits(base)
+        bits[rng.choice(128, 26 if i % 4 else 27, replace=False)] ^= 1
+        rows += [(2 * i, base.tobytes().hex()), (2 * i + 1, np.packbits(bits).tobytes().hex())]
+    exact = (hamming([p for _, p in rows]) <= 26).sum(axis=1) - 1
+    assert exact.sum() >= 3000
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint string")
+    near = {r["doc_id"]: r["n_near"] for r in simhash.count_near(df, 26).collect()}
+    assert [near[i] for i in range(len(rows))] == exact.tolist()
+
+
+@pytest.mark.parametrize("rows", [1, 100, 5000, 200_000])
+@pytest.mark.parametrize("radius", [0, 3, 26])
+def test_allowances_leave_no_pair_out(rows, radius):
+    runs = simhash.allowances(rows, radius)
+    assert all(hi <= lo for (_, hi, _), (lo, _, _) in zip(runs, runs[1:])) and runs[-1][1] <= simhash.BITS
+    assert min(t for _, _, t in runs) >= 0 and sum(t + 1 for _, _, t in runs) > radius
+
