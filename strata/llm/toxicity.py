@@ -27,13 +27,14 @@ ties: a score depends on its text alone.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .common import hash_sample, held_out, labelled_sample, sigmoid, slices, stored, table
@@ -45,6 +46,7 @@ VOTERS = 160                                                # mined ones, of eit
 SURE = 3.0                                                  # standard errors from no association
 UNLABELLED = 0.3                                            # weight of a row without a label
 SHARED = 0.3                                                # correlation from which voters repeat each other
+APART = 4                                                   # times fewer rows than due, from so many due, for voters apart
 LEAST = 4                                                   # labelled documents with a feature
 PENALTY = 1e-5                                              # of the classifier's weights
 ROUNDS = 12                                                 # of the label model
@@ -117,6 +119,8 @@ def label_model(votes: np.ndarray, gold: np.ndarray, prior: float) -> np.ndarray
     """Posterior probability of class 1 for each row.
 
     ``votes``: rows x voters, 1 where a voter fires. ``gold``: 1, 0 or -1 (no label) by row.
+    That a voter does not fire speaks against its cue, except where one fires with which it hardly
+    ever does in either class (a cue of another language): there it abstains.
     """
     known = gold >= 0
     if known.any():
@@ -128,7 +132,7 @@ def label_model(votes: np.ndarray, gold: np.ndarray, prior: float) -> np.ndarray
     v = votes.astype(np.float64)
     weigh = np.where(known, 1.0, UNLABELLED)
     for _ in range(ROUNDS):
-        rates, spread = [], np.zeros((v.shape[1], v.shape[1]))
+        rates, spread, met, due = [], *np.zeros((3, v.shape[1], v.shape[1]))
         for side in ((1 - q) * weigh, q * weigh):
             total = side.sum() + 1.0
             rate = (side @ v + 0.02) / (total + 0.04)
@@ -136,13 +140,17 @@ def label_model(votes: np.ndarray, gold: np.ndarray, prior: float) -> np.ndarray
             cov = (centred * side[:, None]).T @ centred / total
             sd = np.sqrt(rate * (1 - rate))
             spread += cov / np.outer(sd, sd) / 2
+            met += (v * side[:, None]).T @ v
+            due += total * np.outer(rate, rate)
             rates.append(rate)
         shared = np.maximum((spread - SHARED) / (1 - SHARED), 0.0)
         np.fill_diagonal(shared, 1.0)
         trust = 1.0 / shared.sum(axis=1)                    # a voter's own part of what it says
         p0, p1 = rates
         fire, rest = np.log(p1 / p0), np.log((1 - p1) / (1 - p0))
-        z = np.log(prior / (1 - prior)) + v @ (trust * fire) + (1 - v) @ (trust * rest)
+        apart = (due >= APART) & (met < due / APART)
+        quiet = (1 - v) * (v @ apart == 0)
+        z = np.log(prior / (1 - prior)) + v @ (trust * fire) + quiet @ (trust * rest)
         t0, t1 = trusted
         z = z + np.where(gold == 1, np.log(t1 / (1 - t0)), np.where(gold == 0, np.log((1 - t1) / t0), 0.0))
         q = sigmoid(z)
@@ -181,8 +189,9 @@ def sparse_logistic(x: np.ndarray, q: np.ndarray, w: np.ndarray, penalty: float,
     return beta[:-1].astype(np.float64), float(beta[-1])
 
 
-def _mine(texts: DataFrame, most: int, least: int) -> list[tuple[int, float]]:
-    """(feature, z) of the features that tell the classes of labelled (label, text) rows apart best."""
+def _mine(texts: DataFrame, most: int, least: int, tested: Observation | None = None) -> list[tuple[int, float]]:
+    """(feature, z) of the features that tell the classes of labelled (label, text) rows apart best:
+    z is the signed root of the log-likelihood ratio of class and feature. ``tested`` gets their number ``n``."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             label = np.array(b.column("label").to_pylist()) == "1"
@@ -197,12 +206,18 @@ def _mine(texts: DataFrame, most: int, least: int) -> list[tuple[int, float]]:
 
     total = texts.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == "1").alias("t")).first()
     t, c = float(total["t"]), float(total["n"] - total["t"])
-    a, b = F.col("toxic") + 0.5, F.col("n") - F.col("toxic") + 0.5
-    odds = F.ln(a / (t + 1 - a)) - F.ln(b / (c + 1 - b))
-    z = odds / F.sqrt(1 / a + 1 / b + 1 / (t + 1 - a) + 1 / (c + 1 - b))
+    n, a, b = F.col("n"), F.col("toxic"), F.col("n") - F.col("toxic")
+
+    def part(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.ln(seen / expected)).otherwise(0.0)
+
+    with_it, without = n / (t + c), (t + c - n) / (t + c)
+    # the log-likelihood ratio: a standard error of the odds would rank words that one class never has low
+    ratio = 2 * (part(a, with_it * t) + part(b, with_it * c) + part(t - a, without * t) + part(c - b, without * c))
+    z = F.signum(a - with_it * t) * F.sqrt(F.greatest(ratio, F.lit(0.0)))
     rows = (texts.select("label", "text").mapInArrow(emit, "feature long, n long, toxic long")
             .groupBy("feature").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
-            .filter(F.col("n") >= least).select("feature", z.alias("z"))
+            .filter(F.col("n") >= least).select("feature", z.alias("z")).observe(tested or Observation(), F.count(F.lit(1)).alias("n"))
             .orderBy(F.abs("z").desc(), "feature").limit(most).collect())
     return [(r["feature"], r["z"]) for r in rows]
 
@@ -220,11 +235,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_c
     given = rows.select("doc_id", F.col(label).cast("string").alias("label")).distinct()
     # labels grow with the documents: one merge join at every size
     texts = docs.select("doc_id", "text").filter(F.col("text").isNotNull()).join(given.hint("merge"), "doc_id")
-    mined = _mine(texts, most, least)
+    tested = Observation()
+    mined = _mine(texts, most, least, tested)
+    # of so many features some stand out by chance
+    sure = math.sqrt(SURE**2 + 2 * math.log(max(tested.get["n"], 1) if mined else 1))
     known = np.unique(np.array([f for f, _ in mined] + [word_feature(w) for w in LEXICON], np.int64).view(np.uint64))
     lookup = Lookup(known)
     place = {int(f): i for i, f in enumerate(known.view(np.int64))}
-    best = [m for m in sorted(mined, key=lambda m: (-abs(m[1]), m[0]))[:voters] if abs(m[1]) >= SURE]
+    best = [m for m in sorted(mined, key=lambda m: (-abs(m[1]), m[0]))[:voters] if abs(m[1]) >= sure]
     voting = sorted({place[f] for f, _ in best} | {place[word_feature(w)] for w in LEXICON})
     sent = spark.sparkContext.broadcast(lookup)
     patterns = [re.compile(p) for p in PATTERNS]

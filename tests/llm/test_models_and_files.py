@@ -429,3 +429,21 @@ def test_toxic_words_are_mined_outside_the_sample(spark):
     model = toxicity.fit_toxicity(docs.select("doc_id", "text"), docs.select("doc_id", "toxic"), per_class=60)
     got = toxicity.score_toxicity(docs, model).select("toxic", "__toxicity").collect()
     assert sum((r["__toxicity"] >= 0.5) == bool(r["toxic"]) for r in got) >= 0.98 * len(got)
+
+
+def test_words_of_one_class_only_are_mined_first(spark):
+    rows = [(i, "0", "calm " + ("mixed" if i % 9 == 0 else "lines")) for i in range(900)]
+    rows += [(900 + i, "1", ("grobzk " if i < 60 else "other ") + ("mixed" if i % 2 else "lines")) for i in range(100)]
+    texts = spark.createDataFrame(rows, "doc_id long, label string, text string").select("label", "text")
+    mined = dict(toxicity._mine(texts, most=1000, least=4))
+    assert mined[toxicity.word_feature("grobzk")] > mined[toxicity.word_feature("mixed")] > 3
+
+
+def test_label_model_keeps_cues_of_a_small_language():
+    rng = np.random.default_rng(6)
+    y = rng.random(4000) < 0.15
+    small = rng.random(4000) < 0.12                         # rows of the other language
+    many = (y & ~small)[:, None] & (rng.random((4000, 30)) < 0.4)
+    votes = np.concatenate([many, (y & small)[:, None], rng.random((4000, 4)) < 0.1], axis=1).astype(float)
+    q = toxicity.label_model(votes, np.where(rng.random(4000) < 0.2, -1, y), 0.15)
+    assert np.mean((q > 0.5)[y & small]) > 0.95 and np.mean((q > 0.5) == y) > 0.97
