@@ -43,11 +43,15 @@ LONG_CHARS = 1 << 16                                       # longer documents ar
 PIECES = 600_000                                           # remembered pieces and words a worker
 PIECE_CHARS = 48                                           # longer ones are not remembered
 NEVER = 1 << 60
+SHIFT = 24                                                 # bits of an id
 #: Normaliser and splitting pattern for which white space separates words that can
 #: be split off and remembered whole; other files are split by the library alone.
 KNOWN_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 KNOWN_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_ascii_split = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+").findall
+#: Letters of Latin-1 that NFC leaves alone and that have one lower-case letter.
+LATIN = "À-ÖØ-öø-ÿ"
+_plain = re.compile(f"[\\x00-\\x7f{LATIN}]+").fullmatch
+_plain_split = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\t-\r a-z0-9ß-öø-ÿ]+").findall
 _odd_space = re.compile("[\x1c-\x1f]").search              # str.split() takes these for white space
 _ascii_space = re.compile("[\t-\r ]+").split
 
@@ -84,9 +88,12 @@ class WordBpe:
             self.symbols[made] = self.symbols[a] + self.symbols[b]
         self.rank = {p: r for p, (r, _) in self.merges.items()}
         self.made = {p: m for p, (_, m) in self.merges.items()}
+        # a pair as one number: its rank and, below it, what it makes
+        self.step = {a << SHIFT | b: r << SHIFT | m for (a, b), (r, m) in self.merges.items()}
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [i for i in range(256) if i not in printable]
-        self.ascii = {i: chr(i) if i in printable else chr(256 + other.index(i)) for i in range(128)}
+        octet = [chr(i) if i in printable else chr(256 + other.index(i)) for i in range(256)]
+        self.octets = {i: "".join(octet[b] for b in chr(i).encode()) for i in range(256)}
         self.id_text = {i: str(i) for i in self.text_of}
         self.by_id_text = {str(i): t for i, t in self.text_of.items()}
         self.young: dict[str, str] = {}                     # when full it becomes the old one
@@ -98,19 +105,19 @@ class WordBpe:
         """Plain merges of a run of symbols, lowest rank first, leftmost on ties."""
         if len(run) > LEAF:
             return self._merge_by_heap(run)
-        rank, made, run = self.rank, self.made, list(run)
-        ranks = [rank.get(p, NEVER) for p in zip(run, run[1:])]
+        step, run = self.step.get, list(run)
+        ranks = [step(a << SHIFT | b, NEVER) for a, b in zip(run, run[1:])]
         while ranks:
             low = min(ranks)
             if low == NEVER:
                 break
             i = ranks.index(low)
-            run[i:i + 2] = [made[run[i], run[i + 1]]]
-            del ranks[i]
+            run[i] = made = low & ((1 << SHIFT) - 1)
+            del run[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = rank.get((run[i], run[i + 1]), NEVER)
+                ranks[i] = step(made << SHIFT | run[i + 1], NEVER)
             if i:
-                ranks[i - 1] = rank.get((run[i - 1], run[i]), NEVER)
+                ranks[i - 1] = step(run[i - 1] << SHIFT | made, NEVER)
         return run
 
     def _merge_by_heap(self, run: list[int]) -> list[int]:
@@ -184,8 +191,9 @@ class WordBpe:
         return ids
 
     def _piece(self, piece: str) -> str:
-        """Ids of one piece as decimal text, remembered under the word-end mark and the piece."""
-        key = "\n" + piece                                  # no word holds a line feed
+        """Ids of one piece as decimal text. A-Z and a-z stand for themselves, so such a piece is
+        remembered as the word it would be, others after a line feed, which no word holds."""
+        key = piece if piece.isalpha() and piece.isascii() else "\n" + piece
         got = self.young.get(key) or self.old.get(key)
         if got is None:
             got = " ".join(map(self.id_text.__getitem__, self.encode_run(self.run_of(piece))))
@@ -195,9 +203,9 @@ class WordBpe:
         """Ids of a word between white space as decimal text; may be empty."""
         got = self.old.get(word)
         if got is None:
-            if word.isascii():
+            if word.isascii() or _plain(word):
                 low = word.lower()
-                found = [low] if low.isalpha() else [p.translate(self.ascii) for p in _ascii_split(low)]
+                found = [p.translate(self.octets) for p in ([low] if low.isalpha() else _plain_split(low))]
             else:
                 found = self.pieces(word)
             if len(found) == 1 and found[0] == word:

@@ -202,3 +202,19 @@ def test_op13_and_an_empty_table(spark, library):
         assert found[d]["n_tokens"] == len(ids)
     none = spark.createDataFrame([], "doc_id long, text string")
     assert word_bpe.encode_words(none, word_bpe.default_file()).collect() == []
+
+
+def test_latin_words_are_split_here_and_merged_once(monkeypatch):
+    path = word_bpe.default_file()
+    rng = np.random.default_rng(8)
+    letters = list("aAzZstl'’,.-19 \x0b\x1c\x7f") + [chr(i) for i in range(0x80, 0x180)]
+    texts = ["".join(rng.choice(letters, 9)) for _ in range(3000)] + ["Größe's, ñandú'll étés ÀÖØ×÷ßÞ"]
+    lib = Tokenizer.from_file(path)
+    bpe = word_bpe.WordBpe(path)
+    assert [bpe.encode(t) for t in texts] == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    alone, runs = word_bpe.WordBpe(path), []
+    merge = alone.merge
+    monkeypatch.setattr(alone, "lib", None)                 # neither normaliser nor splitter is needed
+    monkeypatch.setattr(alone, "merge", lambda run: runs.append(tuple(run)) or merge(run))
+    alone.encode_text("grobzk Grobzk, (grobzk) Größe größe, GRÖSSE")
+    assert len(runs) == len(set(runs)) == 6
